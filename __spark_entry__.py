@@ -21,7 +21,7 @@ from saldomart.operators.duplicates import DuplicateKeys, assert_unique, find_du
 from saldomart.operators.ledger import second_order_account
 from saldomart.operators.merge import upsert
 from saldomart.operators.periods import find_period_gaps, missing_in_mart
-from saldomart.operators.rates import rate_as_of
+from saldomart.operators.rates import day_rates, rate_as_of
 from saldomart.operators.repair import (
     find_mismatches,
     fix_in_sum,
@@ -41,6 +41,7 @@ from saldomart.sources.tables import Warehouse
 from saldomart.sources.views import BankViews
 
 JANUARY = (date(1997, 1, 1), date(1997, 1, 31))
+TWO_MONTHS = (date(1997, 1, 1), date(1997, 2, 28))
 BEFORE_JANUARY = date(1996, 12, 31)
 HISTORY = (date(1995, 1, 1), date(2001, 12, 31))
 BEFORE_HISTORY = date(1994, 12, 31)
@@ -237,7 +238,8 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _turnover(period: tuple[date, date]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = BankViews(spark, sf_dir)
-        return _doubles(account_turnover(v.postings, v.accounts, v.currencies, v.exchange_rates, *period))
+        rates_by_day = day_rates(v.currencies, v.exchange_rates, *period)
+        return _doubles(account_turnover(v.postings, v.accounts, rates_by_day, *period))
 
     return query
 
@@ -249,8 +251,7 @@ def _balance(spark: SparkSession, sf_dir: str) -> DataFrame:
             v.opening_balances(BEFORE_JANUARY),
             account_movements(v.postings, *JANUARY),
             v.accounts,
-            v.currencies,
-            v.exchange_rates,
+            day_rates(v.currencies, v.exchange_rates, *JANUARY),
             *JANUARY,
         )
     )
@@ -279,32 +280,49 @@ def _loaded(spark: SparkSession, sf_dir: str, opening_day: date) -> Warehouse:
 def _calculate_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both marts for two months in a row, and the opening day."""
     warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY)
-    jobs.calculate_period(warehouse, JANUARY[0], date(1997, 2, 28))
+    jobs.calculate_period(warehouse, *TWO_MONTHS)
     turnover = warehouse.read("dm", jobs.TURNOVER_MART)
     balance = warehouse.read("dm", jobs.BALANCE_MART)
     return _doubles(balance.join(turnover, ["on_date", "account_id"], "left"))
 
 
 def _form_101(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report for one month, from marts that were calculated and published."""
+    """The report for one month in one plan. Both marts share one pass over the postings."""
+    v = BankViews(spark, sf_dir)
+    rates_by_day = day_rates(v.currencies, v.exchange_rates, BEFORE_JANUARY, JANUARY[1])
+    turnover = account_turnover(v.postings, v.accounts, rates_by_day, *JANUARY)
+    balance = account_balance(
+        v.opening_balances(BEFORE_JANUARY),
+        turnover,
+        v.accounts,
+        rates_by_day,
+        *JANUARY,
+        with_opening_day=True,
+        on_days=[BEFORE_JANUARY, JANUARY[1]],
+    )
+    return _doubles(form_101(balance, turnover, v.accounts, v.currencies, v.ledger_accounts, *JANUARY))
+
+
+def _build_form_101(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report for two months, from marts that were calculated and published."""
     warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY)
-    jobs.calculate_period(warehouse, *JANUARY)
-    jobs.build_form_101(warehouse, *JANUARY)
+    jobs.calculate_period(warehouse, *TWO_MONTHS)
+    jobs.build_form_101(warehouse, *TWO_MONTHS)
     return _doubles(warehouse.read("dm", jobs.REPORT_MART))
 
 
 def _form_101_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report for seven years. Balances are worked out for its two days only."""
     v, warehouse = BankViews(spark, sf_dir), _warehouse(spark)
-    turnover = account_turnover(v.postings, v.accounts, v.currencies, v.exchange_rates, *HISTORY)
+    rates_by_day = day_rates(v.currencies, v.exchange_rates, BEFORE_HISTORY, HISTORY[1])
+    turnover = account_turnover(v.postings, v.accounts, rates_by_day, *HISTORY)
     warehouse.publish(turnover, "dm", jobs.TURNOVER_MART)
     stored = warehouse.read("dm", jobs.TURNOVER_MART)
     balance = account_balance(
         v.opening_balances(BEFORE_HISTORY),
         stored,
         v.accounts,
-        v.currencies,
-        v.exchange_rates,
+        rates_by_day,
         *HISTORY,
         with_opening_day=True,
         on_days=[BEFORE_HISTORY, HISTORY[1]],
@@ -466,6 +484,7 @@ def queries() -> dict[str, Query]:
         "calculate_period": _calculate_period,
         "form_101": _form_101,
         "form_101_history": _form_101_history,
+        "build_form_101": _build_form_101,
         "find_duplicates": _find_duplicates,
         "remove_duplicates": _remove_duplicates(kept=True),
         "removed_duplicates": _remove_duplicates(kept=False),
@@ -656,7 +675,8 @@ SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n
 
 
 def oracle_sql() -> dict[str, str]:
-    january, history = ("1996-12-31", "1997-01-01", "1997-01-31"), ("1994-12-31", "1995-01-01", "2001-12-31")
+    january, two_months = ("1996-12-31", "1997-01-01", "1997-01-31"), ("1996-12-31", "1997-01-01", "1997-02-28")
+    history = ("1994-12-31", "1995-01-01", "2001-12-31")
     history_turnover = "WITH " + ",".join([_ACCOUNTS, _RATES, _LEGS, _turnover_cte(*history[1:])])
     return {
         "read_csv_landing": """
@@ -725,13 +745,14 @@ SELECT account_id, span_from,
        coalesce(lead(span_from) OVER w - 1, DATE '2001-12-31') AS span_to,
        CAST(sum(change) OVER w AS DOUBLE) AS balance
 FROM starts WINDOW w AS (PARTITION BY account_id ORDER BY span_from)""",
-        "calculate_period": f"""{_marts('1996-12-31', '1997-01-01', '1997-02-28')}
+        "calculate_period": f"""{_marts(*two_months)}
 SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
        CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
        CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
 FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date""",
         "form_101": _report_sql(*january),
         "form_101_history": _report_sql(*history),
+        "build_form_101": _report_sql(*two_months),
         "find_duplicates": "SELECT text, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1",
         "remove_duplicates": f"SELECT doc_id, text FROM ({_RANKED_CLIENTS}) WHERE n = 1",
         "removed_duplicates": f"SELECT doc_id, text FROM ({_RANKED_CLIENTS}) WHERE n > 1",

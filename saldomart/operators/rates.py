@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldomart.functions.sizes import is_small
+from saldomart.functions.sizes import BROADCAST_BYTES
+
+_ROW_BYTES = 80
 
 
 class OverlappingRates(ValueError):
@@ -18,54 +20,54 @@ class MissingRate(ValueError):
     """A foreign currency is used on a day that has no rate."""
 
 
-def check_rates(rates: DataFrame) -> None:
-    """Refuse intervals of one currency that overlap: a join would repeat rows."""
-    last_before = F.max("date_to").over(
-        Window.partitionBy("currency_id")
-        .orderBy("date_from", "date_to")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    clash = (
-        rates.filter("date_from <= date_to")
-        .withColumn("_last", last_before)
-        .filter("date_from <= _last")
-        .select("currency_id", "date_from")
-        .first()
-    )
-    if clash:
-        raise OverlappingRates(f"currency {clash['currency_id']} has two rates on {clash['date_from']}")
+def _last_before() -> Column:
+    """The latest end among the earlier intervals of the same currency."""
+    earlier = Window.partitionBy("currency_id").orderBy("date_from", "date_to")
+    return F.max("date_to").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _days_between(first: Column, last: Column) -> Column:
-    return F.explode(F.sequence(first, last, F.expr("interval 1 day")))
+def _measure(intervals: DataFrame) -> tuple[int, int]:
+    """Number of intervals and of days in them. Refuses intervals of a currency that overlap."""
+    clash = F.when(F.col("date_from") <= F.col("_last"), F.struct("currency_id", "date_from"))
+    found = (
+        intervals.select("currency_id", "date_from", "date_to", _last_before().alias("_last"))
+        .agg(
+            F.min(clash).alias("clash"),
+            F.count(F.lit(1)).alias("intervals"),
+            F.sum(F.datediff("date_to", "date_from") + 1).alias("days"),
+        )
+        .first()
+    )
+    if found["clash"]:
+        currency, day = found["clash"]
+        raise OverlappingRates(f"currency {currency} has two rates on {day}")
+    return found["intervals"], found["days"] or 0
 
 
 def day_rates(currencies: DataFrame, rates: DataFrame, date_from: date, date_to: date) -> DataFrame:
     """One row per currency and day: ``rate`` (1 for the home currency), ``is_home``.
 
-    Holds days x currencies rows at most, whatever the number of postings. A currency
-    that is not listed counts as foreign. A day without a rate has no row.
+    Holds days x currencies rows at most, whatever the number of postings, and is marked
+    for broadcast once that number was found to be small. A currency that is not listed
+    counts as foreign. A day without a rate has no row.
     """
-    check_rates(rates)
     first, last = F.lit(date_from), F.lit(date_to)
+    home = currencies.filter("is_home").select("currency_id")
     foreign = (
-        rates.filter((F.col("date_from") <= last) & (F.col("date_to") >= first))
+        rates.join(home, "currency_id", "left_anti")
+        .select("currency_id", F.greatest("date_from", first).alias("date_from"),
+                F.least("date_to", last).alias("date_to"), "rate", F.lit(False).alias("is_home"))
         .filter("date_from <= date_to")
-        .join(currencies.filter("is_home").select("currency_id"), "currency_id", "left_anti")
-        .select(
-            "currency_id",
-            _days_between(F.greatest("date_from", first), F.least("date_to", last)).alias("on_date"),
-            "rate",
-            F.lit(False).alias("is_home"),
-        )
     )
-    home = currencies.filter("is_home").select(
-        "currency_id",
-        _days_between(first, last).alias("on_date"),
-        F.lit(1).cast(rates.schema["rate"].dataType).alias("rate"),
-        F.lit(True).alias("is_home"),
+    one = F.lit(1).cast(rates.schema["rate"].dataType)
+    intervals = foreign.unionByName(
+        home.select("currency_id", first.alias("date_from"), last.alias("date_to"),
+                    one.alias("rate"), F.lit(True).alias("is_home"))
     )
-    return foreign.unionByName(home)
+    _, days = _measure(intervals)
+    every_day = F.explode(F.sequence("date_from", "date_to", F.expr("interval 1 day")))
+    daily = intervals.select("currency_id", every_day.alias("on_date"), "rate", "is_home")
+    return F.broadcast(daily) if days * _ROW_BYTES <= BROADCAST_BYTES else daily
 
 
 def rate_as_of(
@@ -76,10 +78,10 @@ def rate_as_of(
     Rates that were measured to be small are broadcast. Beyond that, currency and month
     join as equal keys, so neither a currency nor a long history meets in one task.
     """
-    check_rates(rates)
-    narrow = rates.select("currency_id", "date_from", "date_to", "rate")
+    narrow = rates.select("currency_id", "date_from", "date_to", "rate").filter("date_from <= date_to")
+    intervals, _ = _measure(narrow)
     if broadcast_rates is None:
-        broadcast_rates = is_small(narrow)
+        broadcast_rates = intervals * _ROW_BYTES <= BROADCAST_BYTES
     left, day = df.alias("left"), F.col(f"left.{date_col}")
     valid = day.between(F.col("r.date_from"), F.col("r.date_to"))
     same = F.col("left.currency_id") == F.col("r.currency_id")
@@ -88,6 +90,6 @@ def rate_as_of(
     months = F.sequence(
         F.trunc("date_from", "month"), F.trunc("date_to", "month"), F.expr("interval 1 month")
     )
-    monthly = narrow.filter("date_from <= date_to").withColumn("_month", F.explode(months)).alias("r")
+    monthly = narrow.withColumn("_month", F.explode(months)).alias("r")
     by_month = same & (F.trunc(day, "month") == F.col("r._month")) & valid
     return left.join(monthly, by_month, "left").select("left.*", "r.rate")

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldomart.functions.sizes import broadcast_if_small
 from saldomart.operators.duplicates import assert_unique
 
 MODES = ("calendar", "row")
@@ -90,5 +89,5 @@ def rebuild_balance_turnover(
     for dim, keys in dims:
         assert_unique(dim, keys)
         rebuilt = rebuilt.drop(*[c for c in dim.columns if c not in keys])
-        rebuilt = rebuilt.join(broadcast_if_small(dim), list(keys), "left")
+        rebuilt = rebuilt.join(dim, list(keys), "left")
     return rebuilt

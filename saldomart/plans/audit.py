@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from typing import TypeVar
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from saldomart.schemas import ETL_LOG
 from saldomart.sources.tables import Published, Warehouse
@@ -33,8 +34,9 @@ def run_logged(warehouse: Warehouse, task: str, operation: Callable[[], Result])
 
 
 def _log(warehouse: Warehouse, task: str, started: datetime, rows: int, status: str, error: str | None) -> None:
-    row = (task, started, datetime.now(timezone.utc), rows, status, error)
-    warehouse.append(warehouse.spark.createDataFrame([row], ETL_LOG).coalesce(1), "logs", "etl_log")
+    values = (task, started, datetime.now(timezone.utc), rows, status, error)
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, ETL_LOG.fields)]
+    warehouse.append(warehouse.spark.range(1).coalesce(1).select(*columns), "logs", "etl_log")
 
 
 def etl_log(warehouse: Warehouse) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldomart.functions.money import currency_bucket, round_money
-from saldomart.functions.sizes import broadcast_if_small
 from saldomart.operators.calendar import valid_accounts
-from saldomart.operators.ledger import second_order_account
 
 _FIGURES = ("balance_in", "turn_deb", "turn_cre", "balance_out")
 
@@ -53,7 +51,7 @@ def form_101(
     reported = (
         valid_accounts(accounts, date_from - timedelta(days=1), date_to)
         .join(per_account, "account_id", "left")
-        .join(broadcast_if_small(home), "currency_id", "left")
+        .join(home, "currency_id", "left")
         .withColumn("_bucket", currency_bucket(F.coalesce("is_home", F.lit(False))))
     )
 
@@ -65,7 +63,7 @@ def form_101(
     grouped = reported.groupBy("ledger2", "characteristic").agg(*figures)
     totals = {f"{n}_total": F.col(f"{n}_rub") + F.col(f"{n}_val") for n in _FIGURES}
     ordered = [f"{n}_{b}" for n in _FIGURES for b in ("rub", "val", "total")]
-    return second_order_account(grouped.withColumns(totals), ledger).select(
+    return grouped.withColumns(totals).join(ledger, "ledger2", "left").select(
         F.lit(date_from).alias("date_from"),
         F.lit(date_to).alias("date_to"),
         "ledger2",

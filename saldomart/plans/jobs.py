@@ -200,13 +200,11 @@ def _turnover_month(warehouse: Warehouse, first: date, on_missing_rate: str) ->
     ds = _inputs(warehouse)
     last = _last_day(first)
     postings = warehouse.read("ds", "postings", [f"{first:%Y-%m}", "all"], schemas.POSTINGS)
+    rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
     if on_missing_rate == "error":
         used = account_movements(postings, first, last).join(ds["accounts"], "account_id")
-        rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
         require_rates(used, ds["accounts"], rates_by_day, first, last)
-    turnover = account_turnover(
-        postings, ds["accounts"], ds["currencies"], ds["exchange_rates"], first, last, on_missing_rate
-    )
+    turnover = account_turnover(postings, ds["accounts"], rates_by_day, first, last, on_missing_rate)
     return warehouse.publish(turnover, "dm", TURNOVER_MART, f"{first:%Y-%m}")
 
 
@@ -215,18 +213,20 @@ def _balance_month(warehouse: Warehouse, first: date, on_missing_rate: str) -> P
     last, before = _last_day(first), first - timedelta(days=1)
     earlier = f"{before:%Y-%m}"
     movements = warehouse.read("dm", TURNOVER_MART, [f"{first:%Y-%m}"], schemas.ACCOUNT_TURNOVER)
+    opens = earlier not in warehouse.live("dm", BALANCE_MART)
+    start = before if opens else first
+    rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], start, last)
     if on_missing_rate == "error":
-        used = account_day_grid(ds["accounts"], first, last).join(ds["accounts"], "account_id")
-        rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
-        require_rates(used, ds["accounts"], rates_by_day, first, last)
+        used = account_day_grid(ds["accounts"], start, last).join(ds["accounts"], "account_id")
+        require_rates(used, ds["accounts"], rates_by_day, start, last)
 
     def balance(opening: DataFrame, on_days: Sequence[date] | None = None) -> DataFrame:
         return account_balance(
-            opening, movements, ds["accounts"], ds["currencies"], ds["exchange_rates"],
-            first, last, on_missing_rate, with_opening_day=on_days is not None, on_days=on_days,
+            opening, movements, ds["accounts"], rates_by_day, first, last, on_missing_rate,
+            with_opening_day=on_days is not None, on_days=on_days,
         )
 
-    if earlier not in warehouse.live("dm", BALANCE_MART):
+    if opens:
         loaded = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
         warehouse.publish(balance(loaded, [before]), "dm", BALANCE_MART, earlier)
     opening = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE)

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldomart.functions.money import to_home_currency
-from saldomart.functions.sizes import broadcast_if_small
-from saldomart.operators.rates import MissingRate, day_rates
+from saldomart.operators.rates import MissingRate
 from saldomart.schemas import TOTAL
 
 
@@ -23,18 +22,18 @@ def account_movements(postings: DataFrame, date_from: date, date_to: date) -> Da
     Every posting is one leg on its debit and one on its credit account. The legs are
     summed before the shuffle, so a busy account arrives as one row per task and day.
     """
-    legs = (
-        postings.filter(F.col("on_date").between(F.lit(date_from), F.lit(date_to)))
-        .select("on_date", "amount", "debit_account", "credit_account")
-        .unpivot(["on_date", "amount"], ["debit_account", "credit_account"], "side", "account_id")
+    two_sides = F.stack(
+        F.lit(2), F.lit(True), F.col("debit_account"), F.lit(False), F.col("credit_account")
+    ).alias("is_debit", "account_id")
+    legs = postings.filter(F.col("on_date").between(F.lit(date_from), F.lit(date_to))).select(
+        "on_date", "amount", two_sides
     )
 
-    def side(name: str) -> Column:
-        total = F.sum(F.when(F.col("side") == name, F.col("amount")))
-        return F.coalesce(total, F.lit(0)).cast(TOTAL)
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("amount"))), F.lit(0)).cast(TOTAL)
 
     return legs.groupBy("account_id", "on_date").agg(
-        side("debit_account").alias("debit"), side("credit_account").alias("credit")
+        total(F.col("is_debit")).alias("debit"), total(~F.col("is_debit")).alias("credit")
     )
 
 
@@ -79,7 +78,7 @@ def with_day_rate(df: DataFrame, rates_by_day: DataFrame, on_missing_rate: str =
         where = F.concat_ws(" on ", F.col("currency_id").cast("string"), F.col("on_date").cast("string"))
         filler = F.raise_error(F.concat(F.lit("no rate for currency "), where)).cast(rate_type)
     return (
-        df.join(broadcast_if_small(rates_by_day), ["currency_id", "on_date"], "left")
+        df.join(rates_by_day, ["currency_id", "on_date"], "left")
         .withColumn("rate", F.when(F.col("rate").isNull(), filler).otherwise(F.col("rate")))
         .withColumn("is_home", F.coalesce("is_home", F.lit(False)))
     )
@@ -88,8 +87,7 @@ def with_day_rate(df: DataFrame, rates_by_day: DataFrame, on_missing_rate: str =
 def account_turnover(
     postings: DataFrame,
     accounts: DataFrame,
-    currencies: DataFrame,
-    rates: DataFrame,
+    rates_by_day: DataFrame,
     date_from: date,
     date_to: date,
     on_missing_rate: str = "error",
@@ -97,7 +95,7 @@ def account_turnover(
 ) -> DataFrame:
     """One row per account and day with a movement: account currency and home currency.
 
-    Accounts and rates are joined to the daily sums and not to the postings; a day has
+    ``rates_by_day`` comes from ``day_rates``. Accounts and rates are joined to the daily sums and not to the postings; a day has
     one rate, so the home value is the same. ``on_unknown_account='skip'`` leaves out
     what ``unknown_accounts`` reports.
     """
@@ -113,7 +111,7 @@ def account_turnover(
             "currency_id",
             F.when(F.col("_known").isNull(), F.raise_error(message).cast("int")).otherwise(F.col("currency_id")),
         )
-    rated = with_day_rate(placed, day_rates(currencies, rates, date_from, date_to), on_missing_rate)
+    rated = with_day_rate(placed, rates_by_day, on_missing_rate)
     return rated.select(
         "on_date",
         "account_id",

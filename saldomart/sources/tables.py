@@ -27,6 +27,12 @@ class Published:
     counts: dict[str, int] = field(default_factory=dict)
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, in a form that Spark's optimizer sees through."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -81,7 +87,7 @@ class Warehouse:
         if not wanted:
             if schema is None:
                 raise LookupError(f"{layer}.{table} has no published rows for {periods or 'any period'}")
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(*[live[p] for p in wanted])
 
@@ -130,7 +136,7 @@ class Warehouse:
     def read_appended(self, layer: str, table: str, schema: StructType) -> DataFrame:
         fs, path = self._hadoop(f"{self._table_dir(layer, table)}/rows")
         if not fs.exists(path):
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(path.toString())
 
     def drop_old_versions(self, layer: str, table: str, keep: int = 2) -> list[str]:

@@ -6,7 +6,7 @@ it: customers are accounts, nations are currencies, order lines are postings.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,9 +23,12 @@ VALID_FROM, VALID_TO = date(1990, 1, 1), date(2050, 12, 31)
 class BankViews:
     spark: SparkSession
     folder: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @property
     def accounts(self) -> DataFrame:
