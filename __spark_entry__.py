@@ -117,7 +117,7 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, warehouse = BankViews(spark, sf_dir).table("documents"), _warehouse(spark)
     warehouse.publish(documents, "dm", "documents")
     path = new_folder(spark, "csv")
-    jobs.export_mart(warehouse, "documents", path, max_rows_per_file=1_000_000)
+    jobs.export_mart(warehouse, "documents", path)
     jobs.import_csv_new_table(warehouse, path, documents.schema, "documents_again")
     return warehouse.read("dm", "documents_again")
 

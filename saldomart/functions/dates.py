@@ -13,7 +13,7 @@ DATE_FORMATS = ("yyyy-MM-dd", "dd.MM.yyyy", "dd-MM-yyyy", "yyyyMMdd")
 
 def date_from_text(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The date in ``text``, or NULL where no format fits."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.try_to_date(F.trim(text), f) for f in formats])
 
 
 def parse_dates(

@@ -26,13 +26,23 @@ def run_logged(warehouse: Warehouse, task: str, operation: Callable[[], Result])
     try:
         result = operation()
     except Exception as failure:
-        _log(warehouse, task, started, 0, ERROR, str(failure) or type(failure).__name__)
+        _log(warehouse, task, started, 0, ERROR, _text(failure))
         raise
     rows = result.rows if isinstance(result, Published) else result
     _log(warehouse, task, started, rows, SUCCESS, None)
     return result
 
 
+def _text(failure: Exception) -> str:
+    """What went wrong, without the stack of the JVM."""
+    cause = getattr(failure, "java_exception", None)
+    if cause is None:
+        return str(failure) or type(failure).__name__
+    while cause.getCause() is not None:
+        cause = cause.getCause()
+    return cause.getMessage() or cause.toString()
+
+
 def _log(warehouse: Warehouse, task: str, started: datetime, rows: int, status: str, error: str | None) -> None:
     values = (task, started, datetime.now(timezone.utc), rows, status, error)
     columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, ETL_LOG.fields)]

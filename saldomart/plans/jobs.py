@@ -213,6 +213,7 @@ def _balance_month(warehouse: Warehouse, first: date, on_missing_rate: str) -> P
     last, before = _last_day(first), first - timedelta(days=1)
     earlier = f"{before:%Y-%m}"
     movements = warehouse.read("dm", TURNOVER_MART, [f"{first:%Y-%m}"], schemas.ACCOUNT_TURNOVER)
+    by_day = ["on_date", "account_id"]  # the report and the next month read single days
     opens = earlier not in warehouse.live("dm", BALANCE_MART)
     start = before if opens else first
     rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], start, last)
@@ -228,9 +229,9 @@ def _balance_month(warehouse: Warehouse, first: date, on_missing_rate: str) -> P
 
     if opens:
         loaded = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
-        warehouse.publish(balance(loaded, [before]), "dm", BALANCE_MART, earlier)
+        warehouse.publish(balance(loaded, [before]), "dm", BALANCE_MART, earlier, sort_by=by_day)
     opening = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE)
-    return warehouse.publish(balance(opening), "dm", BALANCE_MART, f"{first:%Y-%m}")
+    return warehouse.publish(balance(opening), "dm", BALANCE_MART, f"{first:%Y-%m}", sort_by=by_day)
 
 
 def build_form_101(warehouse: Warehouse, date_from: date, date_to: date) -> Published:
@@ -264,7 +265,7 @@ def export_mart(
     periods: Sequence[str] | None = None,
     sep: str = ",",
     single_file: bool = False,
-    max_rows_per_file: int = 0,
+    max_rows_per_file: int = 1_000_000,
     layer: str = "dm",
 ) -> int:
     """Export the live rows of a mart. Returns how many."""

@@ -25,6 +25,8 @@ def _options(sep: str, encoding: str) -> dict[str, str]:
         "quote": '"',
         "escape": '"',
         "nullValue": NULL_TEXT,
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
         "timestampFormat": _MICROS,
         "timestampNTZFormat": _MICROS,
     }
@@ -87,7 +89,7 @@ def export_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     single_file: bool = False,
-    max_rows_per_file: int = 0,
+    max_rows_per_file: int = 1_000_000,
     single_file_limit: int = 100_000,
 ) -> int:
     """Write ``df`` as CSV files with column headings. Returns the number of rows.

@@ -1,0 +1,90 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+import pytest
+
+from saldomart.operators.merge import latest_per_key, table_diff, upsert
+
+SCHEMA = "k int, v string, ver int"
+TARGET = [(1, "a", 1), (2, "b", 1), (3, "c", 1), (None, "n", 1)]
+SOURCE = [(2, "b", 1), (3, "new", 2), (4, "d", 1), (4, "e", 3), (None, "m", 2)]
+EXPECTED = {
+    (1, "a", 1, "keep"), (2, "b", 1, "keep"), (3, "new", 2, "update"), (4, "e", 3, "insert"), (None, "m", 2, "update"),
+}
+
+FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_insert_update_keep(spark, small):
+    target, source = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame(SOURCE, SCHEMA)
+    merged = upsert(target, source, ["k"], ["ver"], small)
+    assert {tuple(r) for r in merged.collect()} == EXPECTED
+    assert merged.count() == len(EXPECTED)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_twice_is_once(spark, small):
+    target, source = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame(SOURCE, SCHEMA)
+    once = upsert(target, source, ["k"], ["ver"], small).drop("action")
+    twice = upsert(once, source, ["k"], ["ver"], small)
+    assert {r["action"] for r in twice.collect()} == {"keep"}
+    assert once.exceptAll(twice.drop("action")).count() == 0
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_empty_sides(spark, small):
+    full, empty = spark.createDataFrame(TARGET, SCHEMA), spark.createDataFrame([], SCHEMA)
+    assert {r["action"] for r in upsert(empty, full, ["k"], small_source=small).collect()} == {"insert"}
+    assert {r["action"] for r in upsert(full, empty, ["k"], small_source=small).collect()} == {"keep"}
+
+
+def test_other_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="columns differ"):
+        upsert(spark.range(1), spark.range(1).toDF("x"), ["id"])
+
+
+def test_small_source_does_not_shuffle_the_target(spark, capsys):
+    target = spark.range(1000).selectExpr("cast(id as int) k", "'x' v", "1 ver")
+    upsert(target, spark.createDataFrame(SOURCE, SCHEMA), ["k"], ["ver"], True).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_latest_goes_by_order_then_all_columns(spark):
+    rows = [(1, "a", 1), (1, "b", 1), (1, "z", None)]
+    assert latest_per_key(spark.createDataFrame(rows, SCHEMA), ["k"], ["ver"]).collect() == [(1, "b", 1)]
+
+
+def test_diff(spark):
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (None, "n")], "k int, v string")
+    after = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "d")], "k int, v string")
+    assert {tuple(r) for r in table_diff(before, after, ["k"]).collect()} == {
+        (1, "same"), (2, "changed"), (3, "same"), (4, "added"), (None, "removed"),
+    }
+
+
+keys = st.one_of(st.none(), st.integers(0, 4))
+rows = st.lists(st.tuples(keys, st.sampled_from("abc"), st.integers(0, 3)), max_size=8)
+
+
+@FEW
+@given(old=rows, new=rows, small=st.booleans())
+def test_upsert_equals_a_dictionary(spark, old, new, small):
+    target = {k: (k, v, n) for k, v, n in old}
+    best = {}
+    for k, v, n in new:
+        if k not in best or (n, v) > (best[k][2], best[k][1]):
+            best[k] = (k, v, n)
+    expected = set()
+    for k in target.keys() | best.keys():
+        if k not in best:
+            expected.add((*target[k], "keep"))
+        elif k not in target:
+            expected.add((*best[k], "insert"))
+        else:
+            expected.add((*best[k], "keep" if best[k] == target[k] else "update"))
+    merged = upsert(
+        spark.createDataFrame(list(target.values()), SCHEMA), spark.createDataFrame(new, SCHEMA), ["k"], ["ver"], small
+    )
+    found = [tuple(r) for r in merged.collect()]
+    assert set(found) == expected and len(found) == len(expected)

@@ -1,0 +1,83 @@
+import pytest
+from pyspark.sql import functions as F
+
+from saldomart.operators.duplicates import DuplicateKeys, assert_unique
+
+
+def ids(df):
+    return sorted(r["id"] for r in df.collect())
+
+
+def test_a_table_can_be_replaced_by_itself(spark, warehouse):
+    warehouse.publish(spark.range(3), "ds", "t")
+    warehouse.publish(warehouse.read("ds", "t").select((F.col("id") + 10).alias("id")), "ds", "t")
+    assert ids(warehouse.read("ds", "t")) == [10, 11, 12]
+
+
+def test_rows_and_counts_come_from_the_write(spark, warehouse):
+    done = warehouse.publish(spark.range(10), "ds", "t", counts={"even": F.col("id") % 2 == 0})
+    assert (done.rows, done.counts) == (10, {"even": 5})
+    empty = warehouse.publish(spark.range(10).filter(F.lit(False)), "ds", "t")
+    assert empty.rows == 0
+    assert ids(warehouse.read("ds", "t")) == []
+
+
+def test_rerun_replaces_only_its_period(spark, warehouse):
+    warehouse.publish(spark.range(0, 3), "dm", "m", "2018-01")
+    warehouse.publish(spark.range(3, 6), "dm", "m", "2018-02")
+    warehouse.publish(spark.range(1, 2), "dm", "m", "2018-01")
+    assert ids(warehouse.read("dm", "m")) == [1, 3, 4, 5]
+    assert ids(warehouse.read("dm", "m", ["2018-01"])) == [1]
+    warehouse.publish(spark.range(0).filter("id > 0"), "dm", "m", "2018-02")
+    assert ids(warehouse.read("dm", "m")) == [1]
+
+
+def test_failed_check_leaves_old_rows_live(spark, warehouse):
+    warehouse.publish(spark.range(3), "dm", "m")
+    twice = spark.range(3).union(spark.range(3))
+    with pytest.raises(DuplicateKeys):
+        warehouse.publish(twice, "dm", "m", check=lambda rows: assert_unique(rows, ["id"]))
+    assert ids(warehouse.read("dm", "m")) == [0, 1, 2]
+    warehouse.publish(spark.range(5), "dm", "m")
+    assert ids(warehouse.read("dm", "m")) == [0, 1, 2, 3, 4]
+
+
+def test_failed_write_leaves_old_rows_live(spark, warehouse):
+    warehouse.publish(spark.range(3), "dm", "m")
+    with pytest.raises(Exception, match="broken"):
+        warehouse.publish(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), "dm", "m")
+    assert ids(warehouse.read("dm", "m")) == [0, 1, 2]
+
+
+def test_periods_and_all_do_not_mix(spark, warehouse):
+    warehouse.publish(spark.range(3), "dm", "m", "2018-01")
+    with pytest.raises(ValueError, match="beside"):
+        warehouse.publish(spark.range(3), "dm", "m")
+
+
+def test_unpublished_table(spark, warehouse):
+    with pytest.raises(LookupError):
+        warehouse.read("ds", "none")
+    assert warehouse.read("ds", "none", schema=spark.range(1).schema).count() == 0
+    assert not warehouse.exists("ds", "none")
+
+
+@pytest.mark.parametrize("layer,table,period", [("xx", "t", "all"), ("ds", "a/b", "all"), ("ds", "t", "../x")])
+def test_names_are_checked(spark, warehouse, layer, table, period):
+    with pytest.raises(ValueError):
+        warehouse.publish(spark.range(1), layer, table, period)
+
+
+def test_old_versions_are_dropped(spark, warehouse):
+    for n in range(1, 5):
+        warehouse.publish(spark.range(n), "dm", "m")
+    dropped = warehouse.drop_old_versions("dm", "m", keep=2)
+    assert [p.rsplit("/", 1)[1] for p in dropped] == ["v1", "v2"]
+    assert ids(warehouse.read("dm", "m")) == [0, 1, 2, 3]
+    assert warehouse.publish(spark.range(1), "dm", "m").path.endswith("v5")
+
+
+def test_sorted_files(spark, warehouse):
+    warehouse.publish(spark.range(100).orderBy(F.desc("id")), "dm", "m", sort_by=["id"])
+    for rows in warehouse.read("dm", "m").rdd.glom().collect():
+        assert [r["id"] for r in rows] == sorted(r["id"] for r in rows)
