@@ -76,15 +76,16 @@ def load_csv(
     done: list[Published] = []
 
     def load() -> int:
-        good, rejects = read_csv_landing(warehouse.spark, path, landing, sep, encoding)
-        if date_cols:
-            good, bad_dates = parse_dates(good, date_cols, formats)
-            as_text = F.to_json(F.struct(*landing.fieldNames())).alias("raw_row")
-            rejects = rejects.unionByName(bad_dates.select(as_text, "reason"))
-        warehouse.publish(rejects, "ds", f"{table}_rejects")
-        for period, rows in _by_month(good, spec.month_of):
-            target = warehouse.read("ds", table, [period], spec.schema)
-            done.append(_publish_upsert(warehouse, table, period, target, rows, spec.keys, order_by))
+        with warehouse.stage("landing") as folder:
+            good, rejects = read_csv_landing(warehouse.spark, path, landing, sep, encoding, folder)
+            if date_cols:
+                good, bad_dates = parse_dates(good, date_cols, formats)
+                as_text = F.to_json(F.struct(*landing.fieldNames())).alias("raw_row")
+                rejects = rejects.unionByName(bad_dates.select(as_text, "reason"))
+            warehouse.publish(rejects, "ds", f"{table}_rejects")
+            for period, rows in _by_month(good, spec.month_of):
+                target = warehouse.read("ds", table, [period], spec.schema)
+                done.append(_publish_upsert(warehouse, table, period, target, rows, spec.keys, order_by))
         return sum(p.counts["inserted"] + p.counts["updated"] for p in done)
 
     run_logged(warehouse, f"load {table}", load)
@@ -129,9 +130,10 @@ def load_snapshot(
     """Replace an RD table by CSV files. Rows that do not fit go to ``<table>_rejects``."""
 
     def load() -> Published:
-        good, rejects = read_csv_landing(warehouse.spark, path, schema, sep)
-        warehouse.publish(rejects, "rd", f"{table}_rejects")
-        return warehouse.publish(good, "rd", table)
+        with warehouse.stage("landing") as folder:
+            good, rejects = read_csv_landing(warehouse.spark, path, schema, sep, stage_dir=folder)
+            warehouse.publish(rejects, "rd", f"{table}_rejects")
+            return warehouse.publish(good, "rd", table)
 
     return run_logged(warehouse, f"load {table}", load)
 

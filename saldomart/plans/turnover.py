@@ -7,9 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldomart.functions.money import to_home_currency
+from saldomart.functions.money import from_cents, to_cents, to_home_currency
 from saldomart.operators.rates import MissingRate
-from saldomart.schemas import TOTAL
 
 
 class UnknownAccount(ValueError):
@@ -25,12 +24,14 @@ def account_movements(postings: DataFrame, date_from: date, date_to: date) -> Da
     two_sides = F.stack(
         F.lit(2), F.lit(True), F.col("debit_account"), F.lit(False), F.col("credit_account")
     ).alias("is_debit", "account_id")
-    legs = postings.filter(F.col("on_date").between(F.lit(date_from), F.lit(date_to))).select(
-        "on_date", "amount", two_sides
+    legs = (
+        postings.filter(F.col("on_date").between(F.lit(date_from), F.lit(date_to)))
+        .withColumn("_cents", to_cents(F.col("amount")))
+        .select("on_date", "_cents", two_sides)
     )
 
     def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("amount"))), F.lit(0)).cast(TOTAL)
+        return from_cents(F.sum(F.when(condition, F.col("_cents")).otherwise(0)))
 
     return legs.groupBy("account_id", "on_date").agg(
         total(F.col("is_debit")).alias("debit"), total(~F.col("is_debit")).alias("credit")

@@ -9,13 +9,16 @@ for readers, and a period that became empty is empty. One writer per table is as
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from saldomart.session import new_folder
+
 LAYERS = ("ds", "dm", "rd", "logs")
 _NAME = re.compile(r"[A-Za-z0-9_-]+")
 
@@ -143,6 +146,16 @@ class Warehouse:
             return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(path.toString())
 
+    @contextmanager
+    def stage(self, name: str) -> Iterator[str]:
+        """A folder in the shared space for the length of a job."""
+        folder = new_folder(self.spark, name)
+        try:
+            yield folder
+        finally:
+            fs, path = self._hadoop(folder)
+            fs.delete(path, True)
+
     def drop_old_versions(self, layer: str, table: str, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` published versions of every period.
 

@@ -78,16 +78,19 @@ def test_grid(spark):
 
 
 def day_by_day(accounts, opening, postings, first, last):
-    """The same balances by adding one day to the one before."""
+    """The same balances by adding one valid day to the one before."""
     found = {}
     for account, _, kind, _, valid_from, valid_to in accounts:
         sign = 1 if kind == "A" else -1
-        held = next((b for a, on, b in opening if a == account and on == first - timedelta(days=1)), Decimal(0))
+        before = first - timedelta(days=1)
+        held = next((b for a, on, b in opening if a == account and on == before), Decimal(0))
+        if valid_from > before:
+            held = Decimal(0)
         day = first
         while day <= last:
-            held += sign * sum(p[4] for p in postings if p[1] == day and p[2] == account)
-            held -= sign * sum(p[4] for p in postings if p[1] == day and p[3] == account)
             if valid_from <= day and (valid_to is None or day <= valid_to):
+                held += sign * sum(p[4] for p in postings if p[1] == day and p[2] == account)
+                held -= sign * sum(p[4] for p in postings if p[1] == day and p[3] == account)
                 found[account, day] = held
             day += timedelta(days=1)
     return found
@@ -100,13 +103,14 @@ def test_balance_equals_day_by_day(spark):
     assert found == day_by_day(ACCOUNTS, OPENING, POSTINGS, *JAN)
 
 
-def test_movement_before_the_first_day_counts(spark):
-    postings = [(1, d(5), 10, 21, Decimal("3.00")), (2, d(25), 10, 21, Decimal("1.00"))]
+def test_only_valid_days_count(spark):
+    postings = [(i, d(n), 10, 21, Decimal(i)) for i, n in enumerate((5, 10, 15, 20, 25), 1)]
+    opening = [*OPENING, (21, BEFORE, Decimal("1000.00"))]
     spans = balance_spans(
-        table(spark, "opening_balances", []), account_movements(table(spark, "postings", postings), *JAN),
+        table(spark, "opening_balances", opening), account_movements(table(spark, "postings", postings), *JAN),
         table(spark, "accounts"), *JAN,
-    ).filter("account_id = 21").collect()
-    assert [(r["span_from"], r["span_to"], r["balance"]) for r in spans] == [(d(10), d(20), Decimal("3.00"))]
+    ).filter("account_id = 21").orderBy("span_from").collect()
+    assert [(r["span_from"].day, r["span_to"].day, r["balance"]) for r in spans] == [(10, 14, 2), (15, 19, 5), (20, 20, 9)]
 
 
 def test_spans_cover_every_day_once(spark):
