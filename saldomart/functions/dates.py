@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,27 @@ from pyspark.sql import functions as F
 DATE_FORMATS = ("yyyy-MM-dd", "dd.MM.yyyy", "dd-MM-yyyy", "yyyyMMdd")
 
 
+def _shape(fmt: str) -> str | None:
+    """A regular expression for texts of a format of fixed digits, None for other formats."""
+    parts = re.split("(yyyy|MM|dd)", fmt)
+    if any(re.search("[A-Za-z]", separator) for separator in parts[::2]):
+        return None
+    digits = {"yyyy": r"\d{4}", "MM": r"\d{2}", "dd": r"\d{2}"}
+    return "^" + "".join(digits.get(part, re.escape(part)) for part in parts) + "$"
+
+
 def date_from_text(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The date in ``text``, or NULL where no format fits."""
-    return F.coalesce(*[F.try_to_date(F.trim(text), f) for f in formats])
+    """The date in ``text``, or NULL where no format fits.
+
+    The shape of a text is looked at first: a failed parse is an exception inside Spark,
+    and slow.
+    """
+    trimmed = F.trim(text)
+    attempts = []
+    for fmt in formats:
+        parsed, shape = F.try_to_date(trimmed, fmt), _shape(fmt)
+        attempts.append(parsed if shape is None else F.when(trimmed.rlike(shape), parsed))
+    return F.coalesce(*attempts)
 
 
 def parse_dates(

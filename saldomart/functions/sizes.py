@@ -8,10 +8,16 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 _FIELD_BYTES = 16
+_UNMEASURED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
 
 
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of ``df``, measured and not estimated, fit in ``max_bytes``."""
+    """Whether the rows of ``df``, measured and not estimated, fit in ``max_bytes``.
+
+    Tables with nested or binary columns count as not small.
+    """
+    if any(isinstance(f.dataType, _UNMEASURED) for f in df.schema.fields):
+        return False
     fixed = _FIELD_BYTES * (len(df.columns) + 1)
     width = F.lit(fixed).cast("long")
     for field in df.schema.fields:

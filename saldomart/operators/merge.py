@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldomart.functions.sizes import is_small
 from saldomart.operators.duplicates import first_per_key
 
 
@@ -36,14 +37,16 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
-    small_source: bool = False,
+    small_source: bool | None = None,
 ) -> DataFrame:
     """``target`` after taking over ``source``, with an ``action`` per row.
 
     ``insert`` for new keys, ``update`` where a value changes, ``keep`` for the rest.
-    ``target`` holds a key once. ``small_source`` says that the source was found small
-    enough to broadcast: the target is then not shuffled at all.
+    ``target`` holds a key once. A small source is broadcast, and the target is then not
+    shuffled at all; the source is measured unless ``small_source`` tells.
     """
+    if small_source is None:
+        small_source = is_small(source)
     _same_columns(target, source)
     values = [c for c in target.columns if c not in keys]
     new = latest_per_key(source, keys, order_by).select(*target.columns, F.lit(True).alias("_new"))

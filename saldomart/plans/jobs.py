@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from saldomart import schemas
 from saldomart.functions.dates import DATE_FORMATS, parse_dates
-from saldomart.functions.sizes import is_small
 from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.duplicates import assert_unique, remove_duplicates
 from saldomart.operators.merge import table_diff, upsert
@@ -115,7 +114,7 @@ def _publish_upsert(
     keys: Sequence[str],
     order_by: Sequence[str],
 ) -> Published:
-    merged = upsert(target, source, keys, order_by, small_source=is_small(source))
+    merged = upsert(target, source, keys, order_by)
     counts = {
         "inserted": F.col("action") == "insert",
         "updated": F.col("action") == "update",

@@ -27,3 +27,10 @@ def test_formats_are_a_parameter(spark):
     df = spark.createDataFrame([("2018/01/09",)], "d string")
     good, bad = parse_dates(df, ["d"], ["yyyy/MM/dd"])
     assert (good.first()["d"], bad.count()) == (date(2018, 1, 9), 0)
+
+
+def test_formats_without_fixed_width(spark):
+    df = spark.createDataFrame([("9.1.2018",), ("9 Jan 2018",), ("1/9/2018",)], "d string")
+    good, bad = parse_dates(df, ["d"], ["d.M.yyyy", "d MMM yyyy"])
+    assert {r["d"] for r in good.collect()} == {date(2018, 1, 9)}
+    assert [r["d"] for r in bad.collect()] == ["1/9/2018"]
