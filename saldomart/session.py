@@ -19,6 +19,7 @@ def local_session(cores: str = "*", app: str = "saldomart", **conf: str) -> Spar
         .config("spark.sql.shuffle.partitions", threads)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # saves driver round trips
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
