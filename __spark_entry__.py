@@ -48,6 +48,18 @@ BEFORE_HISTORY = date(1994, 12, 31)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:  # the training-data operators are a part that may be left out
+    import corpus_pipeline
+    from saldomart.llm.queries import ORACLE_SQL as LLM_SQL
+    from saldomart.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "saldomart.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = LLM_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 
 def _doubles(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the last step of a query that is compared."""
@@ -461,6 +473,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return bank_queries() | LLM_QUERIES
+
+
+def bank_queries() -> dict[str, Query]:
     return {
         "read_csv_landing": _landing,
         "load_six_files": _load_six_files,
@@ -675,6 +691,10 @@ SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n
 
 
 def oracle_sql() -> dict[str, str]:
+    return bank_sql() | LLM_SQL
+
+
+def bank_sql() -> dict[str, str]:
     january, two_months = ("1996-12-31", "1997-01-01", "1997-01-31"), ("1996-12-31", "1997-01-01", "1997-02-28")
     history = ("1994-12-31", "1995-01-01", "2001-12-31")
     history_turnover = "WITH " + ",".join([_ACCOUNTS, _RATES, _LEGS, _turnover_cte(*history[1:])])

@@ -18,10 +18,10 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert registry.bank_queries().keys() == registry.bank_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.bank_queries()))
 def test_query_equals_sql(spark, oracle, name):
     columns, rows = spark_rows(registry.queries()[name](spark, FOLDER))
     expected_columns, expected = oracle_rows(oracle, registry.oracle_sql()[name])
