@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
+from saldomart.llm.decontamination import contaminated
+from saldomart.llm.quality_rules import judged
 from saldomart.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,13 +24,27 @@ def op1_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = judged(docs, table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *[f"stats.{c}" for c in counts], "base_failed", "kept")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, TOKEN_LIMIT)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
+    "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
