@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
+from saldomart.llm.pii import find_pii
 from saldomart.llm.quality_rules import judged
 from saldomart.llm.token_counts import count_tokens
 
@@ -40,11 +41,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op8_decontamination": op8_decontamination,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
