@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
@@ -13,6 +14,8 @@ from saldomart.llm.decontamination import contaminated
 from saldomart.llm.pii import find_pii
 from saldomart.llm.quality_rules import judged
 from saldomart.llm.token_counts import count_tokens
+from saldomart.llm.warc import fixity_audit, page_records, record_leaves, warc_leaves, write_warc
+from saldomart.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +39,25 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, TOKEN_LIMIT)
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against a written replica that was damaged on its way.
+
+    The replica lacks the pages whose number leaves 7 when divided by 501; pages that leave
+    5 when divided by 97 have another first byte.
+    """
+    records = page_records(table(spark, sf_dir, "pages"))
+    page, split = F.col("record_id"), F.locate("\r\n\r\n", F.col("record")) + 3
+    flipped = F.concat(
+        F.substring("record", F.lit(1), split), F.lit("~"), F.substring("record", split + 2, F.length("record"))
+    )
+    damaged = records.filter(page % 501 != 7).withColumn(
+        "record", F.when(page % 97 == 5, flipped).otherwise(F.col("record"))
+    )
+    path = new_folder(spark, "warc")
+    write_warc(damaged, path)
+    return fixity_audit(record_leaves(records), warc_leaves(spark, path))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -49,8 +71,29 @@ QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_warc_fixity": op6_warc_fixity,
     "op8_decontamination": op8_decontamination,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WARC_SQL = """
+WITH records AS (
+  SELECT page_id, page_id // 1000 AS archive, strlen(html) AS body,
+         strlen(concat('WARC/1.0', '\r\n', 'WARC-Type: resource', '\r\n', 'WARC-Record-ID: <urn:page:', page_id, '>',
+                       '\r\n', 'WARC-Target-URI: ', url, '\r\n', 'WARC-Date: 1970-01-01T00:00:00Z', '\r\n',
+                       'Content-Type: text/html', '\r\n', 'Content-Length: ', strlen(html))) + 4 + strlen(html) AS n_bytes
+  FROM pages),
+master AS (
+  SELECT *, CAST(coalesce(sum(n_bytes + 4) OVER w, 0) AS BIGINT) AS record_offset FROM records
+  WINDOW w AS (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+replica AS (
+  SELECT *, CAST(coalesce(sum(n_bytes + 4) OVER w, 0) AS BIGINT) AS replica_offset FROM records
+  WHERE page_id % 501 <> 7
+  WINDOW w AS (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT m.archive, m.page_id AS record_id,
+       CASE WHEN r.page_id IS NULL THEN 'missing' WHEN m.page_id % 97 = 5 THEN 'corrupt' ELSE 'moved' END AS status,
+       m.record_offset, r.replica_offset, m.n_bytes AS record_bytes, r.n_bytes AS replica_bytes
+FROM master m LEFT JOIN replica r USING (page_id)
+WHERE r.page_id IS NULL OR m.page_id % 97 = 5 OR r.replica_offset <> m.record_offset"""
+
+ORACLE_SQL: dict[str, str] = {"op6_warc_fixity": _WARC_SQL}
