@@ -13,6 +13,7 @@ from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
 from saldomart.llm.pii import find_pii
 from saldomart.llm.quality_rules import judged
+from saldomart.llm.substring_dedup import remove_repeats
 from saldomart.llm.token_counts import count_tokens
 from saldomart.llm.warc import fixity_audit, page_records, record_leaves, warc_leaves, write_warc
 from saldomart.session import new_folder
@@ -63,6 +64,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
     "op6_warc_fixity": op6_warc_fixity,
     "op8_decontamination": op8_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
 }
 
