@@ -12,6 +12,7 @@ from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
 from saldomart.llm.pii import find_pii
+from saldomart.llm.quality_model import score_quality
 from saldomart.llm.quality_rules import judged
 from saldomart.llm.substring_dedup import remove_repeats
 from saldomart.llm.token_counts import count_tokens
@@ -29,6 +30,10 @@ def op1_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = judged(docs, table(spark, sf_dir, "labels"))
@@ -74,6 +79,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
+    "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_warc_fixity": op6_warc_fixity,
