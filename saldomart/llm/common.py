@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saldomart.session import new_folder
 
-WORD_LIMIT = 2_000_000  # words of a block that a task works on at once
+WORD_LIMIT = 500_000  # words of a block that a task works on at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,14 +57,3 @@ def row_blocks(batches: Iterator[pa.RecordBatch], text_index: int, max_bytes: in
             end = max(start + 1, int(np.searchsorted(sizes, before + max_bytes, side="right")))
             yield rows.slice(start, end - start)
             start = end
-
-
-def mix64(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of unsigned 64-bit numbers."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
+from saldomart.llm.ngram_join import ngram_join
 from saldomart.llm.pii import find_pii
 from saldomart.llm.quality_model import score_quality
 from saldomart.llm.quality_rules import judged
@@ -64,6 +65,10 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity_audit(record_leaves(records), warc_leaves(spark, path))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_warc_fixity": op6_warc_fixity,
+    "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,

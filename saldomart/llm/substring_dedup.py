@@ -21,11 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saldomart.llm.common import WORD_LIMIT, batch, encoded_texts, mix64, sha256_hex, stored
+from saldomart.llm.common import WORD_LIMIT, batch, encoded_texts, sha256_hex, stored
+from saldomart.llm.hashing import WordHashes, mix64, run_hashes
 
 WINDOW = 50
 ANCHOR = 25
@@ -33,53 +33,33 @@ DEPTH = 2
 MIN_BITS, MAX_BITS = 18, 29  # cells of a sketch row, as a power of two; 2^29 cells are 64 MB when merged
 SHARD_BITS = 18  # cells that are merged in one group
 CELLS_PER_ANCHOR = 8
-CACHED_WORDS = 500_000
-_BASE = 0x9E3779B97F4A7C15 | 5  # odd, and 5 when divided by 8
 
 
-class WordHashes(dict):
-    """64-bit hashes by word, worked out when first asked for, within a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def blocks_of(batches: Iterator[pa.RecordBatch], limit: int = WORD_LIMIT) -> Iterator[tuple[np.ndarray, list[list[bytes]]]]:
-    """doc_ids and words of documents, about ``limit`` words at a time, one document at least."""
+def blocks_of(
+    batches: Iterator[pa.RecordBatch], limit: int = WORD_LIMIT
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """doc_ids, numbers of words and word hashes of documents, about ``limit`` words at a time."""
+    hashes = WordHashes()
     ids: list[int] = []
-    words: list[list[bytes]] = []
+    words: list[np.ndarray] = []
     held = 0
+
+    def block() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array(ids, np.int64), np.array([len(w) for w in words], np.int64), np.concatenate(words)
+
     for rows in batches:
         numbers = rows.column(0).to_pylist()
-        for start in range(0, rows.num_rows, 500):
-            for number, text in zip(numbers[start : start + 500], encoded_texts(rows.column(1).slice(start, 500))):
+        for start in range(0, rows.num_rows, 100):
+            for number, text in zip(numbers[start : start + 100], encoded_texts(rows.column(1).slice(start, 100))):
                 split = text.split()  # by ASCII white space
                 ids.append(number)
-                words.append(split)
+                words.append(np.fromiter(map(hashes.__getitem__, split), np.uint64, len(split)))
                 held += len(split)
                 if held >= limit:
-                    yield np.array(ids, np.int64), words
+                    yield block()
                     ids, words, held = [], [], 0
     if ids:
-        yield np.array(ids, np.int64), words
-
-
-def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
-    """The hash of every run of ``length`` hashes, over one flat array (modulo 2^64)."""
-    n = len(hashes)
-    if n < length:
-        return np.zeros(0, np.uint64)
-    powers = np.full(n, _BASE, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    inverse = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
-    sums = np.r_[np.uint64(0), np.cumsum(hashes * powers, dtype=np.uint64)]
-    return mix64((sums[length:] - sums[:-length]) * inverse[: n - length + 1])
+        yield block()
 
 
 def anchors_of(runs: np.ndarray, window: int, anchor: int) -> np.ndarray:
@@ -105,11 +85,7 @@ def anchors_of(runs: np.ndarray, window: int, anchor: int) -> np.ndarray:
 class Block:
     """The windows of a block of documents, as flat arrays."""
 
-    def __init__(self, ids: np.ndarray, words: list[list[bytes]], hashes: WordHashes, window: int, anchor: int):
-        lengths = np.array([len(w) for w in words], np.int64)
-        total = int(lengths.sum())
-        flat = np.fromiter((hashes[w] for ws in words for w in ws), np.uint64, total)
-        self.ids, self.lengths = ids, lengths
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, flat: np.ndarray, window: int, anchor: int):
         starts = np.cumsum(lengths) - lengths
         per_doc = np.maximum(lengths - window + 1, 0)
         self.document = np.repeat(np.arange(len(ids)), per_doc)
@@ -152,9 +128,8 @@ def repeated_cells(docs: DataFrame, bits: int, window: int = WINDOW, anchor: int
     shard_bits = min(bits, SHARD_BITS)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for ids, words in blocks_of(batches):
-            found = Block(ids, words, hashes, window, anchor).anchor_occurrences()
+        for block in blocks_of(batches):
+            found = Block(*block, window, anchor).anchor_occurrences()
             for row in range(DEPTH):
                 cells, counts = np.unique(cells_of(found, row, bits), return_counts=True)
                 shards, firsts = np.unique(cells >> shard_bits, return_index=True)
@@ -236,9 +211,8 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCH
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stretches known to repeat have windows NULL; the others wait for their group."""
-        hashes = WordHashes()
-        for ids, words in blocks_of(batches):
-            block = Block(ids, words, hashes, window, anchor)
+        for ids, lengths, flat in blocks_of(batches):
+            block = Block(ids, lengths, flat, window, anchor)
             at = np.flatnonzero(estimated_repeated(block.anchor, sketch.value, bits))
             if not len(at):
                 continue
