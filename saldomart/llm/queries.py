@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
+from saldomart.llm.lm_scoring import score_texts
 from saldomart.llm.ngram_join import ngram_join
 from saldomart.llm.pii import find_pii
 from saldomart.llm.quality_model import score_quality
@@ -31,6 +32,10 @@ def op1_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +89,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_quality_model": op3_quality_model,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
