@@ -187,3 +187,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PAT
         "items",
         "spans",
     )
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark window, with all their columns."""
+    send = docs.sparkSession.sparkContext.broadcast
+    patterns = [send(group) for group in item_groups(benchmark, max_bytes)]
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built: dict[int, ahocorasick.Automaton] = {}
+        for rows in batches:
+            texts = encoded_texts(rows.column(at))
+            stays = np.ones(len(texts), bool)
+            for number, pattern in enumerate(patterns):
+                if number not in built:
+                    built.clear()
+                    built[number] = build_automaton(pattern.value)
+                for i in np.flatnonzero(stays).tolist():
+                    stays[i] = not scan(texts[i], built[number])[1]
+            yield rows.filter(pa.array(stays))
+
+    return docs.mapInArrow(clean, docs.schema)

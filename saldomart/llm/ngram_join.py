@@ -362,7 +362,8 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
         "ngram-verified",
     )
     linked = verified.groupBy("rep").agg(F.sum("linked").alias("linked"), F.min("label").alias("label"))
-    split = connected(verified.filter("NOT whole").select(F.col("rep").alias("a"), F.col("label").alias("b")), "ngram-links")
+    parts = verified.filter("NOT whole").select(F.col("rep").alias("a"), F.col("label").alias("b"))
+    split = connected(parts, "ngram-links")
     lowest_of = split.groupBy("root").agg(F.min("node").alias("joined"))
     joined = split.join(lowest_of, "root").select(F.col("node").alias("rep"), "joined")
     found = (
@@ -391,3 +392,12 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
             F.lit(0).cast("long").alias("n_links"),
         )
     )
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, n: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` without those of classes that have a lower doc_id, with all their columns.
+
+    Rows without a doc_id stay; rows that repeat one stay or go together.
+    """
+    later = ngram_join(docs, similarity, recall, n).filter("doc_id <> class_id").select("doc_id")
+    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)

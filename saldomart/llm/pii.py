@@ -352,7 +352,7 @@ FOUND = pa.schema(
         ("n_added", pa.int64()),
     ]
 )
-FOUND_DDL = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_added long"
+FOUND_DDL = ", ".join(["doc_id long", *[f"n_{k} long" for k in KINDS], "base_sha256 string, spans string, n_added long"])
 
 
 def spans_of_texts(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:

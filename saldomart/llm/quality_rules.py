@@ -180,27 +180,15 @@ def choose_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR
     )
 
 
-def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``docs`` with a struct ``stats``, base_failed and kept.
-
-    ``docs`` has doc_id, text and lang, and keeps all its columns and rows, also repeated
-    ones; a column that bears the name of a result is replaced. ``labels`` has doc_id and
-    quality; a document with several labels counts as bad if one of them is 0, rows with
-    NULL in either are not used. NULL or empty texts have no words and fail the base. A
-    NULL language is a stratum of its own. Without enough labels no rule has a cutoff and
-    the base decides alone.
-
-    Counts are worked out once and stored in the shared folder; the cutoffs are a row per
-    stratum, joined by whatever join its stored size allows.
-    """
-    named = [c for c in docs.columns if c not in ("stats", "stratum", "base_failed", "kept")]
-    counted = stored(docs.select(*named, text_stats(F.col("text")).alias("stats")), "quality-stats")
+def _judged(docs: DataFrame, labels: DataFrame, risk: float, error: float) -> DataFrame:
+    """Rows of ``docs`` as a struct ``row``, with their counts and verdicts."""
+    counted = stored(docs.select(F.struct("*").alias("row"), text_stats(F.col("text")).alias("stats")), "quality-stats")
     levels = [level.alias(rule) for rule, level in rule_levels(F.col("stats")).items()]
-    stratum = F.coalesce(F.col("lang"), F.lit(""))
+    stratum = F.coalesce(F.col("row.lang"), F.lit(""))
     label = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
     label = label.agg(F.min("quality").alias("quality"))
-    labelled = counted.select("doc_id", stratum.alias("stratum"), *levels).join(label, "doc_id")
-    cutoffs = stored(choose_cutoffs(labelled, risk, error), "quality-cutoffs")
+    labelled = counted.select(F.col("row.doc_id").alias("doc_id"), stratum.alias("stratum"), *levels)
+    cutoffs = stored(choose_cutoffs(labelled.join(label, "doc_id"), risk, error), "quality-cutoffs")
     rejected = F.lit(False)
     for rule, level in rule_levels(F.col("stats")).items():
         rejected = rejected | F.coalesce(level >= F.col(f"cut_{rule}"), F.lit(False))
@@ -209,5 +197,25 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
         .join(cutoffs, "stratum", "left")
         .withColumn("base_failed", base_failed(F.col("stats")))
         .withColumn("kept", ~F.col("base_failed") & ~rejected)
-        .select(*named, "stats", "base_failed", "kept")
     )
+
+
+def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """doc_id, a struct ``stats`` of counts, base_failed and kept, one row per input row.
+
+    ``docs`` has doc_id, text and lang; other columns are ignored, repeated rows are
+    repeated, a NULL doc_id stays NULL. ``labels`` has doc_id and quality; a document with
+    several labels counts as bad if one of them is 0, rows with NULL in either are not used.
+    NULL or empty texts have no words and fail the base. A NULL language is a stratum of its
+    own, together with the empty one. Without enough labels no rule has a cutoff and the
+    base decides alone.
+
+    Counts are worked out once and stored in the shared folder; the cutoffs are a row per
+    stratum, joined by whatever join their stored size allows.
+    """
+    return _judged(docs.select("doc_id", "text", "lang"), labels, risk, error).select("row.doc_id", "stats", "base_failed", "kept")
+
+
+def passing(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names."""
+    return _judged(docs, labels, risk, error).filter("kept").select("row.*")
