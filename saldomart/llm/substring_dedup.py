@@ -130,6 +130,8 @@ def repeated_cells(docs: DataFrame, bits: int, window: int = WINDOW, anchor: int
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):
             found = Block(*block, window, anchor).anchor_occurrences()
+            if not len(found):
+                continue
             for row in range(DEPTH):
                 cells, counts = np.unique(cells_of(found, row, bits), return_counts=True)
                 shards, firsts = np.unique(cells >> shard_bits, return_index=True)
