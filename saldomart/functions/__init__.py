@@ -1,14 +0,0 @@
-from saldomart.functions.dates import DATE_FORMATS, date_from_text, parse_dates
-from saldomart.functions.money import currency_bucket, round_money, to_home_currency
-from saldomart.functions.sizes import broadcast_if_small, is_small
-
-__all__ = [
-    "DATE_FORMATS",
-    "broadcast_if_small",
-    "currency_bucket",
-    "date_from_text",
-    "is_small",
-    "parse_dates",
-    "round_money",
-    "to_home_currency",
-]

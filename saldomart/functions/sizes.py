@@ -1,8 +1,11 @@
-"""Size checks that decide whether a table may be broadcast."""
+"""Counts taken while writing, and size checks that decide whether a table may be broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,20 +14,34 @@ _FIELD_BYTES = 16
 _UNMEASURED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
 
 
+def observed(seen: Observation, names: Sequence[str]) -> dict[str, int]:
+    """What was counted. A plan that turns out empty is replaced together with its counters."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
+
+
+def row_bytes(schema: T.StructType) -> Column | None:
+    """The bytes of a row, strings measured, or None for nested and binary columns."""
+    if any(isinstance(f.dataType, _UNMEASURED) for f in schema.fields):
+        return None
+    width = F.lit(_FIELD_BYTES * (len(schema.fields) + 1)).cast("long")
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return width
+
+
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the rows of ``df``, measured and not estimated, fit in ``max_bytes``.
 
     Tables with nested or binary columns count as not small.
     """
-    if any(isinstance(f.dataType, _UNMEASURED) for f in df.schema.fields):
+    width = row_bytes(df.schema)
+    if width is None:
         return False
-    fixed = _FIELD_BYTES * (len(df.columns) + 1)
-    width = F.lit(fixed).cast("long")
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    size = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
-    return size <= max_bytes
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

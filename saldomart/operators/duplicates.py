@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,32 +38,25 @@ def remove_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows to keep, one per key, and the rows to remove. Together they are ``df``.
 
-    The removed rows are ranked twice: among the rows of the same input partition, then
-    the first of each partition among each other. No task gets more rows of one key than
-    an input partition holds, or than there are partitions.
+    Keys are counted first, summed per task, and only rows of repeated keys are ranked for
+    removal: twice, among the rows of the same input partition, then the first of each
+    partition among each other. No task gets more rows of one key than an input partition
+    holds, or than there are partitions.
     """
     order = total_order(df, keys, order_by)
-    parts = df.withColumn("_part", F.spark_partition_id())
+    repeated = find_duplicates(df, keys).select(*keys).alias("r")
+    rows = df.withColumn("_part", F.spark_partition_id()).alias("l")
+    same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
     local = Window.partitionBy(*keys, "_part").orderBy(*order)
-    leaders = F.when(F.col("_local") > 1, F.col("_part")).otherwise(-1)
-    among = Window.partitionBy(*keys, "_group").orderBy(*order)
-    removed = (
-        parts.withColumn("_local", F.row_number().over(local))
-        .withColumn("_group", leaders)
-        .withColumn("_rank", F.row_number().over(among))
-        .filter("_group >= 0 or _rank > 1")
-        .select(*df.columns)
-    )
-    return first_per_key(df, keys, order_by), removed
-
-
-def assert_unique(df: DataFrame, keys: Sequence[str], show: int = 20) -> None:
-    """Raise if rows share a key. The text names the most frequent keys."""
-    found = find_duplicates(df, keys)
-    worst = found.orderBy(F.desc("n"), *keys).limit(show).collect()
-    if not worst:
-        return
-    shown = "; ".join(
-        ", ".join(f"{k}={str(row[k])[:80]}" for k in keys) + f" ({row['n']} rows)" for row in worst
-    )
-    raise DuplicateKeys(f"{found.count()} duplicate keys in {', '.join(keys)}: {shown}")
+    among = Window.partitionBy(*keys).orderBy(*order)
+    placed = rows.join(repeated, same, "left_semi").withColumn("_local", F.row_number().over(local))
+    beaten = placed.filter("_local > 1").select(*df.columns)
+    first = placed.filter("_local = 1").withColumn("_rank", F.row_number().over(among)).filter("_rank > 1")
+    return first_per_key(df, keys, order_by), beaten.unionByName(first.select(*df.columns))
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if rows share a key. ``find_duplicates`` tells which."""
+    n = find_duplicates(df, keys).count()
+    if n:
+        raise DuplicateKeys(f"{n} duplicate keys in {', '.join(keys)}")

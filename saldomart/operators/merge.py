@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from saldomart.functions.sizes import is_small
+from saldomart.functions.sizes import BROADCAST_BYTES, observed, row_bytes
 from saldomart.operators.duplicates import first_per_key
+from saldomart.session import new_folder
 
 
 def _same_columns(left: DataFrame, right: DataFrame) -> None:
@@ -41,30 +42,57 @@ def upsert(
 ) -> DataFrame:
     """``target`` after taking over ``source``, with an ``action`` per row.
 
-    ``insert`` for new keys, ``update`` where a value changes, ``keep`` for the rest.
-    ``target`` holds a key once. A small source is broadcast, and the target is then not
-    shuffled at all; the source is measured unless ``small_source`` tells.
+    ``insert`` for new keys, ``update`` where a value changes, ``keep`` for the rest. Of
+    several source rows of a key the highest in ``order_by`` counts. Unless ``small_source``
+    tells, the source is reduced to one row per key and stored once, and measured while it
+    is written. A small source is broadcast and the target is not shuffled. A target that
+    holds a key of the source twice is refused, and without a broadcast any repeated key.
     """
-    if small_source is None:
-        small_source = is_small(source)
     _same_columns(target, source)
+    new = latest_per_key(source, keys, order_by).select(*target.columns)
+    if small_source is None:
+        new, small_source = stored_and_measured(new, new_folder(source.sparkSession, "source"))
+    return take_over(target, new, keys, small_source)
+
+
+def take_over(target: DataFrame, new: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """``upsert`` of rows that hold a key once. ``small`` rows are broadcast."""
     values = [c for c in target.columns if c not in keys]
-    new = latest_per_key(source, keys, order_by).select(*target.columns, F.lit(True).alias("_new"))
-    old = target.withColumn("_old", F.lit(True))
+    new = new.select(*target.columns).withColumn("_new", F.lit(True))
     matched = _keys_equal("old", "new", keys)
-    if not small_source:
+    if not small:
+        old = target.withColumn("_old", _held_once(F.count(F.lit(1)).over(Window.partitionBy(*keys)), keys))
         joined = old.alias("old").join(new.alias("new"), matched, "full_outer")
         return _taken_over(joined, target.columns, values)
-    met = target.select(*keys).alias("old").join(F.broadcast(new.select(*keys)).alias("new"), matched, "left_semi")
+    new_keys = F.broadcast(new.select(*keys))
+    met = target.select(*keys).alias("old").join(new_keys.alias("new"), matched, "left_semi")
+    met = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(_held_once(F.col("_n"), keys))
     fresh = (
         new.alias("new")
-        .join(F.broadcast(met).alias("old"), matched, "left_anti")
+        .join(F.broadcast(met).alias("old"), matched, "left_anti")  # no more rows than are new
         .select(*target.columns, F.lit("insert").alias("action"))
     )
+    old = target.withColumn("_old", F.lit(True))
     joined = old.alias("old").join(F.broadcast(new).alias("new"), matched, "left")
     return _taken_over(joined, target.columns, values).unionByName(fresh)
 
 
+def _held_once(n: Column, keys: Sequence[str]) -> Column:
+    """True, or an error where the target holds a key more than once."""
+    message = F.lit(f"the target holds a key of {', '.join(keys)} more than once")
+    return F.when(n > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
+def stored_and_measured(df: DataFrame, path: str) -> tuple[DataFrame, bool]:
+    """``df`` written to ``path``, and whether it is small enough to broadcast."""
+    width = row_bytes(df.schema)
+    if width is None:
+        return df, False
+    seen = Observation()
+    df.observe(seen, F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observed(seen, ["bytes"])["bytes"] <= BROADCAST_BYTES
+
+
 def _taken_over(joined: DataFrame, columns: Sequence[str], values: Sequence[str]) -> DataFrame:
     from_new = F.col("_new").isNotNull()
     action = (

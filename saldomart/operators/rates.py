@@ -20,28 +20,48 @@ class MissingRate(ValueError):
     """A foreign currency is used on a day that has no rate."""
 
 
+class InvertedRate(ValueError):
+    """A rate ends before it begins."""
+
+
+LAST_DAY = date(9999, 12, 31)  # the end of a rate without one
+
+
+def _ended(rates: DataFrame) -> DataFrame:
+    """Rates as closed intervals. A rate without an end holds for good; one without a beginning always did."""
+    return rates.select(
+        "currency_id",
+        F.coalesce("date_from", F.lit("0001-01-01").cast("date")).alias("date_from"),
+        F.coalesce("date_to", F.lit(LAST_DAY)).alias("date_to"),
+        "rate",
+    )
+
+
 def _last_before() -> Column:
     """The latest end among the earlier intervals of the same currency."""
     earlier = Window.partitionBy("currency_id").orderBy("date_from", "date_to")
     return F.max("date_to").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _measure(intervals: DataFrame) -> tuple[int, int]:
-    """Number of intervals and of days in them. Refuses intervals of a currency that overlap."""
-    clash = F.when(F.col("date_from") <= F.col("_last"), F.struct("currency_id", "date_from"))
+def _measure(intervals: DataFrame) -> int:
+    """Number of intervals. Refuses inverted ones and those of a currency that overlap."""
+    place = F.struct("currency_id", "date_from")
     found = (
         intervals.select("currency_id", "date_from", "date_to", _last_before().alias("_last"))
         .agg(
-            F.min(clash).alias("clash"),
+            F.min(F.when(F.col("date_to") < F.col("date_from"), place)).alias("inverted"),
+            F.min(F.when(F.col("date_from") <= F.col("_last"), place)).alias("clash"),
             F.count(F.lit(1)).alias("intervals"),
-            F.sum(F.datediff("date_to", "date_from") + 1).alias("days"),
         )
         .first()
     )
+    if found["inverted"]:
+        currency, day = found["inverted"]
+        raise InvertedRate(f"the rate of currency {currency} from {day} ends before it begins")
     if found["clash"]:
         currency, day = found["clash"]
         raise OverlappingRates(f"currency {currency} has two rates on {day}")
-    return found["intervals"], found["days"] or 0
+    return found["intervals"]
 
 
 def day_rates(currencies: DataFrame, rates: DataFrame, date_from: date, date_to: date) -> DataFrame:
@@ -53,18 +73,21 @@ def day_rates(currencies: DataFrame, rates: DataFrame, date_from: date, date_to:
     """
     first, last = F.lit(date_from), F.lit(date_to)
     home = currencies.filter("is_home").select("currency_id")
-    foreign = (
-        rates.join(home, "currency_id", "left_anti")
-        .select("currency_id", F.greatest("date_from", first).alias("date_from"),
-                F.least("date_to", last).alias("date_to"), "rate", F.lit(False).alias("is_home"))
-        .filter("date_from <= date_to")
-    )
+    foreign = _ended(rates).join(home, "currency_id", "left_anti")
+    _measure(foreign)
     one = F.lit(1).cast(rates.schema["rate"].dataType)
-    intervals = foreign.unionByName(
+    clipped = foreign.select(
+        "currency_id",
+        F.greatest("date_from", first).alias("date_from"),
+        F.least("date_to", last).alias("date_to"),
+        "rate",
+        F.lit(False).alias("is_home"),
+    ).filter("date_from <= date_to")
+    intervals = clipped.unionByName(
         home.select("currency_id", first.alias("date_from"), last.alias("date_to"),
                     one.alias("rate"), F.lit(True).alias("is_home"))
     )
-    _, days = _measure(intervals)
+    days = intervals.agg(F.sum(F.datediff("date_to", "date_from") + 1).alias("days")).first()["days"] or 0
     every_day = F.explode(F.sequence("date_from", "date_to", F.expr("interval 1 day")))
     daily = intervals.select("currency_id", every_day.alias("on_date"), "rate", "is_home")
     return F.broadcast(daily) if days * _ROW_BYTES <= BROADCAST_BYTES else daily
@@ -78,8 +101,8 @@ def rate_as_of(
     Rates that were measured to be small are broadcast. Beyond that, currency and month
     join as equal keys, so neither a currency nor a long history meets in one task.
     """
-    narrow = rates.select("currency_id", "date_from", "date_to", "rate").filter("date_from <= date_to")
-    intervals, _ = _measure(narrow)
+    narrow = _ended(rates)
+    intervals = _measure(narrow)
     if broadcast_rates is None:
         broadcast_rates = intervals * _ROW_BYTES <= BROADCAST_BYTES
     left, day = df.alias("left"), F.col(f"left.{date_col}")
@@ -87,8 +110,13 @@ def rate_as_of(
     same = F.col("left.currency_id") == F.col("r.currency_id")
     if broadcast_rates:
         return left.join(F.broadcast(narrow).alias("r"), same & valid, "left").select("left.*", "r.rate")
+    used = df.agg(F.min(date_col).alias("first"), F.max(date_col).alias("last")).first()
+    first, last = F.lit(used["first"]).cast("date"), F.lit(used["last"]).cast("date")
+    narrow = narrow.filter(F.col("date_from") <= last).filter(F.col("date_to") >= first)
     months = F.sequence(
-        F.trunc("date_from", "month"), F.trunc("date_to", "month"), F.expr("interval 1 month")
+        F.trunc(F.greatest("date_from", first), "month"),
+        F.trunc(F.least("date_to", last), "month"),
+        F.expr("interval 1 month"),
     )
     monthly = narrow.withColumn("_month", F.explode(months)).alias("r")
     by_month = same & (F.trunc(day, "month") == F.col("r._month")) & valid

@@ -17,10 +17,17 @@ SUCCESS, ERROR = "SUCCESS", "ERROR"
 Result = TypeVar("Result", int, Published)
 
 
-def run_logged(warehouse: Warehouse, task: str, operation: Callable[[], Result]) -> Result:
+def run_logged(
+    warehouse: Warehouse,
+    task: str,
+    operation: Callable[[], Result],
+    affected: Callable[[Result], int] | None = None,
+) -> Result:
     """Run ``operation`` and log its times, rows and outcome. A failure is raised again.
 
-    ``operation`` returns a row count, or what a publish returned.
+    ``operation`` returns a row count, or what a publish returned; ``affected`` tells the
+    rows where that is neither. What an operation publishes goes live as its last step, so
+    a failed one has affected no rows.
     """
     started = datetime.now(timezone.utc)
     try:
@@ -28,7 +35,10 @@ def run_logged(warehouse: Warehouse, task: str, operation: Callable[[], Result])
     except Exception as failure:
         _log(warehouse, task, started, 0, ERROR, _text(failure))
         raise
-    rows = result.rows if isinstance(result, Published) else result
+    if affected is not None:
+        rows = affected(result)
+    else:
+        rows = result.rows if isinstance(result, Published) else result
     _log(warehouse, task, started, rows, SUCCESS, None)
     return result
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldomart import schemas
-from saldomart.functions.dates import DATE_FORMATS, parse_dates
+from saldomart.functions.dates import DATE_FORMATS
 from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.duplicates import assert_unique, remove_duplicates
-from saldomart.operators.merge import table_diff, upsert
+from saldomart.operators.merge import latest_per_key, stored_and_measured, table_diff, take_over
 from saldomart.operators.periods import find_period_gaps, missing_in_mart
 from saldomart.operators.rates import day_rates
 from saldomart.operators.repair import find_mismatches, rebuild_balance_turnover
@@ -22,7 +23,7 @@ from saldomart.plans.audit import run_logged
 from saldomart.plans.balance import account_balance
 from saldomart.plans.form101 import form_101
 from saldomart.plans.turnover import account_movements, account_turnover, require_rates
-from saldomart.sources.csv import export_csv, read_csv, read_csv_landing
+from saldomart.sources.csv import export_csv, read_csv, read_csv_landing, read_csv_typed
 from saldomart.sources.tables import Published, Warehouse
 
 TURNOVER_MART = "dm_account_turnover_f"
@@ -35,6 +36,7 @@ class InputTable:
     schema: T.StructType
     keys: tuple[str, ...]
     month_of: str | None = None  # the date column by which the table is kept in months
+    required: tuple[str, ...] = ()  # rows without a value here cannot be booked
 
 
 # The six files of the first load.
@@ -44,7 +46,9 @@ INPUT_TABLES = {
     "currencies": InputTable(schemas.CURRENCIES, ("currency_id",)),
     "exchange_rates": InputTable(schemas.EXCHANGE_RATES, ("currency_id", "date_from")),
     "ledger_accounts": InputTable(schemas.LEDGER_ACCOUNTS, ("ledger2",)),
-    "postings": InputTable(schemas.POSTINGS, ("posting_id", "on_date"), month_of="on_date"),
+    "postings": InputTable(
+        schemas.POSTINGS, ("posting_id",), month_of="on_date", required=tuple(schemas.POSTINGS.fieldNames())
+    ),
 }
 
 
@@ -60,67 +64,60 @@ def load_csv(
     order_by: Sequence[str] = (),
     sep: str = ",",
     encoding: str = "UTF-8",
-) -> list[Published]:
-    """Upsert CSV files into a DS table. Rows that cannot be read go to ``<table>_rejects``.
+) -> Published:
+    """Upsert CSV files into a DS table, whatever its months, in a fixed number of passes.
 
-    A table kept in months rewrites only the months that occur in the files.
+    Rows that cannot be taken are kept in ``<table>_rejects``, a period for each load. A
+    table kept in months rewrites the months that occur in the files, and those that a row
+    of the files leaves because its date changed. The months are written together and go
+    live together.
     """
     spec = definition or INPUT_TABLES[table]
-    if spec.month_of is not None and spec.month_of not in spec.keys:
-        raise ValueError(f"{table} is kept in months of {spec.month_of}, which must be a key")
-    date_cols = [f.name for f in spec.schema.fields if isinstance(f.dataType, T.DateType)]
-    landing = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name in date_cols else f for f in spec.schema.fields]
-    )
-    done: list[Published] = []
+    if spec.month_of is not None and spec.month_of not in spec.schema.fieldNames():
+        raise ValueError(f"{table} is kept in months of {spec.month_of}, which it lacks")
+    names, spark = spec.schema.fieldNames(), warehouse.spark
 
-    def load() -> int:
+    def load() -> Published:
         with warehouse.stage("landing") as folder:
-            good, rejects = read_csv_landing(warehouse.spark, path, landing, sep, encoding, folder)
-            if date_cols:
-                good, bad_dates = parse_dates(good, date_cols, formats)
-                as_text = F.to_json(F.struct(*landing.fieldNames())).alias("raw_row")
-                rejects = rejects.unionByName(bad_dates.select(as_text, "reason"))
-            warehouse.publish(rejects, "ds", f"{table}_rejects")
-            for period, rows in _by_month(good, spec.month_of):
-                target = warehouse.read("ds", table, [period], spec.schema)
-                done.append(_publish_upsert(warehouse, table, period, target, rows, spec.keys, order_by))
-        return sum(p.counts["inserted"] + p.counts["updated"] for p in done)
-
-    run_logged(warehouse, f"load {table}", load)
-    return done
+            rows = read_csv_typed(spark, path, spec.schema, formats, spec.required, sep, encoding)
+            rows.withColumn("_bad", F.col("reason").isNotNull()).write.partitionBy("_bad").parquet(f"{folder}/rows")
+            kinds = T.StructType([*rows.schema.fields, T.StructField("_bad", T.BooleanType())])
+            staged = spark.read.schema(kinds).parquet(f"{folder}/rows")
+            rejects = staged.filter("_bad").select("raw_row", "reason")
+            warehouse.publish(rejects, "ds", f"{table}_rejects", f"load-{uuid.uuid4().hex}")
+            latest = latest_per_key(staged.filter("NOT _bad").select(*names), spec.keys, order_by)
+            new, small = stored_and_measured(latest, f"{folder}/new")
+            return _publish_taken_over(warehouse, table, spec, new, small)
 
+    return run_logged(warehouse, f"load {table}", load, lambda p: p.counts["inserted"] + p.counts["updated"])
 
-def _by_month(df: DataFrame, date_col: str | None) -> list[tuple[str, DataFrame]]:
-    """The rows of each month that occurs. There are few months, whatever the rows."""
-    if date_col is None:
-        return [("all", df)]
-    month = F.trunc(date_col, "month")
-    firsts = sorted(r["m"] for r in df.select(month.alias("m")).filter("m is not null").distinct().collect())
-    undated = df.filter(F.col(date_col).isNull()).limit(1).count()
-    if undated:
-        raise ValueError(f"rows without {date_col} belong to no month")
-    return [
-        (f"{m:%Y-%m}", df.filter(F.col(date_col).between(F.lit(m), F.lit(_last_day(m))))) for m in firsts
-    ]
 
+def _month(date_col: str) -> Column:
+    return F.date_format(date_col, "yyyy-MM")
 
-def _publish_upsert(
-    warehouse: Warehouse,
-    table: str,
-    period: str,
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
+
+def _publish_taken_over(
+    warehouse: Warehouse, table: str, spec: InputTable, new: DataFrame, small: bool
 ) -> Published:
-    merged = upsert(target, source, keys, order_by)
     counts = {
         "inserted": F.col("action") == "insert",
         "updated": F.col("action") == "update",
         "unchanged": F.col("action") == "keep",
     }
-    return warehouse.publish(merged, "ds", table, period, counts=counts, columns=target.columns)
+    columns = spec.schema.fieldNames()
+    if spec.month_of is None:
+        merged = take_over(warehouse.read("ds", table, schema=spec.schema), new, spec.keys, small)
+        return warehouse.publish(merged, "ds", table, counts=counts, columns=columns)
+    months = new.select(_month(spec.month_of).alias("m"))
+    if spec.month_of not in spec.keys:  # a row may stand in a month that the files do not name
+        ids = new.select(*spec.keys)
+        known = warehouse.read("ds", table, schema=spec.schema).select(*{*spec.keys, spec.month_of})
+        left = known.join(F.broadcast(ids) if small else ids, list(spec.keys), "left_semi")
+        months = months.union(left.select(_month(spec.month_of)))
+    touched = sorted(r["m"] for r in months.distinct().collect() if r["m"] is not None)  # a row a month
+    target = warehouse.read("ds", table, touched, spec.schema)
+    merged = take_over(target, new, spec.keys, small)
+    return warehouse.publish_periods(merged, "ds", table, _month(spec.month_of), touched, counts=counts, columns=columns)
 
 
 def load_snapshot(
@@ -145,8 +142,14 @@ def full_reload(
     layer: str = "dm",
 ) -> Published:
     """Replace all rows of a mart. With ``keys``, duplicates keep the old rows live."""
-    check = (lambda rows: assert_unique(rows, keys)) if keys else None
-    return warehouse.publish(df, layer, table, check=check)
+    return run_logged(warehouse, f"reload {layer}.{table}", lambda: warehouse.publish(df, layer, table, keys=keys or ()))
+
+
+def publish(warehouse: Warehouse, df: DataFrame, layer: str, table: str, period: str = "all") -> Published:
+    """Replace a table, or one of its periods, and log it."""
+    return run_logged(
+        warehouse, f"publish {layer}.{table} {period}", lambda: warehouse.publish(df, layer, table, period)
+    )
 
 
 # Daily marts and the period report
@@ -265,7 +268,6 @@ def export_mart(
     path: str,
     periods: Sequence[str] | None = None,
     sep: str = ",",
-    single_file: bool = False,
     max_rows_per_file: int = 1_000_000,
     layer: str = "dm",
 ) -> int:
@@ -274,8 +276,7 @@ def export_mart(
         warehouse,
         f"export {layer}.{table}",
         lambda: export_csv(
-            warehouse.read(layer, table, periods), path, sep,
-            single_file=single_file, max_rows_per_file=max_rows_per_file,
+            warehouse.read(layer, table, periods), path, sep, max_rows_per_file=max_rows_per_file
         ),
     )
 
@@ -310,7 +311,7 @@ def reimport_csv(
 
     def load() -> Published:
         changed = read_csv(warehouse.spark, path, schema, sep, multi_line=True)
-        return warehouse.publish(changed, layer, table, check=lambda rows: assert_unique(rows, keys))
+        return warehouse.publish(changed, layer, table, keys=keys)
 
     published = run_logged(warehouse, f"reimport {layer}.{table}", load)
     return table_diff(before, warehouse.spark.read.schema(schema).parquet(published.path), keys)
@@ -336,7 +337,9 @@ def refresh_client(
 
     def repair() -> Published:
         warehouse.publish(removed, "dm", f"{table}_removed")
-        return full_reload(warehouse, kept, table, keys)
+        done = warehouse.publish(kept, "dm", table, keys=keys)
+        warehouse.declare_keys("dm", table, keys)  # new duplicates are refused from now on
+        return done
 
     published = run_logged(warehouse, f"remove duplicates from {table}", repair)
     return Repair(published, {"removed": warehouse.read("dm", f"{table}_removed", schema=current.schema)})
@@ -362,7 +365,7 @@ def refresh_loan_holiday(
     keys = [entity, date_col]
 
     def refresh() -> Published:
-        return full_reload(warehouse, rows, table, keys)
+        return warehouse.publish(rows, "dm", table, keys=keys)
 
     before = warehouse.read("dm", table, schema=rows.schema)
     published = run_logged(warehouse, f"refresh {table}", refresh)
@@ -394,7 +397,7 @@ def refresh_balance_turnover(
     def refresh() -> Published:
         assert_unique(current, [account, day])
         rebuilt = rebuild_balance_turnover(current, dims, trust, mode, account, day)
-        return full_reload(warehouse, rebuilt, table)
+        return warehouse.publish(rebuilt, "dm", table)
 
     published = run_logged(warehouse, f"refresh {table}", refresh)
     return Repair(published, {"mismatches": find_mismatches(current, account, day, mode)})

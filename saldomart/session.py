@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,18 +31,39 @@ def local_session(cores: str = "*", app: str = "saldomart", **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where nothing is set, a local session gets a temporary folder of its own. A cluster
-    session must name a folder that all executors see.
+    Where nothing is set, a local session gets a temporary folder that goes when Python
+    ends. A cluster session must name a folder that all executors see.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="saldomart-"))
+    folder = tempfile.mkdtemp(prefix="saldomart-")  # tests and trial runs on one machine
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Hadoop knows them."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    fs, jpath = hadoop_path(spark, path)
+    _, to = hadoop_path(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(jpath, to):
+        raise OSError(f"cannot move {path} to {target}")

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldomart.session import new_folder
+from saldomart.functions.dates import DATE_FORMATS, date_from_text
+from saldomart.functions.sizes import observed
+from saldomart.session import move_folder, new_folder, remove_folder
 
 NULL_TEXT = r"\N"
 _RAW = "_raw_row"
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-class NotAReport(ValueError):
-    """A single file was asked for, and the table is too long for one."""
-
-
 def _options(sep: str, encoding: str) -> dict[str, str]:
     return {
         "header": "true",
@@ -83,33 +84,80 @@ def read_csv_landing(
     return good, rejects
 
 
-def export_csv(
-    df: DataFrame,
-    path: str,
+def read_csv_typed(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    formats: Sequence[str] = DATE_FORMATS,
+    required: Sequence[str] = (),
     sep: str = ",",
     encoding: str = "UTF-8",
-    single_file: bool = False,
-    max_rows_per_file: int = 1_000_000,
-    single_file_limit: int = 100_000,
+) -> DataFrame:
+    """Rows of ``schema`` with ``reason`` and ``raw_row``, both NULL on good rows.
+
+    The files are read as text and converted in the same pass, dates by any of ``formats``.
+    A row is bad if it has another number of fields, a value of another type, a date of no
+    format, or nothing in a ``required`` column.
+    """
+    text = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    wide = T.StructType([*text, T.StructField(_RAW, T.StringType())])
+    raw = read_csv(spark, path, wide, sep, encoding, mode="PERMISSIVE")
+    typed, unfit, undated, missing = {}, [], [], []
+    for f in schema.fields:
+        column = F.col(f.name)
+        given = column.isNotNull() & (F.trim(column) != "")
+        if isinstance(f.dataType, T.StringType):
+            typed[f.name] = column
+        elif isinstance(f.dataType, T.DateType):
+            typed[f.name] = date_from_text(column, formats)
+            undated.append(F.when(given & typed[f.name].isNull(), F.lit(f.name)))
+        else:
+            typed[f.name] = F.trim(column).try_cast(f.dataType)
+            unfit.append(F.when(given & typed[f.name].isNull(), F.lit(f.name)))
+        if f.name in required:
+            missing.append(F.when(~F.coalesce(given, F.lit(False)), F.lit(f.name)))
+
+    def named(found: list[Column]) -> Column:
+        return F.concat_ws(", ", *found) if found else F.lit("")
+
+    reason = (
+        F.when(F.col(_RAW).isNotNull() | (named(unfit) != ""), F.lit("does not fit the schema"))
+        .when(named(undated) != "", F.concat(F.lit("bad date: "), named(undated)))
+        .when(named(missing) != "", F.concat(F.lit("no "), named(missing)))
+    )
+    line = F.coalesce(F.col(_RAW), F.to_csv(F.struct(*schema.fieldNames()), {"sep": sep, "escape": '"'}))
+    return raw.select(
+        *[typed[f.name].alias(f.name) for f in schema.fields],
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), line).alias("raw_row"),
+    )
+
+
+def export_csv(
+    df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", max_rows_per_file: int = 1_000_000
 ) -> int:
-    """Write ``df`` as CSV files with column headings. Returns the number of rows.
+    """Write ``df`` as a folder of CSV files with column headings. Returns the number of rows.
 
-    ``single_file`` is for reports. A longer table is refused, not cut.
+    The files are written beside ``path`` and take its place when they are complete, so a
+    failed export leaves an earlier one as it was.
     """
-    if single_file:
-        if df.limit(single_file_limit + 1).count() > single_file_limit:
-            raise NotAReport(f"more than {single_file_limit} rows for a single file")
-        df = df.coalesce(1)
+    spark = df.sparkSession
     seen = Observation()
-    (
-        df.select([_guarded(f) for f in df.schema.fields])
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.options(**_options(sep, encoding))
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .mode("overwrite")
-        .csv(path)
-    )
-    return seen.get["rows"]
+    new = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    try:
+        (
+            df.select([_guarded(f) for f in df.schema.fields])
+            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.options(**_options(sep, encoding))
+            .option("maxRecordsPerFile", max_rows_per_file)
+            .csv(new)
+        )
+    except Exception:
+        remove_folder(spark, new)
+        raise
+    remove_folder(spark, path)
+    move_folder(spark, new, path)
+    return observed(seen, ["rows"])["rows"]
 
 
 def _guarded(field: T.StructField):

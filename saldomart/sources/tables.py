@@ -3,13 +3,18 @@
 Every publish writes a new directory ``<layer>/<table>/<period>/v<N>`` and then puts an
 empty ``_published`` file into it. The highest published version of a period is the live
 one. A publish may therefore read the table it replaces, a failed one changes nothing
-for readers, and a period that became empty is empty. One writer per table is assumed.
+for readers, and a period that became empty is empty. Several periods are written at once
+and go live one after the other. One writer per table is assumed.
+
+A table may have declared keys, stored with it. Every publish then refuses rows that share
+a key and stores those keys, all of them, in ``<table>_duplicates``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -17,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from saldomart.session import new_folder
+from saldomart.functions.sizes import observed
+from saldomart.operators.duplicates import DuplicateKeys, find_duplicates
+from saldomart.session import hadoop_path, move_folder, new_folder, remove_folder
 
 LAYERS = ("ds", "dm", "rd", "logs")
 _NAME = re.compile(r"[A-Za-z0-9_-]+")
@@ -44,8 +51,7 @@ class Warehouse:
     # files
 
     def _hadoop(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+        return hadoop_path(self.spark, path)
 
     def _versions(self, layer: str, table: str, marker: str) -> dict[str, list[int]]:
         """Version numbers by period, ascending, of directories that hold ``marker``."""
@@ -94,48 +100,152 @@ class Warehouse:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(*[live[p] for p in wanted])
 
+    # keys
+
+    def declare_keys(self, layer: str, table: str, keys: Sequence[str]) -> None:
+        """From now on no two rows of the table may share ``keys``, whoever publishes them."""
+        fs, path = self._hadoop(f"{self._table_dir(layer, table)}/_keys")
+        out = fs.create(path, True)
+        out.write(bytearray("\n".join(keys), "utf-8"))
+        out.close()
+
+    def declared_keys(self, layer: str, table: str) -> list[str]:
+        fs, path = self._hadoop(f"{self._table_dir(layer, table)}/_keys")
+        if not fs.exists(path):
+            return []
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
+        finally:
+            stream.close()
+
+    def _refuse_duplicates(self, rows: DataFrame, layer: str, table: str, keys: Sequence[str]) -> None:
+        """Keys that ``rows`` hold more than once are stored and raised."""
+        if not keys:
+            return
+        store = f"{table}_duplicates"
+        seen, path = Observation(), self._next(layer, store, "all")
+        found = find_duplicates(rows, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
+        found.write.mode("errorifexists").parquet(path)
+        number = observed(seen, ["rows"])["rows"]
+        if not number:
+            remove_folder(self.spark, path)
+            return
+        self._mark(path)
+        names = ", ".join(keys)
+        raise DuplicateKeys(f"{number} duplicate keys in {names} of {layer}.{table}: see {layer}.{store}")
+
     # writing
 
+    def _next(self, layer: str, table: str, period: str) -> str:
+        """The folder of the next version of a period."""
+        if not _NAME.fullmatch(period):
+            raise ValueError(f"bad period name {period!r}")
+        existing = self._versions(layer, table, "").get(period, [])
+        return f"{self._table_dir(layer, table)}/{period}/v{existing[-1] + 1 if existing else 1}"
+
+    def _mark(self, path: str) -> None:
+        fs, marker = self._hadoop(f"{path}/_published")
+        fs.create(marker, False).close()
+
+    def _one_kind(self, layer: str, table: str, periods: set[str]) -> None:
+        """A table has periods or is a whole, not both."""
+        others = self.live(layer, table).keys() - periods
+        if others and "all" in {*periods, *others}:
+            raise ValueError(f"{layer}.{table} cannot hold {sorted(periods)} beside {sorted(others)}")
+
     def publish(
         self,
         df: DataFrame,
         layer: str,
         table: str,
         period: str = "all",
-        check: Callable[[DataFrame], None] | None = None,
+        keys: Sequence[str] = (),
         counts: dict[str, Column] | None = None,
         columns: Sequence[str] | None = None,
         sort_by: Sequence[str] = (),
     ) -> Published:
         """Replace one period of a table, or with ``period='all'`` a table without periods.
 
-        ``check`` gets the written rows and raises to keep them from going live, so the
-        result is computed once however many columns the check needs. ``counts`` are
+        Rows that share ``keys`` or the declared keys of the table keep the old rows live;
+        the written rows are checked, so the result is computed once. ``counts`` are
         conditions counted while writing, ``columns`` those to write. ``sort_by`` orders
         each file, so that readers who filter on it skip most of the file.
         """
-        if not _NAME.fullmatch(period):
-            raise ValueError(f"bad period name {period!r}")
-        others = self.live(layer, table).keys() - {period}
-        if others and "all" in {period, *others}:
-            raise ValueError(f"{layer}.{table} cannot hold {period!r} beside {sorted(others)}")
-        existing = self._versions(layer, table, "").get(period, [])
-        number = existing[-1] + 1 if existing else 1
-        path = f"{self._table_dir(layer, table)}/{period}/v{number}"
+        path = self._next(layer, table, period)
+        self._one_kind(layer, table, {period})
         seen = Observation()
         metrics = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
-        observed = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *metrics)
-        written = observed.select(*(columns or df.columns))
+        counted = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *metrics)
+        written = counted.select(*(columns or df.columns))
         if sort_by:
             written = written.sortWithinPartitions(*sort_by)
         written.write.mode("errorifexists").parquet(path)
-        if check is not None:
-            check(self.spark.read.schema(written.schema).parquet(path))
-        fs, marker = self._hadoop(f"{path}/_published")
-        fs.create(marker, False).close()
-        numbers = dict(seen.get)
+        rows = self.spark.read.schema(written.schema).parquet(path)
+        for each in {tuple(keys), tuple(self.declared_keys(layer, table))}:
+            self._refuse_duplicates(rows, layer, table, each)
+        self._mark(path)
+        numbers = observed(seen, ["_rows", *(counts or {})])
         return Published(path, numbers.pop("_rows"), numbers)
 
+    def publish_periods(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        period: Column,
+        periods: Sequence[str] = (),
+        keys: Sequence[str] = (),
+        counts: dict[str, Column] | None = None,
+        columns: Sequence[str] | None = None,
+        sort_by: Sequence[str] = (),
+    ) -> Published:
+        """Replace all periods that occur in ``df``, and ``periods``, in one write.
+
+        ``period`` names the period of a row. A period of ``periods`` without rows becomes
+        empty. Keys are checked over all rows written. Large periods are written by several
+        tasks.
+        """
+        base = self._table_dir(layer, table)
+        new = f"{base}/_new-{uuid.uuid4().hex}"
+        named = F.when(period.isNull(), F.raise_error(F.lit(f"row of {table} without a period"))).otherwise(period)
+        seen = Observation()
+        metrics = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
+        counted = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *metrics)
+        wanted = list(columns or df.columns)
+        written = counted.select(*wanted, named.cast("string").alias("_period")).hint("rebalance", "_period")
+        if sort_by:
+            written = written.sortWithinPartitions("_period", *sort_by)
+        try:
+            written.write.partitionBy("_period").parquet(new)
+            schema = StructType([f for f in written.schema.fields if f.name != "_period"])
+            rows = self.spark.read.schema(schema).parquet(new)
+            for each in {tuple(keys), tuple(self.declared_keys(layer, table))}:
+                self._refuse_duplicates(rows, layer, table, each)
+            fs, pattern = self._hadoop(f"{new}/_period=*")
+            found = {s.getPath().getName().partition("=")[2]: s.getPath() for s in fs.globStatus(pattern) or []}
+            paths = {p: self._next(layer, table, p) for p in {*found, *periods}}
+            self._one_kind(layer, table, set(paths))
+            if paths.keys() - found.keys():
+                empty_table(self.spark, schema).write.parquet(f"{new}/empty")
+            for p, path in paths.items():
+                if p in found:
+                    move_folder(self.spark, found[p].toString(), path)
+                else:
+                    self._copy(f"{new}/empty", path)
+            for path in paths.values():
+                self._mark(path)
+        finally:
+            remove_folder(self.spark, new)
+        numbers = observed(seen, ["_rows", *(counts or {})])
+        return Published(base, numbers.pop("_rows"), numbers)
+
+    def _copy(self, path: str, target: str) -> None:
+        fs, source = self._hadoop(path)
+        _, to = self._hadoop(target)
+        conf = self.spark._jsc.hadoopConfiguration()
+        self.spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, to, False, conf)
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         """Add rows to a table that only grows, such as the log."""
         df.write.mode("append").parquet(f"{self._table_dir(layer, table)}/rows")
@@ -153,8 +263,7 @@ class Warehouse:
         try:
             yield folder
         finally:
-            fs, path = self._hadoop(folder)
-            fs.delete(path, True)
+            remove_folder(self.spark, folder)
 
     def drop_old_versions(self, layer: str, table: str, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` published versions of every period.

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldomart.sources.csv import NotAReport, export_csv, read_csv, read_csv_landing
+from saldomart.sources.csv import export_csv, read_csv, read_csv_landing
 
 SCHEMA = T.StructType(
     [
@@ -72,12 +72,14 @@ def test_empty_table_has_headings(spark, tmp_path):
     assert [f.read_text().strip() for f in path.glob("*.csv")] == ["id"]
 
 
-def test_single_file_is_for_reports(spark, tmp_path):
-    path = tmp_path / "out"
-    assert export_csv(spark.range(100).repartition(5), str(path), single_file=True) == 100
-    assert len(list(path.glob("*.csv"))) == 1
-    with pytest.raises(NotAReport):
-        export_csv(spark.range(100), str(tmp_path / "no"), single_file=True, single_file_limit=99)
+def test_a_failed_export_keeps_the_earlier_one(spark, tmp_path):
+    path = str(tmp_path / "out")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("a", T.StringType())])
+    export_csv(spark.createDataFrame([(1, "x")], schema), path)
+    with pytest.raises(Exception, match="stands for NULL"):
+        export_csv(spark.createDataFrame([(2, "\\N")], schema), path)
+    assert [tuple(r) for r in read_csv(spark, path, schema).collect()] == [(1, "x")]
+    assert [f.name for f in tmp_path.iterdir()] == ["out"]
 
 
 def test_long_tables_are_many_files(spark, tmp_path):

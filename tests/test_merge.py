@@ -88,3 +88,11 @@ def test_upsert_equals_a_dictionary(spark, old, new, small):
     )
     found = [tuple(r) for r in merged.collect()]
     assert set(found) == expected and len(found) == len(expected)
+
+
+@pytest.mark.parametrize("small_source", [True, False, None])
+def test_a_target_with_a_doubled_key_is_refused(spark, small_source):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")
+    source = spark.createDataFrame([(1, "z")], "id int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        upsert(target, source, ["id"], (), small_source).collect()

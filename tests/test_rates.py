@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bank import EUR, HOME, JAN, RATES, USD, d, table
 from saldomart.functions.money import currency_bucket, round_money, to_home_currency
-from saldomart.operators.rates import OverlappingRates, day_rates, rate_as_of
+from saldomart.operators.rates import InvertedRate, OverlappingRates, day_rates, rate_as_of
 
 
 def test_day_rates(spark):
@@ -61,3 +61,27 @@ def test_no_digit_is_lost(spark):
 def test_half_up(spark):
     row = spark.sql("SELECT 1.005BD AS a, -1.005BD AS b").select(round_money(F.col("a")), round_money(F.col("b"))).first()
     assert row == (Decimal("1.01"), Decimal("-1.01"))
+
+
+@pytest.mark.parametrize("broadcast_rates", [None, True, False])
+def test_a_rate_without_an_end_holds_on(spark, broadcast_rates):
+    rates = table(spark, "exchange_rates", [(USD, d(10), None, Decimal("57.000000")), (EUR, None, d(9), Decimal("60.000000"))])
+    days = [(USD, d(9)), (USD, d(15, 2)), (EUR, date(2001, 1, 1)), (EUR, d(10))]
+    df = spark.createDataFrame(days, "currency_id int, on_date date")
+    found = {tuple(r)[:2]: r["rate"] for r in rate_as_of(df, rates, "on_date", broadcast_rates).collect()}
+    assert found == dict(zip(days, [None, Decimal("57.000000"), Decimal("60.000000"), None]))
+    by_day = day_rates(table(spark, "currencies"), rates, *JAN).filter(F.col("currency_id") == USD)
+    assert by_day.count() == 22
+
+
+def test_overlaps_behind_an_open_end_and_inverted_rates_are_refused(spark):
+    df = spark.createDataFrame([(USD, d(1))], "currency_id int, on_date date")
+    for rows, error in (
+        ([(USD, d(1), None, Decimal(1)), (USD, d(5, 3), d(6, 3), Decimal(2))], OverlappingRates),
+        ([(USD, d(9), d(3), Decimal(1))], InvertedRate),
+    ):
+        rates = table(spark, "exchange_rates", rows)
+        with pytest.raises(error):
+            rate_as_of(df, rates, "on_date")
+        with pytest.raises(error):
+            day_rates(table(spark, "currencies"), rates, *JAN)

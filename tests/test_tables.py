@@ -36,7 +36,7 @@ def test_failed_check_leaves_old_rows_live(spark, warehouse):
     warehouse.publish(spark.range(3), "dm", "m")
     twice = spark.range(3).union(spark.range(3))
     with pytest.raises(DuplicateKeys):
-        warehouse.publish(twice, "dm", "m", check=lambda rows: assert_unique(rows, ["id"]))
+        warehouse.publish(twice, "dm", "m", keys=["id"])
     assert ids(warehouse.read("dm", "m")) == [0, 1, 2]
     warehouse.publish(spark.range(5), "dm", "m")
     assert ids(warehouse.read("dm", "m")) == [0, 1, 2, 3, 4]
