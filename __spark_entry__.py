@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ from saldomart.plans import jobs
 from saldomart.plans.audit import etl_log, run_logged
 from saldomart.plans.balance import account_balance, balance_spans
 from saldomart.plans.form101 import form_101
-from saldomart.plans.turnover import account_movements, account_turnover
+from saldomart.plans.turnover import UnbookedMovements, account_movements, account_turnover
 from saldomart.session import new_folder
-from saldomart.sources.csv import export_csv, read_csv_landing
+from saldomart.sources.csv import export_csv, read_csv, read_csv_landing
 from saldomart.sources.tables import Warehouse
 from saldomart.sources.views import BankViews
 
@@ -99,29 +100,81 @@ def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(good.unionByName(rejects, allowMissingColumns=True))
 
 
-def _load_six_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The six inputs exported to CSV and loaded. Loading accounts again changes nothing."""
-    views, warehouse = BankViews(spark, sf_dir), _warehouse(spark)
-    tables = {
-        "accounts": views.accounts,
-        "opening_balances": views.opening_balances(BEFORE_HISTORY),
-        "currencies": views.currencies,
-        "exchange_rates": views.exchange_rates,
-        "ledger_accounts": views.ledger_accounts,
-        "postings": views.postings.withColumn("posting_id", F.monotonically_increasing_id()),
+def _order_postings(views: BankViews) -> DataFrame:
+    """A posting for each order."""
+    return views.table("orders").select(
+        F.col("o_orderkey").cast("long").alias("posting_id"),
+        F.to_date("o_orderdate").alias("on_date"),
+        F.col("o_custkey").cast("long").alias("debit_account"),
+        (F.col("o_custkey") + 1).cast("long").alias("credit_account"),
+        F.col("o_totalprice").cast(schemas.MONEY).alias("amount"),
+    )
+
+
+def _six_inputs(views: BankViews) -> dict[str, DataFrame]:
+    """The six inputs as text, dates in four formats; some postings and openings cannot be read."""
+    postings = _order_postings(views)
+    formats = ("yyyy-MM-dd", "dd.MM.yyyy", "dd-MM-yyyy", "yyyyMMdd")
+
+    def as_text(df: DataFrame, key: str) -> DataFrame:
+        def shown(f: T.StructField):
+            if not isinstance(f.dataType, T.DateType):
+                return F.col(f.name).cast("string").alias(f.name)
+            text = F.date_format(f.name, formats[0])
+            for i, fmt in enumerate(formats[1:], 1):
+                text = F.when(F.hash(key) % 4 == i, F.date_format(f.name, fmt)).otherwise(text)
+            return text.alias(f.name)
+
+        return df.select(*[shown(f) for f in df.schema.fields])
+
+    amount = F.when(F.col("posting_id") % 90 == 1, None).otherwise(F.col("amount"))
+    on_date = F.when(F.col("posting_id") % 90 == 2, "soon").when(F.col("posting_id") % 90 == 3, None)
+    spoiled = as_text(postings, "posting_id").withColumns(
+        {"amount": amount, "on_date": on_date.otherwise(F.col("on_date"))}
+    )
+    openings = views.opening_balances(BEFORE_HISTORY)
+    return {
+        "accounts": as_text(views.accounts, "account_id"),
+        "opening_balances": as_text(openings, "account_id").withColumn(
+            "balance", F.when(F.col("account_id").cast("long") % 50 == 7, "none").otherwise(F.col("balance"))
+        ),
+        "currencies": as_text(views.currencies, "currency_id"),
+        "exchange_rates": as_text(views.exchange_rates, "date_from"),
+        "ledger_accounts": as_text(views.ledger_accounts, "ledger2"),
+        "postings": spoiled,
     }
-    counts = []
-    for name, df in tables.items():
-        spec = jobs.INPUT_TABLES[name]
-        undated = jobs.InputTable(spec.schema, spec.keys)
+
+
+def _rendered(rows: DataFrame, name: str, kind: str) -> DataFrame:
+    """Rows of any table as one text each, to compare tables of several shapes."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in rows.columns]
+    return rows.select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), F.concat_ws("|", *parts).alias("row"))
+
+
+def _load_six_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six inputs loaded as they are defined, the postings twice, and every reject."""
+    warehouse, found = _warehouse(spark), []
+    for name, df in _six_inputs(BankViews(spark, sf_dir)).items():
         path = new_folder(spark, "csv")
-        export_csv(df.select(*spec.schema.fieldNames()), path)
-        for load in (1, 2) if name == "accounts" else (1,):
-            (done,) = jobs.load_csv(warehouse, name, path, undated)
-            counts.append((name, load, done.rows, done.counts["inserted"], done.counts["unchanged"]))
-    return spark.createDataFrame(
-        counts, "table_name string, load_number int, total_rows long, inserted long, unchanged long"
-    )
+        export_csv(df.select(*jobs.INPUT_TABLES[name].schema.fieldNames()), path)
+        jobs.load_csv(warehouse, name, path)
+        if name == "opening_balances":
+            jobs.load_csv(warehouse, name, path)
+        found.append(_rendered(warehouse.read("ds", name), name, "row"))
+        found.append(_rendered(warehouse.read("ds", f"{name}_rejects").select("reason"), name, "reject"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _moved_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings loaded, then some again with a date in another month."""
+    warehouse, views = _warehouse(spark), BankViews(spark, sf_dir)
+    orders = _order_postings(views)
+    corrected = orders.filter("posting_id % 7 = 0").withColumn("on_date", F.add_months("on_date", 3))
+    for rows in (orders, corrected):
+        path = new_folder(spark, "csv")
+        export_csv(rows, path)
+        jobs.load_csv(warehouse, "postings", path)
+    return _doubles(warehouse.read("ds", "postings"))
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +284,23 @@ def _rate_as_of(broadcast_rates: bool | None) -> Query:
     return query
 
 
+def _open_rates(broadcast_rates: bool | None) -> Query:
+    """Rates without an end since July 1996, and an account per day that asks for them."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views = BankViews(spark, sf_dir)
+        last = F.col("date_from") == F.lit(date(1996, 7, 1))
+        rates = views.exchange_rates.filter(F.col("date_from") <= F.lit(date(1996, 7, 1))).withColumn(
+            "date_to", F.when(~last, F.col("date_to"))
+        )
+        orders = views.table("orders").select(
+            "o_orderkey", (F.col("o_custkey") % 25).cast("int").alias("currency_id"), F.to_date("o_orderdate").alias("on_date")
+        )
+        return _doubles(rate_as_of(orders, rates, "on_date", broadcast_rates))
+
+    return query
+
+
 def _second_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = BankViews(spark, sf_dir)
     return second_order_account(views.accounts, views.ledger_accounts).select("account_id", "ledger2", "name")
@@ -277,25 +347,85 @@ def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doubles(spans.select("account_id", "span_from", "span_to", "balance"))
 
 
-def _loaded(spark: SparkSession, sf_dir: str, opening_day: date) -> Warehouse:
-    """A warehouse whose DS layer holds the six inputs."""
+def _loaded(spark: SparkSession, sf_dir: str, opening_day: date, changes: dict | None = None) -> Warehouse:
+    """A warehouse whose DS layer holds the six inputs, postings by month."""
     views, warehouse = BankViews(spark, sf_dir), _warehouse(spark)
-    warehouse.publish(views.accounts, "ds", "accounts")
-    warehouse.publish(views.opening_balances(opening_day), "ds", "opening_balances")
-    warehouse.publish(views.currencies, "ds", "currencies")
-    warehouse.publish(views.exchange_rates, "ds", "exchange_rates")
-    warehouse.publish(views.ledger_accounts, "ds", "ledger_accounts")
-    warehouse.publish(views.postings.withColumn("posting_id", F.monotonically_increasing_id()), "ds", "postings")
+    inputs = {
+        "accounts": views.accounts,
+        "opening_balances": views.opening_balances(opening_day),
+        "currencies": views.currencies,
+        "exchange_rates": views.exchange_rates,
+        "ledger_accounts": views.ledger_accounts,
+    } | (changes or {})
+    for name, rows in inputs.items():
+        warehouse.publish(rows, "ds", name)
+    postings = views.postings.withColumn("posting_id", F.monotonically_increasing_id())
+    month = F.date_format("on_date", "yyyy-MM")
+    warehouse.publish_periods(postings.select(*schemas.POSTINGS.fieldNames()), "ds", "postings", month)
     return warehouse
 
 
+def _both_marts(warehouse: Warehouse) -> DataFrame:
+    turnover = warehouse.read("dm", jobs.TURNOVER_MART)
+    balance = warehouse.read("dm", jobs.BALANCE_MART)
+    return _doubles(balance.join(turnover, ["on_date", "account_id"], "left"))
+
+
 def _calculate_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both marts for two months in a row, and the opening day."""
     warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY)
     jobs.calculate_period(warehouse, *TWO_MONTHS)
-    turnover = warehouse.read("dm", jobs.TURNOVER_MART)
-    balance = warehouse.read("dm", jobs.BALANCE_MART)
-    return _doubles(balance.join(turnover, ["on_date", "account_id"], "left"))
+    return _both_marts(warehouse)
+
+
+def _calculate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts for seven years in one plan each: the movements, and the balances of quarter ends."""
+    warehouse = _loaded(spark, sf_dir, BEFORE_HISTORY)
+    jobs.calculate_period(warehouse, *HISTORY)
+    quarter_end = (F.col("on_date") == F.last_day("on_date")) & (F.month("on_date") % 3 == 0)
+    return _both_marts(warehouse).filter(quarter_end | F.col("debit").isNotNull())
+
+
+def _corrected_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January calculated, its opening balances corrected, and January calculated again."""
+    wrong = BankViews(spark, sf_dir).opening_balances(BEFORE_JANUARY)
+    wrong = wrong.withColumn("balance", (F.col("balance") + 400).cast(schemas.MONEY))
+    warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY, {"opening_balances": wrong})
+    jobs.calculate_period(warehouse, *JANUARY)
+    warehouse.publish(BankViews(spark, sf_dir).opening_balances(BEFORE_JANUARY), "ds", "opening_balances")
+    jobs.calculate_period(warehouse, *JANUARY)
+    return _both_marts(warehouse)
+
+
+def _short_lived(views: BankViews) -> DataFrame:
+    """Accounts of which every tenth opens, and every tenth closes, inside January."""
+    number = F.col("account_id") % 10
+    return views.accounts.withColumns(
+        {
+            "valid_from": F.when(number == 1, F.lit(date(1997, 1, 10))).otherwise(F.col("valid_from")),
+            "valid_to": F.when(number == 2, F.lit(date(1997, 1, 20))).otherwise(F.col("valid_to")),
+        }
+    )
+
+
+def _form_101_short_lived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report where accounts open and close inside the period; other movements are left out."""
+    accounts = _short_lived(BankViews(spark, sf_dir))
+    warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY, {"accounts": accounts})
+    jobs.calculate_period(warehouse, *JANUARY, on_unbooked="skip")
+    jobs.build_form_101(warehouse, *JANUARY)
+    return _doubles(warehouse.read("dm", jobs.REPORT_MART))
+
+
+def _unbooked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movements of January on accounts that were not valid that day."""
+    accounts = _short_lived(BankViews(spark, sf_dir))
+    warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY, {"accounts": accounts})
+    try:
+        jobs.calculate_period(warehouse, *JANUARY)
+    except UnbookedMovements:
+        pass
+    return _doubles(warehouse.read("dm", jobs.UNBOOKED))
 
 
 def _form_101(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +441,7 @@ def _form_101(spark: SparkSession, sf_dir: str) -> DataFrame:
         *JANUARY,
         with_opening_day=True,
         on_days=[BEFORE_JANUARY, JANUARY[1]],
+        on_last_day=True,
     )
     return _doubles(form_101(balance, turnover, v.accounts, v.currencies, v.ledger_accounts, *JANUARY))
 
@@ -324,22 +455,11 @@ def _build_form_101(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _form_101_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report for seven years. Balances are worked out for its two days only."""
-    v, warehouse = BankViews(spark, sf_dir), _warehouse(spark)
-    rates_by_day = day_rates(v.currencies, v.exchange_rates, BEFORE_HISTORY, HISTORY[1])
-    turnover = account_turnover(v.postings, v.accounts, rates_by_day, *HISTORY)
-    warehouse.publish(turnover, "dm", jobs.TURNOVER_MART)
-    stored = warehouse.read("dm", jobs.TURNOVER_MART)
-    balance = account_balance(
-        v.opening_balances(BEFORE_HISTORY),
-        stored,
-        v.accounts,
-        rates_by_day,
-        *HISTORY,
-        with_opening_day=True,
-        on_days=[BEFORE_HISTORY, HISTORY[1]],
-    )
-    return _doubles(form_101(balance, stored, v.accounts, v.currencies, v.ledger_accounts, *HISTORY))
+    """The report for seven years, from marts that were calculated and published."""
+    warehouse = _loaded(spark, sf_dir, BEFORE_HISTORY)
+    jobs.calculate_period(warehouse, *HISTORY)
+    jobs.build_form_101(warehouse, *HISTORY)
+    return _doubles(warehouse.read("dm", jobs.REPORT_MART))
 
 
 # Duplicates
@@ -382,6 +502,20 @@ def _assert_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(verdicts, "table_name string, is_unique boolean")
 
 
+def _declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose keys were declared: the rows live, and the keys a refused publish repeated."""
+    warehouse = _warehouse(spark)
+    customers = BankViews(spark, sf_dir).table("customer").select("c_custkey", "c_nationkey")
+    warehouse.declare_keys("dm", "customers", ["c_custkey"])
+    warehouse.publish(customers, "dm", "customers")
+    try:
+        warehouse.publish(customers.unionByName(customers.filter("c_nationkey = 3")), "dm", "customers")
+    except DuplicateKeys:
+        pass
+    repeated = warehouse.read("dm", "customers_duplicates")
+    return warehouse.read("dm", "customers").join(repeated, "c_custkey", "left")
+
+
 # Missing periods
 
 
@@ -459,7 +593,7 @@ def _etl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_logged(warehouse, "customers", lambda: warehouse.publish(customers, "ds", "customers"))
     run_logged(warehouse, "unnamed", lambda: warehouse.publish(unnamed, "ds", "unnamed"))
     try:
-        run_logged(warehouse, "clients", lambda: jobs.full_reload(warehouse, clients, "clients", ["text"]))
+        run_logged(warehouse, "clients", lambda: warehouse.publish(clients, "dm", "clients", keys=["text"]))
     except DuplicateKeys:
         pass
     return etl_log(warehouse).select(
@@ -467,6 +601,31 @@ def _etl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _exchange_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of an export, its import, a refused import, a failed export and a reload."""
+    warehouse, customers = _warehouse(spark), BankViews(spark, sf_dir).table("customer")
+    jobs.publish(warehouse, customers.select("c_custkey", "c_name"), "dm", "customers")
+    path = new_folder(spark, "csv")
+    jobs.export_mart(warehouse, "customers", path)
+    schema = warehouse.read("dm", "customers").schema
+    jobs.import_csv_new_table(warehouse, path, schema, "customers_again")
+    spoiled = customers.select("c_custkey", F.lit("\\N").alias("c_name"))
+    jobs.full_reload(warehouse, spoiled, "spoiled", ["c_custkey"])
+    for refused in (
+        lambda: jobs.import_csv_new_table(warehouse, path, schema, "customers_again"),
+        lambda: jobs.export_mart(warehouse, "spoiled", path),
+    ):
+        try:
+            refused()
+        except Exception:  # the log tells
+            pass
+    kept = read_csv(spark, path, schema).count()  # the failed export left the earlier files
+    return etl_log(warehouse).select(
+        "task", "rows_affected", "status", F.col("error_text").isNotNull().alias("has_error"),
+        F.lit(kept).cast("long").alias("rows_in_files"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The period report on the smallest tables."""
     return _form_101(spark, "/root/testdata/sf0.001")
@@ -480,6 +639,7 @@ def bank_queries() -> dict[str, Query]:
     return {
         "read_csv_landing": _landing,
         "load_six_files": _load_six_files,
+        "moved_postings": _moved_postings,
         "csv_roundtrip": _csv_roundtrip,
         "reimport_diff": _reimport_diff,
         "load_snapshot": _load_snapshot,
@@ -490,6 +650,8 @@ def bank_queries() -> dict[str, Query]:
         "upsert_measured_source": _upsert(small_source=None),
         "rate_as_of": _rate_as_of(None),
         "rate_as_of_by_month": _rate_as_of(False),
+        "rate_as_of_open": _open_rates(None),
+        "rate_as_of_open_by_month": _open_rates(False),
         "second_order_account": _second_order,
         "currency_bucket": _bucket,
         "account_day_grid": _grid,
@@ -498,6 +660,10 @@ def bank_queries() -> dict[str, Query]:
         "account_balance": _balance,
         "balance_spans_history": _spans,
         "calculate_period": _calculate_period,
+        "calculate_period_history": _calculate_history,
+        "corrected_opening": _corrected_opening,
+        "unbooked_movements": _unbooked,
+        "form_101_short_lived": _form_101_short_lived,
         "form_101": _form_101,
         "form_101_history": _form_101_history,
         "build_form_101": _build_form_101,
@@ -506,6 +672,7 @@ def bank_queries() -> dict[str, Query]:
         "removed_duplicates": _remove_duplicates(kept=False),
         "refresh_client": _refresh_client,
         "assert_unique": _assert_unique,
+        "declared_keys": _declared_keys,
         "missing_in_mart": _missing,
         "find_period_gaps": _gaps,
         "refresh_loan_holiday": _refresh_loan_holiday,
@@ -519,6 +686,7 @@ def bank_queries() -> dict[str, Query]:
         "rebuild_balance_turnover": _rebuild,
         "refresh_balance_turnover": _refresh_balance_turnover,
         "etl_log": _etl_log,
+        "exchange_log": _exchange_log,
     }
 
 
@@ -551,7 +719,7 @@ legs AS (
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
 
 
-def _turnover_cte(first: str, last: str) -> str:
+def _turnover_cte(first: str, last: str, only: str = "TRUE") -> str:
     return f"""
 turnover AS (
   SELECT on_date, account_id, any_value(characteristic) AS characteristic,
@@ -560,7 +728,7 @@ turnover AS (
          sum(CAST(credit AS DECIMAL(24,2)) * CASE WHEN is_home THEN 1 ELSE rate END) AS credit_home
   FROM legs JOIN accounts USING (account_id)
   LEFT JOIN rates ON rates.currency_id = accounts.currency_id AND on_date BETWEEN date_from AND date_to
-  WHERE on_date BETWEEN DATE '{first}' AND DATE '{last}'
+  WHERE on_date BETWEEN DATE '{first}' AND DATE '{last}' AND {only}
   GROUP BY on_date, account_id)"""
 
 
@@ -588,7 +756,22 @@ def _marts(day_before: str, first: str, last: str) -> str:
     return "WITH " + ",".join(parts)
 
 
-def _report_sql(day_before: str, first: str, last: str) -> str:
+_OPEN = "(account_id % 10 <> 1 OR on_date >= DATE '1997-01-10')"
+_SHORT_LIVED = f"{_OPEN} AND (account_id % 10 <> 2 OR on_date <= DATE '1997-01-20')"
+
+
+def _report_sql(day_before: str, first: str, last: str, short_lived: bool = False) -> str:
+    """``short_lived``: every tenth account opens on the 10th, every tenth closes on the 20th."""
+    marts, closing = _marts(day_before, first, last), f"DATE '{last}'"
+    if short_lived:
+        accounts = _ACCOUNTS.replace(
+            "CAST(c_acctbal AS DECIMAL(18,2)) AS opening",
+            "CASE WHEN c_custkey % 10 = 1 THEN 0 ELSE CAST(c_acctbal AS DECIMAL(18,2)) END AS opening",
+        )
+        turnover = _turnover_cte(first, last, _SHORT_LIVED)
+        marts = "WITH " + ",".join([accounts, _RATES, _LEGS, turnover, _balance_cte(day_before, last)])
+        closing = f"CASE WHEN a.account_id % 10 = 2 THEN DATE '1997-01-20' ELSE DATE '{last}' END"
+
     def figures(name: str, amount: str) -> str:
         by_bucket = [
             f"CAST(round(sum(CASE WHEN {cond} THEN {amount} ELSE 0 END), 2) AS DECIMAL(24,2)) AS {name}_{bucket}"
@@ -602,12 +785,12 @@ def _report_sql(day_before: str, first: str, last: str) -> str:
         f"CAST({n}_rub + {n}_val AS DOUBLE) AS {n}_total"
         for n in names
     )
-    return f"""{_marts(day_before, first, last)},
+    return f"""{marts},
 per_account AS (
   SELECT a.*,
     (SELECT balance_home FROM valued v WHERE v.account_id = a.account_id AND on_date = DATE '{day_before}') AS b_in,
     coalesce(t.deb, 0) AS deb, coalesce(t.cre, 0) AS cre,
-    (SELECT balance_home FROM valued v WHERE v.account_id = a.account_id AND on_date = DATE '{last}') AS b_out
+    (SELECT balance_home FROM valued v WHERE v.account_id = a.account_id AND on_date = {closing}) AS b_out
   FROM accounts a LEFT JOIN (
     SELECT account_id, sum(debit_home) AS deb, sum(credit_home) AS cre FROM turnover GROUP BY account_id) t
   ON t.account_id = a.account_id),
@@ -698,6 +881,12 @@ def bank_sql() -> dict[str, str]:
     january, two_months = ("1996-12-31", "1997-01-01", "1997-01-31"), ("1996-12-31", "1997-01-01", "1997-02-28")
     history = ("1994-12-31", "1995-01-01", "2001-12-31")
     history_turnover = "WITH " + ",".join([_ACCOUNTS, _RATES, _LEGS, _turnover_cte(*history[1:])])
+    open_rates = f"""WITH {_RATES}
+SELECT o_orderkey, CAST(o_custkey % 25 AS INTEGER) AS currency_id, CAST(o_orderdate AS DATE) AS on_date,
+       CAST(rate AS DOUBLE) AS rate
+FROM orders LEFT JOIN rates ON rates.currency_id = o_custkey % 25 AND date_from <= DATE '1996-07-01'
+  AND CAST(o_orderdate AS DATE) >= date_from
+  AND (CAST(o_orderdate AS DATE) <= date_to OR date_from = DATE '1996-07-01')"""
     return {
         "read_csv_landing": """
 SELECT CASE WHEN bad THEN NULL ELSE o_orderkey END AS o_orderkey,
@@ -706,17 +895,62 @@ SELECT CASE WHEN bad THEN NULL ELSE o_orderkey END AS o_orderkey,
        CASE WHEN bad THEN o_orderkey || ',unknown,' || o_orderpriority END AS raw_row,
        CASE WHEN bad THEN 'does not fit the schema' END AS reason
 FROM (SELECT *, o_orderpriority = '1-URGENT' AS bad FROM orders)""",
-        "load_six_files": """
-WITH sizes AS (
-  SELECT 'accounts' AS table_name, count(*) AS n FROM customer
-  UNION ALL SELECT 'opening_balances', count(*) FROM customer
-  UNION ALL SELECT 'currencies', count(*) FROM nation
-  UNION ALL SELECT 'exchange_rates', 85 * count(*) FROM nation WHERE n_regionkey <> 0
-  UNION ALL SELECT 'ledger_accounts', count(DISTINCT c_mktsegment) FROM customer
-  UNION ALL SELECT 'postings', count(*) FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
-SELECT table_name, CAST(1 AS INTEGER) AS load_number, n AS total_rows, n AS inserted, 0 AS unchanged FROM sizes
-UNION ALL
-SELECT table_name, 2, n, 0, n FROM sizes WHERE table_name = 'accounts'""",
+        "load_six_files": f"""WITH {_ACCOUNTS}, {_RATES},
+postings AS (
+  SELECT o_orderkey AS posting_id, CAST(o_orderdate AS DATE) AS on_date, o_custkey,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+  FROM orders)
+SELECT 'accounts' AS table_name, 'row' AS kind,
+       concat_ws('|', account_id, currency_id, characteristic, ledger2, '1990-01-01', '2050-12-31') AS "row"
+FROM accounts
+UNION ALL SELECT 'opening_balances', 'row', concat_ws('|', account_id, '1994-12-31', opening)
+FROM accounts WHERE account_id % 50 <> 7
+UNION ALL SELECT 'opening_balances', 'reject', 'does not fit the schema'
+FROM accounts, generate_series(1, 2) WHERE account_id % 50 = 7
+UNION ALL SELECT 'currencies', 'row', concat_ws('|', n_nationkey, n_regionkey = 0) FROM nation
+UNION ALL SELECT 'exchange_rates', 'row', concat_ws('|', currency_id, date_from, date_to, rate) FROM rates
+UNION ALL SELECT DISTINCT 'ledger_accounts', 'row', ledger2 || '|' || upper(ledger2[1]) || lower(ledger2[2:]) FROM accounts
+UNION ALL SELECT 'postings', 'row', concat_ws('|', posting_id, on_date, o_custkey, o_custkey + 1, amount)
+FROM postings WHERE posting_id % 90 NOT IN (1, 2, 3)
+UNION ALL SELECT 'postings', 'reject',
+       CASE posting_id % 90 WHEN 1 THEN 'no amount' WHEN 2 THEN 'bad date: on_date' ELSE 'no on_date' END
+FROM postings WHERE posting_id % 90 IN (1, 2, 3)""",
+        "moved_postings": """
+SELECT o_orderkey AS posting_id,
+       CAST(CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH
+                 ELSE CAST(o_orderdate AS DATE) END AS DATE) AS on_date,
+       o_custkey AS debit_account, o_custkey + 1 AS credit_account,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM orders""",
+        "rate_as_of_open": open_rates,
+        "rate_as_of_open_by_month": open_rates,
+        "calculate_period_history": f"""{_marts(*history)}
+SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
+       CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
+FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date
+WHERE t.debit IS NOT NULL OR (v.on_date = last_day(v.on_date) AND month(v.on_date) % 3 = 0)""",
+        "corrected_opening": f"""{_marts(*january)}
+SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
+       CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
+FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date""",
+        "unbooked_movements": f"""WITH {_ACCOUNTS}, {_LEGS}
+SELECT account_id, on_date, CAST(sum(debit) AS DOUBLE) AS debit, CAST(sum(credit) AS DOUBLE) AS credit,
+       'outside validity' AS reason
+FROM legs JOIN accounts USING (account_id)
+WHERE on_date BETWEEN DATE '1997-01-01' AND DATE '1997-01-31' AND NOT ({_SHORT_LIVED})
+GROUP BY account_id, on_date""",
+        "form_101_short_lived": _report_sql(*january, short_lived=True),
+        "declared_keys": """
+SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 3 THEN 2 END AS n FROM customer""",
+        "exchange_log": """
+WITH size AS (SELECT count(*) AS n FROM customer)
+SELECT t.task, CASE WHEN t.failed THEN 0 ELSE n END AS rows_affected,
+       CASE WHEN t.failed THEN 'ERROR' ELSE 'SUCCESS' END AS status, t.failed AS has_error, n AS rows_in_files
+FROM size, (VALUES ('publish dm.customers all', false), ('export dm.customers', false),
+                   ('import dm.customers_again', false), ('reload dm.spoiled', false),
+                   ('import dm.customers_again', true), ('export dm.spoiled', true)) AS t(task, failed)""",
         "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "reimport_diff": """
 SELECT c_custkey, CASE c_nationkey WHEN 3 THEN 'removed' WHEN 5 THEN 'changed' ELSE 'same' END AS status

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from saldomart import schemas
 from saldomart.functions.dates import DATE_FORMATS
-from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.duplicates import assert_unique, remove_duplicates
 from saldomart.operators.merge import latest_per_key, stored_and_measured, table_diff, take_over
 from saldomart.operators.periods import find_period_gaps, missing_in_mart
@@ -22,13 +21,22 @@ from saldomart.operators.repair import find_mismatches, rebuild_balance_turnover
 from saldomart.plans.audit import run_logged
 from saldomart.plans.balance import account_balance
 from saldomart.plans.form101 import form_101
-from saldomart.plans.turnover import account_movements, account_turnover, require_rates
+from saldomart.plans.turnover import (
+    UnbookedMovements,
+    account_movements,
+    booked,
+    currency_days,
+    placed_movements,
+    require_rates,
+    valued_turnover,
+)
 from saldomart.sources.csv import export_csv, read_csv, read_csv_landing, read_csv_typed
-from saldomart.sources.tables import Published, Warehouse
+from saldomart.sources.tables import Published, Warehouse, empty_table
 
 TURNOVER_MART = "dm_account_turnover_f"
 BALANCE_MART = "dm_account_balance_f"
 REPORT_MART = "dm_f101_round_f"
+UNBOOKED = "dm_unbooked_f"  # movements that the marts leave out
 
 
 @dataclass(frozen=True)
@@ -173,84 +181,117 @@ def _inputs(warehouse: Warehouse) -> dict[str, DataFrame]:
     return {n: warehouse.read("ds", n, schema=INPUT_TABLES[n].schema) for n in names}
 
 
+def _period_name(names: Sequence[str]) -> str:
+    return names[0] if len(names) == 1 else f"{names[0]} to {names[-1]}"
+
+
 def calculate_period(
-    warehouse: Warehouse, date_from: date, date_to: date, on_missing_rate: str = "error"
+    warehouse: Warehouse,
+    date_from: date,
+    date_to: date,
+    on_missing_rate: str = "error",
+    on_unbooked: str = "error",
 ) -> list[Published]:
-    """Turnovers and balances of whole months. Each mart takes one pass per month.
+    """Turnovers and balances of whole months, in one plan for each mart.
 
-    Months follow each other because a month opens with the balance the last one closed
-    with. The first month opens with the loaded balances.
+    The period opens with what the month before closed with, if that month was calculated,
+    and with the loaded balances of the day before otherwise. Movements on unknown accounts
+    or outside an account's validity are listed in ``dm_unbooked_f`` and stop the job; with
+    ``on_unbooked='skip'`` the marts go on without them.
     """
-    done = []
-    for first in _months(date_from, date_to):
-        done.append(
-            run_logged(
-                warehouse,
-                f"account turnover {first:%Y-%m}",
-                lambda first=first: _turnover_month(warehouse, first, on_missing_rate),
-            )
-        )
-        done.append(
-            run_logged(
-                warehouse,
-                f"account balance {first:%Y-%m}",
-                lambda first=first: _balance_month(warehouse, first, on_missing_rate),
-            )
-        )
-    return done
+    names = [f"{m:%Y-%m}" for m in _months(date_from, date_to)]
+    return [
+        run_logged(
+            warehouse,
+            f"account turnover {_period_name(names)}",
+            lambda: _turnover_months(warehouse, date_from, date_to, names, on_missing_rate, on_unbooked),
+        ),
+        run_logged(
+            warehouse,
+            f"account balance {_period_name(names)}",
+            lambda: _balance_months(warehouse, date_from, date_to, names, on_missing_rate),
+        ),
+    ]
 
 
-def _turnover_month(warehouse: Warehouse, first: date, on_missing_rate: str) -> Published:
+def _turnover_months(
+    warehouse: Warehouse, first: date, last: date, names: list[str], on_missing_rate: str, on_unbooked: str
+) -> Published:
     ds = _inputs(warehouse)
-    last = _last_day(first)
-    postings = warehouse.read("ds", "postings", [f"{first:%Y-%m}", "all"], schemas.POSTINGS)
+    postings = warehouse.read("ds", "postings", [*names, "all"], schemas.POSTINGS)
     rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
-    if on_missing_rate == "error":
-        used = account_movements(postings, first, last).join(ds["accounts"], "account_id")
-        require_rates(used, ds["accounts"], rates_by_day, first, last)
-    turnover = account_turnover(postings, ds["accounts"], rates_by_day, first, last, on_missing_rate)
-    return warehouse.publish(turnover, "dm", TURNOVER_MART, f"{first:%Y-%m}")
-
-
-def _balance_month(warehouse: Warehouse, first: date, on_missing_rate: str) -> Published:
+    month = _month("on_date")
+    with warehouse.stage("movements") as folder:
+        placed = placed_movements(account_movements(postings, first, last), ds["accounts"])
+        placed.write.parquet(f"{folder}/rows")  # one pass over the postings for all that follows
+        placed = warehouse.spark.read.schema(placed.schema).parquet(f"{folder}/rows")
+        unbooked = placed.filter("reason IS NOT NULL").drop("currency_id")
+        listed = warehouse.publish_periods(unbooked, "dm", UNBOOKED, month, names)
+        if listed.rows and on_unbooked == "error":
+            raise UnbookedMovements(f"{listed.rows} movements cannot be booked: see dm.{UNBOOKED}")
+        movements = booked(placed, "skip")
+        if on_missing_rate == "error":
+            require_rates(movements, rates_by_day)
+        turnover = valued_turnover(movements, rates_by_day, on_missing_rate)
+        return warehouse.publish_periods(turnover, "dm", TURNOVER_MART, month, names)
+
+
+def _opening_period(day: date) -> str:
+    return f"opening-{day:%Y-%m-%d}"
+
+
+def _balance_months(
+    warehouse: Warehouse, first: date, last: date, names: list[str], on_missing_rate: str
+) -> Published:
     ds = _inputs(warehouse)
-    last, before = _last_day(first), first - timedelta(days=1)
+    before = first - timedelta(days=1)
     earlier = f"{before:%Y-%m}"
-    movements = warehouse.read("dm", TURNOVER_MART, [f"{first:%Y-%m}"], schemas.ACCOUNT_TURNOVER)
+    movements = warehouse.read("dm", TURNOVER_MART, names, schemas.ACCOUNT_TURNOVER)
     by_day = ["on_date", "account_id"]  # the report and the next month read single days
-    opens = earlier not in warehouse.live("dm", BALANCE_MART)
-    start = before if opens else first
+    calculated = all(earlier in warehouse.live("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
+    if calculated:
+        opening = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE)
+    else:
+        opening = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
+        if opening.filter(F.col("on_date") == F.lit(before)).isEmpty():
+            raise LookupError(f"{earlier} is not calculated and ds.opening_balances has no rows for {before}")
+    start = first if calculated else before
     rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], start, last)
     if on_missing_rate == "error":
-        used = account_day_grid(ds["accounts"], start, last).join(ds["accounts"], "account_id")
-        require_rates(used, ds["accounts"], rates_by_day, start, last)
+        require_rates(currency_days(ds["accounts"], start, last), rates_by_day)
 
-    def balance(opening: DataFrame, on_days: Sequence[date] | None = None) -> DataFrame:
+    def balance(**days) -> DataFrame:
         return account_balance(
-            opening, movements, ds["accounts"], rates_by_day, first, last, on_missing_rate,
-            with_opening_day=on_days is not None, on_days=on_days,
+            opening, movements, ds["accounts"], rates_by_day, first, last, on_missing_rate, **days
         )
 
-    if opens:
-        loaded = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
-        warehouse.publish(balance(loaded, [before]), "dm", BALANCE_MART, earlier, sort_by=by_day)
-    opening = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE)
-    return warehouse.publish(balance(opening), "dm", BALANCE_MART, f"{first:%Y-%m}", sort_by=by_day)
+    done = warehouse.publish_periods(balance(), "dm", BALANCE_MART, _month("on_date"), names, sort_by=by_day)
+    if not calculated:
+        day = balance(with_opening_day=True, on_days=[before])
+        warehouse.publish(day, "dm", BALANCE_MART, _opening_period(before), sort_by=by_day)
+    # A day that a calculated month holds is no opening day of its own any more.
+    for period in warehouse.live("dm", BALANCE_MART):
+        if period.startswith("opening-"):
+            day = date.fromisoformat(period.removeprefix("opening-"))
+            if first <= day <= last or (calculated and day == before):
+                warehouse.publish(empty_table(warehouse.spark, schemas.ACCOUNT_BALANCE), "dm", BALANCE_MART, period)
+    return done
 
 
 def build_form_101(warehouse: Warehouse, date_from: date, date_to: date) -> Published:
     """Report on a period whose marts were calculated. Each period is kept on its own."""
     months = [f"{m:%Y-%m}" for m in _months(date_from, date_to)]
-    earlier = f"{date_from - timedelta(days=1):%Y-%m}"
+    before = date_from - timedelta(days=1)
 
     def build() -> Published:
-        for mart, needed in ((TURNOVER_MART, months), (BALANCE_MART, [earlier, *months])):
-            lacking = sorted(set(needed) - warehouse.live("dm", mart).keys())
-            if lacking:
-                raise LookupError(f"dm.{mart} lacks {', '.join(lacking)}")
+        turnovers, balances = (warehouse.live("dm", mart).keys() for mart in (TURNOVER_MART, BALANCE_MART))
+        lacking = sorted({*months} - (turnovers & balances))
+        opening = [p for p in (f"{before:%Y-%m}", _opening_period(before)) if p in balances]
+        if lacking or not opening:
+            raise LookupError(f"the marts lack {', '.join(lacking or [str(before)])}")
         ds = _inputs(warehouse)
         report = form_101(
-            warehouse.read("dm", BALANCE_MART, [earlier, months[-1]], schemas.ACCOUNT_BALANCE),
+            warehouse.read("dm", BALANCE_MART, [*opening, *months], schemas.ACCOUNT_BALANCE),
             warehouse.read("dm", TURNOVER_MART, months, schemas.ACCOUNT_TURNOVER),
             ds["accounts"], ds["currencies"], ds["ledger_accounts"], date_from, date_to,
         )

@@ -8,25 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldomart.functions.money import from_cents, to_cents, to_home_currency
+from saldomart.operators.calendar import valid_accounts
 from saldomart.operators.rates import MissingRate
 
 
-class UnknownAccount(ValueError):
-    """Postings name an account that the account table does not hold."""
+class UnbookedMovements(ValueError):
+    """Postings name an account that is not known, or not valid on their day."""
 
 
 def account_movements(postings: DataFrame, date_from: date, date_to: date) -> DataFrame:
     """``debit`` and ``credit`` per account and day, in account currency.
 
     Every posting is one leg on its debit and one on its credit account. The legs are
-    summed before the shuffle, so a busy account arrives as one row per task and day.
+    summed before the shuffle, so a busy account arrives as one row per task and day. A
+    posting without an amount is an error.
     """
+    no_amount = F.raise_error(F.concat(F.lit("posting without an amount on "), F.col("on_date").cast("string"))).cast("long")
     two_sides = F.stack(
         F.lit(2), F.lit(True), F.col("debit_account"), F.lit(False), F.col("credit_account")
     ).alias("is_debit", "account_id")
     legs = (
         postings.filter(F.col("on_date").between(F.lit(date_from), F.lit(date_to)))
-        .withColumn("_cents", to_cents(F.col("amount")))
+        .withColumn("_cents", F.when(F.col("amount").isNull(), no_amount).otherwise(to_cents(F.col("amount"))))
         .select("on_date", "_cents", two_sides)
     )
 
@@ -38,34 +41,45 @@ def account_movements(postings: DataFrame, date_from: date, date_to: date) -> Da
     )
 
 
-def unknown_accounts(movements: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Movements on accounts that the account table does not hold."""
-    return movements.join(accounts.select("account_id"), "account_id", "left_anti")
+def placed_movements(movements: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Movements with the ``currency_id`` of their account and a ``reason`` where they cannot be booked.
+
+    The reason is ``unknown account`` or ``outside validity``, and NULL on all others.
+    """
+    known = accounts.select("account_id", "currency_id", "valid_from", "valid_to", F.lit(True).alias("_known"))
+    on_date = F.col("on_date")
+    valid = on_date.between(F.coalesce("valid_from", on_date), F.coalesce("valid_to", on_date))
+    reason = F.when(F.col("_known").isNull(), "unknown account").when(~valid, "outside validity")
+    return movements.join(known, "account_id", "left").select(*movements.columns, "currency_id", reason.alias("reason"))
+
+
+def unbooked_movements(movements: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Movements that turnover and balance leave out, with the reason."""
+    return placed_movements(movements, accounts).filter("reason IS NOT NULL").drop("currency_id")
 
 
-def require_rates(
-    used: DataFrame, accounts: DataFrame, rates_by_day: DataFrame, date_from: date, date_to: date
-) -> None:
+def require_rates(used: DataFrame, rates_by_day: DataFrame) -> None:
     """Raise with the list of currencies and days in ``used`` that lack a rate.
 
-    Jobs call this first, to report all gaps at once; the plans alone stop at the first.
-    ``used`` is read only if some currency of the accounts lacks a rate on some day. The
-    list is bounded by currencies x days.
+    ``used`` has currency_id and on_date. Jobs call this first, to report all gaps at once;
+    the plans alone stop at the first. The list is bounded by currencies x days.
     """
-    days = F.explode(F.sequence(F.lit(date_from), F.lit(date_to), F.expr("interval 1 day")))
     pair = ["currency_id", "on_date"]
-    possible = (
-        accounts.select("currency_id")
-        .distinct()
-        .withColumn("on_date", days)
-        .join(rates_by_day.select(*pair), pair, "left_anti")
-    )
-    if possible.isEmpty():
-        return
-    gaps = used.select(*pair).distinct().join(possible, pair, "left_semi").orderBy("on_date", "currency_id").collect()
-    if gaps:
-        pairs = ", ".join(f"({g['currency_id']}, {g['on_date']})" for g in gaps)
-        raise MissingRate(f"no rate for {len(gaps)} pairs of currency and day: {pairs}")
+    gaps = used.select(*pair).distinct().join(rates_by_day.select(*pair), pair, "left_anti")
+    found = gaps.orderBy("on_date", "currency_id").collect()
+    if found:
+        pairs = ", ".join(f"({g['currency_id']}, {g['on_date']})" for g in found)
+        raise MissingRate(f"no rate for {len(found)} pairs of currency and day: {pairs}")
+
+
+def currency_days(accounts: DataFrame, date_from: date, date_to: date) -> DataFrame:
+    """Currencies and the days of the period on which one of their accounts is valid.
+
+    Accounts are reduced to the distinct intervals of their currency before days are listed.
+    """
+    intervals = valid_accounts(accounts, date_from, date_to).select("currency_id", "first_day", "last_day").distinct()
+    days = F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day")))
+    return intervals.select("currency_id", days.alias("on_date")).distinct()
 
 
 def with_day_rate(df: DataFrame, rates_by_day: DataFrame, on_missing_rate: str = "error") -> DataFrame:
@@ -92,27 +106,33 @@ def account_turnover(
     date_from: date,
     date_to: date,
     on_missing_rate: str = "error",
-    on_unknown_account: str = "error",
+    on_unbooked: str = "error",
 ) -> DataFrame:
     """One row per account and day with a movement: account currency and home currency.
 
-    ``rates_by_day`` comes from ``day_rates``. Accounts and rates are joined to the daily sums and not to the postings; a day has
-    one rate, so the home value is the same. ``on_unknown_account='skip'`` leaves out
-    what ``unknown_accounts`` reports.
+    ``rates_by_day`` comes from ``day_rates``. Accounts and rates are joined to the daily
+    sums and not to the postings; a day has one rate, so the home value is the same.
+    ``on_unbooked='skip'`` leaves out what ``unbooked_movements`` reports.
     """
-    if on_unknown_account not in ("error", "skip"):
-        raise ValueError(f"on_unknown_account {on_unknown_account!r} is not 'error' or 'skip'")
-    movements = account_movements(postings, date_from, date_to)
-    known = accounts.select("account_id", "currency_id", F.lit(True).alias("_known"))
-    if on_unknown_account == "skip":
-        placed = movements.join(known, "account_id")
-    else:
-        message = F.concat(F.lit("posting on unknown account "), F.coalesce(F.col("account_id").cast("string"), F.lit("NULL")))
-        placed = movements.join(known, "account_id", "left").withColumn(
-            "currency_id",
-            F.when(F.col("_known").isNull(), F.raise_error(message).cast("int")).otherwise(F.col("currency_id")),
-        )
-    rated = with_day_rate(placed, rates_by_day, on_missing_rate)
+    placed = placed_movements(account_movements(postings, date_from, date_to), accounts)
+    return valued_turnover(booked(placed, on_unbooked), rates_by_day, on_missing_rate)
+
+
+def booked(placed: DataFrame, on_unbooked: str = "error") -> DataFrame:
+    """Movements without a reason against them. ``error`` stops at one with a reason."""
+    if on_unbooked not in ("error", "skip"):
+        raise ValueError(f"on_unbooked {on_unbooked!r} is not 'error' or 'skip'")
+    if on_unbooked == "skip":
+        return placed.filter("reason IS NULL")
+    account = F.coalesce(F.col("account_id").cast("string"), F.lit("NULL"))
+    where = F.concat(F.lit("posting on "), F.col("reason"), F.lit(": "), account, F.lit(" on "), F.col("on_date").cast("string"))
+    stop = F.when(F.col("reason").isNotNull(), F.raise_error(where).cast("int")).otherwise(F.col("currency_id"))
+    return placed.withColumn("currency_id", stop)
+
+
+def valued_turnover(movements: DataFrame, rates_by_day: DataFrame, on_missing_rate: str = "error") -> DataFrame:
+    """Daily sums with their currency as rows of the turnover mart."""
+    rated = with_day_rate(movements, rates_by_day, on_missing_rate)
     return rated.select(
         "on_date",
         "account_id",

@@ -5,12 +5,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from bank import ACCOUNTS, BEFORE, EUR, JAN, OPENING, POSTINGS, ROWS, d, publish_inputs, table
+from bank import ACCOUNTS, BEFORE, EUR, JAN, OPENING, POSTINGS, RATES, ROWS, USD, d, publish_inputs, table
 from saldomart import schemas
 from saldomart.operators.duplicates import DuplicateKeys
 from saldomart.operators.rates import MissingRate
 from saldomart.plans import jobs
 from saldomart.plans.audit import etl_log, run_logged
+from saldomart.plans.turnover import UnbookedMovements
 from saldomart.sources.csv import export_csv
 from test_marts import day_by_day
 
@@ -181,6 +182,62 @@ def test_missing_rates_are_listed(spark, warehouse):
     jobs.calculate_period(warehouse, *JAN, on_missing_rate="one")
 
 
+def test_a_corrected_opening_reaches_the_balances(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, *JAN)
+    corrected = [(10, BEFORE, Decimal("500.00")), *OPENING[1:]]
+    warehouse.publish(table(spark, "opening_balances", corrected), "ds", "opening_balances")
+    jobs.calculate_period(warehouse, *JAN)
+    found = {(r["account_id"], r["on_date"]): r["balance"] for r in warehouse.read("dm", jobs.BALANCE_MART).collect()}
+    expected = day_by_day(ACCOUNTS, corrected, POSTINGS, *JAN)
+    assert found == {**{(a, on): b for a, on, b in corrected}, **expected}
+
+
+def test_a_skipped_month_is_named(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, *JAN)
+    with pytest.raises(LookupError, match="2018-02 is not calculated .* 2018-02-28"):
+        jobs.calculate_period(warehouse, d(1, 3), d(31, 3))
+
+
+def test_a_calculated_month_takes_over_its_opening_day(spark, warehouse):
+    december = (8, date(2017, 12, 5), 10, 11, Decimal("1.00"))
+    rates = [(USD, date(2017, 11, 1), date(2017, 11, 30), Decimal("56.000000")), *RATES]
+    publish_inputs(spark, warehouse, postings=[*POSTINGS, december], exchange_rates=rates,
+                   opening_balances=[*OPENING, *[(a, date(2017, 11, 30), b) for a, _, b in OPENING]])
+    jobs.calculate_period(warehouse, *JAN)
+    jobs.calculate_period(warehouse, date(2017, 12, 1), BEFORE)
+    days = warehouse.read("dm", jobs.BALANCE_MART).groupBy("account_id", "on_date").count().filter("count > 1")
+    assert days.count() == 0
+    jobs.build_form_101(warehouse, *JAN)
+
+
+def test_movements_that_cannot_be_booked_are_listed(spark, warehouse):
+    late = [*POSTINGS, (8, d(25), 21, 10, Decimal("17.00")), (9, d(2), 999, 10, Decimal("1.00"))]
+    publish_inputs(spark, warehouse, postings=late)
+    with pytest.raises(UnbookedMovements, match="2 movements cannot be booked: see dm.dm_unbooked_f"):
+        jobs.calculate_period(warehouse, *JAN)
+    listed = {(r["account_id"], r["on_date"], r["reason"]) for r in warehouse.read("dm", jobs.UNBOOKED).collect()}
+    assert listed == {(21, d(25), "outside validity"), (999, d(2), "unknown account")}
+    jobs.calculate_period(warehouse, *JAN, on_unbooked="skip")
+    jobs.build_form_101(warehouse, *JAN)
+    for r in warehouse.read("dm", jobs.REPORT_MART).collect():
+        change = r["turn_deb_rub"] - r["turn_cre_rub"]
+        assert r["balance_in_rub"] + (change if r["characteristic"] == "A" else -change) == r["balance_out_rub"]
+
+
+def test_jobs_of_a_calculation_do_not_follow_the_months(spark, warehouse):
+    publish_inputs(spark, warehouse)
+
+    def jobs_for(last, name):
+        spark.sparkContext.setJobGroup(name, name)
+        jobs.calculate_period(warehouse, JAN[0], last)
+        spark.sparkContext.setJobGroup("other", "other")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs_for(d(31, 3), "three months") <= jobs_for(d(31), "one month") + 4
+
+
 def test_unused_currency_needs_no_rate(spark, warehouse):
     publish_inputs(spark, warehouse, accounts=[*ACCOUNTS, (40, EUR, "A", "30110", date(2016, 1, 1), date(2016, 2, 1))])
     jobs.calculate_period(warehouse, *JAN)
@@ -188,7 +245,7 @@ def test_unused_currency_needs_no_rate(spark, warehouse):
 
 def test_report_job(spark, warehouse):
     publish_inputs(spark, warehouse)
-    with pytest.raises(LookupError, match="lacks 2018-01"):
+    with pytest.raises(LookupError, match="the marts lack 2018-01"):
         jobs.build_form_101(warehouse, *JAN)
     jobs.calculate_period(warehouse, JAN[0], FEB[1])
     jobs.build_form_101(warehouse, *JAN)

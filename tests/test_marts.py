@@ -10,7 +10,7 @@ from saldomart.operators.ledger import second_order_account
 from saldomart.operators.rates import day_rates
 from saldomart.plans.balance import account_balance, balance_spans
 from saldomart.plans.form101 import form_101
-from saldomart.plans.turnover import account_movements, account_turnover, unknown_accounts
+from saldomart.plans.turnover import account_movements, account_turnover, unbooked_movements
 
 
 def rates_by_day(spark, first=BEFORE, last=JAN[1]):
@@ -55,8 +55,8 @@ def test_unknown_accounts(spark):
     postings = [*POSTINGS, (8, d(2), 999, 10, Decimal("1.00")), (9, d(3), 10, None, Decimal("1.00"))]
     with pytest.raises(Exception, match="unknown account"):
         turnover(spark, postings).collect()
-    assert turnover(spark, postings, on_unknown_account="skip").filter("account_id not in (10, 11, 20, 21)").count() == 0
-    reported = unknown_accounts(account_movements(table(spark, "postings", postings), *JAN), table(spark, "accounts"))
+    assert turnover(spark, postings, on_unbooked="skip").filter("account_id not in (10, 11, 20, 21)").count() == 0
+    reported = unbooked_movements(account_movements(table(spark, "postings", postings), *JAN), table(spark, "accounts"))
     assert {r["account_id"] for r in reported.collect()} == {999, None}
 
 
@@ -161,7 +161,7 @@ def test_report(spark):
     assert foreign["balance_in_val"] == D("571.23")
     assert foreign["turn_deb_val"] == D("430.22")
     assert foreign["balance_out_val"] == D("799.80")
-    assert rows["30110", "P"]["balance_out_val"] == D(0)
+    assert rows["30110", "P"]["balance_out_val"] == D("199.80")  # closed on the 20th, its last balance
     for row in rows.values():
         sign = 1 if row["characteristic"] == "A" else -1
         for name in ("balance_in", "turn_deb", "turn_cre", "balance_out"):
@@ -182,7 +182,7 @@ def test_postings_are_read_once_for_both_marts(spark):
     both = form_101(
         account_balance(
             t["opening_balances"], movements, t["accounts"], rates_by_day(spark), *JAN,
-            with_opening_day=True, on_days=[BEFORE, d(31)],
+            with_opening_day=True, on_days=[BEFORE, d(31)], on_last_day=True,
         ),
         movements, t["accounts"], t["currencies"], t["ledger_accounts"], *JAN,
     )
