@@ -26,9 +26,11 @@ _END = "\r\n\r\n"
 _VERSION = "WARC/1.0"
 _DATE = "1970-01-01T00:00:00Z"  # pages carry no date
 
+_ORDER = ("record_id", "digest")  # of the records of an archive; rows equal in both are equal
+
 
 def page_records(pages: DataFrame, records: int = ARCHIVE_RECORDS) -> DataFrame:
-    """Pages as records of archives: archive, ordinal, record_id, record and n_bytes.
+    """Pages as records of archives: archive, record_id, record, and a digest that orders equal ids.
 
     An archive holds the pages of ``records`` consecutive page_ids, in their order. Pages
     without an id go to archives of their own, by the hash of what they hold. NULL url or
@@ -48,22 +50,17 @@ def page_records(pages: DataFrame, records: int = ARCHIVE_RECORDS) -> DataFrame:
         F.lit("Content-Type: text/html"),
         F.concat(F.lit("Content-Length: "), F.octet_length(html).cast("string"), F.lit(_END), html),
     ]
-    record = F.concat_ws("\r\n", *lines)
-    order = Window.partitionBy("archive").orderBy("page_id", "digest")
-    return (
-        pages.select(
-            archive.cast("long").alias("archive"), page_id.alias("page_id"), digest.alias("digest"), record.alias("record")
-        )
-        .withColumn("record_id", F.coalesce("page_id", "digest"))
-        .withColumn("n_bytes", F.octet_length("record").cast("long"))
-        .withColumn("ordinal", F.row_number().over(order).cast("long") - 1)
-        .select("archive", "ordinal", "record_id", "record", "n_bytes")
+    return pages.select(
+        archive.cast("long").alias("archive"),
+        F.coalesce(page_id, digest).alias("record_id"),
+        digest.alias("digest"),
+        F.concat_ws("\r\n", *lines).alias("record"),
     )
 
 
 def write_warc(records: DataFrame, path: str) -> None:
     """One compressed file per archive, records in their order, each ended by two line breaks."""
-    ordered = records.repartition("archive").sortWithinPartitions("archive", "ordinal")
+    ordered = records.repartition("archive").sortWithinPartitions("archive", *_ORDER)
     ordered.select("archive", "record").write.partitionBy("archive").option("lineSep", _END).option(
         "compression", "gzip"
     ).text(path)
@@ -126,10 +123,14 @@ def warc_leaves(spark: SparkSession, path: str) -> DataFrame:
 
 def record_leaves(records: DataFrame) -> DataFrame:
     """The same for records that are still rows: their places in the files to come."""
-    hashed = records.select("archive", "ordinal", "record_id", "n_bytes", F.sha2("record", 256).alias("hash"))
-    before = Window.partitionBy("archive").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    hashed = records.select(
+        "archive", *_ORDER, F.octet_length("record").cast("long").alias("n_bytes"), F.sha2("record", 256).alias("hash")
+    )
+    order = Window.partitionBy("archive").orderBy(*_ORDER, "hash")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum(F.col("n_bytes") + len(_END)).over(before), F.lit(0))
-    return hashed.withColumn("record_offset", offset).select(*_LEAVES.names)
+    ordinal = F.row_number().over(order).cast("long") - 1
+    return hashed.withColumns({"record_offset": offset, "ordinal": ordinal}).select(*_LEAVES.names)
 
 
 def _parents(nodes: DataFrame, fanout: int) -> DataFrame:
