@@ -120,4 +120,128 @@ SELECT m.archive, m.page_id AS record_id,
 FROM master m LEFT JOIN replica r USING (page_id)
 WHERE r.page_id IS NULL OR m.page_id % 97 = 5 OR r.replica_offset <> m.record_offset"""
 
-ORACLE_SQL: dict[str, str] = {"op6_warc_fixity": _WARC_SQL}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_NORMAL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+_RULES_SQL = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 4], ' ')) AS word_window
+  FROM split, unnest(generate_series(1, len(w) - 4)) AS t(i)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, word_window) > 1), generate_series(0, 4) AS s(k)
+  GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, stratum, len(w) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         length(text) - length(replace(text, '!', '')) AS n_exclamations,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN repeated USING (doc_id)),
+levelled AS (
+  SELECT *, floor(100 * n_symbols / greatest(word_chars, 1)) AS symbols,
+         floor(100 * n_exclamations / greatest(word_chars, 1)) AS exclamations,
+         floor(100 * n_dup_lines / greatest(n_lines, 1)) AS duplicate_lines,
+         floor(100 * n_repeat_words / greatest(n_words, 1)) AS repeated_words,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM counted),
+ruled AS (
+  UNPIVOT (SELECT doc_id, stratum, symbols, exclamations, duplicate_lines, repeated_words FROM levelled)
+  ON symbols, exclamations, duplicate_lines, repeated_words INTO NAME rule VALUE level),
+rows_by_level AS (
+  SELECT stratum, rule, least(level, 100) AS level,
+         count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad
+  FROM ruled JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id)
+  USING (doc_id) GROUP BY ALL),
+rejecting AS (
+  SELECT *, sum(n_good) OVER from_top AS k, sum(n_bad) OVER from_top AS bad,
+         sum(n_good) OVER (PARTITION BY stratum, rule) AS n,
+         (SELECT count(DISTINCT stratum) FROM rows_by_level) AS strata
+  FROM rows_by_level WINDOW from_top AS (PARTITION BY stratum, rule ORDER BY level DESC)),
+safe AS (
+  SELECT *, bad - 4 * k AS use
+  FROM rejecting
+  WHERE level > 0 AND k < n * 0.005 AND bad > 4 * k AND 0.05 / (4 * strata) >= (
+    SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995)))
+    FROM generate_series(0, CAST(k AS BIGINT)) AS s(i))),
+cutoffs AS (
+  SELECT stratum, rule, level AS cutoff FROM safe
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY use DESC, level DESC) = 1),
+rejected AS (
+  SELECT DISTINCT doc_id FROM ruled JOIN cutoffs USING (stratum, rule) WHERE level >= cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM levelled"""
+
+_CONTAMINATION_SQL = f"""
+WITH docs AS (SELECT doc_id, {_NORMAL_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_NORMAL_WORDS} AS w FROM benchmark),
+patterns AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS pattern
+  FROM items, unnest(generate_series(1, greatest(1, len(w) - 9))) AS t(i) WHERE len(w) > 0),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS pattern
+  FROM docs, (SELECT DISTINCT n FROM patterns), unnest(generate_series(1, len(w) - n + 1)) AS t(i)),
+hits AS (SELECT doc_id, item_id, n, i FROM places JOIN patterns USING (n, pattern)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+_DEDUP_SQL = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS word_window
+  FROM docs, unnest(generate_series(1, len(w) - 49)) AS t(i)),
+later AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY word_window) < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS place FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+_JOIN_SQL = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+ngrams AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS ngram
+  FROM docs, unnest(generate_series(1, greatest(1, len(w) - 4))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM ngrams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM ngrams a JOIN ngrams b ON a.ngram = b.ngram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b, c.n = x.n AND c.n = y.n AS same
+  FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 5 * c.n >= 4 * (x.n + y.n - c.n)),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+found AS (SELECT a, count(*) AS n_links, count(*) FILTER (same) AS n, min(b) FILTER (same) AS copy FROM links GROUP BY a),
+lowest AS (SELECT a, min(b) AS low FROM reached GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, least(doc_id, coalesce(copy, doc_id)) AS rep_id,
+       1 + coalesce(n, 0) AS n_same, coalesce(n_links, 0) AS n_links
+FROM docs LEFT JOIN found ON found.a = doc_id LEFT JOIN lowest ON lowest.a = doc_id"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": _RULES_SQL,
+    "op6_warc_fixity": _WARC_SQL,
+    "op7_ngram_join": _JOIN_SQL,
+    "op8_decontamination": _CONTAMINATION_SQL,
+    "op9_substring_dedup": _DEDUP_SQL,
+}
