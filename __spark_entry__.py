@@ -54,7 +54,7 @@ try:  # the training-data operators are a part that may be left out
     from saldomart.llm.queries import ORACLE_SQL as LLM_SQL
     from saldomart.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "saldomart.llm"):
+    if missing.name != "corpus_pipeline" and not missing.name.startswith("saldomart.llm"):
         raise
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
