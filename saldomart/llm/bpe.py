@@ -10,6 +10,7 @@ would make this differ from merging one pair at a time; ``Vocabulary`` refuses s
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,16 +18,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from saldomart.llm.common import batch, sha256_hex, texts_of
 
 MAX_VOCABULARY = 1 << 20  # entries; what is sent to the executors is bounded by it
-CACHED_WORDS = 400_000  # distinct words that a worker remembers, older ones are worked out again
+CACHED_WORDS = 600_000  # distinct pieces that a worker remembers; beyond it starts anew
 _ENCODE_AT_ONCE = 50_000
 
 # Fixed values of the vocabulary's format: byte characters, word pieces, end of a word.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")  # the same, lower case
 _END = "</w>"
 NO_RANK = np.iinfo(np.int64).max
 
@@ -124,44 +127,59 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, vocabulary: Vocabulary)
 
 def words_of(piece: str) -> list[bytes]:
     """The vocabulary's words in a piece of text: composed, lower case, without white space."""
+    if piece.isascii():
+        return [w.encode() for w in _ASCII_WORDS.findall(piece.lower())]
     composed = unicodedata.normalize("NFC", piece)
-    lower = composed.lower() if composed.isascii() else "".join(c.lower() for c in composed)
+    # A capital sigma has one lower case here, wherever it stands.
+    lower = "".join(c.lower() for c in composed) if "\u03a3" in composed else composed.lower()
     return [w.encode() for w in _WORDS.findall(lower)]
 
 
-def encode_pieces(pieces: list[str], vocabulary: Vocabulary) -> list[np.ndarray]:
-    """Identifiers of each piece. A piece is text between blanks."""
-    words = [words_of(piece) for piece in pieces]
-    flat = [w for ws in words for w in ws]
-    data = np.frombuffer(b"".join(flat), np.uint8)
-    lengths = np.array([len(w) for w in flat], np.int64)
+def encode_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers of all words in a row, and where each word's identifiers begin and the last one's end."""
+    data = np.frombuffer(b"".join(words), np.uint8)
+    lengths = np.array([len(w) for w in words], np.int64)
     symbols = vocabulary.first[data]
     ends = np.cumsum(lengths) - 1
     symbols[ends] = vocabulary.last[data[ends]]
-    word, ids = merge_rounds(symbols, np.repeat(np.arange(len(flat)), lengths), vocabulary)
-    word_ends = np.searchsorted(word, np.cumsum([len(ws) for ws in words]))
-    return np.split(ids.astype("<u4"), word_ends[:-1]) if pieces else []
+    word, ids = merge_rounds(symbols, np.repeat(np.arange(len(words)), lengths), vocabulary)
+    return ids.astype("<u4"), np.searchsorted(word, np.arange(len(words) + 1))
 
 
-def decode(ids: np.ndarray, vocabulary: Vocabulary) -> bytes:
+def decode(ids: list[int], vocabulary: Vocabulary) -> bytes:
     """The text of identifiers: the file names no decoder, so tokens are joined by blanks."""
-    return b" ".join([vocabulary.tokens[i] for i in ids.tolist()])
+    return b" ".join([vocabulary.tokens[i] for i in ids])
 
 
 class Encoder:
-    """Encodes and decodes texts, remembering distinct pieces within a bound."""
+    """Encodes and decodes texts, remembering distinct words and pieces within a bound.
+
+    A piece is text between blanks or line breaks, which every word ends at.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.pieces: dict[str, tuple[bytes, bytes]] = {}
+        self.marks = vocabulary.special
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
-        self.marks = list(vocabulary.special)
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        for start in range(0, len(words), _ENCODE_AT_ONCE):
+            part = words[start : start + _ENCODE_AT_ONCE]
+            ids, bounds = encode_words(part, self.vocabulary)
+            data, numbers, at = ids.tobytes(), ids.tolist(), bounds.tolist()
+            for word, a, b in zip(part, at, at[1:]):
+                self.words[word] = data[4 * a : 4 * b], decode(numbers[a:b], self.vocabulary)
 
     def _learn(self, pieces: list[str]) -> None:
-        for start in range(0, len(pieces), _ENCODE_AT_ONCE):
-            part = pieces[start : start + _ENCODE_AT_ONCE]
-            for piece, ids in zip(part, encode_pieces(part, self.vocabulary)):
-                self.known[piece] = ids.tobytes(), decode(ids, self.vocabulary)
+        split = [words_of(piece) for piece in pieces]
+        self._learn_words(list({w for words in split for w in words}.difference(self.words)))
+        for piece, words in zip(pieces, split):
+            found = [self.words[w] for w in words]
+            if len(found) != 1:
+                found = [(b"".join([ids for ids, _ in found]), b" ".join([text for _, text in found]))]
+            self.pieces[piece] = found[0]
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """For each text its identifiers, little-endian, and their decoded text."""
@@ -169,24 +187,35 @@ class Encoder:
         for text in texts:
             if any(mark in text for mark in self.marks):
                 parts = self.special.split(text)  # every second part is a special token
-                split.append([p for i, x in enumerate(parts) for p in ([x] if i % 2 else x.split(" "))])
+                split.append([p for i, x in enumerate(parts) for p in ([x] if i % 2 else _pieces(x))])
             else:
-                split.append(text.split(" "))
-        for token, i in self.vocabulary.special.items():
-            self.known[token] = np.array([i], "<u4").tobytes(), self.vocabulary.tokens[i]
-        new = {p for pieces in split for p in pieces}.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {t: self.known[t] for t in self.marks}
-            new = {p for pieces in split for p in pieces}.difference(self.known)
-        self._learn(sorted(new))
+                split.append(_pieces(text))
+        new = {p for pieces in split for p in pieces}.difference(self.pieces)
+        if len(self.pieces) + len(new) > CACHED_WORDS:
+            self.pieces, self.words = {}, {}
+            new = {p for pieces in split for p in pieces}
+        self._learn(list(new))
+        for token, i in self.marks.items():
+            self.pieces[token] = np.array([i], "<u4").tobytes(), self.vocabulary.tokens[i]
         found = []
         for pieces in split:
-            pairs = [self.known[p] for p in pieces]
+            pairs = [self.pieces[p] for p in pieces]
             found.append((b"".join([a for a, _ in pairs]), b" ".join([b for a, b in pairs if a])))
         return found
 
 
-_encoders: dict[str, Encoder] = {}  # by vocabulary, kept by a worker from task to task
+def _pieces(text: str) -> list[str]:
+    return text.replace("\n", " ").split(" ")
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str, vocabulary: Broadcast) -> Encoder:
+    """The encoder of this worker, which keeps it from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(vocabulary.value)
+    return _encoders[path]
 
 
 ENCODED = pa.schema(
@@ -209,11 +238,10 @@ def bpe_encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
         schema = pa.schema([*ENCODED, ("ids", pa.list_(pa.int64())), ("decoded", pa.string())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(vocabulary.value)
+        encoder = _encoder(path, vocabulary)
         for whole in batches:
             for rows in (whole.slice(i, 1000) for i in range(0, whole.num_rows, 1000)):
-                found = _encoders[path].encode_batch(texts_of(rows.column(1)))
+                found = encoder.encode_batch(texts_of(rows.column(1)))
                 columns = [
                     rows.column(0),
                     [len(ids) // 4 for ids, _ in found],

@@ -6,7 +6,7 @@ import struct
 
 import pytest
 from cases import CASES, documents
-from saldomart.llm.bpe import Encoder, Vocabulary, bpe_encode, encode_pieces
+from saldomart.llm.bpe import Encoder, Vocabulary, bpe_encode, encode_words
 from saldomart.llm.queries import BYTE_TOKENIZER, TOKEN_LIMIT, WORD_TOKENIZER
 from saldomart.llm.token_counts import Counter, Merges, count_symbols, count_tokens
 from tokenizers import Tokenizer
@@ -37,11 +37,12 @@ def test_ids_and_decoded_text_equal_the_library(library):
         assert decoded.decode() == library[0].decode(expected.ids, skip_special_tokens=False)
 
 
-def test_pieces_in_a_batch_do_not_touch_each_other():
+def test_words_in_a_batch_do_not_touch_each_other():
     vocabulary = Vocabulary.load(WORD_TOKENIZER)
-    together = encode_pieces(["aaaa", "the", "", "aaaaa"], vocabulary)
-    assert [x.tolist() for x in together] == [encode_pieces([p], vocabulary)[0].tolist() for p in ("aaaa", "the", "", "aaaaa")]
-    assert together[2].tolist() == []
+    words = [b"aaaa", b"the", b"aaaaa", b"x"]
+    ids, bounds = encode_words(words, vocabulary)
+    together = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert together == [encode_words([w], vocabulary)[0].tolist() for w in words]
 
 
 def test_counts_equal_the_library(library):
