@@ -14,6 +14,7 @@ from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from saldomart.llm.common import batch, texts_of
@@ -23,8 +24,9 @@ MAX_MERGES = 1 << 20
 
 # Fixed values of the vocabulary's format.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# White space in front of a blank: there a text can't be taken apart at its blanks.
-_WIDE_GAP = re.compile(r"\s ")
+# Where white space stands alone, a text can be taken apart at blanks, which belong to the
+# word after them, and at line breaks, which are words of their own.
+_WIDE_GAP = re.compile(r"\s\s")
 
 
 class Merges:
@@ -113,11 +115,23 @@ class Counter:
             return 0
         if _WIDE_GAP.search(text):
             return self.first[text]
-        first, *rest = text.split(" ")
-        return (self.first[first] if first else 0) + sum(map(self.rest.__getitem__, rest))
+        lines = text.split("\n")
+        count = len(lines) - 1
+        for line in lines:
+            first, *rest = line.split(" ")
+            count += self.first[first] + sum(map(self.rest.__getitem__, rest))
+        return count
+
+
+_counters: dict[str, Counter] = {}
+
 
+def _counter(path: str, merges: Broadcast) -> Counter:
+    """The counter of this worker, which keeps it from task to task."""
+    if path not in _counters:
+        _counters[path] = Counter(merges.value)
+    return _counters[path]
 
-_counters: dict[str, Counter] = {}  # by vocabulary, kept by a worker from task to task
 
 COUNTED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -132,15 +146,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     merges = docs.sparkSession.sparkContext.broadcast(Merges(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _counters:
-            _counters[path] = Counter(merges.value)
+        counter = _counter(path, merges)
         for rows in batches:
             texts = texts_of(rows.column(1))
             yield batch(
                 COUNTED,
                 rows.column(0),
                 [len(t) if t.isascii() else len(t.encode()) for t in texts],
-                [_counters[path].count(t) for t in texts],
+                [counter.count(t) for t in texts],
             )
 
     counted = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInArrow(
