@@ -158,7 +158,7 @@ def choose_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR
     )
     family = Window.partitionBy("stratum", "rule")
     from_top = family.orderBy(F.desc("level"))
-    families = counts.select(F.count_distinct("stratum").alias("strata"))
+    families = counts.select(F.count_distinct("stratum") * len(RULES)).scalar()
     tested = (
         counts.select(
             "*",
@@ -168,9 +168,8 @@ def choose_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR
         )
         # Beyond the expected count no bound can be at or under the risk.
         .filter((F.col("level") > 0) & (F.col("false_rejections") < F.col("n") * rule_risk))
-        .crossJoin(F.broadcast(families))  # one row
         .withColumn("log_p", tail_log(F.col("false_rejections"), F.col("n"), rule_risk))
-        .filter(F.col("log_p") <= F.log(F.lit(error) / (F.col("strata") * len(RULES))))
+        .filter(F.col("log_p") <= F.log(F.lit(error) / families))
         .withColumn("use", F.col("rejected_bad") - GOOD_WEIGHT * F.col("false_rejections"))
         .filter("use > 0")
     )
