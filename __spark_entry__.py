@@ -148,7 +148,9 @@ def _six_inputs(views: BankViews) -> dict[str, DataFrame]:
 def _rendered(rows: DataFrame, name: str, kind: str) -> DataFrame:
     """Rows of any table as one text each, to compare tables of several shapes."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in rows.columns]
-    return rows.select(F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), F.concat_ws("|", *parts).alias("row"))
+    return rows.select(
+        F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), F.concat_ws("|", *parts).alias("row")
+    )
 
 
 def _load_six_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +296,9 @@ def _open_rates(broadcast_rates: bool | None) -> Query:
             "date_to", F.when(~last, F.col("date_to"))
         )
         orders = views.table("orders").select(
-            "o_orderkey", (F.col("o_custkey") % 25).cast("int").alias("currency_id"), F.to_date("o_orderdate").alias("on_date")
+            "o_orderkey",
+            (F.col("o_custkey") % 25).cast("int").alias("currency_id"),
+            F.to_date("o_orderdate").alias("on_date"),
         )
         return _doubles(rate_as_of(orders, rates, "on_date", broadcast_rates))
 
@@ -909,7 +913,8 @@ UNION ALL SELECT 'opening_balances', 'reject', 'does not fit the schema'
 FROM accounts, generate_series(1, 2) WHERE account_id % 50 = 7
 UNION ALL SELECT 'currencies', 'row', concat_ws('|', n_nationkey, n_regionkey = 0) FROM nation
 UNION ALL SELECT 'exchange_rates', 'row', concat_ws('|', currency_id, date_from, date_to, rate) FROM rates
-UNION ALL SELECT DISTINCT 'ledger_accounts', 'row', ledger2 || '|' || upper(ledger2[1]) || lower(ledger2[2:]) FROM accounts
+UNION ALL SELECT DISTINCT 'ledger_accounts', 'row', ledger2 || '|' || upper(ledger2[1]) || lower(ledger2[2:])
+FROM accounts
 UNION ALL SELECT 'postings', 'row', concat_ws('|', posting_id, on_date, o_custkey, o_custkey + 1, amount)
 FROM postings WHERE posting_id % 90 NOT IN (1, 2, 3)
 UNION ALL SELECT 'postings', 'reject',

@@ -125,7 +125,8 @@ def _publish_taken_over(
     touched = sorted(r["m"] for r in months.distinct().collect() if r["m"] is not None)  # a row a month
     target = warehouse.read("ds", table, touched, spec.schema)
     merged = take_over(target, new, spec.keys, small)
-    return warehouse.publish_periods(merged, "ds", table, _month(spec.month_of), touched, counts=counts, columns=columns)
+    month = _month(spec.month_of)
+    return warehouse.publish_periods(merged, "ds", table, month, touched, counts=counts, columns=columns)
 
 
 def load_snapshot(
@@ -150,7 +151,9 @@ def full_reload(
     layer: str = "dm",
 ) -> Published:
     """Replace all rows of a mart. With ``keys``, duplicates keep the old rows live."""
-    return run_logged(warehouse, f"reload {layer}.{table}", lambda: warehouse.publish(df, layer, table, keys=keys or ()))
+    return run_logged(
+        warehouse, f"reload {layer}.{table}", lambda: warehouse.publish(df, layer, table, keys=keys or ())
+    )
 
 
 def publish(warehouse: Warehouse, df: DataFrame, layer: str, table: str, period: str = "all") -> Published:

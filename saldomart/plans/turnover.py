@@ -23,7 +23,8 @@ def account_movements(postings: DataFrame, date_from: date, date_to: date) -> Da
     summed before the shuffle, so a busy account arrives as one row per task and day. A
     posting without an amount is an error.
     """
-    no_amount = F.raise_error(F.concat(F.lit("posting without an amount on "), F.col("on_date").cast("string"))).cast("long")
+    on_date = F.col("on_date").cast("string")
+    no_amount = F.raise_error(F.concat(F.lit("posting without an amount on "), on_date)).cast("long")
     two_sides = F.stack(
         F.lit(2), F.lit(True), F.col("debit_account"), F.lit(False), F.col("credit_account")
     ).alias("is_debit", "account_id")
@@ -125,7 +126,8 @@ def booked(placed: DataFrame, on_unbooked: str = "error") -> DataFrame:
     if on_unbooked == "skip":
         return placed.filter("reason IS NULL")
     account = F.coalesce(F.col("account_id").cast("string"), F.lit("NULL"))
-    where = F.concat(F.lit("posting on "), F.col("reason"), F.lit(": "), account, F.lit(" on "), F.col("on_date").cast("string"))
+    on_date = F.col("on_date").cast("string")
+    where = F.concat(F.lit("posting on "), F.col("reason"), F.lit(": "), account, F.lit(" on "), on_date)
     stop = F.when(F.col("reason").isNotNull(), F.raise_error(where).cast("int")).otherwise(F.col("currency_id"))
     return placed.withColumn("currency_id", stop)
 

@@ -42,7 +42,8 @@ def tables(spark, rows: int):
     )
     accounts = spark.range(100_000).select(
         F.col("id").alias("account_id"), F.lit(1).alias("currency_id"), F.lit("A").alias("characteristic"),
-        F.lit("40502").alias("ledger2"), F.lit(date(2000, 1, 1)).alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
+        F.lit("40502").alias("ledger2"), F.lit(date(2000, 1, 1)).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"),
     )
     currencies = spark.range(1).select(F.lit(1).alias("currency_id"), F.lit(True).alias("is_home"))
     rates = spark.createDataFrame([], schemas.EXCHANGE_RATES)
@@ -66,6 +67,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     postings, accounts, currencies, rates, clients, days = tables(spark, rows)
+    known = accounts.select("account_id", "ledger2")
+    arriving = postings.select(F.col("debit_account").alias("account_id"), F.lit("x").alias("ledger2"))
     kept, removed = remove_duplicates(clients, ["key"], [F.desc("version")])
     queries = {
         "account_turnover": account_turnover(postings, accounts, day_rates(currencies, rates, *PERIOD), *PERIOD),
@@ -73,8 +76,8 @@ def main() -> None:
         "remove_duplicates": kept,
         "removed_duplicates": removed,
         "find_period_gaps": find_period_gaps(days, "entity", "on_date"),
-        "upsert": upsert(accounts.select("account_id", "ledger2"), postings.select(F.col("debit_account").alias("account_id"), F.lit("x").alias("ledger2")), ["account_id"], small_source=False),
-    }
+        "upsert": upsert(known, arriving, ["account_id"], small_source=False),
+    }
     for name, df in queries.items():
         spark.sparkContext.setJobGroup(name, name)
         df.write.format("noop").mode("overwrite").save()

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from bank import ACCOUNTS, BEFORE, EUR, JAN, OPENING, POSTINGS, RATES, ROWS, USD, d, publish_inputs, table
-from saldomart import schemas
 from saldomart.operators.duplicates import DuplicateKeys
 from saldomart.operators.rates import MissingRate
 from saldomart.plans import jobs
