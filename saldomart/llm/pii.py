@@ -352,7 +352,8 @@ FOUND = pa.schema(
         ("n_added", pa.int64()),
     ]
 )
-FOUND_DDL = ", ".join(["doc_id long", *[f"n_{k} long" for k in KINDS], "base_sha256 string, spans string, n_added long"])
+_COUNTS = ", ".join(f"n_{kind} long" for kind in KINDS)
+FOUND_DDL = f"doc_id long, {_COUNTS}, base_sha256 string, spans string, n_added long"
 
 
 def spans_of_texts(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:

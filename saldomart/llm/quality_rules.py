@@ -212,7 +212,8 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
     Counts are worked out once and stored in the shared folder; the cutoffs are a row per
     stratum, joined by whatever join their stored size allows.
     """
-    return _judged(docs.select("doc_id", "text", "lang"), labels, risk, error).select("row.doc_id", "stats", "base_failed", "kept")
+    found = _judged(docs.select("doc_id", "text", "lang"), labels, risk, error)
+    return found.select("row.doc_id", "stats", "base_failed", "kept")
 
 
 def passing(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:

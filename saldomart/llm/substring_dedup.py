@@ -105,7 +105,8 @@ class Block:
 
 def cells_of(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each anchor in a row of the sketch."""
-    return (mix64(anchors + np.uint64((row + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> np.uint64(64 - bits)).astype(np.int64)
+    seed = np.uint64((row + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    return (mix64(anchors + seed) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -186,7 +187,7 @@ def _runs(document: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 _PART = pa.schema(
-    [("anchor", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("windows", pa.binary())]
+    [(name, pa.int64()) for name in ("anchor", "doc_id", "first", "last")] + [("windows", pa.binary())]
 )
 _PART_DDL = "anchor long, doc_id long, first long, last long, windows binary"
 
@@ -283,7 +284,8 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCH
 
 
 KEPT = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
+    [(name, pa.int64()) for name in ("doc_id", "n_words", "n_removed")]
+    + [(name, pa.string()) for name in ("kept_sha256", "kept")]
 )
 
 

@@ -154,9 +154,9 @@ def merkle_levels(leaves: DataFrame, depth: int, fanout: int = FANOUT) -> list[D
 def _differing(left: DataFrame, right: DataFrame, under: DataFrame | None, fanout: int) -> DataFrame:
     """Archive and ordinal of nodes that differ, among the children of ``under``."""
     if under is not None:
-        parents = under.withColumnRenamed("ordinal", "parent")
+        parents, parent = under.withColumnRenamed("ordinal", "parent"), F.floor(F.col("ordinal") / fanout)
         left, right = (
-            side.withColumn("parent", F.floor(F.col("ordinal") / fanout)).join(parents, ["archive", "parent"], "left_semi")
+            side.withColumn("parent", parent).join(parents, ["archive", "parent"], "left_semi")
             for side in (left, right)
         )
     keys = ["archive", "ordinal"]
