@@ -81,3 +81,29 @@ def test_sorted_files(spark, warehouse):
     warehouse.publish(spark.range(100).orderBy(F.desc("id")), "dm", "m", sort_by=["id"])
     for rows in warehouse.read("dm", "m").rdd.glom().collect():
         assert [r["id"] for r in rows] == sorted(r["id"] for r in rows)
+
+
+def _month(spark, rows):
+    return spark.createDataFrame(rows, "id int, m string")
+
+
+def test_periods_are_replaced_and_emptied_in_one_write(spark, warehouse):
+    warehouse.publish_periods(_month(spark, [(1, "a"), (2, "b"), (3, "c")]), "dm", "t", F.col("m"))
+    kept = warehouse.live("dm", "t")["c"]
+    done = warehouse.publish_periods(_month(spark, [(4, "a")]), "dm", "t", F.col("m"), ["a", "b"])
+    assert done.rows == 1
+    assert {tuple(r) for r in warehouse.read("dm", "t").collect()} == {(4, "a"), (3, "c")}
+    assert warehouse.read("dm", "t", ["b"]).count() == 0 and warehouse.live("dm", "t")["c"] == kept
+    with pytest.raises(ValueError, match="beside"):
+        warehouse.publish(_month(spark, [(1, "a")]), "dm", "t")
+
+
+def test_periods_with_repeated_keys_or_without_a_name_change_nothing(spark, warehouse):
+    warehouse.declare_keys("dm", "t", ["id"])
+    warehouse.publish_periods(_month(spark, [(1, "a")]), "dm", "t", F.col("m"))
+    with pytest.raises(DuplicateKeys, match="see dm.t_duplicates"):
+        warehouse.publish_periods(_month(spark, [(2, "a"), (2, "b")]), "dm", "t", F.col("m"))
+    with pytest.raises(Exception, match="without a period"):
+        warehouse.publish_periods(_month(spark, [(2, None)]), "dm", "t", F.col("m"))
+    assert [tuple(r) for r in warehouse.read("dm", "t").collect()] == [(1, "a")]
+    assert [tuple(r) for r in warehouse.read("dm", "t_duplicates").collect()] == [(2, 2)]
