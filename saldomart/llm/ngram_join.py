@@ -29,10 +29,10 @@ WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.995  # of pairs right at the similarity; pairs above it are found more often
 MAX_HASHES = 112
-BLOCK_NGRAMS = 2_000_000  # of one block of a large group
+BLOCK_NGRAMS = 1_500_000  # of one block of a large group
 _TILE = 384  # documents a side of one matrix product
 _COLUMNS = 8192  # n-grams of one matrix product
-_BLOCK_BYTES = 8 * 1024 * 1024
+_BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def choose_bands(similarity: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -193,7 +193,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray], size: int, same: bo
         other = np.zeros(size, bool)
         other[b] = True
         shared = np.flatnonzero(mark & other)
-    column = np.full(size, -1, np.int64)
+    column = np.full(size, -1, np.int32)
     column[shared] = np.arange(len(shared))
     sides = []
     for sets, flat in ((left, a), (right, b)):
@@ -224,12 +224,12 @@ def verify(
     n = len(sets)
     linked, groups = np.zeros(n, np.int64), _Groups(n)
     vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = ids.astype(np.int32)
     bounds = np.cumsum([0, *map(len, sets)])
     sizes = np.diff(bounds)
     numbered = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
     # Similar sets next to each other: then most blocks have few common elements and cost little.
-    scrambled = [mix64(vocabulary * np.uint64(k))[ids] for k in (3, 7)]
-    keys = [np.minimum.reduceat(s, bounds[:-1]) for s in scrambled]
+    keys = [np.minimum.reduceat(mix64(vocabulary * np.uint64(k))[ids], bounds[:-1]) for k in (3, 7)]
     tiles = []
     for which in np.unique(side):
         mine = np.flatnonzero(side == which)
