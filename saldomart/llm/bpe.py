@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from saldomart.llm.common import batch, sha256_hex, texts_of
 
 MAX_VOCABULARY = 1 << 20  # entries; what is sent to the executors is bounded by it
-CACHED_WORDS = 600_000  # distinct pieces that a worker remembers; beyond it starts anew
-_ENCODE_AT_ONCE = 50_000
+CACHED_WORDS = 250_000  # distinct pieces that a worker remembers; beyond it starts anew
+_ENCODE_AT_ONCE = 20_000
 
 # Fixed values of the vocabulary's format: byte characters, word pieces, end of a word.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
