@@ -46,6 +46,7 @@ _CLUE = re.compile("[0-9@]")
 _PARTS = re.compile(r"[0-9]+|[^\W\d_]+|[^0-9]")
 _EMAIL_TOKEN = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _ADDRESS = re.compile(r"[0-9]+(\.[0-9]+){3}")
+_MOST_TOKENS = (1, 1, 19, 15)  # by kind: the form allows no blank, or so many digits, and a token has one at least
 _EDGE = ".,;:!?%$#&*|<>\"'=[]{}/\\"
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -258,6 +259,27 @@ def _has_form(kind: int, text: str) -> bool:
     return bool(re.fullmatch(r"[+(]?[0-9][\x20().0-9-]+[0-9]", text)) and _is_phone(text)
 
 
+def _parts_with_form(kind: int, text: str, run: list[Token]) -> tuple[list[Span], list[list[Token]]]:
+    """All parts of a run that have the form, the longest first, then from the left, and what is left between them."""
+    hits, rest = [], [run]
+    for size in range(min(len(run), _MOST_TOKENS[kind]), 0, -1):
+        parts, rest = rest, []
+        for part in parts:
+            begin = first = 0
+            while first + size <= len(part):
+                start, end = part[first].start, part[first + size - 1].end
+                if not _has_form(kind, text[start:end]):
+                    first += 1
+                    continue
+                hits.append((start, kind, end))
+                if first > begin:
+                    rest.append(part[begin:first])
+                begin = first = first + size
+            if begin < len(part):
+                rest.append(part[begin:])
+    return hits, rest
+
+
 def added_spans(text: str, tokens: list[Token], labels: np.ndarray, base: list[Span]) -> list[Span]:
     """Spans of labelled tokens that no base span touches."""
     taken = {t.text for t in tokens if any(a <= t.start and t.end <= b for a, _, b in base)}
@@ -274,20 +296,11 @@ def added_spans(text: str, tokens: list[Token], labels: np.ndarray, base: list[S
             j < len(tokens) and tokens[j].touches and labels[j] == labels[i] and free[j] and tokens[j].text[0] != "+"
         ):
             j += 1
-        run = tokens[i:j]
-        found = False
-        for size in range(len(run), 0, -1):
-            for first in range(len(run) - size + 1):
-                part = run[first : first + size]
-                start, end = part[0].start, part[-1].end
-                if _has_form(kind, text[start:end]):
-                    added.append((start, kind, end))
-                    found = True
-                    break
-            if found:
-                break
-        if not found and all(t.text in taken for t in run) and len(_digits("".join(t.text for t in run))) >= 7:
-            added.append((run[0].start, kind, run[-1].end))
+        hits, rest = _parts_with_form(kind, text, tokens[i:j])
+        added += hits
+        for part in rest:
+            if all(t.text in taken for t in part) and len(_digits("".join(t.text for t in part))) >= 7:
+                added.append((part[0].start, kind, part[-1].end))
         i = j
     return added
 

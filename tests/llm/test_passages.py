@@ -13,6 +13,7 @@ from saldomart.llm.decontamination import build_automaton, character_spans, cont
 from saldomart.llm.hashing import WordHashes, run_hashes
 from saldomart.llm.pii import (
     KINDS,
+    added_spans,
     base_spans,
     find_pii,
     fit,
@@ -194,6 +195,20 @@ def test_field_finds_entities_side_by_side(spark):
     assert (row.n_phone, row.n_card, row.n_added) == (0, 0, 2)
 
 
+@pytest.mark.parametrize("card", ["4111111111111111", "4111 1111 1111 1111"])
+@pytest.mark.parametrize("n", [2, 3])
+def test_every_entity_of_a_run_is_found(card, n):
+    text = "at 99 " + " ".join([card] * n) + " 7 then"
+    tokens = tokens_of(text)
+    labels = np.full(len(tokens), 3)
+    starts = [6 + i * (len(card) + 1) for i in range(n)]
+    expected = [(a, 2, a + len(card)) for a in starts]
+    assert base_spans(text)[0] == []
+    found = added_spans(text, tokens, labels, [])
+    assert sorted(found) == expected
+    assert mask(text, found) == "at 99 " + " ".join(["<card>"] * n) + " 7 then"
+
+
 def test_links_grow_with_tokens():
     tokens = tokens_of("7 7 7 7 8 b1 7")
     links = links_of(tokens)
