@@ -214,11 +214,11 @@ def _common(left: list[np.ndarray], right: list[np.ndarray], size: int, same: bo
 
 
 def verify(
-    sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, similarity: float = SIMILARITY
+    sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray, similarity: float = SIMILARITY, within: bool = True
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weight of the sets linked to each set, and a label shared by linked sets.
 
-    Pairs are those of different sides, or all pairs where there is one side. ``weight`` is
+    Pairs are all pairs ``within`` one side, else those of different sides. ``weight`` is
     the number of documents a set stands for.
     """
     n = len(sets)
@@ -235,11 +235,10 @@ def verify(
         mine = np.flatnonzero(side == which)
         mine = mine[np.lexsort([k[mine] for k in reversed(keys)])]
         tiles += [(which, mine[i : i + _TILE]) for i in range(0, len(mine), _TILE)]
-    two_sides = len(np.unique(side)) > 1
     for i, (side_a, a) in enumerate(tiles):
         for j in range(i, len(tiles)):
             side_b, b = tiles[j]
-            if two_sides and side_a == side_b:
+            if not within and side_a == side_b:
                 continue
             low, high = sizes[a].min() / sizes[b].max(), sizes[a].max() / sizes[b].min()
             if high < similarity or low > 1 / similarity:
@@ -275,13 +274,16 @@ def _verified(batches: Iterator[pa.RecordBatch], n: int, similarity: float) -> I
     sets: list[np.ndarray] = []
     seen: set[int] = set()
 
-    def finish() -> pa.RecordBatch:
+    def finish() -> Iterator[pa.RecordBatch]:
+        within = key[1] == key[2]
+        if not within and len({s for _, _, s in held}) < 2:
+            return  # the other block is empty; the task of this block alone counts its pairs
         reps = np.array([r for r, _, _ in held], np.int64)
         side = np.array([s for _, _, s in held], np.int64)
-        linked, label = verify(sets, np.array([d for _, d, _ in held], np.int64), side, similarity)
+        linked, label = verify(sets, np.array([d for _, d, _ in held], np.int64), side, similarity, within)
         lowest = np.full(len(reps), np.iinfo(np.int64).max)
         np.minimum.at(lowest, label, reps)
-        return batch(_VERIFIED, reps, linked, lowest[label], [whole] * len(reps))
+        yield batch(_VERIFIED, reps, linked, lowest[label], [whole] * len(reps))
 
     whole = True
     for rows in row_blocks(batches, 8, _BLOCK_BYTES):
@@ -290,7 +292,7 @@ def _verified(batches: Iterator[pa.RecordBatch], n: int, similarity: float) -> I
         for root, block, other, mine, blocks, rep, n_same, set_a, grams in zip(*columns, found):
             if (root, block, other) != key:
                 if held:
-                    yield finish()
+                    yield from finish()
                 key, whole, held, sets, seen = (root, block, other), blocks == 1, [], [], set()
             if rep in seen or set_digest(grams)[0] != set_a % (1 << 64):
                 continue
@@ -298,7 +300,7 @@ def _verified(batches: Iterator[pa.RecordBatch], n: int, similarity: float) -> I
             held.append((rep, n_same, mine))
             sets.append(grams)
     if held:
-        yield finish()
+        yield from finish()
 
 
 def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, n: int = WORDS) -> DataFrame:

@@ -75,6 +75,17 @@ def test_large_groups_lose_no_link(spark, monkeypatch, block):
     assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == _all_pairs(docs)
 
 
+def test_empty_blocks_add_no_links(spark, monkeypatch):
+    """Groups of two and three texts, each dealt over two or three blocks: some fall into one block."""
+    monkeypatch.setattr(join, "BLOCK_NGRAMS", 130)
+    docs = []
+    for group in range(16):
+        words = [f"g{group}w{i}" for i in range(120)]
+        docs += [(len(docs) + k, " ".join([*words, *(f"x{i}" for i in range(k))])) for k in range(2 + group % 2)]
+    rows = join.ngram_join(documents(spark, [(i, t, "en") for i, t in docs])).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == _all_pairs(docs)
+
+
 def test_odd_documents(spark):
     docs = [(i, t) for i, t, _ in CASES]
     rows = join.ngram_join(documents(spark)).collect()
