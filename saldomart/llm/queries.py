@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldomart.llm.bpe import bpe_encode
+from saldomart.llm.centroids import cluster_vectors
 from saldomart.llm.common import table
 from saldomart.llm.decontamination import contaminated
 from saldomart.llm.lm_scoring import score_texts
@@ -87,6 +88,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_encode": op1_bpe_encode,
     "op2_lm_scoring": op2_lm_scoring,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 _WARC_SQL = """
@@ -238,10 +244,49 @@ SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, least(doc_id, c
        1 + coalesce(n, 0) AS n_same, coalesce(n_links, 0) AS n_links
 FROM docs LEFT JOIN found ON found.a = doc_id LEFT JOIN lowest ON lowest.a = doc_id"""
 
+_VECTORS_SQL = """
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_no, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id)), v) - 1 AS cluster, v AS c
+  FROM kept WHERE vec_id IS NOT NULL QUALIFY cluster < 16)"""
+
+
+def _assigned_sql(number: int) -> str:
+    return f"""
+a{number} AS MATERIALIZED (
+  SELECT row_no, vec_id, v, cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+  FROM kept CROSS JOIN c{number}
+  QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY distance, cluster) = 1)"""
+
+
+def _moved_sql(number: int) -> str:
+    return f"""
+s{number} AS (
+  SELECT cluster, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n FROM a{number}, range(1, 65) AS t(i) GROUP BY ALL),
+c{number + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(moved, c) AS c FROM c{number} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM s{number} GROUP BY cluster)
+  USING (cluster))"""
+
+
+_CENTROIDS_SQL = (
+    "WITH "
+    + ",".join([_VECTORS_SQL, *[part for i in range(3) for part in (_assigned_sql(i), _moved_sql(i))], _assigned_sql(3)])
+    + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": _RULES_SQL,
     "op6_warc_fixity": _WARC_SQL,
     "op7_ngram_join": _JOIN_SQL,
     "op8_decontamination": _CONTAMINATION_SQL,
     "op9_substring_dedup": _DEDUP_SQL,
+    "op13_centroid_clusters": _CENTROIDS_SQL,
 }
