@@ -19,6 +19,7 @@ from saldomart.llm.quality_model import score_quality
 from saldomart.llm.quality_rules import judged
 from saldomart.llm.substring_dedup import remove_repeats
 from saldomart.llm.token_counts import count_tokens
+from saldomart.llm.token_files import tokens_through_files
 from saldomart.llm.warc import fixity_audit, page_records, record_leaves, warc_leaves, write_warc
 from saldomart.session import new_folder
 
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
+END_OF_DOCUMENT = 2
 
 
 def op1_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +90,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_through_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_OF_DOCUMENT)
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -103,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
+    "op12_token_files": op12_token_files,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
