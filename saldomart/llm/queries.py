@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from saldomart.llm.bpe import bpe_encode
 from saldomart.llm.centroids import cluster_vectors
 from saldomart.llm.common import table
+from saldomart.llm.conversation_repair import repair_conversations
 from saldomart.llm.decontamination import contaminated
 from saldomart.llm.lm_scoring import score_texts
 from saldomart.llm.ngram_join import ngram_join
@@ -90,6 +91,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_through_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_OF_DOCUMENT)
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii": op10_pii,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_token_files": op12_token_files,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
@@ -251,6 +257,93 @@ SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, least(doc_id, c
        1 + coalesce(n, 0) AS n_same, coalesce(n_links, 0) AS n_links
 FROM docs LEFT JOIN found ON found.a = doc_id LEFT JOIN lowest ON lowest.a = doc_id"""
 
+
+def _edit_sql(path: str, letter: str, cost: str) -> str:
+    """A path (nine digits of cost, then letters) with one more edit; the least path is the cheapest."""
+    return f"lpad(CAST(CAST(left({path}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({path}, 10) || '{letter}'"
+
+
+def _kept_sql(path: str, letter: str) -> str:
+    return f"CASE WHEN NOT forced AND letter = '{letter}' THEN {_edit_sql(path, 'K', 'more')} END"
+
+
+def _chosen_sql(path: str) -> str:
+    return f"CASE WHEN NOT forced THEN {_edit_sql(path, 'R', '1 + more')} END"
+
+
+_REPAIR_SQL = rf"""
+WITH RECURSIVE crc_steps AS (
+  SELECT n, 0 AS step, n AS crc FROM range(256) AS t(n)
+  UNION ALL
+  SELECT n, step + 1, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM crc_steps WHERE step < 8),
+crc_table AS (SELECT list(crc ORDER BY n) AS crcs FROM crc_steps WHERE step = 8),
+given AS (
+  SELECT conv_id, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS name
+  FROM conversations),
+faults AS (
+  SELECT *, xor(list_reduce([4294967295] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(name, '')],
+                            lambda crc, b: xor(crc >> 8, crcs[(xor(crc, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM given, crc_table),
+damaged AS (
+  SELECT c, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM faults, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, left(text, 32), text) AS i FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS letter, CASE
+    WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+    ELSE 'sound' END AS fault
+  FROM ordered),
+messages AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS forced, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more,
+         lag(letter) OVER (PARTITION BY c ORDER BY i) AS before
+  FROM judged),
+counted AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM messages GROUP BY c),
+paths AS (
+  SELECT c, CAST(0 AS BIGINT) AS i, '000000000' AS nothing, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a
+  FROM counted
+  UNION ALL
+  SELECT c, i + 1, {_edit_sql("nothing", "D", "2")},
+         least({_edit_sql("s", "D", "2")}, {_kept_sql("nothing", "s")}),
+         least({_edit_sql("u", "D", "2")}, {", ".join(f"{_kept_sql(x, 'u')}, {_chosen_sql(x)}" for x in ("nothing", "s", "a"))}),
+         least({_edit_sql("a", "D", "2")}, {_kept_sql("u", "a")}, {_chosen_sql("u")})
+  FROM (
+    SELECT p.c, p.i, nothing, s, letter, forced, more,
+           least(u, {", ".join(_edit_sql(x, "I", "5") for x in ("nothing", "s", "a"))}) AS u, least(a, {_edit_sql("u", "I", "5")}) AS a
+    FROM paths AS p JOIN messages AS m ON m.c = p.c AND m.i = p.i + 1)),
+best AS (
+  SELECT c, least(nothing, a, {_edit_sql("u", "I", "5")}) AS path FROM paths JOIN counted USING (c) WHERE i = n),
+edits AS (
+  SELECT c, k, path[9 + k] AS edit,
+         count(*) FILTER (path[9 + k] <> 'I') OVER (PARTITION BY c ORDER BY k) AS i,
+         count(*) FILTER (path[9 + k] <> 'D') OVER (PARTITION BY c ORDER BY k) AS place
+  FROM best, range(1, length(path) - 8) AS t(k)),
+left_over AS (
+  SELECT e.*, m.role, m.text, max(edit = 'K' AND place = 1 AND letter = 's') OVER (PARTITION BY e.c) AS system
+  FROM edits AS e LEFT JOIN messages AS m ON m.c = e.c AND m.i = e.i WHERE edit <> 'D'),
+repaired AS (
+  SELECT c, string_agg(concat(
+    CASE WHEN edit = 'K' THEN role WHEN (place + CASE WHEN system THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':',
+    CASE WHEN edit <> 'I' THEN text END), chr(10) ORDER BY k) AS lines
+  FROM left_over GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(CAST(left(path, 9) AS BIGINT), 0) AS cost, coalesce(substr(path, 10), '') AS audit,
+       sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM given) LEFT JOIN counted USING (c) LEFT JOIN best USING (c) LEFT JOIN repaired USING (c)"""
+
 _VECTORS_SQL = """
 kept AS MATERIALIZED (
   SELECT row_number() OVER () AS row_no, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
@@ -295,5 +388,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ngram_join": _JOIN_SQL,
     "op8_decontamination": _CONTAMINATION_SQL,
     "op9_substring_dedup": _DEDUP_SQL,
+    "op11_conversation_repair": _REPAIR_SQL,
     "op13_centroid_clusters": _CENTROIDS_SQL,
 }
