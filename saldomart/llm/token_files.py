@@ -21,8 +21,9 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from saldomart.llm.common import batch, row_blocks, texts_of
 from saldomart.session import new_folder, remove_folder
@@ -37,7 +39,7 @@ from saldomart.session import new_folder, remove_folder
 MAX_VOCABULARY = 1 << 20  # identifiers; bounds the codebook, which the driver makes and sends out
 CHECKPOINT = 256  # identifiers between two checkpoints
 BLOCK_BYTES = 1 << 20  # coded bytes after which a block ends; one document may be longer
-CACHED_PIECES = 200_000
+CACHED_PIECES = 1_000_000
 _TEXT_BYTES = 1 << 21
 
 
@@ -161,37 +163,80 @@ def decode_block(payload: bytes, checkpoints: np.ndarray, sizes: np.ndarray, cod
 # Encoding texts
 
 
+# A word of letters that stay letters in lower case, and the stops behind it: two words of the vocabulary.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
 class PieceEncoder:
     """Identifiers of texts by the tokenizers library, remembering pieces between blanks within a bound.
 
     No word of the vocabulary crosses a blank or a line break, so a text's identifiers are
-    those of its pieces in a row.
+    those of its pieces in a row. Unknown plain words are encoded many in one call, without
+    the steps that leave such words as they are, and told apart by the identifiers that end
+    a word; other pieces are encoded one by one as they stand.
     """
 
     def __init__(self, content: str, kind: str):
-        self.library = Tokenizer.from_str(content)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.library, self.plain = Tokenizer.from_str(content), Tokenizer.from_str(content)
+        for library in (self.library, self.plain):
+            library.no_truncation()
+            library.no_padding()
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.kind = kind
+        suffix = self.library.model.end_of_word_suffix
+        if not suffix:
+            raise ValueError("the vocabulary does not mark the ends of words")
+        ids = self.library.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(ids.values()) + 1, bool)
+        self.ends_word[[i for token, i in ids.items() if token.endswith(suffix)]] = True
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _unknown(self, pieces: Iterable[str]) -> list[str]:
+        """Pieces that are not remembered; those that only the older memory holds go over to the recent one."""
+        recent, older, unknown = self.recent, self.older, []
+        for piece in pieces:
+            if piece not in recent:
+                found = older.get(piece)
+                if found is None:
+                    unknown.append(piece)
+                else:
+                    recent[piece] = found
+        return unknown
+
+    def _learn(self, pieces: set[str]) -> None:
+        unknown = self._unknown(pieces)
+        matches = list(map(_PLAIN.fullmatch, unknown))
+        plain = [(piece, m[1].lower(), m[2]) for piece, m in zip(unknown, matches) if m is not None]
+        other = {piece for piece, m in zip(unknown, matches) if m is None}
+        other = self._unknown(other.union([stops for _, _, stops in plain]))
+        recent, kind = self.recent, self.kind
+        for piece, found in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
+            recent[piece] = np.array(found.ids, kind).tobytes()
+        words = self._unknown({word for _, word, _ in plain})
+        if words:
+            (found,) = self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+            ids = np.array(found.ids, kind)
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize
+            if len(ends) != len(words):
+                raise ValueError("the vocabulary splits words of letters")
+            data, ends = ids.tobytes(), ends.tolist()
+            recent.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        for piece, word, stops in plain:
+            recent[piece] = recent[word] + recent[stops]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.recent) > CACHED_PIECES:
             self.recent, self.older = {}, self.recent
-        missing = {p for pieces in split for p in pieces}.difference(self.recent)
-        unknown = []
-        for piece in missing:
-            known = self.older.get(piece)
-            if known is None:
-                unknown.append(piece)
-            else:
-                self.recent[piece] = known
-        for piece, found in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False)):
-            self.recent[piece] = np.array(found.ids, self.kind).tobytes()
-        recent = self.recent
-        return [b"".join([recent[p] for p in pieces]) for pieces in split]
+        known = self.recent.get
+        found = [list(map(known, pieces)) for pieces in split]
+        lacking = [i for i, parts in enumerate(found) if None in parts]
+        self._learn({piece for i in lacking for piece, ids in zip(split[i], found[i]) if ids is None})
+        for i in lacking:
+            found[i] = list(map(known, split[i]))
+        return list(map(b"".join, found))
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -243,9 +288,9 @@ def _counted(ids: DataFrame, size: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for rows in batches:
-            for one in rows.column(0):
-                total += np.bincount(np.frombuffer(one.as_buffer(), kind), minlength=size)
+        for rows in row_blocks(batches, 0, _TEXT_BYTES):
+            every = b"".join(rows.column(0).to_pylist())
+            total += np.bincount(np.frombuffer(every, kind), minlength=size)
         found = np.flatnonzero(total)
         yield batch(schema, found, total[found])
 
