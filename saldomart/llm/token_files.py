@@ -23,7 +23,7 @@ import math
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,12 +34,12 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from saldomart.llm.common import batch, row_blocks, texts_of
+from saldomart.llm.hashing import mix64
 from saldomart.session import new_folder, remove_folder
 
 MAX_VOCABULARY = 1 << 20  # identifiers; bounds the codebook, which the driver makes and sends out
 CHECKPOINT = 256  # identifiers between two checkpoints
 BLOCK_BYTES = 1 << 20  # coded bytes after which a block ends; one document may be longer
-CACHED_PIECES = 1_000_000
 _TEXT_BYTES = 1 << 21
 
 
@@ -163,17 +163,93 @@ def decode_block(payload: bytes, checkpoints: np.ndarray, sizes: np.ndarray, cod
 # Encoding texts
 
 
-# A word of letters that stay letters in lower case, and the stops behind it: two words of the vocabulary.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-
-
-class PieceEncoder:
-    """Identifiers of texts by the tokenizers library, remembering pieces between blanks within a bound.
-
-    No word of the vocabulary crosses a blank or a line break, so a text's identifiers are
-    those of its pieces in a row. Unknown plain words are encoded many in one call, without
-    the steps that leave such words as they are, and told apart by the identifiers that end
-    a word; other pieces are encoded one by one as they stand.
+# Kinds of the first 256 characters, in lower case, and endings that are words of their own.
+_BLANK, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[[*b" \t\n\x0b\x0c\r\x85\xa0"]] = _BLANK
+_KINDS[[*b"abcdefghijklmnopqrstuvwxyz\xaa\xb5\xba", *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = _LETTER
+_KINDS[[*b"0123456789\xb2\xb3\xb9\xbc\xbd\xbe"]] = _DIGIT
+_ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+_WIDER = re.compile("[^\x00-\xff]")
+_MARK = "<|"  # special tokens begin so
+
+_CHUNK = 1 << 19  # characters of texts worked on at once
+_SLOTS = 1 << 21
+_RANDOM = np.random.default_rng(12).integers(1 << 63, size=(2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and lengths of the vocabulary's words in lower-case text of one byte a character."""
+    kind = _KINDS[data]
+    begins = kind != _BLANK
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    quotes = np.flatnonzero(begins & (data == ord("'")))
+    for ending in _ENDINGS:
+        at = quotes[quotes + len(ending) <= len(data)]
+        for i, letter in enumerate(ending.encode("latin-1")):
+            at = at[data[at + i] == letter]
+        begins[at + 1] = False
+        behind = at[at + len(ending) < len(data)] + len(ending)
+        begins[behind] = kind[behind] != _BLANK
+    starts = np.flatnonzero(begins)
+    filled = np.r_[0, np.cumsum(kind != _BLANK)]
+    return starts, np.diff(filled[np.r_[starts, len(data)]])  # blanks stand behind a word only
+
+
+class WordTable:
+    """Identifiers of words that were met, found by two 64-bit hashes in a table of open addresses."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros((2, _SLOTS), np.uint64)
+        self.place = np.full(_SLOTS, -1, np.int32)  # of a word's identifiers in the pool
+        self.size = np.zeros(_SLOTS, np.int32)
+        self.pool, self.used, self.words = np.zeros(1 << 16, self.kind), 0, 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The slot of each word, -1 where it is unknown."""
+        slot = (hashes[0] & np.uint64(_SLOTS - 1)).astype(np.int64)
+        found, left = np.full(len(slot), -1, np.int64), np.arange(len(slot))
+        while len(left):
+            here = slot[left]
+            taken = self.place[here] >= 0
+            same = taken & (self.keys[0, here] == hashes[0, left]) & (self.keys[1, here] == hashes[1, left])
+            found[left[same]] = here[same]
+            left = left[taken & ~same]
+            slot[left] = (slot[left] + 1) & (_SLOTS - 1)
+        return found
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words that are not in the table, each once, their identifiers in a row."""
+        need = self.used + len(ids)
+        if need > len(self.pool):
+            self.pool = np.r_[self.pool[: self.used], np.zeros(2 * need - self.used, self.kind)]
+        self.pool[self.used : need] = ids
+        places = self.used + np.cumsum(sizes) - sizes
+        slot, left = (hashes[0] & np.uint64(_SLOTS - 1)).astype(np.int64), np.arange(len(sizes))
+        while len(left):
+            free = left[self.place[slot[left]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            now = free[first]
+            here = slot[now]
+            self.keys[:, here], self.place[here], self.size[here] = hashes[:, now], places[now], sizes[now]
+            left = np.setdiff1d(left, now, assume_unique=True)
+            slot[left] = np.where(self.place[slot[left]] >= 0, (slot[left] + 1) & (_SLOTS - 1), slot[left])
+        self.used, self.words = need, self.words + len(sizes)
+
+
+class TextEncoder:
+    """Identifiers of texts by the tokenizers library, remembering words within a bound.
+
+    Each word of the vocabulary is encoded by itself, so a text's identifiers are those of its
+    words in a row. Texts of the first 256 characters are taken apart on flat arrays, many at
+    a time, and only words that were not met before go to the library: words of letters
+    together, without the steps that leave them as they are, told apart by the identifiers
+    that end a word. Other texts, and those with special tokens, go to the library whole.
     """
 
     def __init__(self, content: str, kind: str):
@@ -183,71 +259,106 @@ class PieceEncoder:
             library.no_padding()
         self.plain.normalizer = None
         self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.kind = kind
-        suffix = self.library.model.end_of_word_suffix
-        if not suffix:
-            raise ValueError("the vocabulary does not mark the ends of words")
-        ids = self.library.get_vocab(with_added_tokens=False)
+        suffix, ids = self.library.model.end_of_word_suffix, self.library.get_vocab(with_added_tokens=False)
         self.ends_word = np.zeros(max(ids.values()) + 1, bool)
-        self.ends_word[[i for token, i in ids.items() if token.endswith(suffix)]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _unknown(self, pieces: Iterable[str]) -> list[str]:
-        """Pieces that are not remembered; those that only the older memory holds go over to the recent one."""
-        recent, older, unknown = self.recent, self.older, []
-        for piece in pieces:
-            if piece not in recent:
-                found = older.get(piece)
-                if found is None:
-                    unknown.append(piece)
-                else:
-                    recent[piece] = found
-        return unknown
-
-    def _learn(self, pieces: set[str]) -> None:
-        unknown = self._unknown(pieces)
-        matches = list(map(_PLAIN.fullmatch, unknown))
-        plain = [(piece, m[1].lower(), m[2]) for piece, m in zip(unknown, matches) if m is not None]
-        other = {piece for piece, m in zip(unknown, matches) if m is None}
-        other = self._unknown(other.union([stops for _, _, stops in plain]))
-        recent, kind = self.recent, self.kind
-        for piece, found in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False)):
-            recent[piece] = np.array(found.ids, kind).tobytes()
-        words = self._unknown({word for _, word, _ in plain})
-        if words:
-            (found,) = self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)
-            ids = np.array(found.ids, kind)
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize
-            if len(ends) != len(words):
-                raise ValueError("the vocabulary splits words of letters")
-            data, ends = ids.tobytes(), ends.tolist()
-            recent.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
-        for piece, word, stops in plain:
-            recent[piece] = recent[word] + recent[stops]
+        self.ends_word[[i for token, i in ids.items() if suffix and token.endswith(suffix)]] = True
+        self.kind, self.table = kind, WordTable(kind)
+        powers = np.ones((2, 2, _CHUNK + 1), np.uint64)  # of the bases, and of their inverses
+        for i, base in enumerate(_BASES):
+            for j, step in enumerate((base, pow(base, -1, 1 << 64))):
+                powers[i, j, 1:] = step
+        self.powers = np.multiply.accumulate(powers, axis=2)
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> None:
+        order = np.lexsort((hashes[1], hashes[0]))
+        new = order[np.r_[True, (hashes[:, order[1:]] != hashes[:, order[:-1]]).any(axis=0)]]
+        letters = _KINDS[data[starts[new]]] == _LETTER
+        texts, bounds = data.tobytes(), zip(starts[new].tolist(), (starts[new] + sizes[new]).tolist())
+        words = [texts[a:b].decode("latin-1") for a, b in bounds]
+        plain, other = np.flatnonzero(letters), np.flatnonzero(~letters)
+        if len(plain):
+            (found,) = self.plain.encode_batch_fast([" ".join([words[i] for i in plain])], add_special_tokens=False)
+            ids = np.array(found.ids, self.kind)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(plain):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            self.table.add(hashes[:, new[plain]], ids, np.diff(np.r_[0, ends]))
+        if len(other):
+            each = self.library.encode_batch_fast([words[i] for i in other], add_special_tokens=False)
+            parts = [np.array(e.ids, self.kind) for e in each]
+            self.table.add(hashes[:, new[other]], np.concatenate(parts), np.array([len(p) for p in parts]))
+
+    def _known_words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place of every word, how many identifiers it has, and all of these in a row."""
+        starts, sizes = word_bounds(data)
+        if not len(starts):
+            return starts, starts, np.zeros(0, self.kind)
+        hashes = np.empty((2, len(starts)), np.uint64)
+        for i in range(2):
+            weighed = _RANDOM[i][data] * self.powers[i, 0, : len(data)]
+            weighed[_KINDS[data] == _BLANK] = 0
+            hashes[i] = mix64(np.add.reduceat(weighed, starts) * self.powers[i, 1, starts])
+        if self.table.words > _SLOTS // 2 - len(starts):
+            self.table.clear()
+        slots = self.table.find(hashes)
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            self._learn(data, starts[unknown], sizes[unknown], hashes[:, unknown])
+            slots[unknown] = self.table.find(hashes[:, unknown])
+        n_ids = self.table.size[slots].astype(np.int64)
+        before = np.cumsum(n_ids) - n_ids
+        return starts, n_ids, self.table.pool[np.repeat(self.table.place[slots] - before, n_ids) + np.arange(n_ids.sum())]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.recent) > CACHED_PIECES:
-            self.recent, self.older = {}, self.recent
-        known = self.recent.get
-        found = [list(map(known, pieces)) for pieces in split]
-        lacking = [i for i, parts in enumerate(found) if None in parts]
-        self._learn({piece for i in lacking for piece, ids in zip(split[i], found[i]) if ids is None})
-        for i in lacking:
-            found[i] = list(map(known, split[i]))
-        return list(map(b"".join, found))
-
-
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def _encoder(content: str, kind: str) -> PieceEncoder:
+        found: list[bytes] = [b""] * len(texts)
+        chunk: list[tuple[int, bytes]] = []
+        held = 0
+        for i, text in enumerate(texts):
+            parts = None if _MARK in text or _WIDER.search(text) else _parts(text.lower().encode("latin-1"))
+            if parts is None:
+                found[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+            for part in parts or ():
+                if held + len(part) >= _CHUNK:
+                    self._finish(chunk, found)
+                    chunk, held = [], 0
+                chunk.append((i, part))
+                held += len(part) + 1
+        self._finish(chunk, found)
+        return found
+
+    def _finish(self, chunk: list[tuple[int, bytes]], found: list[bytes]) -> None:
+        """Add the identifiers of parts of texts to those of their texts."""
+        data = np.frombuffer(b"\n".join([part for _, part in chunk]), np.uint8)
+        starts, n_ids, ids = self._known_words(data)
+        ends = np.cumsum([len(part) + 1 for _, part in chunk])
+        at = np.r_[0, np.cumsum(n_ids)][np.searchsorted(starts, ends)] * ids.itemsize
+        content, last = ids.tobytes(), 0
+        for (i, _), end in zip(chunk, at.tolist()):
+            found[i] += content[last:end]
+            last = end
+
+
+def _parts(data: bytes) -> list[bytes] | None:
+    """A text in parts shorter than a chunk, cut at blanks; None where a word is longer than that."""
+    parts, at = [], 0
+    while len(data) - at >= _CHUNK:
+        cut = max(data.rfind(b" ", at, at + _CHUNK), data.rfind(b"\n", at, at + _CHUNK))
+        if cut < at:
+            return None
+        parts.append(data[at:cut])
+        at = cut + 1
+    return [*parts, data[at:]]
+
+
+_encoders: dict[str, TextEncoder] = {}
+
+
+def _encoder(content: str, kind: str) -> TextEncoder:
     """The encoder of this worker, which keeps it from task to task."""
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        _encoders[key] = PieceEncoder(content, kind)
+        _encoders[key] = TextEncoder(content, kind)
     return _encoders[key]
 
 

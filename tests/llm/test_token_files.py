@@ -122,3 +122,26 @@ def test_blocks_are_decoded_on_their_own(spread):
     starts = np.cumsum([0, *map(len, payloads)])[:-1] * 8
     together = np.concatenate([c + s for c, s in zip(checkpoints, starts)])
     assert decode_block(b"".join(payloads), together, sizes, code).tolist() == every.tolist()
+
+
+@pytest.mark.parametrize("chunk", [40, 1 << 12])
+def test_encoder_equals_library(monkeypatch, chunk):
+    """Random strings of one and of wider alphabets, words longer than a chunk, a table that fills up."""
+    monkeypatch.setattr(token_files, "_CHUNK", chunk)
+    monkeypatch.setattr(token_files, "_SLOTS", 1 << 14)
+    with open(WORD_TOKENIZER, encoding="utf-8") as file:
+        content = file.read()
+    encoder, library = token_files.TextEncoder(content, "<u2"), Tokenizer.from_str(content)
+    random = np.random.default_rng(chunk)
+    narrow = [chr(i) for i in range(256)]
+    wide = [*narrow, *"̀́Σİ中 😀’ﬁÅẞ "]
+    often = ["'s", "'LL", "don't", "...", "?!", "<|endoftext|>", "<|", "|>", "<|ENDOFTEXT|>", " ", "\n", "É", "2²", "a\xa0b", "x\x1cy", "x\x85y", "'restyled", "x" * 90]
+    texts = [""]
+    for n in range(3000):
+        letters = [*often, *"abcSTLM' ", *(narrow if n % 3 else wide)]
+        weights = np.array([3.0] * len(often) + [12.0] * 9 + [0.3] * (len(letters) - len(often) - 9))
+        texts.append("".join(random.choice(letters, int(random.integers(0, 40)), p=weights / weights.sum())))
+    for start in range(0, len(texts), 500):
+        part = texts[start : start + 500]
+        expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in part]
+        assert encoder.encode(part) == expected
