@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldomart import schemas
-from saldomart.functions.dates import parse_dates
+from saldomart.functions.dates import chosen_formats, parse_dates, parse_dates_by_file
 from saldomart.functions.money import currency_bucket, to_home_currency
 from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.duplicates import DuplicateKeys, assert_unique, find_duplicates, remove_duplicates
 from saldomart.operators.ledger import second_order_account
 from saldomart.operators.merge import upsert
-from saldomart.operators.periods import find_period_gaps, missing_in_mart
+from saldomart.operators.periods import find_interval_gaps, find_period_gaps, missing_in_mart, missing_intervals
 from saldomart.operators.rates import day_rates, rate_as_of
 from saldomart.operators.repair import (
     find_mismatches,
@@ -32,12 +32,12 @@ from saldomart.operators.repair import (
     rebuild_balance_turnover,
 )
 from saldomart.plans import jobs
-from saldomart.plans.audit import etl_log, run_logged
+from saldomart.plans.audit import compact_log, etl_log, run_logged
 from saldomart.plans.balance import account_balance, balance_spans
 from saldomart.plans.form101 import form_101
 from saldomart.plans.turnover import UnbookedMovements, account_movements, account_turnover
-from saldomart.session import new_folder
-from saldomart.sources.csv import export_csv, read_csv, read_csv_landing
+from saldomart.session import new_folder, remove_folder
+from saldomart.sources.csv import IncompleteExport, export_csv, read_csv, read_csv_landing, read_manifest
 from saldomart.sources.tables import Warehouse
 from saldomart.sources.views import BankViews
 
@@ -49,13 +49,11 @@ BEFORE_HISTORY = date(1994, 12, 31)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-try:  # the training-data operators are a part that may be left out
+try:  # the training-data operators are a part that may be left out, or lack their libraries
     import corpus_pipeline
     from saldomart.llm.queries import ORACLE_SQL as LLM_SQL
     from saldomart.llm.queries import QUERIES as LLM_QUERIES
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not missing.name.startswith("saldomart.llm"):
-        raise
+except ImportError:
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
     LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
@@ -206,6 +204,38 @@ def _reimport_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.reimport_csv(warehouse, path, customers.schema, "customers", ["c_custkey"])
 
 
+def _checked_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export that lost a file and is refused, and the same one whole."""
+    warehouse, path = _warehouse(spark), new_folder(spark, "csv")
+    customers = BankViews(spark, sf_dir).table("customer").select("c_custkey", "c_name", "c_nationkey")
+    warehouse.publish(customers.repartition(3, "c_custkey"), "dm", "customers")
+    jobs.export_mart(warehouse, "customers", path)
+    lost = sorted(read_manifest(spark, path)["files"])[0]
+    remove_folder(spark, f"{path}/{lost}")
+    try:
+        jobs.import_csv_new_table(warehouse, path, customers.schema, "customers_again")
+        refused = False
+    except IncompleteExport:
+        refused = True
+    jobs.export_mart(warehouse, "customers", path)
+    jobs.import_csv_new_table(warehouse, path, customers.schema, "customers_again")
+    return warehouse.read("dm", "customers_again").withColumn("refused", F.lit(refused))
+
+
+def _load_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of three refreshes: one file, this and a second one, both again."""
+    warehouse = _warehouse(spark)
+    orders = BankViews(spark, sf_dir).table("orders").select("o_orderkey", "o_orderstatus")
+    paths = [new_folder(spark, "csv"), new_folder(spark, "csv")]
+    export_csv(orders.filter("o_orderstatus = 'F'").coalesce(1), paths[0])
+    export_csv(orders.filter("o_orderstatus != 'F'").coalesce(1), paths[1])
+    definition = jobs.InputTable(orders.schema, ("o_orderkey",))
+    for known in (paths[:1], paths, paths):
+        jobs.load_csv(warehouse, "orders", known, definition, only_new=True)
+    n_rows = warehouse.read("ds", "orders").count()
+    return etl_log(warehouse).select("task", "rows_affected", "status", F.lit(n_rows).cast("long").alias("rows_in_table"))
+
+
 def _load_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse, user_days = _warehouse(spark), BankViews(spark, sf_dir).user_days
     path = new_folder(spark, "csv")
@@ -248,6 +278,36 @@ def _parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MANY_FORMATS = ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "MM/dd/yyyy")
+
+
+def _dates_of_files(views: BankViews) -> DataFrame:
+    """Order dates as text, a priority for a file: day or month first, either, and two clear formats in one file."""
+    priority, day = F.col("o_orderpriority"), F.to_date("o_orderdate")
+    early = F.make_date(F.year(day), F.month(day), F.dayofmonth(day) % 12 + 1)
+    text = (
+        F.when(priority == "1-URGENT", F.date_format(day, "dd/MM/yyyy"))
+        .when(priority == "2-HIGH", F.date_format(day, "MM/dd/yyyy"))
+        .when(priority == "3-MEDIUM", F.date_format(early, "dd/MM/yyyy"))
+        .when((priority == "5-LOW") & (F.col("o_orderkey") % 2 == 0), F.date_format(day, "dd.MM.yyyy"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+    )
+    return views.table("orders").select("o_orderkey", "o_orderpriority", text.alias("on_date"))
+
+
+def _chosen_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_formats(_dates_of_files(BankViews(spark, sf_dir)), ["on_date"], _MANY_FORMATS, "o_orderpriority")
+
+
+def _dates_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of all files, and the texts that may be two dates."""
+    rendered = _dates_of_files(BankViews(spark, sf_dir))
+    parsed, rejects = parse_dates_by_file(rendered, ["on_date"], "o_orderpriority", _MANY_FORMATS)
+    return parsed.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.withColumn("on_date", F.lit(None).cast("date"))
+    )
+
+
 def _upsert(small_source: bool | None) -> Query:
     """Orders known up to 1998 meet all orders from 1998 on."""
 
@@ -383,11 +443,10 @@ def _calculate_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _calculate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both marts for seven years in one plan each: the movements, and the balances of quarter ends."""
+    """Both marts for seven years in one plan each."""
     warehouse = _loaded(spark, sf_dir, BEFORE_HISTORY)
     jobs.calculate_period(warehouse, *HISTORY)
-    quarter_end = (F.col("on_date") == F.last_day("on_date")) & (F.month("on_date") % 3 == 0)
-    return _both_marts(warehouse).filter(quarter_end | F.col("debit").isNotNull())
+    return _both_marts(warehouse)
 
 
 def _corrected_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +460,47 @@ def _corrected_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_marts(warehouse)
 
 
+def _corrected(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Two months, calculated from wrong openings and without some postings of the first.
+
+    Then both are corrected, and only the first month is calculated again.
+    """
+    views = BankViews(spark, sf_dir)
+    right = views.opening_balances(BEFORE_JANUARY)
+    wrong = right.withColumn("balance", (F.col("balance") + 400).cast(schemas.MONEY))
+    warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY, {"opening_balances": wrong})
+    january = warehouse.read("ds", "postings", ["1997-01"])
+    warehouse.publish(january.filter("debit_account % 7 != 0"), "ds", "postings", "1997-01")
+    jobs.calculate_period(warehouse, *JANUARY)
+    jobs.calculate_period(warehouse, TWO_MONTHS[0].replace(month=2), TWO_MONTHS[1])
+    warehouse.publish(right, "ds", "opening_balances")
+    warehouse.publish(january, "ds", "postings", "1997-01")
+    try:
+        jobs.build_form_101(warehouse, *TWO_MONTHS)
+    except jobs.StaleMonths:
+        jobs.calculate_period(warehouse, *JANUARY)
+    return warehouse
+
+
+def _carried_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts after a correction of the first of two months."""
+    return _both_marts(_corrected(spark, sf_dir))
+
+
+def _report_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report for two months, of which the first was corrected."""
+    warehouse = _corrected(spark, sf_dir)
+    jobs.build_form_101(warehouse, *TWO_MONTHS)
+    return _doubles(warehouse.read("dm", jobs.REPORT_MART))
+
+
+def _control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What opened, moved and closed in two months, by currency, as noted with the marts."""
+    warehouse = _loaded(spark, sf_dir, BEFORE_JANUARY)
+    jobs.calculate_period(warehouse, *TWO_MONTHS)
+    return _doubles(jobs.control_totals(warehouse))
+
+
 def _short_lived(views: BankViews) -> DataFrame:
     """Accounts of which every tenth opens, and every tenth closes, inside January."""
     number = F.col("account_id") % 10
@@ -540,6 +640,34 @@ def _declared_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read("dm", "customers").join(repeated, "c_custkey", "left")
 
 
+def _orders_by_month(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, DataFrame]:
+    """All orders in periods, their keys declared."""
+    warehouse, month = _warehouse(spark), F.date_format("o_orderdate", "yyyy-MM")
+    orders = BankViews(spark, sf_dir).table("orders").select("o_orderkey", month.alias("month"), "o_orderpriority")
+    warehouse.declare_keys("dm", "orders", ["o_orderkey"])
+    warehouse.publish_periods(orders, "dm", "orders", F.col("month"))
+    return warehouse, orders
+
+
+def _keys_over_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders live in months, and the keys that a refused publish of one more month repeated."""
+    warehouse, orders = _orders_by_month(spark, sf_dir)
+    try:
+        warehouse.publish(orders.filter("o_orderpriority = '1-URGENT'"), "dm", "orders", "2099-01")
+    except DuplicateKeys:
+        pass
+    repeated = warehouse.read("dm", "orders_duplicates")
+    return warehouse.read("dm", "orders").join(repeated, "o_orderkey", "left")
+
+
+def _periods_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months that hold orders above a price, found by their keys."""
+    warehouse, _ = _orders_by_month(spark, sf_dir)
+    dear = BankViews(spark, sf_dir).table("orders").filter("o_totalprice > 480000").select("o_orderkey")
+    months = warehouse.periods_holding("dm", "orders", dear, ["o_orderkey"])
+    return spark.createDataFrame([(m,) for m in months], "month string")
+
+
 # Missing periods
 
 
@@ -554,6 +682,25 @@ def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_period_gaps(days, "user_id", "on_date")
 
 
+def _line_periods(views: BankViews) -> DataFrame:
+    """Order lines as periods of parts: from the day of shipping for as many days as pieces."""
+    begins = F.to_date("l_shipdate")
+    ends = F.date_add(begins, F.col("l_quantity").cast("int"))
+    return views.table("lineitem").select("l_partkey", "l_linenumber", "l_returnflag", begins.alias("begins"), ends.alias("ends"))
+
+
+def _interval_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days without a period between those of a part. Seventh lines have no end."""
+    ends = F.when(F.col("l_linenumber") != 7, F.col("ends"))
+    return find_interval_gaps(_line_periods(BankViews(spark, sf_dir)).withColumn("ends", ends), "l_partkey", "begins", "ends")
+
+
+def _missing_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart lacks the periods of one kind of lines."""
+    source = _line_periods(BankViews(spark, sf_dir))
+    return missing_intervals(source, source.filter("l_returnflag != 'N'"), "l_partkey", "begins", "ends")
+
+
 def _refresh_loan_holiday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart after its refresh, with the days that were missing marked."""
     warehouse, user_days = _warehouse(spark), BankViews(spark, sf_dir).user_days
@@ -625,6 +772,25 @@ def _etl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _unended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log, compacted once: a load, one that was killed while it ran, and another load."""
+    customers, warehouse = BankViews(spark, sf_dir).table("customer"), _warehouse(spark)
+
+    def killed() -> int:
+        raise SystemExit
+
+    run_logged(warehouse, "customers", lambda: warehouse.publish(customers, "ds", "customers"))
+    try:
+        run_logged(warehouse, "killed", killed)
+    except SystemExit:
+        pass
+    compact_log(warehouse)
+    run_logged(warehouse, "again", lambda: warehouse.publish(customers, "ds", "customers"))
+    return etl_log(warehouse).select(
+        "task", "rows_affected", "status", F.col("ended_at").isNull().alias("without_end")
+    )
+
+
 def _exchange_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of an export, its import, a refused import, a failed export and a reload."""
     warehouse, customers = _warehouse(spark), BankViews(spark, sf_dir).table("customer")
@@ -666,10 +832,14 @@ def bank_queries() -> dict[str, Query]:
         "moved_postings": _moved_postings,
         "csv_roundtrip": _csv_roundtrip,
         "reimport_diff": _reimport_diff,
+        "checked_import": _checked_import,
+        "load_only_new": _load_only_new,
         "load_snapshot": _load_snapshot,
         "publish": _publish,
         "full_reload": _full_reload,
         "parse_dates": _parse_dates,
+        "chosen_formats": _chosen_formats,
+        "dates_by_file": _dates_by_file,
         "upsert": _upsert(small_source=False),
         "upsert_measured_source": _upsert(small_source=None),
         "rate_as_of": _rate_as_of(None),
@@ -686,6 +856,9 @@ def bank_queries() -> dict[str, Query]:
         "calculate_period": _calculate_period,
         "calculate_period_history": _calculate_history,
         "corrected_opening": _corrected_opening,
+        "carried_correction": _carried_correction,
+        "report_after_correction": _report_after_correction,
+        "control_totals": _control_totals,
         "unbooked_movements": _unbooked,
         "form_101_short_lived": _form_101_short_lived,
         "form_101": _form_101,
@@ -698,8 +871,12 @@ def bank_queries() -> dict[str, Query]:
         "refresh_client": _refresh_client,
         "assert_unique": _assert_unique,
         "declared_keys": _declared_keys,
+        "keys_over_periods": _keys_over_periods,
+        "periods_holding": _periods_holding,
         "missing_in_mart": _missing,
         "find_period_gaps": _gaps,
+        "find_interval_gaps": _interval_gaps,
+        "missing_intervals": _missing_intervals,
         "refresh_loan_holiday": _refresh_loan_holiday,
         "find_mismatches": _repair(find_mismatches),
         "find_mismatches_by_row": _repair(find_mismatches, "row"),
@@ -711,6 +888,7 @@ def bank_queries() -> dict[str, Query]:
         "rebuild_balance_turnover": _rebuild,
         "refresh_balance_turnover": _refresh_balance_turnover,
         "etl_log": _etl_log,
+        "unended_operations": _unended,
         "exchange_log": _exchange_log,
     }
 
@@ -894,6 +1072,14 @@ LEFT JOIN rates ON rates.currency_id = a.currency_id AND CAST(o_orderdate AS DAT
 
 _USER_DAYS_ALL = f"WITH {_USER_DAYS} SELECT user_id, on_date, CAST(turnover AS DOUBLE) AS turnover FROM user_days"
 
+_FILE_DATES = """
+WITH files AS (
+  SELECT o_orderkey, o_orderpriority, CAST(o_orderpriority[1] AS INTEGER) AS number,
+         CASE WHEN number = 3 THEN make_date(year(o_orderdate), month(o_orderdate), day(o_orderdate) % 12 + 1)
+              ELSE CAST(o_orderdate AS DATE) END AS on_date,
+         number <= 3 AND day(on_date) <= 12 AND day(on_date) <> month(on_date) AS two_readings
+  FROM orders)"""
+
 _RANKED_CLIENTS = """
 SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents"""
 
@@ -912,6 +1098,11 @@ SELECT o_orderkey, CAST(o_custkey % 25 AS INTEGER) AS currency_id, CAST(o_orderd
 FROM orders LEFT JOIN rates ON rates.currency_id = o_custkey % 25 AND date_from <= DATE '1996-07-01'
   AND CAST(o_orderdate AS DATE) >= date_from
   AND (CAST(o_orderdate AS DATE) <= date_to OR date_from = DATE '1996-07-01')"""
+    both_marts = f"""{_marts(*two_months)}
+SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
+       CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
+FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date"""
     return {
         "read_csv_landing": """
 SELECT CASE WHEN bad THEN NULL ELSE o_orderkey END AS o_orderkey,
@@ -950,12 +1141,6 @@ SELECT o_orderkey AS posting_id,
 FROM orders""",
         "rate_as_of_open": open_rates,
         "rate_as_of_open_by_month": open_rates,
-        "calculate_period_history": f"""{_marts(*history)}
-SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
-       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
-       CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
-FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date
-WHERE t.debit IS NOT NULL OR (v.on_date = last_day(v.on_date) AND month(v.on_date) % 3 = 0)""",
         "corrected_opening": f"""{_marts(*january)}
 SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
        CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
@@ -970,6 +1155,60 @@ GROUP BY account_id, on_date""",
         "form_101_short_lived": _report_sql(*january, short_lived=True),
         "declared_keys": """
 SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 3 THEN 2 END AS n FROM customer""",
+        "keys_over_periods": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 2 END AS n
+FROM orders""",
+        "periods_holding": """
+SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_totalprice > 480000""",
+        "checked_import": "SELECT c_custkey, c_name, c_nationkey, true AS refused FROM customer",
+        "load_only_new": """
+SELECT task, rows_affected, 'SUCCESS' AS status, n AS rows_in_table
+FROM (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders),
+     (VALUES (1), (2), (3), (4)) AS steps(step),
+     LATERAL (SELECT CASE step WHEN 1 THEN f WHEN 3 THEN n - f ELSE 0 END AS rows_affected,
+                     CASE step WHEN 2 THEN 'pass over 1 known files of ds.orders'
+                               WHEN 4 THEN 'pass over 2 known files of ds.orders' ELSE 'load orders' END AS task)""",
+        "chosen_formats": f"""{_FILE_DATES}
+SELECT o_orderpriority, 'on_date' AS "column", count(*) AS n_texts, 0 AS n_unread,
+       count(*) FILTER (two_readings) AS n_conflicts,
+       CASE any_value(number) WHEN 1 THEN 'dd/MM/yyyy' WHEN 2 THEN 'MM/dd/yyyy' WHEN 4 THEN 'yyyy-MM-dd' END AS format,
+       CASE WHEN any_value(number) IN (1, 2) THEN 'decided' WHEN any_value(number) = 3 THEN 'ambiguous' ELSE 'clear' END AS status
+FROM files GROUP BY o_orderpriority""",
+        "dates_by_file": f"""{_FILE_DATES}
+SELECT o_orderkey, o_orderpriority, CASE WHEN number <> 3 OR NOT two_readings THEN on_date END AS on_date,
+       CASE WHEN number = 3 AND two_readings THEN 'ambiguous date: on_date' END AS reason
+FROM files""",
+        "control_totals": f"""{_marts(*two_months)}
+SELECT DATE '1997-01-01' AS date_from, DATE '1997-02-28' AS date_to, currency_id,
+       CAST(sum(CASE WHEN on_date = DATE '1996-12-31' THEN balance END) AS DOUBLE) AS opening,
+       CAST(sum(CASE WHEN on_date = DATE '1997-02-28' THEN balance ELSE -balance END) AS DOUBLE) AS change,
+       CAST(sum(CASE WHEN on_date = DATE '1997-02-28' THEN balance END) AS DOUBLE) AS closing
+FROM balance WHERE on_date IN (DATE '1996-12-31', DATE '1997-02-28') GROUP BY currency_id""",
+        "find_interval_gaps": """
+WITH periods AS (
+  SELECT l_partkey, CAST(l_shipdate AS DATE) AS begins,
+         CASE WHEN l_linenumber = 7 THEN DATE '9999-12-31' ELSE CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) END AS ends
+  FROM lineitem),
+reached AS (
+  SELECT *, max(ends) OVER (
+    PARTITION BY l_partkey ORDER BY begins, ends ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last
+  FROM periods)
+SELECT l_partkey, last + 1 AS gap_from, begins - 1 AS gap_to, CAST(begins - last - 1 AS BIGINT) AS missing_days
+FROM reached WHERE begins > last + 1""",
+        "missing_intervals": """
+WITH days AS (
+  SELECT l_partkey, CAST(l_shipdate AS DATE) + CAST(i AS INTEGER) AS day, bool_or(l_returnflag <> 'N') AS held
+  FROM lineitem, generate_series(0, CAST(l_quantity AS INTEGER)) AS s(i)
+  GROUP BY l_partkey, day),
+numbered AS (
+  SELECT l_partkey, day, day - CAST(row_number() OVER (PARTITION BY l_partkey ORDER BY day) AS INTEGER) AS stretch
+  FROM days WHERE NOT held)
+SELECT l_partkey, min(day) AS missing_from, max(day) AS missing_to FROM numbered GROUP BY l_partkey, stretch""",
+        "unended_operations": """
+SELECT t.task, CASE WHEN t.killed THEN NULL ELSE n END AS rows_affected,
+       CASE WHEN t.killed THEN 'STARTED' ELSE 'SUCCESS' END AS status, t.killed AS without_end
+FROM (SELECT count(*) AS n FROM customer), (VALUES ('customers', false), ('killed', true), ('again', false)) AS t(task, killed)""",
         "exchange_log": """
 WITH size AS (SELECT count(*) AS n FROM customer)
 SELECT t.task, CASE WHEN t.failed THEN 0 ELSE n END AS rows_affected,
@@ -1025,11 +1264,9 @@ SELECT account_id, span_from,
        coalesce(lead(span_from) OVER w - 1, DATE '2001-12-31') AS span_to,
        CAST(sum(change) OVER w AS DOUBLE) AS balance
 FROM starts WINDOW w AS (PARTITION BY account_id ORDER BY span_from)""",
-        "calculate_period": f"""{_marts(*two_months)}
-SELECT v.on_date, v.account_id, CAST(balance AS DOUBLE) AS balance, CAST(balance_home AS DOUBLE) AS balance_home,
-       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit,
-       CAST(debit_home AS DOUBLE) AS debit_home, CAST(credit_home AS DOUBLE) AS credit_home
-FROM valued v LEFT JOIN turnover t ON t.account_id = v.account_id AND t.on_date = v.on_date""",
+        "calculate_period": both_marts,
+        "carried_correction": both_marts,
+        "report_after_correction": _report_sql(*two_months),
         "form_101": _report_sql(*january),
         "form_101_history": _report_sql(*history),
         "build_form_101": _report_sql(*two_months),

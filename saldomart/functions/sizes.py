@@ -1,4 +1,4 @@
-"""Counts taken while writing, and size checks that decide whether a table may be broadcast."""
+"""Counts and digests taken while writing, and size checks that decide whether a table may be broadcast."""
 
 from __future__ import annotations
 
@@ -22,6 +22,12 @@ def observed(seen: Observation, names: Sequence[str]) -> dict[str, int]:
         return dict.fromkeys(names, 0)
 
 
+def rows_digest(df: DataFrame) -> Column:
+    """An aggregate over all columns that does not depend on the order of rows: the sum of their hashes."""
+    texts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in df.columns]
+    return F.coalesce(F.sum(F.xxhash64(*texts).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def row_bytes(schema: T.StructType) -> Column | None:
     """The bytes of a row, strings measured, or None for nested and binary columns."""
     if any(isinstance(f.dataType, _UNMEASURED) for f in schema.fields):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from saldomart.functions.sizes import BROADCAST_BYTES
@@ -43,24 +43,29 @@ def _last_before() -> Column:
     return F.max("date_to").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _measure(intervals: DataFrame) -> int:
-    """Number of intervals. Refuses inverted ones and those of a currency that overlap."""
+def _checks() -> list[Column]:
+    """Aggregates over intervals with ``_last``: an inverted one, one that overlaps an earlier one, how many."""
     place = F.struct("currency_id", "date_from")
-    found = (
-        intervals.select("currency_id", "date_from", "date_to", _last_before().alias("_last"))
-        .agg(
-            F.min(F.when(F.col("date_to") < F.col("date_from"), place)).alias("inverted"),
-            F.min(F.when(F.col("date_from") <= F.col("_last"), place)).alias("clash"),
-            F.count(F.lit(1)).alias("intervals"),
-        )
-        .first()
-    )
+    return [
+        F.min(F.when(F.col("date_to") < F.col("date_from"), place)).alias("inverted"),
+        F.min(F.when(F.col("date_from") <= F.col("_last"), place)).alias("clash"),
+        F.count(F.lit(1)).alias("intervals"),
+    ]
+
+
+def _refuse(found: Row) -> None:
     if found["inverted"]:
         currency, day = found["inverted"]
         raise InvertedRate(f"the rate of currency {currency} from {day} ends before it begins")
     if found["clash"]:
         currency, day = found["clash"]
         raise OverlappingRates(f"currency {currency} has two rates on {day}")
+
+
+def _measure(intervals: DataFrame) -> int:
+    """Number of intervals. Refuses inverted ones and those of a currency that overlap."""
+    found = intervals.select("currency_id", "date_from", "date_to", _last_before().alias("_last")).agg(*_checks()).first()
+    _refuse(found)
     return found["intervals"]
 
 
@@ -68,29 +73,31 @@ def day_rates(currencies: DataFrame, rates: DataFrame, date_from: date, date_to:
     """One row per currency and day: ``rate`` (1 for the home currency), ``is_home``.
 
     Holds days x currencies rows at most, whatever the number of postings, and is marked
-    for broadcast once that number was found to be small. A currency that is not listed
-    counts as foreign. A day without a rate has no row.
+    for broadcast once that number was found to be small; one job finds it and checks the
+    intervals. A currency that is not listed counts as foreign. A day without a rate has no
+    row.
     """
     first, last = F.lit(date_from), F.lit(date_to)
     home = currencies.filter("is_home").select("currency_id")
     foreign = _ended(rates).join(home, "currency_id", "left_anti")
-    _measure(foreign)
     one = F.lit(1).cast(rates.schema["rate"].dataType)
+    at_home = home.select(
+        "currency_id", first.alias("date_from"), last.alias("date_to"), one.alias("rate"), F.lit(True).alias("is_home")
+    )
+    begins, ends = F.greatest("date_from", first), F.least("date_to", last)
+    all_of_them = (
+        foreign.withColumns({"is_home": F.lit(False), "_last": _last_before()})
+        .unionByName(at_home.withColumn("_last", F.lit(None).cast("date")))
+        .agg(*_checks(), F.sum(F.greatest(F.datediff(ends, begins) + 1, F.lit(0))).alias("days"))
+        .first()
+    )
+    _refuse(all_of_them)
     clipped = foreign.select(
-        "currency_id",
-        F.greatest("date_from", first).alias("date_from"),
-        F.least("date_to", last).alias("date_to"),
-        "rate",
-        F.lit(False).alias("is_home"),
+        "currency_id", begins.alias("date_from"), ends.alias("date_to"), "rate", F.lit(False).alias("is_home")
     ).filter("date_from <= date_to")
-    intervals = clipped.unionByName(
-        home.select("currency_id", first.alias("date_from"), last.alias("date_to"),
-                    one.alias("rate"), F.lit(True).alias("is_home"))
-    )
-    days = intervals.agg(F.sum(F.datediff("date_to", "date_from") + 1).alias("days")).first()["days"] or 0
     every_day = F.explode(F.sequence("date_from", "date_to", F.expr("interval 1 day")))
-    daily = intervals.select("currency_id", every_day.alias("on_date"), "rate", "is_home")
-    return F.broadcast(daily) if days * _ROW_BYTES <= BROADCAST_BYTES else daily
+    daily = clipped.unionByName(at_home).select("currency_id", every_day.alias("on_date"), "rate", "is_home")
+    return F.broadcast(daily) if (all_of_them["days"] or 0) * _ROW_BYTES <= BROADCAST_BYTES else daily
 
 
 def rate_as_of(

@@ -7,19 +7,22 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldomart import schemas
 from saldomart.functions.dates import DATE_FORMATS
+from saldomart.functions.money import to_cents
+from saldomart.functions.sizes import observed
 from saldomart.operators.duplicates import assert_unique, remove_duplicates
 from saldomart.operators.merge import latest_per_key, stored_and_measured, table_diff, take_over
-from saldomart.operators.periods import find_period_gaps, missing_in_mart
+from saldomart.operators.periods import find_interval_gaps, find_period_gaps, missing_in_mart, missing_intervals
 from saldomart.operators.rates import day_rates
 from saldomart.operators.repair import find_mismatches, rebuild_balance_turnover
 from saldomart.plans.audit import run_logged
-from saldomart.plans.balance import account_balance
+from saldomart.plans.balance import account_balance, valued_balance
+from saldomart.plans.control import ControlTotalsDiffer, balance_control, days_that_differ, movement_totals
 from saldomart.plans.form101 import form_101
 from saldomart.plans.turnover import (
     UnbookedMovements,
@@ -30,8 +33,17 @@ from saldomart.plans.turnover import (
     require_rates,
     valued_turnover,
 )
-from saldomart.sources.csv import export_csv, read_csv, read_csv_landing, read_csv_typed
-from saldomart.sources.tables import Published, Warehouse, empty_table
+from saldomart.sources.csv import (
+    IncompleteExport,
+    check_files,
+    export_csv,
+    read_csv,
+    read_csv_landing,
+    read_csv_text,
+    typed_rows,
+)
+from saldomart.sources.ledger import Choice, choose_new, note_loaded
+from saldomart.sources.tables import Prepared, Published, Warehouse
 
 TURNOVER_MART = "dm_account_turnover_f"
 BALANCE_MART = "dm_account_balance_f"
@@ -72,22 +84,36 @@ def load_csv(
     order_by: Sequence[str] = (),
     sep: str = ",",
     encoding: str = "UTF-8",
+    formats_by_file: bool = False,
+    only_new: bool = False,
 ) -> Published:
     """Upsert CSV files into a DS table, whatever its months, in a fixed number of passes.
 
     Rows that cannot be taken are kept in ``<table>_rejects``, a period for each load. A
     table kept in months rewrites the months that occur in the files, and those that a row
-    of the files leaves because its date changed. The months are written together and go
-    live together.
+    of the files leaves because its date changed; these are found by an index of keys. The
+    months are written together and go live together.
+
+    ``formats_by_file`` finds out the date format of each file and column, and rejects dates
+    that stay ambiguous, instead of taking the first format that fits. ``only_new`` passes
+    over files that were loaded into the table before, and logs how many.
     """
     spec = definition or INPUT_TABLES[table]
     if spec.month_of is not None and spec.month_of not in spec.schema.fieldNames():
         raise ValueError(f"{table} is kept in months of {spec.month_of}, which it lacks")
     names, spark = spec.schema.fieldNames(), warehouse.spark
+    files = _new_files(warehouse, f"ds.{table}", path) if only_new else None
+    if files is not None and not files.new:
+        return Published(warehouse.table_dir("ds", table), 0, {"inserted": 0, "updated": 0, "unchanged": 0})
+    paths = path if files is None else [f.path for f in files.new]
 
     def load() -> Published:
         with warehouse.stage("landing") as folder:
-            rows = read_csv_typed(spark, path, spec.schema, formats, spec.required, sep, encoding)
+            raw = read_csv_text(spark, paths, spec.schema, sep, encoding)
+            if formats_by_file:  # read twice, parsed once
+                raw.write.parquet(f"{folder}/raw")
+                raw = spark.read.schema(raw.schema).parquet(f"{folder}/raw")
+            rows = typed_rows(raw, spec.schema, formats, spec.required, sep, formats_by_file)
             rows.withColumn("_bad", F.col("reason").isNotNull()).write.partitionBy("_bad").parquet(f"{folder}/rows")
             kinds = T.StructType([*rows.schema.fields, T.StructField("_bad", T.BooleanType())])
             staged = spark.read.schema(kinds).parquet(f"{folder}/rows")
@@ -95,11 +121,22 @@ def load_csv(
             warehouse.publish(rejects, "ds", f"{table}_rejects", f"load-{uuid.uuid4().hex}")
             latest = latest_per_key(staged.filter("NOT _bad").select(*names), spec.keys, order_by)
             new, small = stored_and_measured(latest, f"{folder}/new")
-            return _publish_taken_over(warehouse, table, spec, new, small)
+            done = _publish_taken_over(warehouse, table, spec, new, small)
+        if files is not None:
+            note_loaded(warehouse, f"ds.{table}", files.new)
+        return done
 
     return run_logged(warehouse, f"load {table}", load, lambda p: p.counts["inserted"] + p.counts["updated"])
 
 
+def _new_files(warehouse: Warehouse, target: str, path: str | list[str]) -> Choice:
+    """Files not loaded into ``target`` before. That others are passed over is logged."""
+    files = choose_new(warehouse, target, path)
+    if files.known:
+        run_logged(warehouse, f"pass over {len(files.known)} known files of {target}", lambda: 0)
+    return files
+
+
 def _month(date_col: str) -> Column:
     return F.date_format(date_col, "yyyy-MM")
 
@@ -116,29 +153,43 @@ def _publish_taken_over(
     if spec.month_of is None:
         merged = take_over(warehouse.read("ds", table, schema=spec.schema), new, spec.keys, small)
         return warehouse.publish(merged, "ds", table, counts=counts, columns=columns)
-    months = new.select(_month(spec.month_of).alias("m"))
+    months = {r["m"] for r in new.select(_month(spec.month_of).alias("m")).distinct().collect()}  # a row a month
     if spec.month_of not in spec.keys:  # a row may stand in a month that the files do not name
-        ids = new.select(*spec.keys)
-        known = warehouse.read("ds", table, schema=spec.schema).select(*{*spec.keys, spec.month_of})
-        left = known.join(F.broadcast(ids) if small else ids, list(spec.keys), "left_semi")
-        months = months.union(left.select(_month(spec.month_of)))
-    touched = sorted(r["m"] for r in months.distinct().collect() if r["m"] is not None)  # a row a month
+        months.update(warehouse.periods_holding("ds", table, new, spec.keys))
+    touched = sorted(months - {None})
     target = warehouse.read("ds", table, touched, spec.schema)
     merged = take_over(target, new, spec.keys, small)
     month = _month(spec.month_of)
-    return warehouse.publish_periods(merged, "ds", table, month, touched, counts=counts, columns=columns)
+    return warehouse.publish_periods(
+        merged, "ds", table, month, touched, counts=counts, columns=columns, index=spec.keys
+    )
 
 
 def load_snapshot(
-    warehouse: Warehouse, table: str, path: str | list[str], schema: T.StructType, sep: str = ","
+    warehouse: Warehouse,
+    table: str,
+    path: str | list[str],
+    schema: T.StructType,
+    sep: str = ",",
+    only_new: bool = False,
 ) -> Published:
-    """Replace an RD table by CSV files. Rows that do not fit go to ``<table>_rejects``."""
+    """Replace an RD table by CSV files. Rows that do not fit go to ``<table>_rejects``.
+
+    With ``only_new`` nothing is written where the table holds these very files already.
+    """
+    files = _new_files(warehouse, f"rd.{table}", path) if only_new else None
+    facts = None if files is None else {"files": files.contents()}
+    if facts is not None and warehouse.facts("rd", table).get("all") == facts:
+        return Published(warehouse.live("rd", table)["all"], 0)
 
     def load() -> Published:
         with warehouse.stage("landing") as folder:
             good, rejects = read_csv_landing(warehouse.spark, path, schema, sep, stage_dir=folder)
             warehouse.publish(rejects, "rd", f"{table}_rejects")
-            return warehouse.publish(good, "rd", table)
+            done = warehouse.publish(good, "rd", table, facts=facts)
+        if files is not None:
+            note_loaded(warehouse, f"rd.{table}", files.new)
+        return done
 
     return run_logged(warehouse, f"load {table}", load)
 
@@ -201,6 +252,9 @@ def calculate_period(
     and with the loaded balances of the day before otherwise. Movements on unknown accounts
     or outside an account's validity are listed in ``dm_unbooked_f`` and stop the job; with
     ``on_unbooked='skip'`` the marts go on without them.
+
+    Months that were calculated from the last of these before follow: what closing balances
+    changed by is added to theirs, and all balances go live together.
     """
     names = [f"{m:%Y-%m}" for m in _months(date_from, date_to)]
     return [
@@ -221,11 +275,17 @@ def _turnover_months(
     warehouse: Warehouse, first: date, last: date, names: list[str], on_missing_rate: str, on_unbooked: str
 ) -> Published:
     ds = _inputs(warehouse)
+    facts = {name: {"postings": stamps} for name, stamps in _postings_of(warehouse, names).items()}
     postings = warehouse.read("ds", "postings", [*names, "all"], schemas.POSTINGS)
     rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
     month = _month("on_date")
+    needed = postings.filter(F.col("on_date").between(F.lit(first), F.lit(last))).select(
+        "on_date", "debit_account", "credit_account", "amount"
+    )
+    seen = Observation()
+    posted = needed.observe(seen, F.coalesce(F.sum(to_cents(F.col("amount"))), F.lit(0)).alias("cents"))
     with warehouse.stage("movements") as folder:
-        placed = placed_movements(account_movements(postings, first, last), ds["accounts"])
+        placed = placed_movements(account_movements(posted, first, last), ds["accounts"])
         placed.write.parquet(f"{folder}/rows")  # one pass over the postings for all that follows
         placed = warehouse.spark.read.schema(placed.schema).parquet(f"{folder}/rows")
         unbooked = placed.filter("reason IS NOT NULL").drop("currency_id")
@@ -236,27 +296,82 @@ def _turnover_months(
         if on_missing_rate == "error":
             require_rates(movements, rates_by_day)
         turnover = valued_turnover(movements, rates_by_day, on_missing_rate)
-        return warehouse.publish_periods(turnover, "dm", TURNOVER_MART, month, names)
+        prepared = warehouse.prepare_periods(turnover, "dm", TURNOVER_MART, month, names)
+        mart = _prepared_rows(warehouse, prepared, TURNOVER_MART, names, schemas.ACCOUNT_TURNOVER)
+        _require_all_posted(needed, observed(seen, ["cents"])["cents"], mart, unbooked)
+        warehouse.switch("dm", TURNOVER_MART, [prepared], facts)
+        return prepared.published
+
+
+def _prepared_rows(
+    warehouse: Warehouse, prepared: Prepared, mart: str, months: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    base = warehouse.table_dir("dm", mart)
+    return warehouse.spark.read.schema(schema).parquet(*[prepared.path(base, m) for m in months])
+
+
+def _require_all_posted(postings: DataFrame, cents: int, turnover: DataFrame, unbooked: DataFrame) -> None:
+    """Debits and credits of the mart and of what it leaves out are as much as was posted.
+
+    ``cents`` was counted while the postings were read. A task that ran twice may have
+    counted twice, so where the sums differ the days are compared before anything is refused.
+    """
+    if movement_totals(turnover, unbooked) == (cents, cents):
+        return
+    legs = ["on_date", "debit", "credit"]
+    days = days_that_differ(postings, turnover.select(*legs).unionByName(unbooked.select(*legs)))
+    if days:
+        raise ControlTotalsDiffer(f"turnovers are not what was posted on {', '.join(map(str, days))}")
+
+
+def _postings_of(warehouse: Warehouse, months: Sequence[str]) -> dict[str, list[str]]:
+    """The versions of the postings that each month is calculated from."""
+    stamps = warehouse.stamps("ds", "postings")
+    return {m: [stamps[p] for p in (m, "all") if p in stamps] for m in months}
 
 
 def _opening_period(day: date) -> str:
     return f"opening-{day:%Y-%m-%d}"
 
 
+def _first_day(month: str) -> date:
+    return date.fromisoformat(f"{month}-01")
+
+
+def _following(month: str) -> str:
+    return f"{_last_day(_first_day(month)) + timedelta(days=1):%Y-%m}"
+
+
+def _rates_by_month(rates_by_day: DataFrame) -> dict[str, str]:
+    """For each month a digest of its rates that does not depend on their order. A row a month is collected."""
+    each = F.xxhash64("currency_id", "on_date", "rate", "is_home").cast("decimal(38,0)")
+    found = rates_by_day.groupBy(_month("on_date").alias("m")).agg(F.count("*").alias("n"), F.sum(each).alias("s"))
+    return {r["m"]: f"{r['n']}:{r['s']}" for r in found.collect()}
+
+
+def _loaded_openings(opening: DataFrame, days: Sequence[date]) -> dict[date, str]:
+    """For each day a digest of the opening balances loaded for it, in any order."""
+    each = F.xxhash64("account_id", "balance").cast("decimal(38,0)")
+    rows = opening.filter(F.col("on_date").isin(list(days)))
+    found = rows.groupBy("on_date").agg(F.count("*").alias("n"), F.sum(each).alias("s"))
+    return {r["on_date"]: f"loaded {r['n']}:{r['s']}" for r in found.collect()}
+
+
 def _balance_months(
     warehouse: Warehouse, first: date, last: date, names: list[str], on_missing_rate: str
 ) -> Published:
     ds = _inputs(warehouse)
     before = first - timedelta(days=1)
     earlier = f"{before:%Y-%m}"
+    turnovers, balances = (warehouse.stamps("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
     movements = warehouse.read("dm", TURNOVER_MART, names, schemas.ACCOUNT_TURNOVER)
-    by_day = ["on_date", "account_id"]  # the report and the next month read single days
-    calculated = all(earlier in warehouse.live("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
+    calculated = earlier in turnovers and earlier in balances
     if calculated:
-        opening = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE)
+        opening, source = warehouse.read("dm", BALANCE_MART, [earlier], schemas.ACCOUNT_BALANCE), balances[earlier]
     else:
         opening = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
-        if opening.filter(F.col("on_date") == F.lit(before)).isEmpty():
+        source = _loaded_openings(opening, [before]).get(before)
+        if source is None:
             raise LookupError(f"{earlier} is not calculated and ds.opening_balances has no rows for {before}")
     start = first if calculated else before
     rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], start, last)
@@ -268,21 +383,170 @@ def _balance_months(
             opening, movements, ds["accounts"], rates_by_day, first, last, on_missing_rate, **days
         )
 
-    done = warehouse.publish_periods(balance(), "dm", BALANCE_MART, _month("on_date"), names, sort_by=by_day)
+    months = warehouse.prepare_periods(
+        balance(), "dm", BALANCE_MART, _month("on_date"), names, sort_by=_BY_DAY
+    )
+    rates = _rates_by_month(rates_by_day)
+    openings = [source, *[f"{name}@{months.versions[name]}" for name in names]]
+    facts = {
+        name: {"turnover": turnovers.get(name), "opening": opened, "rates": rates.get(name)}
+        for name, opened in zip(names, openings)
+    }
+    stored = _prepared_rows(warehouse, months, BALANCE_MART, names, schemas.ACCOUNT_BALANCE)
+    control = balance_control(stored, opening, movements, ds["accounts"], first, last).orderBy("currency_id").collect()
+    wrong = [str(r["currency_id"]) for r in control if r["left_over"]]
+    if wrong:
+        raise ControlTotalsDiffer(f"balances do not move by what was posted in currencies {', '.join(wrong)}")
+    totals = [[r["currency_id"], *[str(r[c]) for c in ("opening", "change", "closing")]] for r in control]
+    facts[names[-1]]["control"] = {"from": str(first), "to": str(last), "totals": totals}
+    prepared = [months]
     if not calculated:
         day = balance(with_opening_day=True, on_days=[before])
-        warehouse.publish(day, "dm", BALANCE_MART, _opening_period(before), sort_by=by_day)
-    # A day that a calculated month holds is no opening day of its own any more.
-    for period in warehouse.live("dm", BALANCE_MART):
-        if period.startswith("opening-"):
-            day = date.fromisoformat(period.removeprefix("opening-"))
-            if first <= day <= last or (calculated and day == before):
-                warehouse.publish(empty_table(warehouse.spark, schemas.ACCOUNT_BALANCE), "dm", BALANCE_MART, period)
-    return done
+        prepared.append(warehouse.prepare(day, "dm", BALANCE_MART, _opening_period(before), sort_by=_BY_DAY))
+    with warehouse.stage("carried") as folder:
+        carried, carried_facts = _carried(warehouse, months, names[-1], openings[-1], on_missing_rate, folder)
+        prepared += carried
+        # A day that a calculated month holds is no opening day of its own any more.
+        of_days = [p for p in balances if p.startswith("opening-")]
+        days = {p: date.fromisoformat(p.removeprefix("opening-")) for p in of_days}
+        over = [p for p, day in days.items() if first <= day <= last or (calculated and day == before)]
+        warehouse.switch("dm", BALANCE_MART, prepared, facts | carried_facts, over)
+    counts = {"calculated": months.published.rows, "carried": sum(c.published.rows for c in carried)}
+    return Published(months.published.path, sum(counts.values()), counts)
+
+
+_BY_DAY = ["on_date", "account_id"]  # the report and the next month read single days
+
+
+def _months_behind(warehouse: Warehouse, month: str) -> tuple[list[str], str | None]:
+    """Calculated months that follow ``month`` one from the other, and the live period that the first opened with."""
+    facts, stamps = warehouse.facts("dm", BALANCE_MART), warehouse.stamps("dm", BALANCE_MART)
+    following, opening_day = _following(month), _opening_period(_last_day(_first_day(month)))
+    opened = facts.get(following, {}).get("opening")
+    if opened is None:
+        return [], None
+    if opened == stamps.get(month):
+        source = month
+    elif opened.startswith("loaded ") and opening_day in stamps:
+        source = opening_day
+    else:
+        return [], None  # it was calculated from something else and stays stale
+    behind = [following]
+    while facts.get(_following(behind[-1]), {}).get("opening") == stamps[behind[-1]]:
+        behind.append(_following(behind[-1]))
+    return behind, source
+
+
+def _carried(
+    warehouse: Warehouse, new: Prepared, month: str, stamp: str, on_missing_rate: str, folder: str
+) -> tuple[list[Prepared], dict[str, dict]]:
+    """Later months after the closing balances of ``month`` changed, prepared to go live with it.
+
+    What an account's closing balance changed by is added to its balance on every later day
+    of the months that were calculated from it; nothing else in them changes, and their
+    movements are not read. Without a change they only note the version they follow.
+    """
+    behind, source = _months_behind(warehouse, month)
+    if not behind:
+        return [], {}
+    ds, closing = _inputs(warehouse), F.col("on_date") == F.lit(_last_day(_first_day(month)))
+    path = new.path(warehouse.table_dir("dm", BALANCE_MART), month)
+    now = warehouse.spark.read.schema(schemas.ACCOUNT_BALANCE).parquet(path).filter(closing)
+    then = warehouse.read("dm", BALANCE_MART, [source], schemas.ACCOUNT_BALANCE).filter(closing)
+    both = now.select("account_id", F.col("balance").alias("now")).join(
+        then.select("account_id", F.col("balance").alias("then")), "account_id", "full"
+    )
+    delta = (F.coalesce("now", F.lit(0)) - F.coalesce("then", F.lit(0))).cast(schemas.TOTAL)
+    changed = both.select("account_id", delta.alias("delta")).filter("delta != 0")
+    changed, small = stored_and_measured(
+        changed.join(ds["accounts"].select("account_id", "currency_id"), "account_id"), f"{folder}/delta"
+    )
+    facts, versions, prepared = warehouse.facts("dm", BALANCE_MART), {}, []
+    if not changed.isEmpty():
+        changed = F.broadcast(changed) if small else changed
+        later = warehouse.read("dm", BALANCE_MART, behind, schemas.ACCOUNT_BALANCE)
+        first, last = _first_day(behind[0]), _last_day(_first_day(behind[-1]))
+        rates_by_day = day_rates(ds["currencies"], ds["exchange_rates"], first, last)
+        moved = later.join(changed, "account_id").withColumn("balance", (F.col("balance") + F.col("delta")).cast(schemas.TOTAL))
+        moved = valued_balance(moved, rates_by_day, on_missing_rate)
+        same = later.join(changed, "account_id", "left_anti").select(*moved.columns)
+        both = moved.unionByName(same)
+        prepared.append(
+            warehouse.prepare_periods(both, "dm", BALANCE_MART, _month("on_date"), behind, sort_by=_BY_DAY)
+        )
+        versions = prepared[0].versions
+    noted = {}
+    for m in behind:
+        noted[m] = {c: v for c, v in facts[m].items() if c != "control"} | {"opening": stamp}
+        if not prepared:
+            break  # the months behind the first follow the versions that are live
+        stamp = f"{m}@{versions[m]}"
+    return prepared, noted
+
+
+def control_totals(warehouse: Warehouse) -> DataFrame:
+    """Of each calculated run of months and currency what opened, moved and closed, as it was when it went live."""
+    rows = [
+        (noted["from"], noted["to"], *line)
+        for noted in (f.get("control") for f in warehouse.facts("dm", BALANCE_MART).values())
+        if noted is not None
+        for line in noted["totals"]
+    ]
+    names = ("date_from", "date_to", "currency_id", "opening", "change", "closing")
+    kinds = ("date", "date", "int", "decimal(38,2)", "decimal(38,2)", "decimal(38,2)")
+    texts = ", ".join(f"{n} {'int' if n == 'currency_id' else 'string'}" for n in names)
+    found = warehouse.spark.createDataFrame(rows, texts)
+    return found.select([F.col(n).cast(kind).alias(n) for n, kind in zip(names, kinds)])
+
+
+class StaleMonths(LookupError):
+    """Something that months were calculated from has changed since."""
+
+
+def stale_months(warehouse: Warehouse) -> dict[str, str]:
+    """Calculated months, and why each no longer agrees with what it was calculated from.
+
+    Versions of postings and turnovers, the balances a month opened with and its rates are
+    compared with what was noted when it was calculated. A month behind a stale one is stale.
+    Changed accounts are not noticed. Months that no calculation published are not listed.
+    """
+    turnovers, balances = (warehouse.facts("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
+    of_turnover, of_balance = (warehouse.stamps("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
+    months = sorted(m for m, f in balances.items() if f)
+    if not months:
+        return {}
+    ds = _inputs(warehouse)
+    postings = _postings_of(warehouse, months)
+    before = {m: _first_day(m) - timedelta(days=1) for m in months}
+    loaded = {before[m] for m in months if balances[m]["opening"].startswith("loaded ")}
+    openings = warehouse.read("ds", "opening_balances", schema=schemas.OPENING_BALANCES)
+    digests = _loaded_openings(openings, sorted(loaded)) if loaded else {}
+    first, last = _first_day(months[0]), _last_day(_first_day(months[-1]))
+    rates = _rates_by_month(day_rates(ds["currencies"], ds["exchange_rates"], first, last))
+    stale: dict[str, str] = {}
+    for m in months:
+        noted, earlier = balances[m], f"{before[m]:%Y-%m}"
+        opened = noted["opening"]
+        if turnovers.get(m, {}).get("postings", []) != postings[m]:
+            stale[m] = "its postings changed"
+        elif noted["turnover"] != of_turnover.get(m):
+            stale[m] = "its turnovers were calculated again"
+        elif noted["rates"] != rates.get(m):
+            stale[m] = "its rates changed"
+        elif opened != (digests.get(before[m]) if opened.startswith("loaded ") else of_balance.get(earlier)):
+            stale[m] = "its opening balances changed"
+        elif opened.startswith("loaded ") and earlier in of_balance:
+            stale[m] = f"{earlier} was calculated since"
+        elif earlier in stale:
+            stale[m] = f"{earlier} is stale"
+    return stale
 
 
 def build_form_101(warehouse: Warehouse, date_from: date, date_to: date) -> Published:
-    """Report on a period whose marts were calculated. Each period is kept on its own."""
+    """Report on a period whose marts were calculated. Each period is kept on its own.
+
+    Months that no longer agree with what they were calculated from are refused.
+    """
     months = [f"{m:%Y-%m}" for m in _months(date_from, date_to)]
     before = date_from - timedelta(days=1)
 
@@ -292,6 +556,10 @@ def build_form_101(warehouse: Warehouse, date_from: date, date_to: date) -> Publ
         opening = [p for p in (f"{before:%Y-%m}", _opening_period(before)) if p in balances]
         if lacking or not opening:
             raise LookupError(f"the marts lack {', '.join(lacking or [str(before)])}")
+        stale = {m: why for m, why in stale_months(warehouse).items() if m in (f"{before:%Y-%m}", *months)}
+        if stale:
+            reasons = "; ".join(f"{m}: {why}" for m, why in stale.items())
+            raise StaleMonths(f"calculate again before a report ({reasons})")
         ds = _inputs(warehouse)
         report = form_101(
             warehouse.read("dm", BALANCE_MART, [*opening, *months], schemas.ACCOUNT_BALANCE),
@@ -328,12 +596,23 @@ def export_mart(
 def import_csv_new_table(
     warehouse: Warehouse, path: str, schema: T.StructType, table: str, layer: str = "dm", sep: str = ","
 ) -> Published:
-    """Exported CSV into a table that does not exist yet."""
+    """Exported CSV into a table that does not exist yet.
+
+    Where the folder has the manifest of an export, its files and rows must be those that
+    were exported.
+    """
 
     def load() -> Published:
         if warehouse.exists(layer, table):
             raise ValueError(f"{layer}.{table} exists")
-        return warehouse.publish(read_csv(warehouse.spark, path, schema, sep, multi_line=True), layer, table)
+        manifest = check_files(warehouse.spark, path)
+        rows = read_csv(warehouse.spark, path, schema, sep, multi_line=True)
+        prepared = warehouse.prepare(rows, layer, table, digest=manifest is not None)
+        done = prepared.published
+        if manifest is not None and (done.rows, done.digest) != (manifest["rows"], manifest["digest"]):
+            raise IncompleteExport(f"the rows of {path} are not those that were exported")
+        warehouse.switch(layer, table, [prepared])
+        return done
 
     return run_logged(warehouse, f"import {layer}.{table}", load)
 
@@ -349,11 +628,13 @@ def reimport_csv(
 ) -> DataFrame:
     """Replace a table by its changed CSV. Returns what changed, one row per key.
 
-    The files are parsed once; the old and the new stored rows are compared.
+    The files are parsed once; the old and the new stored rows are compared. No file of the
+    export may be absent.
     """
     before = warehouse.read(layer, table, schema=schema)
 
     def load() -> Published:
+        check_files(warehouse.spark, path, edited=True)
         changed = read_csv(warehouse.spark, path, schema, sep, multi_line=True)
         return warehouse.publish(changed, layer, table, keys=keys)
 
@@ -399,29 +680,36 @@ def refresh_loan_holiday(
     table: str = "loan_holiday_info",
     source_table: str = "loan_holiday",
     sep: str = ",",
+    end_col: str | None = None,
+    only_new: bool = False,
 ) -> Repair:
     """Load current CSV files to RD, report what the mart lacks, and fill it again.
 
-    ``build`` turns the RD table into the rows of the mart.
+    ``build`` turns the RD table into the rows of the mart. With ``end_col`` a row holds a
+    period from ``date_col`` to it, and the reports are about periods instead of days. With
+    ``only_new`` files that were loaded before are passed over, and a mart that was filled
+    from them stays as it is.
     """
-    load_snapshot(warehouse, source_table, path, schema, sep)
+    load_snapshot(warehouse, source_table, path, schema, sep, only_new)
     rows = build(warehouse.read("rd", source_table, schema=schema))
     keys = [entity, date_col]
+    facts = {"source": warehouse.stamps("rd", source_table)["all"]}
 
     def refresh() -> Published:
-        return warehouse.publish(rows, "dm", table, keys=keys)
+        if only_new and warehouse.facts("dm", table).get("all") == facts:
+            return Published(warehouse.live("dm", table)["all"], 0)
+        return warehouse.publish(rows, "dm", table, keys=keys, facts=facts)
 
     before = warehouse.read("dm", table, schema=rows.schema)
     published = run_logged(warehouse, f"refresh {table}", refresh)
     after = warehouse.read("dm", table, schema=rows.schema)
-    return Repair(
-        published,
-        {
-            "missing": missing_in_mart(after, before, keys),
-            "gaps_before": find_period_gaps(before, entity, date_col),
-            "gaps": find_period_gaps(after, entity, date_col),
-        },
-    )
+    if end_col is None:
+        missing = missing_in_mart(after, before, keys)
+        gaps = [find_period_gaps(mart, entity, date_col) for mart in (before, after)]
+    else:
+        missing = missing_intervals(after, before, entity, date_col, end_col)
+        gaps = [find_interval_gaps(mart, entity, date_col, end_col) for mart in (before, after)]
+    return Repair(published, {"missing": missing, "gaps_before": gaps[0], "gaps": gaps[1]})
 
 
 def refresh_balance_turnover(

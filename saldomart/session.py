@@ -56,6 +56,25 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text, None where there is none."""
+    fs, file = hadoop_path(spark, path)
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, file = hadoop_path(spark, path)
+    out = fs.create(file, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

@@ -1,33 +1,46 @@
 """Tables of the four layers, stored as parquet.
 
-Every publish writes a new directory ``<layer>/<table>/<period>/v<N>`` and then puts an
-empty ``_published`` file into it. The highest published version of a period is the live
-one. A publish may therefore read the table it replaces, a failed one changes nothing
-for readers, and a period that became empty is empty. Several periods are written at once
-and go live one after the other. One writer per table is assumed.
+Every publish writes new directories ``<layer>/<table>/<period>/v<N>`` and then switches: a
+file ``_current/<n>`` that names the live version of every period takes its name in one
+rename, and the file with the highest number counts. However many periods a publish
+replaces, readers see all of them old or all of them new. A publish may read the table it
+replaces, a failed one changes nothing for readers, and a period that became empty is empty.
+One writer per table is assumed.
+
+The switch file also holds what was noted about a version (``facts``), such as which other
+version it was calculated from.
 
 A table may have declared keys, stored with it. Every publish then refuses rows that share
-a key and stores those keys, all of them, in ``<table>_duplicates``.
+a key with each other or with a live row of another period, and stores those keys, all of
+them, in ``<table>_duplicates``. For that a version has an index beside it (``k<N>``): its
+keys, texts as digests, in order. The switch file holds the range of the keys of each
+period, and only indexes whose range meets that of the new keys are read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from saldomart.functions.sizes import observed
+from saldomart.functions.sizes import broadcast_if_small, observed, rows_digest
 from saldomart.operators.duplicates import DuplicateKeys, find_duplicates
-from saldomart.session import hadoop_path, move_folder, new_folder, remove_folder
+from saldomart.session import hadoop_path, move_folder, new_folder, read_text, remove_folder, write_text
 
 LAYERS = ("ds", "dm", "rd", "logs")
 _NAME = re.compile(r"[A-Za-z0-9_-]+")
+_RANGE_CHARS = 64  # of a text, in the range of a period's keys
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_PERIOD = "_period"
 
 
 @dataclass(frozen=True)
@@ -35,6 +48,19 @@ class Published:
     path: str
     rows: int
     counts: dict[str, int] = field(default_factory=dict)
+    digest: str | None = None
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """What was written and checked and is not live yet."""
+
+    published: Published
+    versions: dict[str, int]
+    ranges: dict[str, dict | None]  # of keys, by period; empty without an index
+
+    def path(self, base: str, period: str) -> str:
+        return f"{base}/{period}/v{self.versions[period]}"
 
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -43,6 +69,56 @@ def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
+# Keys in an index
+
+
+def _form(f: T.StructField) -> Column:
+    """A key column as an index holds it: texts and bytes as digests, others as they are."""
+    column = F.col(f.name)
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return F.unhex(F.sha2(column.cast("binary"), 256)).alias(f.name)
+    return column
+
+
+def _forms(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [_form(df.schema[k]) for k in keys]
+
+
+def _range_of(f: T.StructField) -> Column:
+    """Lowest and highest value of a column and whether it has NULLs; NULL where no range is kept."""
+    if isinstance(f.dataType, _WHOLE):
+        value = F.col(f.name).cast("long")
+    elif isinstance(f.dataType, T.DateType):
+        value = F.date_format(f.name, "yyyy-MM-dd")
+    elif isinstance(f.dataType, T.StringType):
+        value = F.substring(f.name, 1, _RANGE_CHARS)
+    else:
+        return F.lit(None).cast("string").alias(f.name)
+    return F.struct(F.min(value).alias("low"), F.max(value).alias("high"), F.count_if(value.isNull()).alias("nulls")).alias(f.name)
+
+
+def _plain_range(found) -> list | None:
+    return None if found is None else [found["low"], found["high"], found["nulls"] > 0]
+
+
+def _ranges_meet(one: dict | None, other: dict | None) -> bool:
+    """Whether two sets of keys may share a key. No range (None) is no key; a column without one may hold anything."""
+    if one is None or other is None:
+        return False
+    for column in one.keys() & other.keys():
+        if one[column] is None or other[column] is None:
+            continue
+        (low, high, nulls), (other_low, other_high, other_nulls) = one[column], other[column]
+        apart = low is None or other_low is None or high < other_low or other_high < low
+        if apart and not (nulls and other_nulls):
+            return False
+    return True
+
+
+def _same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -53,32 +129,90 @@ class Warehouse:
     def _hadoop(self, path: str):
         return hadoop_path(self.spark, path)
 
-    def _versions(self, layer: str, table: str, marker: str) -> dict[str, list[int]]:
-        """Version numbers by period, ascending, of directories that hold ``marker``."""
-        fs, pattern = self._hadoop(f"{self._table_dir(layer, table)}/*/v*{marker}")
-        found: dict[str, list[int]] = {}
-        for status in fs.globStatus(pattern) or []:
-            version = status.getPath().getParent() if marker else status.getPath()
-            found.setdefault(version.getParent().getName(), []).append(int(version.getName()[1:]))
-        return {period: sorted(numbers) for period, numbers in found.items()}
-
-    def _table_dir(self, layer: str, table: str) -> str:
+    def table_dir(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"layer {layer!r} is not one of {LAYERS}")
         if not _NAME.fullmatch(table):
             raise ValueError(f"bad table name {table!r}")
         return f"{self.root}/{layer}/{table}"
 
+    def _written(self, layer: str, table: str) -> dict[str, list[int]]:
+        """Version numbers by period, ascending, of all directories, live or not."""
+        fs, pattern = self._hadoop(f"{self.table_dir(layer, table)}/*/v*")
+        found: dict[str, list[int]] = {}
+        for status in fs.globStatus(pattern) or []:
+            version = status.getPath()
+            found.setdefault(version.getParent().getName(), []).append(int(version.getName()[1:]))
+        return {period: sorted(numbers) for period, numbers in found.items()}
+
+    # the switch
+
+    def _switches(self, layer: str, table: str) -> list[int]:
+        fs, pattern = self._hadoop(f"{self.table_dir(layer, table)}/_current/[0-9]*")
+        return sorted(int(s.getPath().getName()) for s in fs.globStatus(pattern) or [])
+
+    def _state(self, layer: str, table: str) -> dict[str, dict]:
+        """By period: ``versions`` published, the last of which is live, ``facts`` and ``keys`` of the live one."""
+        numbers = self._switches(layer, table)
+        if not numbers:
+            return {}
+        return json.loads(read_text(self.spark, f"{self.table_dir(layer, table)}/_current/{numbers[-1]:012d}"))
+
+    def _put(self, layer: str, table: str, state: dict[str, dict]) -> None:
+        """Make ``state`` the table's, in one rename."""
+        folder, numbers = f"{self.table_dir(layer, table)}/_current", self._switches(layer, table)
+        new = f"{folder}/_new-{uuid.uuid4().hex}"
+        write_text(self.spark, new, json.dumps(state))
+        self._rename(new, f"{folder}/{(numbers[-1] if numbers else 0) + 1:012d}")
+
+    def _rename(self, path: str, target: str) -> None:
+        move_folder(self.spark, path, target)
+
+    def switch(
+        self,
+        layer: str,
+        table: str,
+        prepared: Sequence[Prepared],
+        facts: dict[str, dict] | None = None,
+        drop: Sequence[str] = (),
+    ) -> None:
+        """Make all that was prepared live at once, note ``facts`` by period, and take periods out.
+
+        Facts replace those of the period's version before, also where no version is new.
+        """
+        state = self._state(layer, table)
+        for period in drop:
+            state.pop(period, None)
+        for one in prepared:
+            for period, version in one.versions.items():
+                entry = state.setdefault(period, {"versions": []})
+                entry["versions"] = [*entry["versions"], version]
+                entry["facts"] = {}
+                entry["keys"] = {"range": one.ranges[period]} if period in one.ranges else None
+        for period, known in (facts or {}).items():
+            if period not in state:
+                raise LookupError(f"{layer}.{table} has no period {period}")
+            state[period]["facts"] = known
+        self._one_kind(layer, table, set(state))
+        self._put(layer, table, state)
+
     # reading
 
     def live(self, layer: str, table: str) -> dict[str, str]:
         """The live directory of every period."""
-        base = self._table_dir(layer, table)
-        published = self._versions(layer, table, "/_published")
-        return {period: f"{base}/{period}/v{numbers[-1]}" for period, numbers in published.items()}
+        base = self.table_dir(layer, table)
+        return {period: f"{base}/{period}/v{e['versions'][-1]}" for period, e in self._state(layer, table).items()}
+
+    def facts(self, layer: str, table: str) -> dict[str, dict]:
+        """What was noted about the live version of every period."""
+        return {period: e["facts"] for period, e in self._state(layer, table).items()}
+
+    def stamps(self, layer: str, table: str) -> dict[str, str]:
+        """Name and live version of every period, to note what something was calculated from."""
+        return {period: f"{period}@{e['versions'][-1]}" for period, e in self._state(layer, table).items()}
 
     def exists(self, layer: str, table: str) -> bool:
-        return bool(self.live(layer, table))
+        return bool(self._state(layer, table))
 
     def read(
         self,
@@ -103,56 +237,103 @@ class Warehouse:
     # keys
 
     def declare_keys(self, layer: str, table: str, keys: Sequence[str]) -> None:
-        """From now on no two rows of the table may share ``keys``, whoever publishes them."""
-        fs, path = self._hadoop(f"{self._table_dir(layer, table)}/_keys")
-        out = fs.create(path, True)
-        out.write(bytearray("\n".join(keys), "utf-8"))
-        out.close()
+        """From now on no two rows of the table may share ``keys``, whoever publishes them and in whatever periods.
+
+        Live rows that do so already are listed and refuse the declaration.
+        """
+        if self.exists(layer, table):
+            self._refuse_duplicates(self.read(layer, table), layer, table, keys)
+        write_text(self.spark, f"{self.table_dir(layer, table)}/_keys", "\n".join(keys))
 
     def declared_keys(self, layer: str, table: str) -> list[str]:
-        fs, path = self._hadoop(f"{self._table_dir(layer, table)}/_keys")
-        if not fs.exists(path):
-            return []
-        stream = fs.open(path)
-        try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split("\n")
-        finally:
-            stream.close()
+        text = read_text(self.spark, f"{self.table_dir(layer, table)}/_keys")
+        return [] if text is None else text.split("\n")
 
     def _refuse_duplicates(self, rows: DataFrame, layer: str, table: str, keys: Sequence[str]) -> None:
         """Keys that ``rows`` hold more than once are stored and raised."""
-        if not keys:
-            return
+        if keys:
+            self._refuse(find_duplicates(rows, keys), layer, table, keys)
+
+    def _refuse(self, found: DataFrame, layer: str, table: str, keys: Sequence[str]) -> None:
+        """Stores and raises keys and the number of their rows, if there are any."""
         store = f"{table}_duplicates"
-        seen, path = Observation(), self._next(layer, store, "all")
-        found = find_duplicates(rows, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
-        found.write.mode("errorifexists").parquet(path)
+        seen, version = Observation(), self._next(layer, store, "all")
+        path = f"{self.table_dir(layer, store)}/all/v{version}"
+        found.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
         number = observed(seen, ["rows"])["rows"]
         if not number:
             remove_folder(self.spark, path)
             return
-        self._mark(path)
+        self.switch(layer, store, [Prepared(Published(path, number), {"all": version}, {})])
         names = ", ".join(keys)
         raise DuplicateKeys(f"{number} duplicate keys in {names} of {layer}.{table}: see {layer}.{store}")
 
+    def _key_ranges(self, rows: DataFrame, keys: Sequence[str], periods: Sequence[str]) -> dict[str, dict | None]:
+        """Range of the keys of each period of ``rows``. A row for a period is collected."""
+        found = rows.groupBy(_PERIOD).agg(*[_range_of(rows.schema[k]) for k in keys]).collect()
+        ranges = {r[_PERIOD]: {k: _plain_range(r[k]) for k in keys} for r in found}
+        return {p: ranges.get(p) for p in periods}
+
+    def _indexed(self, layer: str, table: str, keys: Sequence[str], schema: StructType, ranges: Sequence[dict | None], leave: Sequence[str] = ()) -> DataFrame | None:
+        """Keys, as an index holds them, and period of live rows whose period may hold a key in one of ``ranges``.
+
+        A period without an index is read itself, its key columns alone.
+        """
+        base, key_schema = self.table_dir(layer, table), StructType([schema[k] for k in keys])
+        indexes, others = [], []
+        for period, entry in self._state(layer, table).items():
+            if period in leave:
+                continue
+            known, version = entry.get("keys"), entry["versions"][-1]
+            if known is None or (known["range"] is not None and set(known["range"]) != set(keys)):
+                others.append(f"{base}/{period}/v{version}")
+            elif any(_ranges_meet(known["range"], r) for r in ranges):
+                indexes.append(f"{base}/{period}/k{version}")
+        period = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[kv]\d+/[^/]+$", 1).alias(_PERIOD)
+        forms = [_form(f) for f in key_schema.fields]
+        found = []
+        if indexes:
+            found.append(self.spark.read.parquet(*indexes).select(*keys, period))
+        if others:
+            found.append(self.spark.read.schema(key_schema).parquet(*others).select(*forms, period))
+        return reduce(DataFrame.unionByName, found) if found else None
+
+    def periods_holding(self, layer: str, table: str, rows: DataFrame, keys: Sequence[str]) -> list[str]:
+        """The periods that hold a key of ``rows``. Indexes are read where the ranges of keys meet, and no rows."""
+        keyed = rows.select(*keys)
+        ranges = self._key_ranges(keyed.withColumn(_PERIOD, F.lit("new")), keys, ["new"])
+        known = self._indexed(layer, table, keys, keyed.schema, list(ranges.values()))
+        if known is None:
+            return []
+        wanted = broadcast_if_small(keyed).select(*_forms(keyed, keys))
+        met = known.alias("known").join(wanted.alias("new"), _same_keys("known", "new", keys), "left_semi")
+        return sorted(r[_PERIOD] for r in met.select(_PERIOD).distinct().collect())
+
+    def _refuse_live_keys(self, rows: DataFrame, layer: str, table: str, keys: Sequence[str], prepared: Prepared) -> None:
+        """Keys of ``rows`` that a live row of another period has are stored and raised."""
+        known = self._indexed(layer, table, keys, rows.schema, list(prepared.ranges.values()), list(prepared.versions))
+        if known is None:
+            return
+        keyed = rows.select(*keys)
+        forms = [c.alias(f"_{k}") for k, c in zip(keys, _forms(keyed, keys))]
+        new = broadcast_if_small(keyed).select(*keys, *forms)
+        same = reduce(Column.__and__, [F.col(f"known.{k}").eqNullSafe(F.col(f"new._{k}")) for k in keys])
+        met = known.alias("known").join(new.alias("new"), same)
+        self._refuse(met.groupBy(*[F.col(f"new.{k}") for k in keys]).agg((F.count(F.lit(1)) + 1).alias("n")), layer, table, keys)
+
     # writing
 
-    def _next(self, layer: str, table: str, period: str) -> str:
-        """The folder of the next version of a period."""
+    def _next(self, layer: str, table: str, period: str, written: dict[str, list[int]] | None = None) -> int:
+        """The next version of a period."""
         if not _NAME.fullmatch(period):
             raise ValueError(f"bad period name {period!r}")
-        existing = self._versions(layer, table, "").get(period, [])
-        return f"{self._table_dir(layer, table)}/{period}/v{existing[-1] + 1 if existing else 1}"
-
-    def _mark(self, path: str) -> None:
-        fs, marker = self._hadoop(f"{path}/_published")
-        fs.create(marker, False).close()
+        existing = (self._written(layer, table) if written is None else written).get(period, [])
+        return existing[-1] + 1 if existing else 1
 
     def _one_kind(self, layer: str, table: str, periods: set[str]) -> None:
         """A table has periods or is a whole, not both."""
-        others = self.live(layer, table).keys() - periods
-        if others and "all" in {*periods, *others}:
-            raise ValueError(f"{layer}.{table} cannot hold {sorted(periods)} beside {sorted(others)}")
+        if "all" in periods and len(periods) > 1:
+            raise ValueError(f"{layer}.{table} cannot hold {sorted(periods - {'all'})} beside ['all']")
 
     def publish(
         self,
@@ -164,29 +345,60 @@ class Warehouse:
         counts: dict[str, Column] | None = None,
         columns: Sequence[str] | None = None,
         sort_by: Sequence[str] = (),
+        facts: dict | None = None,
     ) -> Published:
         """Replace one period of a table, or with ``period='all'`` a table without periods.
 
         Rows that share ``keys`` or the declared keys of the table keep the old rows live;
         the written rows are checked, so the result is computed once. ``counts`` are
         conditions counted while writing, ``columns`` those to write. ``sort_by`` orders
-        each file, so that readers who filter on it skip most of the file.
+        each file, so that readers who filter on it skip most of the file. ``facts`` are
+        noted with the version.
         """
-        path = self._next(layer, table, period)
-        self._one_kind(layer, table, {period})
+        prepared = self.prepare(df, layer, table, period, keys, counts, columns, sort_by)
+        self.switch(layer, table, [prepared], None if facts is None else {period: facts})
+        return prepared.published
+
+    def prepare(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        period: str = "all",
+        keys: Sequence[str] = (),
+        counts: dict[str, Column] | None = None,
+        columns: Sequence[str] | None = None,
+        sort_by: Sequence[str] = (),
+        digest: bool = False,
+    ) -> Prepared:
+        """``publish`` up to the switch. ``digest`` asks for that of the rows, as exports note it."""
+        version = self._next(layer, table, period)
+        path = f"{self.table_dir(layer, table)}/{period}/v{version}"
+        self._one_kind(layer, table, {period, *self._state(layer, table)})
         seen = Observation()
         metrics = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
+        if digest:
+            metrics.append(rows_digest(df).alias("_digest"))
         counted = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *metrics)
         written = counted.select(*(columns or df.columns))
         if sort_by:
             written = written.sortWithinPartitions(*sort_by)
         written.write.mode("errorifexists").parquet(path)
+        numbers = observed(seen, ["_rows", *(counts or {}), *(["_digest"] if digest else [])])
+        found = str(numbers.pop("_digest")) if digest else None
+        published = Published(path, numbers.pop("_rows"), numbers, found)
         rows = self.spark.read.schema(written.schema).parquet(path)
-        for each in {tuple(keys), tuple(self.declared_keys(layer, table))}:
+        declared = self.declared_keys(layer, table)
+        for each in {tuple(keys), tuple(declared)}:
             self._refuse_duplicates(rows, layer, table, each)
-        self._mark(path)
-        numbers = observed(seen, ["_rows", *(counts or {})])
-        return Published(path, numbers.pop("_rows"), numbers)
+        if not declared:
+            return Prepared(published, {period: version}, {})
+        index = rows.select(*_forms(rows, declared)).sortWithinPartitions(*declared)
+        index.write.parquet(f"{self.table_dir(layer, table)}/{period}/k{version}")
+        ranges = self._key_ranges(rows.withColumn(_PERIOD, F.lit(period)), declared, [period])
+        prepared = Prepared(published, {period: version}, ranges)
+        self._refuse_live_keys(rows, layer, table, declared, prepared)
+        return prepared
 
     def publish_periods(
         self,
@@ -199,46 +411,82 @@ class Warehouse:
         counts: dict[str, Column] | None = None,
         columns: Sequence[str] | None = None,
         sort_by: Sequence[str] = (),
+        index: Sequence[str] = (),
+        facts: dict[str, dict] | None = None,
     ) -> Published:
-        """Replace all periods that occur in ``df``, and ``periods``, in one write.
+        """Replace all periods that occur in ``df``, and ``periods``, in one write and one switch.
 
         ``period`` names the period of a row. A period of ``periods`` without rows becomes
-        empty. Keys are checked over all rows written. Large periods are written by several
-        tasks.
+        empty. Keys are checked over all rows written, declared keys also over the live rows
+        of other periods. ``index`` names keys by which ``periods_holding`` is to find rows
+        of a table whose keys are not declared. Large periods are written by several tasks.
         """
-        base = self._table_dir(layer, table)
+        prepared = self.prepare_periods(df, layer, table, period, periods, keys, counts, columns, sort_by, index)
+        self.switch(layer, table, [prepared], facts)
+        return prepared.published
+
+    def prepare_periods(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        period: Column,
+        periods: Sequence[str] = (),
+        keys: Sequence[str] = (),
+        counts: dict[str, Column] | None = None,
+        columns: Sequence[str] | None = None,
+        sort_by: Sequence[str] = (),
+        index: Sequence[str] = (),
+    ) -> Prepared:
+        """``publish_periods`` up to the switch."""
+        base = self.table_dir(layer, table)
         new = f"{base}/_new-{uuid.uuid4().hex}"
         named = F.when(period.isNull(), F.raise_error(F.lit(f"row of {table} without a period"))).otherwise(period)
         seen = Observation()
         metrics = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
         counted = df.observe(seen, F.count(F.lit(1)).alias("_rows"), *metrics)
         wanted = list(columns or df.columns)
-        written = counted.select(*wanted, named.cast("string").alias("_period")).hint("rebalance", "_period")
+        written = counted.select(*wanted, named.cast("string").alias(_PERIOD)).hint("rebalance", _PERIOD)
         if sort_by:
-            written = written.sortWithinPartitions("_period", *sort_by)
+            written = written.sortWithinPartitions(_PERIOD, *sort_by)
         try:
-            written.write.partitionBy("_period").parquet(new)
-            schema = StructType([f for f in written.schema.fields if f.name != "_period"])
-            rows = self.spark.read.schema(schema).parquet(new)
-            for each in {tuple(keys), tuple(self.declared_keys(layer, table))}:
+            written.write.partitionBy(_PERIOD).parquet(f"{new}/rows")
+            numbers = observed(seen, ["_rows", *(counts or {})])
+            published = Published(base, numbers.pop("_rows"), numbers)
+            with_period = StructType([*[f for f in written.schema.fields if f.name != _PERIOD], written.schema[_PERIOD]])
+            rows = self.spark.read.schema(with_period).parquet(f"{new}/rows")
+            declared = self.declared_keys(layer, table)
+            for each in {tuple(keys), tuple(declared)}:
                 self._refuse_duplicates(rows, layer, table, each)
-            fs, pattern = self._hadoop(f"{new}/_period=*")
-            found = {s.getPath().getName().partition("=")[2]: s.getPath() for s in fs.globStatus(pattern) or []}
-            paths = {p: self._next(layer, table, p) for p in {*found, *periods}}
-            self._one_kind(layer, table, set(paths))
-            if paths.keys() - found.keys():
-                empty_table(self.spark, schema).write.parquet(f"{new}/empty")
-            for p, path in paths.items():
+            found = self._folders(f"{new}/rows")
+            names, on_disk = sorted({*found, *periods}), self._written(layer, table)
+            versions = {p: self._next(layer, table, p, on_disk) for p in names}
+            self._one_kind(layer, table, {*names, *self._state(layer, table)})
+            by, ranges = declared or list(index), {}
+            if by:
+                keyed = rows.select(*_forms(rows, by), _PERIOD)
+                keyed.sortWithinPartitions(_PERIOD, *by).write.partitionBy(_PERIOD).parquet(f"{new}/index")
+                ranges = self._key_ranges(rows, by, names)
+            prepared = Prepared(published, versions, ranges)
+            if declared:
+                self._refuse_live_keys(rows, layer, table, declared, prepared)
+            if versions.keys() - found.keys():
+                empty_table(self.spark, StructType(with_period.fields[:-1])).write.parquet(f"{new}/empty")
+            for p, version in versions.items():
                 if p in found:
-                    move_folder(self.spark, found[p].toString(), path)
+                    move_folder(self.spark, found[p], f"{base}/{p}/v{version}")
                 else:
-                    self._copy(f"{new}/empty", path)
-            for path in paths.values():
-                self._mark(path)
+                    self._copy(f"{new}/empty", f"{base}/{p}/v{version}")
+            for p, folder in (self._folders(f"{new}/index") if by else {}).items():
+                move_folder(self.spark, folder, f"{base}/{p}/k{versions[p]}")
         finally:
             remove_folder(self.spark, new)
-        numbers = observed(seen, ["_rows", *(counts or {})])
-        return Published(base, numbers.pop("_rows"), numbers)
+        return prepared
+
+    def _folders(self, path: str) -> dict[str, str]:
+        """Folders of a write that was partitioned by period."""
+        fs, pattern = self._hadoop(f"{path}/{_PERIOD}=*")
+        return {s.getPath().getName().partition("=")[2]: s.getPath().toString() for s in fs.globStatus(pattern) or []}
 
     def _copy(self, path: str, target: str) -> None:
         fs, source = self._hadoop(path)
@@ -246,15 +494,38 @@ class Warehouse:
         conf = self.spark._jsc.hadoopConfiguration()
         self.spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, to, False, conf)
 
-    def append(self, df: DataFrame, layer: str, table: str) -> None:
-        """Add rows to a table that only grows, such as the log."""
-        df.write.mode("append").parquet(f"{self._table_dir(layer, table)}/rows")
+    # tables that grow row by row
 
-    def read_appended(self, layer: str, table: str, schema: StructType) -> DataFrame:
-        fs, path = self._hadoop(f"{self._table_dir(layer, table)}/rows")
-        if not fs.exists(path):
-            return empty_table(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(path.toString())
+    def note(self, layer: str, table: str, rows: Sequence[dict], name: str | None = None, folder: str = "notes") -> str:
+        """Add a few rows as one small file, without a Spark job. Returns its name."""
+        name = name or uuid.uuid4().hex
+        lines = "\n".join(json.dumps(row) for row in rows)
+        write_text(self.spark, f"{self.table_dir(layer, table)}/{folder}/{name}.json", lines)
+        return name
+
+    def forget_note(self, layer: str, table: str, name: str, folder: str = "notes") -> None:
+        remove_folder(self.spark, f"{self.table_dir(layer, table)}/{folder}/{name}.json")
+
+    def _note_files(self, layer: str, table: str, folder: str = "notes") -> list[str]:
+        fs, pattern = self._hadoop(f"{self.table_dir(layer, table)}/{folder}/*.json")
+        return [s.getPath().toString() for s in fs.globStatus(pattern) or []]
+
+    def notes(self, layer: str, table: str, schema: StructType, folder: str = "notes") -> DataFrame:
+        """All rows of small files, and with the usual folder those that were compacted."""
+        files = self._note_files(layer, table, folder)
+        found = self.spark.read.schema(schema).json(files) if files else empty_table(self.spark, schema)
+        return found if folder != "notes" else found.unionByName(self.read(layer, table, schema=schema))
+
+    def compact_notes(self, layer: str, table: str, schema: StructType) -> int:
+        """Put the rows of all small files into one version of the table and delete them. Returns how many rows it has.
+
+        A crash in between leaves rows twice; readers tell them apart by what identifies a row.
+        """
+        files = self._note_files(layer, table)
+        done = self.publish(self.notes(layer, table, schema).distinct().coalesce(1), layer, table)
+        for file in files:
+            remove_folder(self.spark, file)
+        return done.rows
 
     @contextmanager
     def stage(self, name: str) -> Iterator[str]:
@@ -268,19 +539,24 @@ class Warehouse:
     def drop_old_versions(self, layer: str, table: str, keep: int = 2) -> list[str]:
         """Delete all but the newest ``keep`` published versions of every period.
 
-        Unpublished directories older than the live one go too. Call it when no reader
-        still uses an old version.
+        Directories that never went live and are older than the live one go too, and switch
+        files but for the last two. Call it when no reader still uses an old version.
         """
         if keep < 1:
             raise ValueError("the live version must be kept")
-        base = self._table_dir(layer, table)
+        base, state = self.table_dir(layer, table), self._state(layer, table)
         dropped = []
-        written = self._versions(layer, table, "")
-        for period, numbers in self._versions(layer, table, "/_published").items():
-            kept = set(numbers[-keep:])
-            for n in written[period]:
-                if n < numbers[-1] and n not in kept:
-                    fs, path = self._hadoop(f"{base}/{period}/v{n}")
-                    fs.delete(path, True)
-                    dropped.append(path.toString())
+        for period, numbers in self._written(layer, table).items():
+            if period not in state:
+                continue
+            entry = state[period]
+            entry["versions"] = entry["versions"][-keep:]
+            for n in numbers:
+                if n < entry["versions"][-1] and n not in entry["versions"]:
+                    remove_folder(self.spark, f"{base}/{period}/k{n}")
+                    remove_folder(self.spark, f"{base}/{period}/v{n}")
+                    dropped.append(f"{base}/{period}/v{n}")
+        self._put(layer, table, state)
+        for number in self._switches(layer, table)[:-2]:
+            remove_folder(self.spark, f"{base}/_current/{number:012d}")
         return dropped

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldomart.sources.csv import export_csv, read_csv, read_csv_landing
+from saldomart.sources.csv import IncompleteExport, check_files, export_csv, read_csv, read_csv_landing, read_manifest
 
 SCHEMA = T.StructType(
     [
@@ -86,3 +86,35 @@ def test_long_tables_are_many_files(spark, tmp_path):
     path = tmp_path / "out"
     export_csv(spark.range(100).coalesce(1), str(path), max_rows_per_file=30)
     assert len(list(path.glob("*.csv"))) == 4
+
+
+def test_manifest_names_files_rows_and_an_order_free_digest(spark, tmp_path):
+    one, other = str(tmp_path / "one"), str(tmp_path / "other")
+    rows = [(1, "a", None), (2, None, "b"), (3, "", "")]
+    export_csv(spark.createDataFrame(rows, "id int, a string, b string").repartition(3, "id"), one)
+    export_csv(spark.createDataFrame(rows[::-1], "id int, a string, b string").coalesce(1), other)
+    first, second = read_manifest(spark, one), read_manifest(spark, other)
+    assert (first["rows"], first["digest"]) == (3, second["digest"]) and len(second["files"]) == 1
+    assert first["files"] == {f.name: f.stat().st_size for f in (tmp_path / "one").glob("*.csv")}
+    swapped = [(1, None, "a"), *rows[1:]]
+    export_csv(spark.createDataFrame(swapped, "id int, a string, b string"), other)
+    assert read_manifest(spark, other)["digest"] != first["digest"]
+    assert check_files(spark, one) == first and check_files(spark, [one]) is None
+
+
+def test_files_that_are_absent_or_changed(spark, tmp_path):
+    path = tmp_path / "out"
+    export_csv(spark.range(100).repartition(3), str(path))
+    files = sorted(path.glob("*.csv"))
+    text = files[0].read_text()
+    (path / f".{files[0].name}.crc").unlink(missing_ok=True)
+    files[0].write_text(text + "1000\n")
+    with pytest.raises(IncompleteExport, match="not as it was exported"):
+        check_files(spark, str(path))
+    assert check_files(spark, str(path), edited=True)["rows"] == 100
+    files[1].unlink()
+    for edited in (False, True):
+        with pytest.raises(IncompleteExport, match=f"lacks {files[1].name}"):
+            check_files(spark, str(path), edited)
+    (path / "_manifest.json").unlink()
+    assert check_files(spark, str(path)) is None

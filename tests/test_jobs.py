@@ -1,6 +1,7 @@
 from collections import Counter
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,11 @@ from bank import ACCOUNTS, BEFORE, EUR, JAN, OPENING, POSTINGS, RATES, ROWS, USD
 from saldomart.operators.duplicates import DuplicateKeys
 from saldomart.operators.rates import MissingRate
 from saldomart.plans import jobs
-from saldomart.plans.audit import etl_log, run_logged
+from saldomart.plans.audit import compact_log, etl_log, run_logged, unended
+from saldomart.plans.control import ControlTotalsDiffer
 from saldomart.plans.turnover import UnbookedMovements
-from saldomart.sources.csv import export_csv
+from saldomart.sources.csv import IncompleteExport, export_csv
+from saldomart.sources.ledger import compact_ledger, loaded_files
 from test_marts import day_by_day
 
 FEB = (date(2018, 2, 1), date(2018, 2, 28))
@@ -48,9 +51,92 @@ def test_spark_failure_is_logged_without_a_stack(spark, warehouse):
     assert "broken row" in text and "at org.apache" not in text
 
 
+def test_a_killed_operation_is_listed(spark, warehouse):
+    def killed():
+        assert [r["task"] for r in unended(warehouse).collect()] == ["killed"]
+        raise SystemExit
+
+    run_logged(warehouse, "good", lambda: 5)
+    with pytest.raises(SystemExit):
+        run_logged(warehouse, "killed", killed)
+    run_logged(warehouse, "later", lambda: 6)
+    assert logged(warehouse) == {("good", 5, "SUCCESS"), ("killed", None, "STARTED"), ("later", 6, "SUCCESS")}
+    left = unended(warehouse).first()
+    assert left["task"] == "killed" and left["ended_at"] is None and left["started_at"] is not None
+
+
+def test_the_log_is_compacted_into_one_file(spark, warehouse, tmp_path):
+    for n in range(4):
+        run_logged(warehouse, f"task {n}", lambda: n)
+    before = sorted(map(tuple, etl_log(warehouse).collect()))
+    assert compact_log(warehouse) == 4
+    folder = tmp_path / "warehouse/logs/etl_log"
+    assert not list(folder.glob("notes/*.json")) and not list(folder.glob("open/*.json"))
+    assert len(list(folder.glob("all/v1/*.parquet"))) == 1
+    assert sorted(map(tuple, etl_log(warehouse).collect())) == before
+    run_logged(warehouse, "task 4", lambda: 4)
+    assert compact_log(warehouse) == 5 and etl_log(warehouse).count() == 5
+
+
+def test_a_compaction_that_stopped_halfway_lists_nothing_twice(spark, warehouse, tmp_path):
+    run_logged(warehouse, "one", lambda: 1)
+    files = {f: f.read_text() for f in (tmp_path / "warehouse/logs/etl_log/notes").glob("*.json")}
+    compact_log(warehouse)
+    for f, text in files.items():
+        f.write_text(text)
+    assert logged(warehouse) == {("one", 1, "SUCCESS")} and etl_log(warehouse).count() == 1
+
+
 # loading
 
 
+def test_a_refresh_takes_only_new_files(spark, warehouse, tmp_path):
+    paths = [str(tmp_path / "one"), str(tmp_path / "two")]
+    export_csv(table(spark, "postings", POSTINGS[:3]).coalesce(1), paths[0])
+    jobs.load_csv(warehouse, "postings", paths[0], only_new=True)
+    export_csv(table(spark, "postings", POSTINGS[3:]).coalesce(1), paths[1])
+    done = jobs.load_csv(warehouse, "postings", paths, only_new=True)
+    assert done.counts == {"inserted": 4, "updated": 0, "unchanged": 3}
+    live = warehouse.live("ds", "postings")
+    again = jobs.load_csv(warehouse, "postings", [f"{p}/*.csv" for p in paths], only_new=True)
+    assert (again.rows, warehouse.live("ds", "postings")) == (0, live)
+    assert sorted((t, n) for t, n, _ in logged(warehouse)) == [
+        ("load postings", 3), ("load postings", 4),
+        ("pass over 1 known files of ds.postings", 0), ("pass over 2 known files of ds.postings", 0),
+    ]
+    assert loaded_files(warehouse).count() == 2 and compact_ledger(warehouse) == 2
+
+
+def test_a_file_is_known_by_its_content(spark, warehouse, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    head = "account_id,on_date,balance\n"
+    (folder / "a.csv").write_text(f"{head}1,2017-12-31,5.00\n2,2017-12-31,6.00\n")
+    jobs.load_csv(warehouse, "opening_balances", str(folder), only_new=True)
+    (folder / "a.csv").write_text(f"{head}2,2017-12-31,6.00\n1,2017-12-31,5.00\n")  # written anew, rows in another order
+    assert jobs.load_csv(warehouse, "opening_balances", str(folder), only_new=True).rows == 0
+    (folder / "a.csv").write_text(f"{head}1,2017-12-31,7.00\n2,2017-12-31,6.00\n")  # the same size
+    done = jobs.load_csv(warehouse, "opening_balances", str(folder), only_new=True)
+    assert done.counts == {"inserted": 0, "updated": 1, "unchanged": 1}
+    with pytest.raises(FileNotFoundError):
+        jobs.load_csv(warehouse, "opening_balances", str(tmp_path / "none"), only_new=True)
+
+
+def test_dates_of_a_load_follow_their_file(spark, warehouse, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    head = "account_id,on_date,balance\n"
+    (folder / "a.csv").write_text(f"{head}1,01/02/2018,1\n2,31/01/2018,2\n")
+    (folder / "b.csv").write_text(f"{head}3,01/02/2018,3\n4,01/31/2018,4\n")
+    (folder / "c.csv").write_text(f"{head}5,01/02/2018,5\n6,02/02/2018,6\n7,x,7\n8,,8\n")
+    formats = ("dd/MM/yyyy", "MM/dd/yyyy")
+    jobs.load_csv(warehouse, "opening_balances", str(folder), formats=formats, formats_by_file=True)
+    found = {r["account_id"]: r["on_date"] for r in warehouse.read("ds", "opening_balances").collect()}
+    assert found == {1: d(1, 2), 2: d(31), 3: d(2), 4: d(31), 6: d(2, 2), 8: None}
+    rejects = {r["raw_row"]: r["reason"] for r in warehouse.read("ds", "opening_balances_rejects").collect()}
+    assert rejects == {"5,01/02/2018,5": "ambiguous date: on_date", "7,x,7": "bad date: on_date"}
+
+
 def test_six_files(spark, warehouse, tmp_path):
     for name, rows in ROWS.items():
         export_csv(table(spark, name), str(tmp_path / name))
@@ -163,6 +249,40 @@ def test_two_months(spark, warehouse):
     assert again == found
 
 
+def test_marts_of_seven_years(spark, warehouse):
+    """The whole history in one plan, against sums day by day."""
+    first, last, before = date(2011, 1, 1), date(2017, 12, 31), date(2010, 12, 31)
+    random = Random(7)
+    accounts = [(a, USD if a % 3 == 0 else 1, "AP"[a % 2], "40502", date(2009, 1, 1) if a % 5 else date(2013, 3, 9), None if a % 4 else date(2016, 7, 4)) for a in range(1, 13)]
+    days = [first + timedelta(days=random.randrange(2557)) for _ in range(400)]
+    valid = {a[0]: (a[4], a[5] or last) for a in accounts}
+    postings = []
+    for i, day in enumerate(days):
+        open_now = [a for a, (begin, end) in valid.items() if begin <= day <= end]
+        postings.append((i, day, *random.sample(open_now, 2), Decimal(random.randrange(1, 10**6)) / 100))
+    opening = [(a, before, Decimal(100 * a)) for a in range(1, 13) if a % 5]
+    rates = [(USD, date(2009 + i, 1, 1), date(2009 + i, 12, 31), Decimal(30 + i)) for i in range(10)]
+    publish_inputs(spark, warehouse, accounts=accounts, opening_balances=opening, exchange_rates=rates, postings=[])
+    warehouse.switch("ds", "postings", [], drop=["all"])
+    _by_month(spark, warehouse, postings)
+    jobs.calculate_period(warehouse, first, last)
+    expected = day_by_day(accounts, opening, postings, first, last)
+    assert _balances(warehouse) == {**{(a, on): b for a, on, b in opening}, **expected}
+    foreign = {a for a in valid if a % 3 == 0}
+    assert _home(warehouse) == {
+        (a, on): b * (30 + on.year - 2009 if a in foreign else 1) for (a, on), b in _balances(warehouse).items()
+    }
+    sums = Counter()
+    for _, day, debit, credit, amount in postings:
+        sums[debit, day, "debit"] += amount
+        sums[credit, day, "credit"] += amount
+    found = Counter()
+    for r in warehouse.read("dm", jobs.TURNOVER_MART).collect():
+        found[r["account_id"], r["on_date"], "debit"] = r["debit"]
+        found[r["account_id"], r["on_date"], "credit"] = r["credit"]
+    assert +found == +sums
+
+
 def test_a_day_that_became_empty_disappears(spark, warehouse):
     publish_inputs(spark, warehouse)
     jobs.calculate_period(warehouse, *JAN)
@@ -192,6 +312,122 @@ def test_a_corrected_opening_reaches_the_balances(spark, warehouse):
     assert found == {**{(a, on): b for a, on, b in corrected}, **expected}
 
 
+def _balances(warehouse):
+    return {(r["account_id"], r["on_date"]): r["balance"] for r in warehouse.read("dm", jobs.BALANCE_MART).collect()}
+
+
+def _home(warehouse):
+    return {(r["account_id"], r["on_date"]): r["balance_home"] for r in warehouse.read("dm", jobs.BALANCE_MART).collect()}
+
+
+def _report_agrees(warehouse):
+    """What a report opens with and moves is what it closes with, in home currency."""
+    for r in warehouse.read("dm", jobs.REPORT_MART).collect():
+        change = r["turn_deb_rub"] - r["turn_cre_rub"]
+        assert r["balance_in_rub"] + (change if r["characteristic"] == "A" else -change) == r["balance_out_rub"]
+
+
+MARCH = (d(1, 3), d(31, 3))
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_a_correction_reaches_the_months_behind(spark, warehouse, together):
+    publish_inputs(spark, warehouse)
+    for period in [(JAN[0], MARCH[1])] if together else [JAN, FEB, MARCH]:
+        jobs.calculate_period(warehouse, *period)
+    assert jobs.stale_months(warehouse) == {}
+    turnovers = warehouse.live("dm", jobs.TURNOVER_MART)
+    corrected = [(10, BEFORE, Decimal("500.00")), OPENING[1], (20, BEFORE, Decimal("11.50"))]
+    warehouse.publish(table(spark, "opening_balances", corrected), "ds", "opening_balances")
+    late = [*POSTINGS, (8, d(29), 10, 11, Decimal("70.00")), (9, d(29), 11, 20, Decimal("0.25"))]
+    warehouse.publish(table(spark, "postings", late), "ds", "postings")
+    assert jobs.stale_months(warehouse)["2018-01"] == "its postings changed"
+    with pytest.raises(jobs.StaleMonths, match="2018-01: its postings changed"):
+        jobs.build_form_101(warehouse, JAN[0], FEB[1])
+    *_, done = jobs.calculate_period(warehouse, *JAN)
+    expected = day_by_day(ACCOUNTS, corrected, late, JAN[0], MARCH[1])
+    assert _balances(warehouse) == {**{(a, on): b for a, on, b in corrected}, **expected}
+    assert done.counts["carried"] == sum(on >= FEB[0] for _, on in expected)
+    assert warehouse.live("dm", jobs.TURNOVER_MART)["2018-02"] == turnovers["2018-02"]  # not read, not written
+    assert set(jobs.stale_months(warehouse).values()) <= {"its postings changed"}  # one table of all months was replaced
+    carried = _home(warehouse)
+    jobs.calculate_period(warehouse, JAN[0], MARCH[1])
+    assert _home(warehouse) == carried and jobs.stale_months(warehouse) == {}
+    jobs.build_form_101(warehouse, JAN[0], FEB[1])
+    _report_agrees(warehouse)
+
+
+def _by_month(spark, warehouse, rows):
+    warehouse.publish_periods(table(spark, "postings", rows), "ds", "postings", F.date_format("on_date", "yyyy-MM"))
+
+
+def test_postings_kept_in_months_leave_the_months_behind_sound(spark, warehouse):
+    publish_inputs(spark, warehouse, postings=[])
+    warehouse.switch("ds", "postings", [], drop=["all"])
+    _by_month(spark, warehouse, POSTINGS)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    late = [*POSTINGS[:6], (8, d(29), 10, 11, Decimal("70.00"))]
+    _by_month(spark, warehouse, late)
+    assert jobs.stale_months(warehouse) == {"2018-01": "its postings changed", "2018-02": "2018-01 is stale"}
+    jobs.calculate_period(warehouse, *JAN)
+    assert jobs.stale_months(warehouse) == {}
+    jobs.build_form_101(warehouse, JAN[0], FEB[1])
+    _report_agrees(warehouse)
+    expected = day_by_day(ACCOUNTS, OPENING, [*late, POSTINGS[6]], JAN[0], FEB[1])
+    assert _balances(warehouse) == {**{(a, on): b for a, on, b in OPENING}, **expected}
+
+
+def test_months_and_their_correction_go_live_together(spark, warehouse, monkeypatch):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    before = _balances(warehouse)
+    warehouse.publish(table(spark, "opening_balances", [(10, BEFORE, Decimal("500.00"))]), "ds", "opening_balances")
+    switches, rename = [], warehouse._rename
+
+    def counted(path, target):
+        if jobs.BALANCE_MART in target:
+            switches.append(_balances(warehouse))
+        rename(path, target)
+
+    monkeypatch.setattr(warehouse, "_rename", counted)
+    jobs.calculate_period(warehouse, *JAN)
+    assert switches == [before] and _balances(warehouse)[10, d(28, 2)] == before[10, d(28, 2)] + 400
+
+
+def test_without_a_change_later_months_stay_as_they_are(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    kept = warehouse.live("dm", jobs.BALANCE_MART)["2018-02"]
+    jobs.calculate_period(warehouse, *JAN)
+    assert warehouse.live("dm", jobs.BALANCE_MART)["2018-02"] == kept
+    assert jobs.stale_months(warehouse) == {}
+
+
+def test_changed_rates_make_their_months_stale(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    more = [*RATES, (USD, date(2018, 4, 1), None, Decimal("1.000000"))]
+    warehouse.publish(table(spark, "exchange_rates", more), "ds", "exchange_rates")
+    assert jobs.stale_months(warehouse) == {}
+    other = [RATES[0], (USD, d(16), d(10, 2), Decimal("60.000000")), (USD, d(11, 2), None, Decimal("61.000000"))]
+    warehouse.publish(table(spark, "exchange_rates", other), "ds", "exchange_rates")
+    assert jobs.stale_months(warehouse) == {"2018-02": "its rates changed"}
+    jobs.build_form_101(warehouse, *JAN)
+    with pytest.raises(jobs.StaleMonths):
+        jobs.build_form_101(warehouse, *FEB)
+
+
+def test_a_load_reads_only_months_that_hold_its_keys(spark, warehouse, tmp_path):
+    export_csv(table(spark, "postings"), str(tmp_path / "one"))
+    jobs.load_csv(warehouse, "postings", str(tmp_path / "one"))
+    for file in (tmp_path / "warehouse/ds/postings/2018-01").rglob("*.parquet"):
+        file.write_bytes(b"rubbish")
+    export_csv(table(spark, "postings", [(7, d(9, 3), 10, 20, Decimal("1.00")), (8, d(2, 2), 10, 20, Decimal("2.00"))]), str(tmp_path / "two"))
+    done = jobs.load_csv(warehouse, "postings", str(tmp_path / "two"))
+    assert done.counts == {"inserted": 1, "updated": 1, "unchanged": 0}
+    assert [r["posting_id"] for r in warehouse.read("ds", "postings", ["2018-02", "2018-03"]).orderBy("posting_id").collect()] == [7, 8]
+
+
 def test_a_skipped_month_is_named(spark, warehouse):
     publish_inputs(spark, warehouse)
     jobs.calculate_period(warehouse, *JAN)
@@ -259,9 +495,70 @@ def test_whole_months(warehouse, period):
         jobs.calculate_period(warehouse, *period)
 
 
+def test_a_lost_leg_stops_the_mart(spark, warehouse, monkeypatch):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, *JAN)
+    live = [warehouse.live("dm", mart) for mart in (jobs.TURNOVER_MART, jobs.BALANCE_MART)]
+    whole = jobs.account_movements
+    lost = (F.col("account_id") == 11) & (F.col("on_date") == d(31))
+    monkeypatch.setattr(jobs, "account_movements", lambda *a: whole(*a).filter(~lost))
+    with pytest.raises(ControlTotalsDiffer, match="not what was posted on 2018-01-31$"):
+        jobs.calculate_period(warehouse, *JAN)
+    assert [warehouse.live("dm", mart) for mart in (jobs.TURNOVER_MART, jobs.BALANCE_MART)] == live
+
+
+def test_a_balance_that_does_not_add_up_stops_the_mart(spark, warehouse, monkeypatch):
+    publish_inputs(spark, warehouse)
+    whole = jobs.account_balance
+
+    def wrong(*args, **days):
+        spoiled = (F.col("account_id") == 20) & (F.col("on_date") == d(31))
+        rows = whole(*args, **days)
+        return rows.withColumn("balance", F.when(spoiled, F.col("balance") + 1).otherwise(F.col("balance")).cast("decimal(25,2)"))
+
+    monkeypatch.setattr(jobs, "account_balance", wrong)
+    with pytest.raises(ControlTotalsDiffer, match=f"in currencies {USD}$"):
+        jobs.calculate_period(warehouse, *JAN)
+    assert not warehouse.exists("dm", jobs.BALANCE_MART)
+
+
+def test_control_totals_are_kept_with_the_mart(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, *JAN)
+    found = {r["currency_id"]: tuple(r)[3:] for r in jobs.control_totals(warehouse).collect()}
+    # active 10: +7.50 -8.00, passive 11: +7.50 -8.00; active 20: +3.33, passive 21 closes with +3.33
+    assert found == {1: (Decimal("150.00"), Decimal("-1.00"), Decimal("149.00")), USD: (Decimal("10.00"), Decimal("6.66"), Decimal("16.66"))}
+
+
 # CSV exchange
 
 
+def test_an_import_that_lacks_a_file_is_refused(spark, warehouse, tmp_path):
+    df = spark.range(60).select(F.col("id").cast("int").alias("id"), F.lit("a\nb").alias("v"))
+    warehouse.publish(df.repartition(3, "id"), "dm", "report")
+    path = tmp_path / "csv"
+    jobs.export_mart(warehouse, "report", str(path))
+    file = sorted(path.glob("*.csv"))[0]
+    content = file.read_bytes()
+    file.unlink()
+    with pytest.raises(IncompleteExport, match=file.name):
+        jobs.import_csv_new_table(warehouse, str(path), df.schema, "again")
+    for crc in path.glob(".*.crc"):
+        crc.unlink()
+    file.write_bytes(content.replace(b"a", b"c"))  # the same size
+    with pytest.raises(IncompleteExport, match="rows of"):
+        jobs.import_csv_new_table(warehouse, str(path), df.schema, "again")
+    assert not warehouse.exists("dm", "again")
+    file.write_bytes(content)
+    assert jobs.import_csv_new_table(warehouse, str(path), df.schema, "again").rows == 60
+    file.write_bytes(content.replace(b"a", b"c"))
+    changed = jobs.reimport_csv(warehouse, str(path), df.schema, "again", ["id"]).groupBy("status").count()
+    assert {r["status"] for r in changed.collect()} == {"changed", "same"}
+    file.unlink()
+    with pytest.raises(IncompleteExport):
+        jobs.reimport_csv(warehouse, str(path), df.schema, "again", ["id"])
+
+
 def test_export_import_change_reimport(spark, warehouse, tmp_path):
     df = spark.createDataFrame([(1, "a\nb"), (2, ""), (3, None), (4, "x")], "id int, v string")
     warehouse.publish(df, "dm", "report")
@@ -320,6 +617,28 @@ def test_refresh_loan_holiday_twice(spark, warehouse, tmp_path):
         assert [tuple(r) for r in repair.reports["gaps"].collect()] == [(1, d(2), d(5), 2)]
 
 
+def test_a_second_refresh_of_known_files_writes_nothing(spark, warehouse, tmp_path):
+    source = spark.createDataFrame([(1, d(1), d(5)), (1, d(9), None), (2, d(1), d(2))], "deal long, begins date, ends date")
+    export_csv(source.coalesce(1), str(tmp_path / "csv"))
+    warehouse.publish(source.filter("deal = 2 OR ends IS NOT NULL"), "dm", "loan_holiday_info")
+
+    def refresh():
+        return jobs.refresh_loan_holiday(
+            warehouse, str(tmp_path / "csv"), source.schema, "deal", "begins", end_col="ends", only_new=True
+        )
+
+    repair = refresh()
+    assert [tuple(r) for r in repair.reports["missing"].collect()] == [(1, d(9), None)]
+    assert [tuple(r) for r in repair.reports["gaps"].collect()] == [(1, d(6), d(8), 3)]
+    assert repair.reports["gaps_before"].count() == 0
+    live = warehouse.live("rd", "loan_holiday"), warehouse.live("dm", "loan_holiday_info")
+    assert refresh().published.rows == 0
+    assert (warehouse.live("rd", "loan_holiday"), warehouse.live("dm", "loan_holiday_info")) == live
+    assert ("pass over 1 known files of rd.loan_holiday", 0, "SUCCESS") in logged(warehouse)
+    warehouse.publish(source.limit(1), "dm", "loan_holiday_info")  # a mart that was spoiled is filled again
+    assert refresh().published.rows == 3
+
+
 def test_refresh_loan_holiday_with_a_build(spark, warehouse, tmp_path):
     source = spark.createDataFrame([(1, d(1)), (2, d(1))], "deal long, on_date date")
     export_csv(source, str(tmp_path / "csv"))

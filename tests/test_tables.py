@@ -107,3 +107,110 @@ def test_periods_with_repeated_keys_or_without_a_name_change_nothing(spark, ware
         warehouse.publish_periods(_month(spark, [(2, None)]), "dm", "t", F.col("m"))
     assert [tuple(r) for r in warehouse.read("dm", "t").collect()] == [(1, "a")]
     assert [tuple(r) for r in warehouse.read("dm", "t_duplicates").collect()] == [(2, 2)]
+
+
+def test_all_periods_go_live_in_one_rename(spark, warehouse, monkeypatch):
+    warehouse.publish_periods(_month(spark, [(1, "a"), (2, "b"), (3, "c")]), "dm", "t", F.col("m"))
+    old, renames = warehouse.live("dm", "t"), []
+
+    def broken(path, target):
+        renames.append(target)
+        raise OSError("the switch failed")
+
+    monkeypatch.setattr(warehouse, "_rename", broken)
+    with pytest.raises(OSError):
+        warehouse.publish_periods(_month(spark, [(4, "a"), (5, "b")]), "dm", "t", F.col("m"), ["c"])
+    assert len(renames) == 1 and warehouse.live("dm", "t") == old
+    assert ids(warehouse.read("dm", "t")) == [1, 2, 3]
+    monkeypatch.undo()
+    warehouse.publish_periods(_month(spark, [(4, "a"), (5, "b")]), "dm", "t", F.col("m"), ["c"])
+    assert ids(warehouse.read("dm", "t")) == [4, 5]
+
+
+def test_several_writes_go_live_together_with_what_is_noted(spark, warehouse):
+    warehouse.publish(spark.range(1), "dm", "t", "a", facts={"from": "x"})
+    one = warehouse.prepare(spark.range(2, 4), "dm", "t", "a")
+    two = warehouse.prepare_periods(_month(spark, [(9, "b")]).withColumn("id", F.col("id").cast("long")), "dm", "t", F.col("m"), columns=["id"])
+    assert ids(warehouse.read("dm", "t")) == [0] and warehouse.facts("dm", "t") == {"a": {"from": "x"}}
+    warehouse.switch("dm", "t", [one, two], {"b": {"from": "y"}})
+    assert ids(warehouse.read("dm", "t")) == [2, 3, 9] and warehouse.facts("dm", "t") == {"a": {}, "b": {"from": "y"}}
+    assert warehouse.stamps("dm", "t") == {"a": "a@2", "b": "b@1"}
+    warehouse.switch("dm", "t", [], {"a": {"from": "z"}}, drop=["b"])
+    assert warehouse.facts("dm", "t") == {"a": {"from": "z"}} and ids(warehouse.read("dm", "t")) == [2, 3]
+    with pytest.raises(LookupError):
+        warehouse.switch("dm", "t", [], {"none": {}})
+
+
+def test_old_versions_of_periods_are_dropped_with_their_indexes(spark, warehouse, tmp_path):
+    warehouse.declare_keys("dm", "t", ["id"])
+    for n in range(1, 5):
+        warehouse.publish_periods(_month(spark, [(n, "a"), (-n, "b")]), "dm", "t", F.col("m"))
+    dropped = warehouse.drop_old_versions("dm", "t", keep=1)
+    assert sorted(p.split("/dm/t/")[1] for p in dropped) == [f"{p}/v{n}" for p in "ab" for n in (1, 2, 3)]
+    left = sorted(p.name for p in (tmp_path / "warehouse/dm/t/a").iterdir())
+    assert left == ["k4", "v4"] and len(list((tmp_path / "warehouse/dm/t/_current").glob("[0-9]*"))) == 2
+    assert ids(warehouse.read("dm", "t")) == [-4, 4]
+
+
+# keys over periods
+
+
+def _spoil(path):
+    """Files that cannot be read any more."""
+    for file in path.rglob("*.parquet"):
+        file.write_bytes(b"rubbish")
+
+
+def test_a_key_is_live_once_over_all_periods(spark, warehouse, tmp_path):
+    warehouse.declare_keys("dm", "t", ["id"])
+    warehouse.publish(spark.range(1, 4), "dm", "t", "2018-01")
+    warehouse.publish(spark.range(10, 14), "dm", "t", "2018-02")
+    with pytest.raises(DuplicateKeys, match="1 duplicate keys in id of dm.t"):
+        warehouse.publish(spark.range(3, 8), "dm", "t", "2018-03")
+    assert [tuple(r) for r in warehouse.read("dm", "t_duplicates").collect()] == [(3, 2)]
+    with pytest.raises(DuplicateKeys, match="2 duplicate keys"):
+        warehouse.publish_periods(_month(spark, [(1, "2018-03"), (12, "2018-04"), (20, "2018-04")]), "dm", "t", F.col("m"), columns=["id"])
+    assert sorted(warehouse.live("dm", "t")) == ["2018-01", "2018-02"]
+    _spoil(tmp_path / "warehouse/dm/t/2018-01/v1")  # its rows are not needed, its index is
+    _spoil(tmp_path / "warehouse/dm/t/2018-02")  # its keys are out of reach: not even its index
+    warehouse.publish(spark.range(4, 8), "dm", "t", "2018-03")
+    with pytest.raises(DuplicateKeys):
+        warehouse.publish(spark.range(2, 3), "dm", "t", "2018-04")
+    warehouse.publish(spark.range(4, 7), "dm", "t", "2018-03")  # a period may hold its own keys again
+
+
+def test_keys_of_texts_and_nulls_over_periods(spark, warehouse):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "name string, part int")
+
+    warehouse.declare_keys("dm", "t", ["name", "part"])
+    long = "x" * 100
+    warehouse.publish(rows((f"{long}a", 1), (None, 2), ("b", None)), "dm", "t", "one")
+    warehouse.publish(rows((f"{long}b", 1), (None, 3), ("c", None)), "dm", "t", "two")
+    for repeated in ((f"{long}a", 1), (None, 3), ("c", None)):
+        with pytest.raises(DuplicateKeys):
+            warehouse.publish(rows(repeated), "dm", "t", "three")
+        assert [tuple(r) for r in warehouse.read("dm", "t_duplicates").collect()] == [(*repeated, 2)]
+    warehouse.publish(rows((f"{long}c", 1), (None, None), ("c", 1)), "dm", "t", "three")
+    assert warehouse.read("dm", "t").count() == 9
+
+
+def test_rows_from_before_the_declaration_count(spark, warehouse):
+    warehouse.publish(spark.range(3), "dm", "t", "one")
+    warehouse.declare_keys("dm", "t", ["id"])
+    with pytest.raises(DuplicateKeys):
+        warehouse.publish(spark.range(2, 5), "dm", "t", "two")
+    warehouse.publish(spark.range(2, 5), "dm", "u", "two")
+    warehouse.publish(spark.range(2, 5), "dm", "u", "three")
+    with pytest.raises(DuplicateKeys, match="3 duplicate keys"):
+        warehouse.declare_keys("dm", "u", ["id"])
+    assert warehouse.declared_keys("dm", "u") == []
+
+
+def test_periods_that_hold_keys(spark, warehouse):
+    rows = _month(spark, [(1, "a"), (2, "a"), (5, "b"), (6, "c"), (50, "c")])
+    warehouse.publish_periods(rows, "ds", "t", F.col("m"), ["d"], index=["id"])
+    wanted = spark.createDataFrame([(2,), (7,), (50,)], "id int")
+    assert warehouse.periods_holding("ds", "t", wanted, ["id"]) == ["a", "c"]
+    assert warehouse.periods_holding("ds", "t", wanted.filter("id > 99"), ["id"]) == []
+    assert warehouse.periods_holding("ds", "none", wanted, ["id"]) == []
