@@ -1,15 +1,22 @@
 """Benchmark passages in documents, found by one Aho-Corasick automaton.
 
-Questions and answers are normalised to lower-case words. The windows of all items go into
-one automaton as byte strings with a blank on both sides, so a match starts and ends at
-words. A normalised text is scanned once; matches overlap freely. A match is a range of
-words; words keep their place in the original text, so ranges map back to offsets.
+Questions and answers are normalised to lower-case words, and each distinct word becomes one
+character. The windows of all items, strings of ten such characters, go into one automaton,
+and so does a document: words of no item become a character of no window. A text is scanned
+once; matches overlap freely. A match is a range of words; words keep their place in the
+original text, so ranges map back to offsets.
+
+An automaton is built once in a worker, which keeps it. A benchmark too large for one is cut
+into parts by a hash; each part has its automaton and its pass over the documents, and what
+the passes find is put together by document.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -18,11 +25,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saldomart.llm.common import batch, encoded_texts, row_blocks
+from saldomart.llm.common import batch, encoded_texts, row_blocks, stored
 
 WINDOW = 10
-MAX_PATTERN_BYTES = 4 * 1024 * 1024  # of the windows in one automaton
-MAX_BENCHMARK_BYTES = 64 * 1024 * 1024  # what is broadcast
+PART_BYTES = 2 * 1024 * 1024  # of benchmark text in one automaton
+PIECE_WORDS = 4_000  # an item of more is taken in pieces that share nine words
 _BLOCK_BYTES = 8 * 1024 * 1024
 
 # Fixed values of the contract: ASCII letters in lower case and digits are word characters,
@@ -33,45 +40,50 @@ _NORMAL = bytes(
 _WORD = re.compile(rb"[^ ]+")
 
 
-def normalised(text: bytes) -> bytes:
-    """Lower-case words with one blank between, before and after them; one blank if there are none."""
-    return b" ".join([b"", *text.translate(_NORMAL).split(), b""]) if text else b" "
+@dataclass
+class Windows:
+    """The automaton of some items: windows as strings of a character for each word, with their owners."""
 
+    automaton: ahocorasick.Automaton
+    characters: dict[bytes, str]  # by word
+
+
+_NO_WORD = "\x00"
 
-def item_windows(text: bytes) -> set[bytes]:
-    """The windows of an item: ten consecutive words each, all words if they are fewer."""
-    words = text.translate(_NORMAL).split()
-    if not words:
-        return set()
-    last = max(0, len(words) - WINDOW)
-    return {b" ".join([b"", *words[i : i + WINDOW], b""]) for i in range(last + 1)}
 
+def _character(number: int) -> str:
+    """One for each number from 0 on, but for the first and for surrogates."""
+    return chr(number + 1 if number < 0xD7FF else number + 0x801)
 
-def build_automaton(items: list[tuple[int, bytes]]) -> ahocorasick.Automaton:
-    """Patterns with their number of words and the items they belong to."""
-    owners: dict[bytes, set[int]] = {}
+
+def build_automaton(items: list[tuple[int | None, bytes]]) -> Windows:
+    """Windows of items: ten consecutive words each, all words if they are fewer. An item may have no id."""
+    characters: dict[bytes, str] = {}
+    owners: dict[str, set[int]] = {}
     for item, text in items:
-        for window in item_windows(text):
-            owners.setdefault(window, set()).add(item)
+        words = text.translate(_NORMAL).split()
+        for word in words:
+            if word not in characters:
+                characters[word] = _character(len(characters))
+        spelled = "".join([characters[word] for word in words])
+        for i in range(max(0, len(words) - WINDOW) + 1 if words else 0):
+            owners.setdefault(spelled[i : i + WINDOW], set()).update(() if item is None else (item,))
     automaton = ahocorasick.Automaton()
     for window, ids in owners.items():
-        automaton.add_word(window.decode("latin-1"), (window.count(b" ") - 1, tuple(sorted(ids))))
+        automaton.add_word(window, (len(window), tuple(sorted(ids))))
     if owners:
         automaton.make_automaton()
-    return automaton
+    return Windows(automaton, characters)
 
 
-def scan(text: bytes, automaton: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int, tuple[int, ...]]]]:
+def scan(text: bytes, windows: Windows) -> tuple[int, list[tuple[int, int, tuple[int, ...]]]]:
     """Words of a text, and the matches as first word, end word (exclusive) and items."""
-    normal = normalised(text)
-    n_words = normal.count(b" ") - 1 if len(normal) > 1 else 0
-    found = list(automaton.iter(normal.decode("latin-1"))) if len(automaton) else []
-    matches, at, blanks = [], 0, 0
-    for end, (length, items) in found:  # in order of their ends
-        blanks += normal.count(b" ", at, end + 1)
-        at = end + 1
-        matches.append((blanks - 1 - length, blanks - 1, items))
-    return n_words, matches
+    words = text.translate(_NORMAL).split()
+    if not len(windows.automaton):
+        return len(words), []
+    known = windows.characters.get
+    spelled = "".join([known(word, _NO_WORD) for word in words])
+    return len(words), [(end + 1 - n, end + 1, items) for end, (n, items) in windows.automaton.iter(spelled)]
 
 
 def character_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -92,28 +104,57 @@ def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in joined]
 
 
-def item_groups(benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> list[list[tuple[int, bytes]]]:
-    """The items in groups whose windows hold about ``max_bytes`` each.
+_PIECE = pa.schema([("item_id", pa.int64()), ("piece", pa.binary())])
 
-    Items without an id are left out. The benchmark is measured before it is collected and
-    refused beyond ``MAX_BENCHMARK_BYTES``.
-    """
-    rows = benchmark.filter("item_id IS NOT NULL").selectExpr(
-        "CAST(item_id AS long) AS item_id", "coalesce(CAST(text AS binary), CAST('' AS binary)) AS text"
-    )
-    size = rows.agg(F.sum(F.octet_length("text") + 16).alias("size")).first()["size"] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes, more than {MAX_BENCHMARK_BYTES}: scan it in parts")
-    groups: list[list[tuple[int, bytes]]] = [[]]
-    held = 0
-    for row in rows.collect():
-        need = WINDOW * len(row["text"])
-        if groups[-1] and held + need > max_bytes:
-            groups.append([])
-            held = 0
-        groups[-1].append((row["item_id"], bytes(row["text"])))
-        held += need
-    return groups
+
+def item_pieces(benchmark: DataFrame, most: int = PIECE_WORDS) -> DataFrame:
+    """Distinct items as normalised words, long ones in pieces of which each window lies in one at least."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for number, text in zip(rows.column(0).to_pylist(), encoded_texts(rows.column(1))):
+                words = text.translate(_NORMAL).split()
+                if not words:
+                    continue
+                starts = range(0, max(1, len(words) - WINDOW + 1), most)
+                pieces = [b" ".join(words[i : i + most + WINDOW - 1]) for i in starts]
+                yield batch(_PIECE, [number] * len(pieces), pieces)
+
+    items = benchmark.selectExpr("CAST(item_id AS long) AS item_id", "CAST(text AS string) AS text")
+    return items.mapInArrow(cut, "item_id long, piece binary").distinct()
+
+
+@dataclass
+class Part:
+    """Items for one automaton, sent to the workers. ``key`` tells it from all others."""
+
+    key: str
+    items: Broadcast
+
+
+def benchmark_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES, piece_words: int = PIECE_WORDS) -> list[Part]:
+    """The benchmark in parts of about ``part_bytes`` of text. The driver holds one part at a time."""
+    spark = benchmark.sparkSession
+    pieces = stored(item_pieces(benchmark, piece_words), "benchmark")
+    size = pieces.agg(F.sum(F.octet_length("piece") + 16).alias("size")).first()["size"] or 0
+    n = -(-size // part_bytes)
+    parts = []
+    for number in range(n):
+        here = pieces.filter(F.pmod(F.xxhash64("piece"), F.lit(n)) == number) if n > 1 else pieces
+        items = [(row["item_id"], bytes(row["piece"])) for row in here.collect()]
+        parts.append(Part(uuid.uuid4().hex, spark.sparkContext.broadcast(items)))
+    return parts
+
+
+_kept: dict[str, Windows] = {}
+
+
+def windows_of(part: Part) -> Windows:
+    """The automaton of a part, built once in this worker and kept until another is asked for."""
+    if part.key not in _kept:
+        _kept.clear()
+        _kept[part.key] = build_automaton(part.items.value)
+    return _kept[part.key]
 
 
 FOUND = pa.schema(
@@ -130,52 +171,101 @@ _FOUND_DDL = (
 )
 
 
-def _scanner(patterns: list[Broadcast]):
+def _found(rows: pa.RecordBatch, texts: list[bytes], hits: list[list[tuple[int, int]]], items: list[set[int]], n_words: list[int]):
+    ranges = [_joined(found) for found in hits]
+    return batch(
+        FOUND,
+        rows.column(0),
+        n_words,
+        [sum(b - a for a, b in found) for found in ranges],
+        [sorted(ids) for ids in items],
+        [character_spans(text, found) if found else [] for text, found in zip(texts, ranges)],
+    )
+
+
+def _scanner(part: Part):
+    """One pass over documents with one automaton."""
+
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built: dict[int, ahocorasick.Automaton] = {}  # one at a time
-        for whole in batches:
-            for rows in row_blocks(iter([whole]), 1, _BLOCK_BYTES):
-                texts = encoded_texts(rows.column(1))
-                n_words = [0] * len(texts)
-                hits: list[list[tuple[int, int]]] = [[] for _ in texts]
-                items: list[set[int]] = [set() for _ in texts]
-                for number, pattern in enumerate(patterns):
-                    if number not in built:
-                        built.clear()
-                        built[number] = build_automaton(pattern.value)
-                    for i, text in enumerate(texts):
-                        n_words[i], matches = scan(text, built[number])
-                        hits[i] += [(a, b) for a, b, _ in matches]
-                        items[i].update(item for _, _, ids in matches for item in ids)
-                ranges = [_joined(found) for found in hits]
+        for rows in row_blocks(batches, 1, _BLOCK_BYTES):
+            windows, texts = windows_of(part), encoded_texts(rows.column(1))
+            found = [scan(text, windows) for text in texts]
+            hits = [[(a, b) for a, b, _ in matches] for _, matches in found]
+            items = [{item for _, _, ids in matches for item in ids} for _, matches in found]
+            yield _found(rows, texts, hits, items, [n for n, _ in found])
+
+    return scanned
+
+
+_HITS = pa.schema(
+    [("row_no", pa.int64()), ("ranges", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.int64()))]
+)
+_HITS_DDL = "row_no long, ranges array<array<long>>, items array<long>"
+
+
+def _hits_of_parts(numbered: DataFrame, parts: list[Part]) -> DataFrame:
+    """Numbers of the rows that hold windows of any part, with the places and items of each part."""
+
+    def finder(part: Part):
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in row_blocks(batches, 1, _BLOCK_BYTES):
+                windows = windows_of(part)
+                found = [scan(text, windows)[1] for text in encoded_texts(rows.column(1))]
+                hit = [i for i, matches in enumerate(found) if matches]
                 yield batch(
-                    FOUND,
-                    rows.column(0),
-                    n_words,
-                    [sum(b - a for a, b in found) for found in ranges],
-                    [sorted(ids) for ids in items],
-                    [character_spans(text, found) if found else [] for text, found in zip(texts, ranges)],
+                    _HITS,
+                    rows.column(0).take(pa.array(hit, pa.int64())),
+                    [_joined([(a, b) for a, b, _ in found[i]]) for i in hit],
+                    [sorted({item for _, _, ids in found[i] for item in ids}) for i in hit],
                 )
 
-    return scanned
+        return find
+
+    texts = numbered.select("row_no", "text")
+    hits = texts.mapInArrow(finder(parts[0]), _HITS_DDL)
+    for part in parts[1:]:
+        hits = hits.unionByName(texts.mapInArrow(finder(part), _HITS_DDL))
+    return hits
+
+
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of doc_id, text, and lists of places and items from several passes."""
+    for rows in row_blocks(batches, 1, _BLOCK_BYTES):
+        texts = encoded_texts(rows.column(1))
+        hits = [[(a, b) for a, b in places or ()] for places in rows.column(2).to_pylist()]
+        items = [set(ids or ()) for ids in rows.column(3).to_pylist()]
+        yield _found(rows, texts, hits, items, [len(text.translate(_NORMAL).split()) for text in texts])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Words of each document that stand in a benchmark window, with the items and the places.
 
     Returns one row per input row: doc_id, n_words, n_hit, n_items, items (ids), spans
     (code point offsets of the hit passages in the text), items_sha256 and contaminated.
     NULL and empty texts have no words. Repeated rows are repeated, a NULL doc_id stays
-    NULL; repeated items count once. Other columns are ignored.
+    NULL; repeated items count once. Windows of an item without item_id are hits that
+    belong to no item. Other columns are ignored.
 
-    The benchmark is broadcast, up to ``MAX_BENCHMARK_BYTES`` of it; beyond that call this for
-    parts of it. An automaton holds windows of about ``max_bytes``; more windows are scanned
-    for by several automata, one after the other. No shuffle.
+    Up to ``part_bytes`` of benchmark text there is one automaton and one pass without a
+    shuffle. Beyond that each part of the benchmark has its own pass, and rows that hold
+    any of its windows meet by their number.
     """
-    send = docs.sparkSession.sparkContext.broadcast
-    patterns = [send(group) for group in item_groups(benchmark, max_bytes)]
     texts = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text")
-    found = texts.mapInArrow(_scanner(patterns), _FOUND_DDL)
+    parts = benchmark_parts(benchmark, part_bytes)
+    if len(parts) <= 1:
+        only = parts[0] if parts else Part("", docs.sparkSession.sparkContext.broadcast([]))
+        found = texts.mapInArrow(_scanner(only), _FOUND_DDL)
+    else:
+        numbered = stored(texts.withColumn("row_no", F.monotonically_increasing_id()), "documents")
+        hits = _hits_of_parts(numbered, parts).groupBy("row_no").agg(
+            F.flatten(F.collect_list("ranges")).alias("ranges"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        )
+        found = (
+            numbered.join(hits, "row_no", "left")
+            .select("doc_id", "text", "ranges", "items")
+            .mapInArrow(_put_together, _FOUND_DDL)
+        )
     strings = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
         "doc_id",
@@ -189,23 +279,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PAT
     )
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark window, with all their columns."""
-    send = docs.sparkSession.sparkContext.broadcast
-    patterns = [send(group) for group in item_groups(benchmark, max_bytes)]
+    parts = benchmark_parts(benchmark, part_bytes)
+    if not parts:
+        return docs
+    if len(parts) > 1:
+        number = "row_no"
+        while number in docs.columns:
+            number += "_"
+        numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "documents")
+        hits = _hits_of_parts(numbered.select(F.col(number).alias("row_no"), "text"), parts)
+        hit = hits.select(F.col("row_no").alias(number)).distinct()
+        return numbered.join(hit, number, "left_anti").select(*docs.columns)
     at = docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built: dict[int, ahocorasick.Automaton] = {}
         for rows in batches:
-            texts = encoded_texts(rows.column(at))
-            stays = np.ones(len(texts), bool)
-            for number, pattern in enumerate(patterns):
-                if number not in built:
-                    built.clear()
-                    built[number] = build_automaton(pattern.value)
-                for i in np.flatnonzero(stays).tolist():
-                    stays[i] = not scan(texts[i], built[number])[1]
+            windows = windows_of(parts[0])
+            stays = [not scan(text, windows)[1] for text in encoded_texts(rows.column(at))]
             yield rows.filter(pa.array(stays))
 
     return docs.mapInArrow(clean, docs.schema)

@@ -13,6 +13,10 @@ Second pass: the windows estimated repeated are grouped exactly, by the hashes o
 and window, both of 64 bits. Within a block of documents only the occurrence in the
 smallest document goes on; all others are already known to repeat it. So a passage that
 stands in very many documents gives a row a block, not a row a document.
+
+An anchor may still be shared by very many rows, in a group of near copies, say. Rows of
+such an anchor are dealt by window instead, after those of equal windows were reduced to
+the smallest document within a share of the documents.
 """
 
 from __future__ import annotations
@@ -33,26 +37,30 @@ DEPTH = 2
 MIN_BITS, MAX_BITS = 18, 29  # cells of a sketch row, as a power of two; 2^29 cells are 64 MB when merged
 SHARD_BITS = 18  # cells that are merged in one group
 CELLS_PER_ANCHOR = 8
+HEAVY_ROWS, HEAVY_SHARE = 256, 5_000  # an anchor of more rows, and of more than one row in so many, is dealt by window
+SHARES = 64  # of documents, in each of which equal windows are reduced first
 
 
 def blocks_of(
     batches: Iterator[pa.RecordBatch], limit: int = WORD_LIMIT
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """doc_ids, numbers of words and word hashes of documents, about ``limit`` words at a time."""
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """doc_ids, hashes of texts, numbers of words and word hashes of documents, about ``limit`` words at a time."""
     hashes = WordHashes()
-    ids: list[int] = []
+    ids: list[tuple[int, int]] = []
     words: list[np.ndarray] = []
     held = 0
 
-    def block() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.array(ids, np.int64), np.array([len(w) for w in words], np.int64), np.concatenate(words)
+    def block() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        numbers, texts = np.array(ids, np.int64).T
+        return numbers, texts, np.array([len(w) for w in words], np.int64), np.concatenate(words)
 
     for rows in batches:
-        numbers = rows.column(0).to_pylist()
+        numbers, marks = rows.column(0).to_pylist(), rows.column(2).to_pylist()
         for start in range(0, rows.num_rows, 100):
-            for number, text in zip(numbers[start : start + 100], encoded_texts(rows.column(1).slice(start, 100))):
+            texts = encoded_texts(rows.column(1).slice(start, 100))
+            for number, mark, text in zip(numbers[start : start + 100], marks[start : start + 100], texts):
                 split = text.split()  # by ASCII white space
-                ids.append(number)
+                ids.append((number, mark))
                 words.append(np.fromiter(map(hashes.__getitem__, split), np.uint64, len(split)))
                 held += len(split)
                 if held >= limit:
@@ -110,7 +118,9 @@ def cells_of(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.filter("doc_id IS NOT NULL").selectExpr("CAST(doc_id AS long) AS doc_id", "text")
+    """Documents that can be compared, with a hash that tells apart the texts of one doc_id."""
+    texts = docs.filter("doc_id IS NOT NULL").selectExpr("CAST(doc_id AS long) AS doc_id", "text")
+    return texts.withColumn("mark", F.xxhash64("text"))
 
 
 def sketch_bits(docs: DataFrame) -> int:
@@ -129,8 +139,8 @@ def repeated_cells(docs: DataFrame, bits: int, window: int = WINDOW, anchor: int
     shard_bits = min(bits, SHARD_BITS)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches):
-            found = Block(*block, window, anchor).anchor_occurrences()
+        for ids, _, lengths, flat in blocks_of(batches):
+            found = Block(ids, lengths, flat, window, anchor).anchor_occurrences()
             if not len(found):
                 continue
             for row in range(DEPTH):
@@ -187,9 +197,9 @@ def _runs(document: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 _PART = pa.schema(
-    [(name, pa.int64()) for name in ("anchor", "doc_id", "first", "last")] + [("windows", pa.binary())]
+    [(name, pa.int64()) for name in ("deal", "anchor", "doc_id", "mark", "first", "last")] + [("windows", pa.binary())]
 )
-_PART_DDL = "anchor long, doc_id long, first long, last long, windows binary"
+_PART_DDL = "deal long, anchor long, doc_id long, mark long, first long, last long, windows binary"
 
 
 def _lowest_by(keys: tuple[np.ndarray, ...], value: np.ndarray) -> np.ndarray:
@@ -202,8 +212,81 @@ def _lowest_by(keys: tuple[np.ndarray, ...], value: np.ndarray) -> np.ndarray:
     return lowest
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], survivors: bool = False) -> Iterator[pa.RecordBatch]:
+    """Later windows of rows sorted by ``deal``, a bounded number of its values at a time.
+
+    With ``survivors`` the rows of the smallest documents come out too, as they are.
+    """
+    held: list[pa.RecordBatch] = []
+    for rows in batches:
+        deal = rows.column(0).to_numpy()
+        cut = int(np.searchsorted(deal, deal[-1])) if len(deal) else 0
+        if cut:  # the last value may go on in the next batch
+            yield from _later_windows([*held, rows.slice(0, cut)], survivors)
+            held = [rows.slice(cut)]
+        else:
+            held.append(rows)
+    if held:
+        yield from _later_windows(held, survivors)
+
+
+def _later_windows(parts: list[pa.RecordBatch], survivors: bool) -> Iterator[pa.RecordBatch]:
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    if not rows.num_rows:
+        return
+    _, anchors, numbers, marks, firsts, lasts = (rows.column(i).to_numpy() for i in range(6))
+    windows = np.frombuffer(b"".join(rows.column(6).to_pylist()), "<u8")
+    lengths = lasts - firsts + 1
+    row = np.repeat(np.arange(len(anchors)), lengths)
+    place = firsts[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    later = numbers[row] > _lowest_by((windows, anchors[row]), numbers[row])
+    if later.any():
+        found, spot = row[later], place[later]
+        starts, ends = _runs(found, spot)
+        n, of = len(starts), found[starts]
+        yield batch(
+            _PART, [0] * n, [0] * n, numbers[of], marks[of], spot[starts], spot[ends - 1], pa.nulls(n, pa.binary())
+        )
+    if survivors:  # rows of one window each
+        yield from rows.filter(pa.array(~later)).to_batches()
+
+
+def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each window, dealt by it."""
+    for rows in batches:
+        _, anchors, numbers, marks, firsts, lasts = (rows.column(i).to_numpy() for i in range(6))
+        data = b"".join(rows.column(6).to_pylist())
+        lengths = lasts - firsts + 1
+        row = np.repeat(np.arange(len(anchors)), lengths)
+        place = firsts[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        each = [data[i : i + 8] for i in range(0, len(data), 8)]
+        yield batch(
+            _PART, np.frombuffer(data, "<i8"), anchors[row], numbers[row], marks[row], place, place, each
+        )
+
+
+def _by_window(waiting: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows to be grouped by ``deal``, and stretches that are known already: heavy anchors are dealt by window.
+
+    There are at most ``HEAVY_SHARE`` heavy anchors, whatever the number of rows.
+    """
+    total = waiting.count()
+    most = max(HEAVY_ROWS, total // HEAVY_SHARE)
+    counted = waiting.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    heavy = [r["anchor"] for r in counted.collect()]
+    if not heavy:
+        return waiting, waiting.filter(F.lit(False))
+    is_heavy = F.col("anchor").isin(heavy)
+    singles = waiting.filter(is_heavy).mapInArrow(_single_windows, _PART_DDL)
+    share = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SHARES))
+    dealt = singles.repartition("deal", share).sortWithinPartitions("deal")
+    reduced = stored(dealt.mapInArrow(lambda rows: _grouped(rows, True), _PART_DDL), "heavy-windows")
+    left = waiting.filter(~is_heavy).unionByName(reduced.filter("windows IS NOT NULL"))
+    return left, reduced.filter("windows IS NULL")
+
+
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """doc_id, first and last: stretches of windows that also start in a smaller document.
+    """doc_id, mark (of its text), first and last: stretches of windows that also start in a smaller document.
 
     Stretches of a document may touch or overlap. ``last`` is the start of the last window.
     """
@@ -214,22 +297,24 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCH
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stretches known to repeat have windows NULL; the others wait for their group."""
-        for ids, lengths, flat in blocks_of(batches):
+        for ids, texts, lengths, flat in blocks_of(batches):
             block = Block(ids, lengths, flat, window, anchor)
             at = np.flatnonzero(estimated_repeated(block.anchor, sketch.value, bits))
             if not len(at):
                 continue
             document, place = block.document[at], block.place[at]
-            number, anchors, windows = ids[document], block.anchor[at], block.window[at]
+            number, mark, anchors, windows = ids[document], texts[document], block.anchor[at], block.window[at]
             later = number > _lowest_by((windows, anchors), number)
             starts, ends = _runs(document[later], place[later])
             firsts, lasts = place[later][starts], place[later][ends - 1]
             if len(starts):
+                n = len(starts)
                 yield batch(
-                    _PART, [0] * len(starts), number[later][starts], firsts, lasts, pa.nulls(len(starts), pa.binary())
-                )
-            document, place, number, anchors, windows, spot = (
-                x[~later] for x in (document, place, number, anchors, windows, block.at[at])
+                    _PART, [0] * n, [0] * n, number[later][starts], mark[later][starts], firsts, lasts,
+                    pa.nulls(n, pa.binary()),
+                )
+            document, place, number, mark, anchors, windows, spot = (
+                x[~later] for x in (document, place, number, mark, anchors, windows, block.at[at])
             )
             if not len(place):
                 continue
@@ -240,47 +325,20 @@ def repeated_stretches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCH
             yield batch(
                 _PART,
                 anchors[starts].view(np.int64),
+                anchors[starts].view(np.int64),
                 number[starts],
+                mark[starts],
                 place[starts],
                 place[ends - 1],
                 [data[8 * a : 8 * b] for a, b in zip(starts.tolist(), ends.tolist())],
             )
 
-    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of whole anchors, sorted by anchor, a bounded number of anchors at a time."""
-        held: list[pa.RecordBatch] = []
-        for rows in batches:
-            anchors = rows.column(0).to_numpy()
-            cut = int(np.searchsorted(anchors, anchors[-1])) if len(anchors) else 0
-            if cut:  # the last anchor may go on in the next batch
-                yield from later_windows([*held, rows.slice(0, cut)])
-                held = [rows.slice(cut)]
-            else:
-                held.append(rows)
-        if held:
-            yield from later_windows(held)
-
-    def later_windows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(parts).combine_chunks()
-        if not rows.num_rows:
-            return
-        anchors, numbers, firsts, lasts = (rows.column(i).to_numpy() for i in range(4))
-        windows = np.frombuffer(b"".join(rows.column(4).to_pylist()), "<u8")
-        lengths = lasts - firsts + 1
-        row = np.repeat(np.arange(len(anchors)), lengths)
-        place = firsts[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        later = numbers[row] > _lowest_by((windows, anchors[row]), numbers[row])
-        if not later.any():
-            return
-        row, place = row[later], place[later]
-        starts, ends = _runs(row, place)
-        n = len(starts)
-        yield batch(_PART, [0] * n, numbers[row][starts], place[starts], place[ends - 1], pa.nulls(n, pa.binary()))
-
     found = stored(_texts(docs).mapInArrow(candidates, _PART_DDL), "repeated-windows")
     known = found.filter("windows IS NULL")
-    waiting = found.filter("windows IS NOT NULL").repartition("anchor").sortWithinPartitions("anchor")
-    return known.unionByName(waiting.mapInArrow(grouped, _PART_DDL)).select("doc_id", "first", "last")
+    waiting, known_by_window = _by_window(found.filter("windows IS NOT NULL"))
+    dealt = waiting.repartition("deal").sortWithinPartitions("deal")
+    every = known.unionByName(known_by_window).unionByName(dealt.mapInArrow(_grouped, _PART_DDL))
+    return every.select("doc_id", "mark", "first", "last")
 
 
 KEPT = pa.schema(
@@ -294,14 +352,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     Words are runs of characters other than ASCII white space. Returns doc_id, n_words,
     n_removed and the digest of the kept words joined by blanks; ``with_text`` adds them as
-    ``kept``. One row per input row. Rows that repeat a doc_id are each judged, and never
-    against each other, since neither is smaller. A row with a NULL doc_id has no order:
+    ``kept``. One row per input row. Rows that share a doc_id, with one text or several, are
+    each judged, and never against each other, since neither is smaller. A row with a NULL doc_id has no order:
     it is kept whole and removes nothing. NULL, empty and short texts lose nothing. Other
     columns are ignored.
     """
     stretches = (
         repeated_stretches(docs, window, anchor)
-        .groupBy("doc_id")
+        .groupBy("doc_id", "mark")
         .agg(F.collect_set(F.struct("first", "last")).alias("stretches"))
     )
     schema = KEPT if with_text else pa.schema(list(KEPT)[:-1])
@@ -324,6 +382,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                 columns = [rows.column(0), n_words, n_removed, [sha256_hex(t) for t in texts]]
                 yield batch(schema, *columns, *([[t.decode() for t in texts]] if with_text else []))
 
-    texts = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text")
+    texts = docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").withColumn("mark", F.xxhash64("text"))
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
-    return texts.join(stretches, "doc_id", "left").mapInArrow(keep, ddl)
+    return texts.join(stretches, ["doc_id", "mark"], "left").select("doc_id", "text", "stretches").mapInArrow(keep, ddl)

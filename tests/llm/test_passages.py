@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import CASES, PASSAGE, documents, words_of
+from pyspark.sql import functions as F
+from saldomart.llm import decontamination
 from saldomart.llm import substring_dedup as dedup
 from saldomart.llm.decontamination import build_automaton, character_spans, contaminated, scan, uncontaminated
 from saldomart.llm.hashing import WordHashes, run_hashes
@@ -54,7 +56,7 @@ def _contamination(docs, items):
             for i in range(len(words) - n + 1):
                 if tuple(words[i : i + n]) in windows:
                     hit.update(range(i, i + n))
-                    ids |= windows[tuple(words[i : i + n])]
+                    ids |= windows[tuple(words[i : i + n])] - {None}
         found.append((doc_id, len(words), len(hit), len(ids), _sha(",".join(sorted(map(str, ids)))), bool(hit)))
     return sorted(found, key=str)
 
@@ -66,16 +68,16 @@ def test_contamination_equals_brute_force(spark):
     assert sorted(map(tuple, rows), key=str) == expected
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 22, 300])
-def test_contamination_of_odd_documents(spark, max_bytes):
-    items = [(1, PASSAGE), (2, PASSAGE), (3, None), (4, "  "), (5, "中文 AND"), (None, "same words"), (6, "a row"), (6, "a row")]
+@pytest.mark.parametrize("part_bytes", [1 << 22, 100])
+def test_contamination_of_odd_documents(spark, part_bytes):
+    items = [(1, PASSAGE), (2, PASSAGE), (3, None), (4, "  "), (5, "中文 AND"), (None, "same words"), (None, "done"), (6, "a row"), (6, "a row")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    found = contaminated(documents(spark), benchmark, max_bytes)
-    named = [(i, t) for i, t in items if i is not None]
-    expected = _contamination([(i, t) for i, t, _ in CASES], named)
+    found = contaminated(documents(spark), benchmark, part_bytes)
+    expected = _contamination([(i, t) for i, t, _ in CASES], items)
+    assert any(row[2] and not row[3] for row in expected)  # a passage of an item without an id
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert sorted(map(tuple, found.select(columns).collect()), key=str) == expected
-    clean = uncontaminated(documents(spark), benchmark, max_bytes)
+    clean = uncontaminated(documents(spark).withColumn("row_no", F.lit(1)), benchmark, part_bytes).drop("row_no")
     assert clean.columns == documents(spark).columns
     assert clean.count() == sum(not row[-1] for row in expected)
     none = benchmark.limit(0)
@@ -83,6 +85,39 @@ def test_contamination_of_odd_documents(spark, max_bytes):
     assert contaminated(documents(spark, []), benchmark).count() == 0
 
 
+def test_long_items_are_taken_in_pieces(spark):
+    """Every window of an item is in a piece, and no other is."""
+    draw = random.Random(6)
+    items = [(n, " ".join(f"W{draw.randrange(400)}" for _ in range(n))) for n in (1, 9, 10, 11, 59, 60, 61, 200)]
+    benchmark = spark.createDataFrame([*items, items[3]], "item_id long, text string")
+    windows = {}
+    for row in decontamination.item_pieces(benchmark, 20).collect():
+        words = bytes(row.piece).decode().split()
+        assert len(words) <= 29
+        for i in range(max(1, len(words) - 9)):
+            windows.setdefault(row.item_id, set()).add(tuple(words[i : i + 10]))
+    for n, text in items:
+        words = text.lower().split()
+        assert windows[n] == {tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9))}
+
+
+def test_a_benchmark_of_two_megabytes_is_one_automaton_built_once(spark, monkeypatch):
+    draw = random.Random(4)
+    items = [(i, " ".join(f"w{draw.randrange(90_000)}" for _ in range(3000))) for i in range(100)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    (part,) = decontamination.benchmark_parts(benchmark)
+    assert sum(len(t) for _, t in items) > 1_700_000
+    built = []
+    monkeypatch.setattr(decontamination, "build_automaton", lambda found: built.append(len(found)) or build_automaton(found))
+    first = decontamination.windows_of(part)
+    for i, text in items[::10]:
+        words = text.split()
+        n, matches = scan(f"x {' '.join(words[50:60])} y".encode(), decontamination.windows_of(part))
+        assert (n, matches) == (12, [(1, 11, (i,))])
+    assert built == [100] and decontamination.windows_of(part) is first
+    assert len(decontamination.benchmark_parts(benchmark, 500_000)) in (4, 5)
+
+
 def test_offsets_lead_back_to_the_text():
     text = "Ünder: the  RED; fox, é jumps"
     n, matches = scan(text.encode(), build_automaton([(9, b"the red fox")]))
@@ -123,6 +158,23 @@ def test_repeats_of_odd_documents(spark, window, anchor):
     assert sorted(map(tuple, rows), key=str) == _deduplicated([(i, t) for i, t, _ in CASES + few], window)
 
 
+@pytest.mark.parametrize("heavy", [256, 0])
+def test_texts_of_one_id_and_heavy_anchors(spark, monkeypatch, heavy):
+    """Rows of one id with several texts, and a group of near copies of which every anchor counts as heavy."""
+    monkeypatch.setattr(dedup, "HEAVY_ROWS", heavy)
+    draw = random.Random(heavy)
+    words = [f"w{i}" for i in range(120)]
+    near = []
+    for i in range(60):
+        copy = list(words)
+        copy[draw.randrange(120)] = f"x{i % 7}"
+        near.append((200 + i % 50, " ".join(copy[draw.randrange(9) :]), "en"))
+    rows = [*CASES, *near, (2, "short"), (2, f"{PASSAGE} and more {PASSAGE}"), (500, PASSAGE), (500, "tiny"), (500, None)]
+    rows = [(i, t, "en") for i, t, *_ in rows]
+    got = dedup.remove_repeats(documents(spark, rows).repartition(7), 50, 25).collect()
+    assert sorted(map(tuple, got), key=str) == _deduplicated([(i, t) for i, t, _ in rows], 50)
+
+
 def test_repeats_survive_a_full_sketch(spark, monkeypatch):
     """Where every cell is set nothing is filtered, and nothing is lost."""
     monkeypatch.setattr(dedup, "sketch_bits", lambda docs: 4)
@@ -132,9 +184,11 @@ def test_repeats_survive_a_full_sketch(spark, monkeypatch):
 
 
 def test_blocks_hold_whole_documents():
-    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, None]), pa.array(["a b c", None, "d", "e f"])], ["doc_id", "text"])
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, None]), pa.array(["a b c", None, "d", "e f"]), pa.array([7, 8, 9, 0])], ["doc_id", "text", "mark"])
     blocks = list(dedup.blocks_of(iter([rows.slice(0, 3)]), 2))
-    assert [(ids.tolist(), lengths.tolist(), len(flat)) for ids, lengths, flat in blocks] == [([1], [3], 3), ([2, 3], [0, 1], 1)]
+    assert [(ids.tolist(), marks.tolist(), lengths.tolist(), len(flat)) for ids, marks, lengths, flat in blocks] == [
+        ([1], [7], [3], 3), ([2, 3], [8, 9], [0, 1], 1)
+    ]
 
 
 def test_anchors_are_the_lowest_runs():
