@@ -5,10 +5,15 @@ the rank of every adjacent pair by binary search over the sorted pair keys, take
 lowest rank of each word, and merges that pair wherever it stands in the word. Rounds end
 when no word has a pair that can be merged. A merge whose parts come from later merges
 would make this differ from merging one pair at a time; ``Vocabulary`` refuses such files.
+
+A long word would take a round for nearly every rank, each over all its symbols. Its places
+are kept by the rank of their pair instead; the lowest rank is merged at all its places,
+and only pairs beside a merge are looked up again.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -26,6 +31,7 @@ from saldomart.llm.common import batch, sha256_hex, texts_of
 MAX_VOCABULARY = 1 << 20  # entries; what is sent to the executors is bounded by it
 CACHED_WORDS = 250_000  # distinct pieces that a worker remembers; beyond it starts anew
 _ENCODE_AT_ONCE = 20_000
+LONG_WORD = 1_000  # bytes
 
 # Fixed values of the vocabulary's format: byte characters, word pieces, end of a word.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -125,6 +131,59 @@ def merge_rounds(symbols: np.ndarray, word: np.ndarray, vocabulary: Vocabulary)
     return words[order], result[order]
 
 
+def _first_of_runs(places: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Of places that follow each other every second one, from the left: in a a a the first pair is merged."""
+    new = np.r_[True, following[places[:-1]] != places[1:]]
+    run = np.cumsum(new) - 1
+    return places[(np.arange(len(places)) - np.flatnonzero(new)[run]) % 2 == 0]
+
+
+def merge_long(symbols: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The symbols of one word after all merges, by rank and place."""
+    size, keys, n = len(vocabulary.tokens), vocabulary.pair_keys, len(symbols)
+    symbols = np.r_[symbols, -1]  # the end has no pair
+    following, previous = np.arange(1, n + 2), np.arange(-1, n)
+    following[n] = n
+    rank = np.full(n + 1, NO_RANK)
+    waiting: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def look_up(places: np.ndarray) -> None:
+        """Find the rank of the pair at each place, and let the places wait for it."""
+        right = symbols[following[places]]
+        key = symbols[places] * size + right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        rank[places] = np.where((right >= 0) & (keys[at] == key), vocabulary.pair_ranks[at], NO_RANK)
+        places = places[rank[places] != NO_RANK]
+        order = np.argsort(rank[places], kind="stable")
+        places = places[order]
+        found, firsts = np.unique(rank[places], return_index=True)
+        for r, part in zip(found.tolist(), np.split(places, firsts[1:])):
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(ranks, r)
+            waiting[r].append(part)
+
+    if len(keys):
+        look_up(np.arange(n))
+    while ranks:
+        lowest = heapq.heappop(ranks)
+        places = np.unique(np.concatenate(waiting.pop(lowest)))
+        places = places[rank[places] == lowest]  # others were merged or changed since
+        if not len(places):
+            continue
+        places = _first_of_runs(places, following)
+        right = following[places]
+        symbols[places] = vocabulary.pair_made[np.searchsorted(keys, symbols[places[:1]] * size + symbols[right[:1]])]
+        rank[right] = NO_RANK
+        following[places] = following[right]
+        previous[following[places]] = places
+        symbols[right] = -2  # gone
+        before = previous[places]
+        look_up(np.unique(np.r_[before[before >= 0], places]))
+    return symbols[:-1][symbols[:-1] >= 0]
+
+
 def words_of(piece: str) -> list[bytes]:
     """The vocabulary's words in a piece of text: composed, lower case, without white space."""
     if piece.isascii():
@@ -142,7 +201,15 @@ def encode_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray
     symbols = vocabulary.first[data]
     ends = np.cumsum(lengths) - 1
     symbols[ends] = vocabulary.last[data[ends]]
-    word, ids = merge_rounds(symbols, np.repeat(np.arange(len(words)), lengths), vocabulary)
+    number = np.repeat(np.arange(len(words)), lengths)
+    long = np.flatnonzero(lengths > LONG_WORD)
+    short = np.repeat(lengths <= LONG_WORD, lengths)
+    word, ids = merge_rounds(symbols[short], number[short], vocabulary)
+    if len(long):
+        merged = [merge_long(symbols[ends[i] + 1 - lengths[i] : ends[i] + 1], vocabulary) for i in long.tolist()]
+        word = np.concatenate([word, np.repeat(long, [len(m) for m in merged])])
+        order = np.argsort(word, kind="stable")
+        word, ids = word[order], np.concatenate([ids, *merged])[order]
     return ids.astype("<u4"), np.searchsorted(word, np.arange(len(words) + 1))
 
 

@@ -164,19 +164,32 @@ def links_of(tokens: list[Token]) -> list[tuple[int, int, int]]:
     return links
 
 
+def touching(tokens: list[Token], spans: list[tuple[int, int, int]]) -> Iterator[list[int]]:
+    """For each token the numbers of the spans (start, kind, end), sorted by start, that share a character with it."""
+    near: list[int] = []
+    following = 0
+    for t in tokens:
+        while following < len(spans) and spans[following][0] < t.end:
+            near.append(following)
+            following += 1
+        near = [n for n in near if spans[n][2] > t.start]  # tokens come in order: what ended is behind them all
+        yield near
+
+
 def token_labels(tokens: list[Token], spans: list[Span], failed: list[tuple[int, int]]) -> list[int]:
     """0 outside, 1 + kind inside a base span, -1 unknown: part of a failed match of several tokens."""
+    matches = sorted((a, 0, b) for a, b in failed)
+    of_failed = [list(near) for near in touching(tokens, matches)]
+    n_tokens = [0] * len(matches)
+    for near in of_failed:
+        for n in near:
+            n_tokens[n] += 1
     labels = []
-    for i, t in enumerate(tokens):
-        inside = next((k for a, k, b in spans if a < t.end and t.start < b), None)
-        label = 0 if inside is None else 1 + inside
-        if inside is None:
-            for a, b in failed:
-                if a < t.end and t.start < b:
-                    others = (o for o in tokens[max(0, i - 8) : i + 9] if o is not t)
-                    if any(a < o.end and o.start < b for o in others):
-                        label = -1
-        labels.append(label)
+    for inside, near in zip(touching(tokens, spans), of_failed):
+        if inside:
+            labels.append(1 + spans[inside[0]][1])
+        else:
+            labels.append(-1 if any(n_tokens[n] > 1 for n in near) else 0)
     return labels
 
 
@@ -282,8 +295,9 @@ def _parts_with_form(kind: int, text: str, run: list[Token]) -> tuple[list[Span]
 
 def added_spans(text: str, tokens: list[Token], labels: np.ndarray, base: list[Span]) -> list[Span]:
     """Spans of labelled tokens that no base span touches."""
-    taken = {t.text for t in tokens if any(a <= t.start and t.end <= b for a, _, b in base)}
-    free = [not any(a < t.end and t.start < b for a, _, b in base) for t in tokens]
+    near = [list(numbers) for numbers in touching(tokens, base)]
+    taken = {t.text for t, numbers in zip(tokens, near) if any(base[n][0] <= t.start and t.end <= base[n][2] for n in numbers)}
+    free = [not numbers for numbers in near]
     added: list[Span] = []
     i = 0
     while i < len(tokens):

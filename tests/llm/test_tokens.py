@@ -3,9 +3,11 @@
 import hashlib
 import random
 import struct
+import time
 
 import pytest
 from cases import CASES, documents
+from saldomart.llm import bpe
 from saldomart.llm.bpe import Encoder, Vocabulary, bpe_encode, encode_words
 from saldomart.llm.queries import BYTE_TOKENIZER, TOKEN_LIMIT, WORD_TOKENIZER
 from saldomart.llm.token_counts import Counter, Merges, count_symbols, count_tokens
@@ -45,6 +47,25 @@ def test_words_in_a_batch_do_not_touch_each_other():
     assert together == [encode_words([w], vocabulary)[0].tolist() for w in words]
 
 
+@pytest.mark.parametrize("longest", [0, 2, 5])
+def test_words_merged_by_rank_equal_the_library(library, monkeypatch, longest):
+    monkeypatch.setattr(bpe, "LONG_WORD", longest)
+    texts = [*_texts(1500), "a" * 500, "ab" * 300, "aab" * 200 + "!" * 90, "the" * 150]
+    encoder = Encoder(Vocabulary.load(WORD_TOKENIZER))
+    expected = library[0].encode_batch(texts, add_special_tokens=False)
+    for text, (ids, _), found in zip(texts, encoder.encode_batch(texts), expected):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == found.ids, text
+
+
+def test_a_very_long_word(library):
+    draw = random.Random(5)
+    text = "".join(draw.choice("etaoinshrdlu") for _ in range(160_000))
+    started = time.monotonic()
+    ((ids, _),) = Encoder(Vocabulary.load(WORD_TOKENIZER)).encode_batch([text])
+    assert time.monotonic() - started < 20  # a round for each rank took a minute
+    assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library[0].encode(text, add_special_tokens=False).ids
+
+
 def test_counts_equal_the_library(library):
     texts = _texts()
     counter = Counter(Merges(BYTE_TOKENIZER))
