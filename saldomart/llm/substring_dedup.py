@@ -15,8 +15,9 @@ smallest document goes on; all others are already known to repeat it. So a passa
 stands in very many documents gives a row a block, not a row a document.
 
 An anchor may still be shared by very many rows, in a group of near copies, say. Rows of
-such an anchor are dealt by window instead, after those of equal windows were reduced to
-the smallest document within a share of the documents.
+such an anchor are dealt by window instead, one row for a window and document with all its
+places, after those of equal windows were reduced to the smallest document within a share
+of the documents.
 """
 
 from __future__ import annotations
@@ -230,15 +231,33 @@ def _grouped(batches: Iterator[pa.RecordBatch], survivors: bool = False) -> Iter
         yield from _later_windows(held, survivors)
 
 
+def _spread(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and hash of every window of some rows.
+
+    A row holds consecutive windows from ``first`` to ``last``, or with ``first`` = -1 one
+    window and then its places.
+    """
+    firsts, lasts = rows.column(4).to_numpy(), rows.column(5).to_numpy()
+    data = np.frombuffer(b"".join(rows.column(6).to_pylist()), "<u8")
+    one = firsts < 0  # ``last`` tells how many places there are
+    lengths = np.where(one, lasts, lasts - firsts + 1)
+    held = lengths + one
+    begins = np.cumsum(held) - held
+    row = np.repeat(np.arange(len(firsts)), lengths)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    at = begins[row] + np.where(one[row], 0, within)
+    place = firsts[row] + within
+    packed = one[row]
+    place[packed] = data[begins[row[packed]] + 1 + within[packed]].astype(np.int64)
+    return row, place, data[at]
+
+
 def _later_windows(parts: list[pa.RecordBatch], survivors: bool) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(parts).combine_chunks()
     if not rows.num_rows:
         return
-    _, anchors, numbers, marks, firsts, lasts = (rows.column(i).to_numpy() for i in range(6))
-    windows = np.frombuffer(b"".join(rows.column(6).to_pylist()), "<u8")
-    lengths = lasts - firsts + 1
-    row = np.repeat(np.arange(len(anchors)), lengths)
-    place = firsts[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    anchors, numbers, marks = (rows.column(i).to_numpy() for i in (1, 2, 3))
+    row, place, windows = _spread(rows)
     later = numbers[row] > _lowest_by((windows, anchors[row]), numbers[row])
     if later.any():
         found, spot = row[later], place[later]
@@ -248,20 +267,34 @@ def _later_windows(parts: list[pa.RecordBatch], survivors: bool) -> Iterator[pa.
             _PART, [0] * n, [0] * n, numbers[of], marks[of], spot[starts], spot[ends - 1], pa.nulls(n, pa.binary())
         )
     if survivors:  # rows of one window each
-        yield from rows.filter(pa.array(~later)).to_batches()
+        stays = np.ones(rows.num_rows, bool)
+        stays[row[later]] = False
+        yield from rows.filter(pa.array(stays)).to_batches()
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each window, dealt by it."""
+    """A row for each window of a document, dealt by the window, with all its places."""
     for rows in batches:
-        _, anchors, numbers, marks, firsts, lasts = (rows.column(i).to_numpy() for i in range(6))
-        data = b"".join(rows.column(6).to_pylist())
-        lengths = lasts - firsts + 1
-        row = np.repeat(np.arange(len(anchors)), lengths)
-        place = firsts[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        each = [data[i : i + 8] for i in range(0, len(data), 8)]
+        if not rows.num_rows:
+            continue
+        row, place, windows = _spread(rows)
+        anchors, numbers, marks = (rows.column(i).to_numpy()[row] for i in (1, 2, 3))
+        order = np.lexsort((place, marks, numbers, anchors, windows))
+        keys = [k[order] for k in (windows, anchors, numbers, marks)]
+        starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        ends = np.r_[starts[1:], len(order)]
+        windows, anchors, numbers, marks = (k[starts] for k in keys)
+        data, spots = windows.astype("<u8").tobytes(), place[order].astype("<i8").tobytes()
+        bounds = zip(range(0, len(data), 8), (8 * starts).tolist(), (8 * ends).tolist())
         yield batch(
-            _PART, np.frombuffer(data, "<i8"), anchors[row], numbers[row], marks[row], place, place, each
+            _PART,
+            windows.view(np.int64),
+            anchors,
+            numbers,
+            marks,
+            [-1] * len(starts),
+            ends - starts,
+            [data[i : i + 8] + spots[a:b] for i, a, b in bounds],
         )
 
 

@@ -175,6 +175,8 @@ def test_texts_of_one_id_and_heavy_anchors(spark, monkeypatch, heavy):
         copy = list(words)
         copy[draw.randrange(120)] = f"x{i % 7}"
         near.append((200 + i % 50, " ".join(copy[draw.randrange(9) :]), "en"))
+    line = "one line of words that a document says again "
+    near += [(400 + i, line * (9 + i), "en") for i in range(9)]
     rows = [*CASES, *near, (2, "short"), (2, f"{PASSAGE} and more {PASSAGE}"), (500, PASSAGE), (500, "tiny"), (500, None)]
     rows = [(i, t, "en") for i, t, *_ in rows]
     got = dedup.remove_repeats(documents(spark, rows).repartition(7), 50, 25).collect()
