@@ -214,11 +214,11 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Mac
         .limit(sample)
     )
     chosen = _columns(docs).join(F.broadcast(labelled), "doc_id")  # at most ``sample`` rows
-    rows = chosen.mapInArrow(_sparse_rows, "quality long, doc_id long, index binary, value binary").collect()
-    once = {r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], bytes(r["index"]), bytes(r["value"])))}
-    rows = list(once.values())
-    index = [np.frombuffer(r["index"], np.int32) for r in rows]
-    value = [np.frombuffer(r["value"], np.float16).astype(np.float32) for r in rows]
+    sparse = chosen.mapInArrow(_sparse_rows, "quality long, doc_id long, index binary, value binary")
+    once = sparse.groupBy("doc_id").agg(F.max(F.struct("index", "value")).alias("row"), F.min("quality").alias("quality"))
+    rows = once.orderBy("doc_id").collect()  # a row for each label
+    index = [np.frombuffer(r["row"]["index"], np.int32) for r in rows]
+    value = [np.frombuffer(r["row"]["value"], np.float16).astype(np.float32) for r in rows]
     starts = np.r_[0, np.cumsum([len(i) for i in index], dtype=np.int64)]
     empty = np.zeros(0, np.int32)
     f = Features(starts, np.concatenate([empty, *index]), np.concatenate([empty.astype(np.float32), *value]))

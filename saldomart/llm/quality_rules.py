@@ -15,7 +15,7 @@ Only DataFrame functions run here: no Python on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -179,9 +179,9 @@ def choose_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR
     )
 
 
-def _judged(docs: DataFrame, labels: DataFrame, risk: float, error: float) -> DataFrame:
-    """Rows of ``docs`` as a struct ``row``, with their counts and verdicts."""
-    counted = stored(docs.select(F.struct("*").alias("row"), text_stats(F.col("text")).alias("stats")), "quality-stats")
+def _judged(docs: DataFrame, labels: DataFrame, risk: float, error: float, keep: Sequence[str] = ("*",)) -> DataFrame:
+    """Rows of ``docs``, or the columns to ``keep``, as a struct ``row``, with their counts and verdicts."""
+    counted = stored(docs.select(F.struct(*keep).alias("row"), text_stats(F.col("text")).alias("stats")), "quality-stats")
     levels = [level.alias(rule) for rule, level in rule_levels(F.col("stats")).items()]
     stratum = F.coalesce(F.col("row.lang"), F.lit(""))
     label = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
@@ -212,7 +212,7 @@ def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
     Counts are worked out once and stored in the shared folder; the cutoffs are a row per
     stratum, joined by whatever join their stored size allows.
     """
-    found = _judged(docs.select("doc_id", "text", "lang"), labels, risk, error)
+    found = _judged(docs, labels, risk, error, ("doc_id", "lang"))
     return found.select("row.doc_id", "stats", "base_failed", "kept")
 
 

@@ -144,10 +144,10 @@ def _parents(nodes: DataFrame, fanout: int) -> DataFrame:
 
 
 def merkle_levels(leaves: DataFrame, depth: int, fanout: int = FANOUT) -> list[DataFrame]:
-    """Nodes by level, leaves first; the last has the roots."""
+    """Nodes by level, leaves first; the last has the roots. Each level is stored, the next is made from it."""
     levels = [leaves.select("archive", "ordinal", "hash")]
     for _ in range(depth):
-        levels.append(_parents(levels[-1], fanout))
+        levels.append(stored(_parents(levels[-1], fanout), "fixity-level"))
     return levels
 
 
@@ -188,7 +188,7 @@ def fixity_audit(master: DataFrame, replica: DataFrame, fanout: int = FANOUT) ->
     absent). An archive that one side lacks is missing or extra as a whole. Records without
     a readable id (NULL) match each other in their order. Empty inputs have no rows.
 
-    Leaves are stored once; a level is a grouping of at most ``fanout`` rows a node.
+    Leaves and levels are stored once; a level is a grouping of at most ``fanout`` rows a node.
     """
     master, replica = stored(master, "fixity-master"), stored(replica, "fixity-replica")
     last = master.select("ordinal").union(replica.select("ordinal")).agg(F.max("ordinal")).first()[0] or 0
