@@ -349,6 +349,25 @@ def _rates_by_month(rates_by_day: DataFrame) -> dict[str, str]:
     return {r["m"]: f"{r['n']}:{r['s']}" for r in found.collect()}
 
 
+_MONTHS_AT_ONCE = 12
+
+
+def _accounts_by_month(accounts: DataFrame, months: Sequence[str]) -> dict[str, str]:
+    """For each month a digest of the accounts valid in it, their currency, kind and valid days, in any order."""
+    found: dict[str, str] = {}
+    for start in range(0, len(months), _MONTHS_AT_ONCE):
+        part, sums = months[start : start + _MONTHS_AT_ONCE], []
+        for m in part:
+            first, last = F.lit(_first_day(m)), F.lit(_last_day(_first_day(m)))
+            days = F.greatest("valid_from", first), F.least("valid_to", last)
+            each = F.xxhash64("account_id", "currency_id", "characteristic", *days).cast("decimal(38,0)")
+            valid = days[0] <= days[1]
+            sums += [F.count_if(valid).alias(f"n{m}"), F.sum(F.when(valid, each)).alias(f"s{m}")]
+        row = accounts.agg(*sums).first()
+        found |= {m: f"{row[f'n{m}']}:{row[f's{m}']}" for m in part}
+    return found
+
+
 def _loaded_openings(opening: DataFrame, days: Sequence[date]) -> dict[date, str]:
     """For each day a digest of the opening balances loaded for it, in any order."""
     each = F.xxhash64("account_id", "balance").cast("decimal(38,0)")
@@ -386,10 +405,12 @@ def _balance_months(
     months = warehouse.prepare_periods(
         balance(), "dm", BALANCE_MART, _month("on_date"), names, sort_by=_BY_DAY
     )
-    rates = _rates_by_month(rates_by_day)
+    rates, accounts = _rates_by_month(rates_by_day), _accounts_by_month(ds["accounts"], names)
     openings = [source, *[f"{name}@{months.versions[name]}" for name in names]]
     facts = {
-        name: {"turnover": turnovers.get(name), "opening": opened, "rates": rates.get(name)}
+        name: {
+            "turnover": turnovers.get(name), "opening": opened, "rates": rates.get(name), "accounts": accounts[name]
+        }
         for name, opened in zip(names, openings)
     }
     stored = _prepared_rows(warehouse, months, BALANCE_MART, names, schemas.ACCOUNT_BALANCE)
@@ -506,9 +527,9 @@ class StaleMonths(LookupError):
 def stale_months(warehouse: Warehouse) -> dict[str, str]:
     """Calculated months, and why each no longer agrees with what it was calculated from.
 
-    Versions of postings and turnovers, the balances a month opened with and its rates are
-    compared with what was noted when it was calculated. A month behind a stale one is stale.
-    Changed accounts are not noticed. Months that no calculation published are not listed.
+    Versions of postings and turnovers, the balances a month opened with, its rates and the
+    accounts valid in it are compared with what was noted when it was calculated. A month
+    behind a stale one is stale. Months that no calculation published are not listed.
     """
     turnovers, balances = (warehouse.facts("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
     of_turnover, of_balance = (warehouse.stamps("dm", mart) for mart in (TURNOVER_MART, BALANCE_MART))
@@ -523,6 +544,7 @@ def stale_months(warehouse: Warehouse) -> dict[str, str]:
     digests = _loaded_openings(openings, sorted(loaded)) if loaded else {}
     first, last = _first_day(months[0]), _last_day(_first_day(months[-1]))
     rates = _rates_by_month(day_rates(ds["currencies"], ds["exchange_rates"], first, last))
+    accounts = _accounts_by_month(ds["accounts"], months)
     stale: dict[str, str] = {}
     for m in months:
         noted, earlier = balances[m], f"{before[m]:%Y-%m}"
@@ -533,6 +555,8 @@ def stale_months(warehouse: Warehouse) -> dict[str, str]:
             stale[m] = "its turnovers were calculated again"
         elif noted["rates"] != rates.get(m):
             stale[m] = "its rates changed"
+        elif noted["accounts"] != accounts[m]:
+            stale[m] = "its accounts changed"
         elif opened != (digests.get(before[m]) if opened.startswith("loaded ") else of_balance.get(earlier)):
             stale[m] = "its opening balances changed"
         elif opened.startswith("loaded ") and earlier in of_balance:

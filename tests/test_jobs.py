@@ -417,6 +417,23 @@ def test_changed_rates_make_their_months_stale(spark, warehouse):
         jobs.build_form_101(warehouse, *FEB)
 
 
+def test_changed_accounts_make_their_months_stale(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    changed = [(21, USD, "P", "30110", d(10), d(24)) if a[0] == 21 else a for a in ACCOUNTS]
+    later = [*ACCOUNTS, (40, USD, "A", "30110", d(1, 3), None)]
+    other_ledger = [(*a[:3], "99999", *a[4:]) for a in ACCOUNTS]
+    for accounts, expected in (
+        (later, {}), (other_ledger, {}),
+        (changed, {"2018-01": "its accounts changed", "2018-02": "2018-01 is stale"}),
+    ):
+        warehouse.publish(table(spark, "accounts", accounts), "ds", "accounts")
+        assert jobs.stale_months(warehouse) == expected
+    jobs.calculate_period(warehouse, *JAN)
+    assert jobs.stale_months(warehouse) == {}
+    assert _balances(warehouse)[21, d(24)] == _balances(warehouse)[21, d(20)]
+
+
 def test_a_load_reads_only_months_that_hold_its_keys(spark, warehouse, tmp_path):
     export_csv(table(spark, "postings"), str(tmp_path / "one"))
     jobs.load_csv(warehouse, "postings", str(tmp_path / "one"))
