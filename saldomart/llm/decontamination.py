@@ -1,10 +1,11 @@
 """Benchmark passages in documents, found by one Aho-Corasick automaton.
 
-Questions and answers are normalised to lower-case words, and each distinct word becomes one
-character. The windows of all items, strings of ten such characters, go into one automaton,
-and so does a document: words of no item become a character of no window. A text is scanned
-once; matches overlap freely. A match is a range of words; words keep their place in the
-original text, so ranges map back to offsets.
+Questions and answers are normalised to lower-case words, and each distinct word becomes a
+pair of characters, so that no node of the automaton has very many children. The windows of
+all items, strings of ten such pairs, go into one automaton, and so does a document: words
+of no item become a pair of no window. A text is scanned once, but for stretches between such words
+that are shorter than any window; matches overlap freely. A match is a range of words; words
+keep their place in the original text, so ranges map back to offsets.
 
 An automaton is built once in a worker, which keeps it. A benchmark too large for one is cut
 into parts by a hash; each part has its automaton and its pass over the documents, and what
@@ -17,6 +18,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -42,38 +44,41 @@ _WORD = re.compile(rb"[^ ]+")
 
 @dataclass
 class Windows:
-    """The automaton of some items: windows as strings of a character for each word, with their owners."""
+    """The automaton of some items: windows as strings of a pair of characters for each word, with their owners."""
 
     automaton: ahocorasick.Automaton
-    characters: dict[bytes, str]  # by word
+    pairs: dict[bytes, str]  # by word
+    long_enough: re.Pattern  # stretches of known words that may hold a window
 
 
-_NO_WORD = "\x00"
+_NO_WORD = "\x00\x00"
+_LOW = 512  # second characters, which are none of the first
 
 
-def _character(number: int) -> str:
-    """One for each number from 0 on, but for the first and for surrogates."""
-    return chr(number + 1 if number < 0xD7FF else number + 0x801)
+def _pair(number: int) -> str:
+    first = number // _LOW + 1 + _LOW
+    return chr(first if first < 0xD800 else first + 0x800) + chr(number % _LOW + 1)
 
 
 def build_automaton(items: list[tuple[int | None, bytes]]) -> Windows:
     """Windows of items: ten consecutive words each, all words if they are fewer. An item may have no id."""
-    characters: dict[bytes, str] = {}
+    pairs: dict[bytes, str] = {}
     owners: dict[str, set[int]] = {}
     for item, text in items:
         words = text.translate(_NORMAL).split()
         for word in words:
-            if word not in characters:
-                characters[word] = _character(len(characters))
-        spelled = "".join([characters[word] for word in words])
+            if word not in pairs:
+                pairs[word] = _pair(len(pairs))
+        spelled = "".join([pairs[word] for word in words])
         for i in range(max(0, len(words) - WINDOW) + 1 if words else 0):
-            owners.setdefault(spelled[i : i + WINDOW], set()).update(() if item is None else (item,))
+            owners.setdefault(spelled[2 * i : 2 * (i + WINDOW)], set()).update(() if item is None else (item,))
     automaton = ahocorasick.Automaton()
     for window, ids in owners.items():
-        automaton.add_word(window, (len(window), tuple(sorted(ids))))
+        automaton.add_word(window, (len(window) // 2, tuple(sorted(ids))))
     if owners:
         automaton.make_automaton()
-    return Windows(automaton, characters)
+    least = min(map(len, owners), default=1)
+    return Windows(automaton, pairs, re.compile(f"[^\x00]{{{least},}}"))
 
 
 def scan(text: bytes, windows: Windows) -> tuple[int, list[tuple[int, int, tuple[int, ...]]]]:
@@ -81,9 +86,13 @@ def scan(text: bytes, windows: Windows) -> tuple[int, list[tuple[int, int, tuple
     words = text.translate(_NORMAL).split()
     if not len(windows.automaton):
         return len(words), []
-    known = windows.characters.get
-    spelled = "".join([known(word, _NO_WORD) for word in words])
-    return len(words), [(end + 1 - n, end + 1, items) for end, (n, items) in windows.automaton.iter(spelled)]
+    spelled = "".join(map(windows.pairs.get, words, repeat(_NO_WORD)))
+    matches = []
+    for stretch in windows.long_enough.finditer(spelled):
+        for last, (n, items) in windows.automaton.iter(stretch.group()):
+            end = (stretch.start() + last + 1) // 2
+            matches.append((end - n, end, items))
+    return len(words), matches
 
 
 def character_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
