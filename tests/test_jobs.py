@@ -249,6 +249,24 @@ def test_two_months(spark, warehouse):
     assert again == found
 
 
+def _stored_rows(spark, warehouse, months):
+    live = warehouse.live("dm", jobs.BALANCE_MART)
+    return sum(spark.read.parquet(live[m]).count() for m in months)
+
+
+def test_stored_balances_grow_with_movements_and_not_with_days(spark, warehouse):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    # January: 10 and 11 from the 1st and the 31st, 20 from the 1st, 15th and 16th, 21 from the 10th, 15th and 16th.
+    assert _stored_rows(spark, warehouse, ["2018-01"]) == 10
+    assert _stored_rows(spark, warehouse, ["2018-02"]) == 3  # 10, 11 and 20; what moves on the 1st moves all of February
+    assert ("account balance 2018-01 to 2018-02", 3 * 59 + 11, "SUCCESS") in logged(warehouse)
+    assert warehouse.read("dm", jobs.BALANCE_MART, ["2018-01", "2018-02"]).count() == 3 * 59 + 11
+    warehouse.publish(table(spark, "opening_balances", [(10, BEFORE, Decimal("500.00"))]), "ds", "opening_balances")
+    jobs.calculate_period(warehouse, *JAN)
+    assert _stored_rows(spark, warehouse, ["2018-02"]) == 3
+
+
 def test_marts_of_seven_years(spark, warehouse):
     """The whole history in one plan, against sums day by day."""
     first, last, before = date(2011, 1, 1), date(2017, 12, 31), date(2010, 12, 31)

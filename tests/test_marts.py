@@ -4,13 +4,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from bank import ACCOUNTS, BEFORE, EUR, HOME, JAN, OPENING, POSTINGS, d, table, tables
+from bank import ACCOUNTS, BEFORE, EUR, HOME, JAN, OPENING, POSTINGS, USD, d, table, tables
 from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.ledger import second_order_account
 from saldomart.operators.rates import day_rates
-from saldomart.plans.balance import account_balance, balance_spans
+from saldomart.plans.balance import account_balance, balance_spans, with_movements
 from saldomart.plans.form101 import form_101
 from saldomart.plans.turnover import account_movements, account_turnover, unbooked_movements
+from saldomart.sources.tables import every_day
 
 
 def rates_by_day(spark, first=BEFORE, last=JAN[1]):
@@ -190,3 +191,42 @@ def test_postings_are_read_once_for_both_marts(spark):
     assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
 
 
+def _runs_and_days(spark, currencies, rates, on_missing_rate):
+    by_day = day_rates(table(spark, "currencies", currencies), table(spark, "exchange_rates", rates), BEFORE, JAN[1])
+    given = table(spark, "opening_balances"), turnover(spark), table(spark, "accounts"), by_day, *JAN
+    return [account_balance(*given, on_missing_rate, with_opening_day=True, in_runs=r) for r in (True, False)]
+
+
+@pytest.mark.parametrize("currencies", [None, [(HOME, True), (HOME, True), (USD, False)]])
+def test_runs_are_the_days(spark, currencies):
+    """Also with days without a rate, a rate that comes back, and a currency that is listed twice."""
+    rates = [
+        (USD, d(2), d(9), Decimal("57.000000")),
+        (USD, d(12), d(15), Decimal("57.000000")),
+        (USD, d(16), d(17), Decimal("60.000000")),
+        (USD, d(18), d(30), Decimal("57.000000")),
+    ]
+    runs, days = _runs_and_days(spark, currencies, rates, "one")
+    shown = days.columns
+    assert sorted(every_day(runs, "on_date").select(shown).collect()) == sorted(days.collect())
+    assert runs.count() < days.count() / 3
+    assert runs.filter("trunc(_since, 'month') != trunc(on_date, 'month')").count() == 0
+
+
+def test_runs_without_a_rate(spark):
+    runs, _ = _runs_and_days(spark, None, [(USD, date(2017, 12, 1), d(9), Decimal("57.000000"))], "error")
+    with pytest.raises(Exception, match=f"no rate for currency {USD} on 2018-01-1"):
+        runs.collect()
+
+
+def test_days_meet_their_movements_after_the_join(spark):
+    runs, days = _runs_and_days(spark, None, None, "error")
+    moved = turnover(spark)
+    moved = moved.unionByName(moved.filter("account_id = 10"))  # two rows for a day give two
+    expected = days.join(moved, ["on_date", "account_id"], "left")
+    found = with_movements(runs, moved)
+    assert found.columns == expected.columns
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(found.collect(), key=key) == sorted(expected.collect(), key=key)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence(_since") < plan.index("Join")  # days are listed above the join

@@ -214,3 +214,24 @@ def test_periods_that_hold_keys(spark, warehouse):
     assert warehouse.periods_holding("ds", "t", wanted, ["id"]) == ["a", "c"]
     assert warehouse.periods_holding("ds", "t", wanted.filter("id > 99"), ["id"]) == []
     assert warehouse.periods_holding("ds", "none", wanted, ["id"]) == []
+
+
+def test_a_table_stored_in_runs_reads_as_days(spark, warehouse):
+    def runs(*rows):
+        days = [F.to_date(c).alias(c) for c in ("on_date", "_since")]
+        return spark.createDataFrame(rows, "id int, on_date string, _since string").select("id", *days)
+
+    month = F.date_format("on_date", "yyyy-MM")
+    january = runs((1, "2018-01-31", "2018-01-01"), (2, "2018-01-05", "2018-01-05"))
+    done = warehouse.publish_periods(january, "dm", "t", month, ["2018-03"], runs="on_date")
+    assert done.rows == 32
+    plain = runs((1, "2018-02-01", "2018-02-01")).select("id", "on_date")
+    warehouse.publish(plain, "dm", "t", "2018-02")
+    read = warehouse.read("dm", "t")
+    assert read.columns == ["id", "on_date"] and read.count() == read.distinct().count() == 33
+    assert warehouse.read("dm", "t", in_runs="on_date").count() == 3
+    warehouse.declare_keys("dm", "t", ["id", "on_date"])
+    with pytest.raises(DuplicateKeys):  # of a day inside a stored run
+        warehouse.publish(runs((1, "2018-01-09", "2018-01-09")).select("id", "on_date"), "dm", "t", "2018-04")
+    with pytest.raises(DuplicateKeys):  # of runs that overlap
+        warehouse.publish_periods(runs((1, "2018-03-09", "2018-03-02"), (1, "2018-03-31", "2018-03-09")), "dm", "t", month, runs="on_date")
