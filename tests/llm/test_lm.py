@@ -283,3 +283,48 @@ def test_counts_without_own():
             assert math.isclose(answers[k, at], math.log((ones + 0.4) / (zeros + 0.4)), rel_tol=1e-9, abs_tol=1e-12)
             seen.append(zeros + ones)
         assert [int(level[at]) for level in levels] == [sum(seen[i] > b for b in bounds) for i, bounds in zip(lm._GATED, lm._BOUNDS)]
+
+
+def test_words_are_counted_in_every_training_fold(spark):
+    docs = [(i, f"one two{i % 3} {'three ' * (i % 4)}") for i in range(60)]
+    rows = lm.block_words(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 1, np.zeros((lm.SHORT_WORDS, lm.TOPICS)), set(), 40)
+    words = rows.filter("kind = 0").select(*lm._NAMES[:8]).toArrow().combine_chunks().to_batches()
+    (bucket,) = lm.buckets_of(iter(words), set())
+    folds = [k for k in range(lm.FOLDS) if k != lm.HELD_OUT_FOLD]
+    found, expected = Counter(), Counter()
+    for k, fold in enumerate(folds):
+        for word, n in zip(bucket.words, bucket.by_fold[k].tolist()):
+            found[word, fold] += n
+    for doc_id, text in docs:
+        if lm.fold_of(doc_id) in folds:
+            expected.update((w, lm.fold_of(doc_id)) for w in [*text.encode().split(), b""])
+    assert +found == expected and {fold for _, fold in expected} == set(folds)
+    assert (bucket.by_fold.sum(axis=0) == bucket.trained).all()
+
+
+def test_the_mixer_learns_from_every_training_fold(monkeypatch):
+    """Equal to learning from each word of each fold by itself, against counts without that fold's own."""
+    monkeypatch.setattr(lm, "_NEIGHBOURS", 7)
+    monkeypatch.setattr(lm, "_LEARN_AT_ONCE", 60)
+    draw = np.random.default_rng(12)
+    bucket = _bucket(draw, 400)
+    bucket.by_fold = np.maximum(draw.integers(-4, 4, (lm.FOLDS - 1, len(bucket.words))), 0)
+    bucket.trained = bucket.by_fold.sum(axis=0)
+    tables = [(draw.integers(0, 40, 1 << bits) + 256 * draw.integers(0, 40, 1 << bits)).astype(np.uint16) for bits in lm.TABLE_BITS]
+    found, expected = lm.Mixer.fresh(), lm.Mixer.fresh()
+    assert lm.learn_bucket(found, bucket, tables) == np.count_nonzero(bucket.by_fold)
+    order, near = lm._learning_order(bucket), lm.near_counts(bucket)
+    assert sorted(order.tolist()) == np.flatnonzero(bucket.trained).tolist()
+    for start in range(0, len(order), 60):
+        part = order[start : start + 60]
+        entry = np.concatenate([part[fold[part] > 0] for fold in bucket.by_fold])
+        own = np.concatenate([fold[part][fold[part] > 0] for fold in bucket.by_fold]).astype(float)
+        spelling = lm.spell([bucket.words[i] for i in entry.tolist()], bucket.fronts[entry], bucket.depth[entry])
+        others, weight = lm.Others.without(own, spelling.word), own[spelling.word]
+        counts, outer = near.of(entry), np.flatnonzero(~spelling.deep)
+        for step in range(8):
+            bit, cell = lm.cells(spelling, step, outer)
+            answers, seen = lm.answers_of(lm.pairs_of(tables, cell, spelling.deep, counts[:, step]), others, bit)
+            expected.learn(answers, bit, weight, expected.predict(answers, seen, spelling.place), lm._RATE)
+    assert np.allclose(found.weights, expected.weights) and np.allclose(found.refined, expected.refined)
+    assert not np.allclose(found.weights, lm.Mixer.fresh().weights)
