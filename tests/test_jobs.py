@@ -375,6 +375,30 @@ def test_a_correction_reaches_the_months_behind(spark, warehouse, together):
     _report_agrees(warehouse)
 
 
+def test_changed_balances_meet_accounts_without_a_broadcast(spark, warehouse, monkeypatch):
+    publish_inputs(spark, warehouse)
+    jobs.calculate_period(warehouse, JAN[0], FEB[1])
+    warehouse.publish(table(spark, "opening_balances", [(10, BEFORE, Decimal("500.00"))]), "ds", "opening_balances")
+    plans, stored = [], jobs.stored_and_measured
+
+    def not_small(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, path)[0], False
+
+    monkeypatch.setattr(jobs, "stored_and_measured", not_small)
+    prepare = warehouse.prepare_periods
+
+    def seen(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return prepare(df, *args, **options)
+
+    monkeypatch.setattr(warehouse, "prepare_periods", seen)
+    jobs.calculate_period(warehouse, *JAN)
+    delta, carried = [plan for plan in plans if "delta" in plan]
+    assert "BroadcastHashJoin" not in delta and "BroadcastHashJoin [account_id" not in carried
+    assert _balances(warehouse)[10, d(28, 2)] > 500
+
+
 def _by_month(spark, warehouse, rows):
     warehouse.publish_periods(table(spark, "postings", rows), "ds", "postings", F.date_format("on_date", "yyyy-MM"))
 

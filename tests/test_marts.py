@@ -9,8 +9,9 @@ from saldomart.operators.calendar import account_day_grid
 from saldomart.operators.ledger import second_order_account
 from saldomart.operators.rates import day_rates
 from saldomart.plans.balance import account_balance, balance_spans, with_movements
+from saldomart.plans.control import balance_control
 from saldomart.plans.form101 import form_101
-from saldomart.plans.turnover import account_movements, account_turnover, unbooked_movements
+from saldomart.plans.turnover import account_movements, account_turnover, placed_movements, unbooked_movements
 from saldomart.sources.tables import every_day
 
 
@@ -230,3 +231,17 @@ def test_days_meet_their_movements_after_the_join(spark):
     assert sorted(found.collect(), key=key) == sorted(expected.collect(), key=key)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("explode(sequence(_since") < plan.index("Join")  # days are listed above the join
+
+
+def test_tables_that_grow_with_accounts_are_not_broadcast(spark):
+    t, runs = tables(spark), _runs_and_days(spark, None, None, "error")[0]
+    moved, runs = account_movements(t["postings"], *JAN), spark.createDataFrame(runs.collect(), runs.schema)
+
+    def broadcasts(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+    assert broadcasts(placed_movements(moved, t["accounts"])) == 0
+    assert broadcasts(balance_spans(t["opening_balances"], moved, t["accounts"], *JAN)) == 0
+    assert broadcasts(with_movements(runs, moved)) == 0
+    control = balance_control(runs, t["opening_balances"], moved, t["accounts"], *JAN)
+    assert broadcasts(control) == 1  # accounts that close inside the period, measured to be few
