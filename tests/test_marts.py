@@ -1,5 +1,6 @@
 from datetime import date, timedelta
 from decimal import Decimal
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,6 +234,33 @@ def test_days_meet_their_movements_after_the_join(spark):
     assert plan.index("explode(sequence(_since") < plan.index("Join")  # days are listed above the join
 
 
+def test_runs_are_parted_at_their_movements(spark):
+    """Movements anywhere in a run, on days in a row and twice on a day; nothing is looked up day by day."""
+    draw, runs, moved = Random(3), [], []
+    for account in range(1, 9):
+        first = 1
+        while first <= 31:
+            last = min(31, first + draw.randrange(9))
+            runs.append((d(last), account, Decimal(first), d(first)))
+            first = last + 1 + draw.randrange(2)
+        moved += [(d(draw.randrange(1, 32)), account, Decimal(i + 1)) for i in range(2 * account)]
+    moved += [(d(4), None, Decimal(1)), (d(4, 2), 1, Decimal(1))]
+    runs += [(d(1), 8, Decimal(0), d(1)), (d(31), None, Decimal(0), d(1)), (d(9, 3), 8, Decimal(0), d(2, 3))]
+    balances = spark.createDataFrame(runs, "on_date date, account_id long, balance decimal(25,2), _since date")
+    turnovers = spark.createDataFrame(moved, "on_date date, account_id long, debit decimal(25,2)")
+    found = with_movements(balances, turnovers)
+    expected = []
+    for last, account, balance, first in runs:
+        for n in range((last - first).days + 1):
+            day = first + timedelta(days=n)
+            of_day = [m[2] for m in moved if account is not None and m[:2] == (day, account)]
+            expected += [(day, account, balance, debit) for debit in of_day or [None]]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((a, b, c.quantize(Decimal("0.01")), e and e.quantize(Decimal("0.01")))) for a, b, c, e in expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("explode(sequence(_since")]
+    assert "_moved" not in above and "lambda" not in above
+
+
 def test_tables_that_grow_with_accounts_are_not_broadcast(spark):
     t, runs = tables(spark), _runs_and_days(spark, None, None, "error")[0]
     moved, runs = account_movements(t["postings"], *JAN), spark.createDataFrame(runs.collect(), runs.schema)
